@@ -138,7 +138,12 @@ def load_metrics(df: DataFrame, key: str, zone: str, measures: Mapping[str, str]
         F.count_if(F.col(zone).isNull()).alias("rows_without_zone"),
         (F.count(zone).cast("double") / F.count("*").cast("double")).alias("matched_share"),
     ]
+    out = df.agg(*aggs)
     for c in (measures or {}):
-        aggs += [F.min(c).alias(f"min_{c}"), F.max(c).alias(f"max_{c}"),
-                 F.median(c).alias(f"median_{c}"), F.avg(c).alias(f"mean_{c}")]
-    return df.agg(*aggs)
+        stats = df.agg(F.min(c).alias(f"min_{c}"), F.max(c).alias(f"max_{c}"),
+                       F.avg(c).alias(f"mean_{c}"))
+        med = exact_median(df, [], c, f"median_{c}")
+        stats = stats.withColumn(f"median_{c}", med.select(f"median_{c}").scalar())
+        out = out.withColumn(f"_s_{c}", stats.select(F.struct("*")).scalar()) \
+                 .select("*", f"_s_{c}.*").drop(f"_s_{c}")
+    return out
