@@ -283,14 +283,3 @@ def positive(df: DataFrame, *cols: str) -> DataFrame:
 def drop_missing(df: DataFrame, subset: Sequence[str], how: str = "any") -> DataFrame:
     """FLT7: drop rows with NULL in any/all of ``subset``."""
     return df.dropna(how=how, subset=list(subset))
-
-
-def impute_median(df: DataFrame, col: str, sentinel=None, out: str | None = None) -> DataFrame:
-    """FLT12: sentinel -> NULL, then NULLs <- the column median (a scalar
-    subquery: one aggregate, evaluated once, no join)."""
-    x = F.col(col)
-    if sentinel is not None:
-        x = F.when(x != F.lit(sentinel), x)
-    cleaned = df.withColumn(out or col, x)
-    med = cleaned.select(F.median(out or col)).scalar()
-    return cleaned.withColumn(out or col, F.coalesce(F.col(out or col).cast("double"), med))

@@ -147,3 +147,16 @@ def load_metrics(df: DataFrame, key: str, zone: str, measures: Mapping[str, str]
         out = out.withColumn(f"_s_{c}", stats.select(F.struct("*")).scalar()) \
                  .select("*", f"_s_{c}.*").drop(f"_s_{c}")
     return out
+
+
+def impute_median(df: DataFrame, col: str, sentinel=None, out: str | None = None) -> DataFrame:
+    """FLT12: sentinel -> NULL, then NULLs <- the exact column median.  The
+    median is a histogram-based global aggregate (:func:`exact_median`)
+    attached as a scalar subquery: evaluated once, no join."""
+    o = out or col
+    x = F.col(col)
+    if sentinel is not None:
+        x = F.when(x != F.lit(sentinel), x)
+    cleaned = df.withColumn(o, x)
+    med = exact_median(cleaned, [], o, "_median").select("_median").scalar()
+    return cleaned.withColumn(o, F.coalesce(F.col(o).cast("double"), med))
