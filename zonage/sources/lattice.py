@@ -72,14 +72,14 @@ def with_point(df: DataFrame, key: str, x: str = "x", y: str = "y") -> DataFrame
 
 
 def part_boxes(part: DataFrame) -> DataFrame:
-    """``(id, bx, by, bw, bh)`` boxes, one per part."""
+    """``(id, box_x, box_y, box_w, box_h)`` boxes, one per part."""
     p = F.col("p_partkey").cast("long")
     return part.select(
         p.alias("id"),
-        (((p * 3571) % 9973).cast("double") / 9973.0 * 5.6 - 0.3).alias("bx"),
-        (((p * 4099) % 9967).cast("double") / 9967.0 * 5.6 - 0.3).alias("by"),
-        ((p % 10 * 6 + 5).cast("double") / 100.0).alias("bw"),
-        ((p % 7 * 7 + 5).cast("double") / 100.0).alias("bh"),
+        (((p * 3571) % 9973).cast("double") / 9973.0 * 5.6 - 0.3).alias("box_x"),
+        (((p * 4099) % 9967).cast("double") / 9967.0 * 5.6 - 0.3).alias("box_y"),
+        ((p % 10 * 6 + 5).cast("double") / 100.0).alias("box_w"),
+        ((p % 7 * 7 + 5).cast("double") / 100.0).alias("box_h"),
     )
 
 
@@ -105,10 +105,10 @@ def _sql_corner(i: str, j: str) -> tuple[str, str]:
 def sql_zone_edges() -> str:
     """SQL producing ``(id, seq, x1, y1, x2, y2)`` from ``nation``."""
     ax, ay = _sql_corner("(i0 + [0,1,1,0][seq+1])", "(j0 + [0,0,1,1][seq+1])")
-    bx, by = _sql_corner("(i0 + [0,1,1,0][(seq+1)%4+1])", "(j0 + [0,0,1,1][(seq+1)%4+1])")
+    bx2, by2 = _sql_corner("(i0 + [0,1,1,0][(seq+1)%4+1])", "(j0 + [0,0,1,1][(seq+1)%4+1])")
     return (
         "select id, seq, "
-        f"{ax} as x1, {ay} as y1, {bx} as x2, {by} as y2 "
+        f"{ax} as x1, {ay} as y1, {bx2} as x2, {by2} as y2 "
         "from (select cast(n_nationkey as bigint) as id, cast(n_nationkey as bigint) % 5 as i0, "
         "cast(n_nationkey as bigint) // 5 as j0, seq "
         "from nation, (select unnest([0,1,2,3]) as seq) s)"
@@ -118,19 +118,19 @@ def sql_zone_edges() -> str:
 def sql_part_boxes() -> str:
     return (
         "select cast(p_partkey as bigint) as id, "
-        "cast((p_partkey*3571) % 9973 as double) / 9973.0 * 5.6 - 0.3 as bx, "
-        "cast((p_partkey*4099) % 9967 as double) / 9967.0 * 5.6 - 0.3 as by, "
-        "cast(p_partkey % 10 * 6 + 5 as double) / 100.0 as bw, "
-        "cast(p_partkey % 7 * 7 + 5 as double) / 100.0 as bh from part"
+        "cast((p_partkey*3571) % 9973 as double) / 9973.0 * 5.6 - 0.3 as box_x, "
+        "cast((p_partkey*4099) % 9967 as double) / 9967.0 * 5.6 - 0.3 as box_y, "
+        "cast(p_partkey % 10 * 6 + 5 as double) / 100.0 as box_w, "
+        "cast(p_partkey % 7 * 7 + 5 as double) / 100.0 as box_h from part"
     )
 
 
 def sql_box_edges(boxes: str = "boxes") -> str:
     return (
         f"select id, seq, "
-        "case seq when 0 then bx when 1 then bx+bw when 2 then bx+bw else bx end as x1, "
-        "case seq when 0 then by when 1 then by when 2 then by+bh else by+bh end as y1, "
-        "case seq when 0 then bx+bw when 1 then bx+bw when 2 then bx else bx end as x2, "
-        "case seq when 0 then by when 1 then by+bh when 2 then by+bh else by end as y2 "
+        "case seq when 0 then box_x when 1 then box_x+box_w when 2 then box_x+box_w else box_x end as x1, "
+        "case seq when 0 then box_y when 1 then box_y when 2 then box_y+box_h else box_y+box_h end as y1, "
+        "case seq when 0 then box_x+box_w when 1 then box_x+box_w when 2 then box_x else box_x end as x2, "
+        "case seq when 0 then box_y when 1 then box_y+box_h when 2 then box_y+box_h else box_y end as y2 "
         f"from {boxes}, (select unnest([0,1,2,3]) as seq) s"
     )
