@@ -33,4 +33,7 @@ def register(key: str, sql: str | None = None):
 
 def load_all() -> None:
     """Import every query module so that the registry is complete."""
-    from . import scores, aggregates, temporal, loads, cleaning, spatial, serving  # noqa: F401
+    from . import scores, aggregates, temporal, loads, cleaning, spatial, serving, network  # noqa: F401
+    from .network import _network_sql
+    if "network_score" not in ORACLES:
+        ORACLES["network_score"] = _network_sql().strip()
