@@ -167,10 +167,9 @@ def violations(df: DataFrame, contract: Contract) -> DataFrame:
 
 def to_features(df: DataFrame, id_col: str, geometry_json: str,
                 properties: Sequence[str]) -> DataFrame:
-    """SNK9: one GeoJSON Feature per row as JSON text, ``_id`` = ``id_col``."""
-    feat = F.to_json(F.struct(
-        F.lit("Feature").alias("type"),
-        F.struct(*[F.col(p) for p in properties]).alias("properties"),
-        F.parse_json(F.col(geometry_json)).alias("geometry"),
-    ))
+    """SNK9: one GeoJSON Feature per row as JSON text, ``_id`` = ``id_col``.
+    The geometry text is embedded verbatim (it already is GeoJSON)."""
+    feat = F.concat(F.lit('{"type":"Feature","properties":'),
+                    F.to_json(F.struct(*[F.col(p) for p in properties])),
+                    F.lit(',"geometry":'), F.col(geometry_json), F.lit("}"))
     return df.select(F.col(id_col).cast("string").alias("_id"), feat.alias("feature"))

@@ -37,3 +37,5 @@ def load_all() -> None:
     from .network import _network_sql
     if "network_score" not in ORACLES:
         ORACLES["network_score"] = _network_sql().strip()
+    from .serving import register_late_oracles
+    register_late_oracles()
