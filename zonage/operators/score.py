@@ -20,6 +20,21 @@ from ..session import bounded_broadcast
 DEFAULT_BUCKETS = 64
 
 
+# Resolution of the monotone value buckets used by :func:`positions`:
+# ``floor(sign(v) * ln(1 + |v|) * BUCKETS_PER_E)``.  Any non-decreasing map of
+# the value gives exact results; the log scale spreads both [0, 1] scores
+# and large amounts over a few hundred buckets without a pre-pass.
+BUCKETS_PER_E = 64
+
+
+def value_bucket(v: Column) -> Column:
+    """Monotone (non-decreasing) bucket of a numeric value."""
+    d = v.cast("double")
+    lg = F.signum(d) * F.log1p(F.abs(d)) * float(BUCKETS_PER_E)
+    return (F.when(F.isnan(lg) | (F.abs(lg) > 1e15), F.signum(d) * 1e15)
+             .otherwise(F.floor(lg))).cast("long")
+
+
 def positions(hist: DataFrame, value: str, count: str = "_c",
               by: Sequence[str] = (), buckets: int = DEFAULT_BUCKETS) -> DataFrame:
     """Exact prefix counts over a histogram.
@@ -28,22 +43,15 @@ def positions(hist: DataFrame, value: str, count: str = "_c",
     in ``count``.  Adds ``_below`` (rows with a strictly smaller value in the
     same ``by`` group) and ``_n`` (rows in the group).
 
-    Values are cut into ~``buckets`` ranges by approximate quantiles
-    (``percentile_approx`` is a bounded sketch with map-side partial
-    aggregation).  Bucket totals are prefix-summed over at most ``buckets``
-    rows per group, and values are prefix-summed inside their own bucket, so
-    each window partition holds about 1/``buckets`` of a group's distinct
-    values.  Bucketing is monotone in the value, so the result is exact.
+    Values are cut into monotone log-scale buckets (:func:`value_bucket`).
+    Bucket totals are prefix-summed per group (a few hundred rows per group),
+    and values are prefix-summed inside their own ``(group, bucket)`` window
+    partition, so no window partition ever holds all values of a hot group.
+    Because the bucket map is non-decreasing in the value, the result is
+    exact.  ``buckets`` is kept for API compatibility.
     """
     by = list(by)
-    probs = [i / buckets for i in range(1, buckets)]
-    bounds_agg = F.percentile_approx(F.col(value), probs, 10000).alias("_bounds")
-    if by:
-        bounds = hist.groupBy(*by).agg(bounds_agg)
-        h = hist.join(bounds, by)
-    else:
-        h = hist.withColumn("_bounds", hist.select(bounds_agg).scalar())
-    h = h.withColumn("_b", F.size(F.filter("_bounds", lambda b: b < F.col(value)))).drop("_bounds")
+    h = hist.withColumn("_b", value_bucket(F.col(value)))
     bt = h.groupBy(*by, "_b").agg(F.sum(count).alias("_bc"))
     wb = Window.partitionBy(*by).orderBy("_b")
     bt = (bt.withColumn("_off", F.coalesce(
@@ -53,7 +61,7 @@ def positions(hist: DataFrame, value: str, count: str = "_c",
     wv = Window.partitionBy(*by, "_b").orderBy(value)
     h = h.withColumn("_in", F.coalesce(
         F.sum(count).over(wv.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    h = h.join(F.broadcast(bt) if not by else bt, [*by, "_b"])
+    h = h.join(bt, [*by, "_b"])
     return (h.withColumn("_below", (F.col("_off") + F.col("_in")).cast("long"))
              .drop("_b", "_off", "_in"))
 

@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import bounded_broadcast
+from ..session import bounded_broadcast, materialize
 
 # distinct years are calendar-bounded; this is the proven bound for broadcast
 MAX_YEARS = 10_000
@@ -88,7 +88,9 @@ def exact_or_nearest(left: DataFrame, right: DataFrame, on: Sequence[str], year:
     """DP4 join rule: the exact ``(on…, year)`` inner join; only when it is
     empty as a whole, the nearest-year join (tie -> earlier).  Expressed
     lazily: the fallback branch is gated by a scalar count of the exact
-    join, so no driver round-trip decides the plan."""
+    join, so no driver round-trip decides the plan.  Both inputs are
+    zone × year aggregates and are materialised once (they are read twice)."""
+    left, right = materialize(left), materialize(right)
     exact = left.join(right, [*on, year])
     ly = left.withColumnRenamed(year, "_ly")
     near = nearest_year_join(ly, right, on, "_ly", year).drop(year).withColumnRenamed("_ly", year)

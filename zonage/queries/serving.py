@@ -42,10 +42,11 @@ def wide_zone_indicators(spark, sf):
                      F.col("o_custkey") == F.col("c_custkey"))
                .groupBy("zone", F.year("o_orderdate").alias("annee"))
                .agg(F.count("*").alias("nb_logements_sociaux_finances")))
+    housing = materialize(housing)
     hy = TM.resolve_year(housing, "annee", TARGET_YEAR, tie="later")
     housing = housing.join(bounded_broadcast(hy, 1), F.col("annee") == F.col("year")) \
         .groupBy("zone").agg(F.sum("nb_logements_sociaux_finances").alias("nb_logements_sociaux_finances"))
-    socio = reg["affordability_index"](spark, sf).withColumn("zone", F.col("zone").cast("long"))
+    socio = materialize(reg["affordability_index"](spark, sf).withColumn("zone", F.col("zone").cast("long")))
     sy = TM.resolve_year(socio, "annee", TARGET_YEAR, tie="later")
     socio = socio.join(bounded_broadcast(sy, 1), F.col("annee") == F.col("year")) \
         .select("zone", "revenu_median", "prix_m2_median", "iai")

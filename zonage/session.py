@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -50,16 +51,20 @@ def _jvm_running() -> bool:
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Cut the lineage of a *dimension-sized* frame (one row per zone or
-    district) with a reliable checkpoint in the session's checkpoint folder.
+    """Cut the lineage of a *dimension-sized* frame (one row per zone, zone ×
+    year or district) by writing it as Parquet under the session's shared
+    checkpoint folder and reading it back.
 
     Scoring chains reference their input several times (histogram + join
     back, statistics + projection); materialising the zone table once keeps
     each of those references a scan of a tiny file instead of a re-plan and
-    re-execution of the fact joins, and survives executor loss.
+    re-execution of the fact joins.  Unlike an eager ``checkpoint()`` the
+    input is computed once, and the written files survive executor loss.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = shared_dir(spark, f"zonage-tables/{uuid.uuid4().hex}")
+    df.write.mode("errorifexists").parquet(path)
+    return spark.read.parquet(path)
 
 
 def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
