@@ -80,3 +80,19 @@ def test_within_and_intersects_boxes(spark):
     for r in inter.collect():
         got.setdefault(r.fid, set()).add(r.zone)
     assert got[1] == {0} and got[2] == {0, 1} and len(got[3]) == 25 and 4 not in got
+
+
+def test_overlay_area_conserves_box_area(spark):
+    nation = spark.createDataFrame([(i,) for i in range(25)], "n_nationkey int")
+    ze = LT.zone_edges(nation)
+    boxes = spark.createDataFrame([
+        (1, 0.1, 0.1, 0.2, 0.2),      # inside one zone
+        (2, 0.7, 0.2, 0.8, 0.2),      # straddles two zones
+        (3, 1.5, 1.5, 2.3, 1.9),      # spans several zones
+        (4, -0.5, 4.5, 1.0, 1.0),     # partly outside the mosaic
+    ], "id long, bx double, by double, bw double, bh double")
+    be = G.box_edges(boxes, "id", "bx", "by", "bw", "bh")
+    got = {r.fid: r.a for r in G.overlay_area(be, ze, 1.0).groupBy("fid").agg(F.sum("area").alias("a")).collect()}
+    expected = {1: 0.04, 2: 0.16, 3: 2.3 * 1.9, 4: 0.5 * 0.5}
+    for k, v in expected.items():
+        assert abs(got[k] - v) < 1e-9, (k, got[k], v)

@@ -225,3 +225,107 @@ m as (select id as zone, {rd('abs(sum(x1 * y2 - x2 * y1) / 2.0)', 0)} as area_m2
 f as (select id as zone, {rd('x1', 3)} as x_l93, {rd('y1', 3)} as y_l93 from pe where seq = 0)
 select a.zone, a.area, m.area_m2, f.x_l93, f.y_l93 from a join m using (zone) join f using (zone)
 """)(zone_area_projected)
+
+
+# ------------------------------------------------------------------ JN5
+
+# Coverage operator codes assigned to the boxes, and levels.
+_OP_CODES = ["BOUY", "FREE", "OF", "SFR0"]
+_LEVELS = ["TBC", "BC", "CL"]
+
+
+def coverage_overlay_rate(spark, sf):
+    """JN5 + DP10 + SF15 + AG11: coverage boxes (operator code, technology and
+    level derived from the part) overlaid on the zones; per (zone, operator,
+    technology): covered share of the zone area ×100 (overlaps counted twice,
+    then clipped to 100, round 2) and the level of the largest fragment."""
+    (part,) = tables(spark, sf, "part")
+    boxes, be = _boxes(spark, sf)
+    ze = _zones(spark, sf)
+    attrs = part.select(
+        F.col("p_partkey").cast("long").alias("fid"),
+        C.map_values(F.element_at(F.array(*[F.lit(c) for c in _OP_CODES]),
+                                  (F.col("p_partkey") % 4 + 1).cast("int")), C.COVERAGE_OPERATOR_CODES)
+        .alias("operateur"),
+        F.when(F.col("p_size") % 2 == 0, F.lit("4G")).otherwise(F.lit("5G")).alias("tech"),
+        F.element_at(F.array(*[F.lit(c) for c in _LEVELS]), (F.col("p_size") % 3 + 1).cast("int")).alias("niveau"))
+    ov = G.overlay_area(be, ze, CELL)
+    za = G.polygon_area(ze).select(F.col("id").alias("zone"), F.col("area").alias("zone_area"))
+    frag = ov.join(attrs, "fid").withColumn("area_r", C.round_dec("area", 9))
+    # AG11: one pass — total area and the level of the single largest fragment
+    per = frag.groupBy("zone", "operateur", "tech").agg(
+        F.sum("area").alias("a"), F.max_by("niveau", F.struct("area_r", "niveau")).alias("niveau"))
+    per = per.join(za, "zone")
+    cov = C.round_dec(C.clip(F.col("a") / F.col("zone_area") * 100.0), 2)
+    lvl = F.coalesce(C.map_values("niveau", C.LEVEL_SCORES), F.lit(0))
+    return per.select("zone", "operateur", "tech", cov.alias("couverture"), "niveau",
+                      lvl.cast("int").alias("score_niveau"))
+
+
+def _overlay_sql() -> str:
+    pip = ("(select count(*) from {edges} e where e.id = m.{other} and ((e.y1 > m.my) <> (e.y2 > m.my)) "
+           "and m.mx < (e.x2 - e.x1) * (m.my - e.y1) / (e.y2 - e.y1) + e.x1) % 2 = 1")
+    return f"""
+ze as ({ZE}), boxes as ({BOXES}), be as ({BE}),
+seg as (select f.id as fid, f.seq as fseq, z.id as zone, z.seq as zseq, {_SEG} from be f, ze z),
+o as (select *, {_O} from seg),
+hit as (select * from o where o1 * o2 <= 0 and o3 * o4 <= 0
+          and least(f1x, f2x) <= greatest(z1x, z2x) and least(z1x, z2x) <= greatest(f1x, f2x)
+          and least(f1y, f2y) <= greatest(z1y, z2y) and least(z1y, z2y) <= greatest(f1y, f2y)),
+fv as (select id, x1 as x, y1 as y from be where seq = 0),
+zv as (select id, x1 as x, y1 as y from ze where seq = 0),
+f_in_z as (select v.id as fid, e.id as zone from fv v join ze e
+           on ((e.y1 > v.y) <> (e.y2 > v.y)) and v.x < (e.x2 - e.x1) * (v.y - e.y1) / (e.y2 - e.y1) + e.x1
+           group by v.id, e.id having count(*) % 2 = 1),
+z_in_f as (select e.id as fid, v.id as zone from zv v join be e
+           on ((e.y1 > v.y) <> (e.y2 > v.y)) and v.x < (e.x2 - e.x1) * (v.y - e.y1) / (e.y2 - e.y1) + e.x1
+           group by v.id, e.id having count(*) % 2 = 1),
+pairs as (select fid, zone from hit union select fid, zone from f_in_z union select fid, zone from z_in_f),
+fcut as (select fid, zone, fseq as seq, list(o3 / (o3 - o4)) as ts from hit where o3 <> o4 group by all),
+zcut as (select fid, zone, zseq as seq, list(o1 / (o1 - o2)) as ts from hit where o1 <> o2 group by all),
+fe as (select p.fid, p.zone, e.x1, e.y1, e.x2, e.y2,
+              list_sort(list_distinct(list_concat([0.0::double, 1.0::double], coalesce(c.ts, []::double[])))) as ts
+       from pairs p join be e on e.id = p.fid left join fcut c on c.fid = p.fid and c.zone = p.zone and c.seq = e.seq),
+zz as (select p.fid, p.zone, e.x1, e.y1, e.x2, e.y2,
+              list_sort(list_distinct(list_concat([0.0::double, 1.0::double], coalesce(c.ts, []::double[])))) as ts
+       from pairs p join ze e on e.id = p.zone left join zcut c on c.fid = p.fid and c.zone = p.zone and c.seq = e.seq),
+fp as (select fid, zone, x1, y1, x2, y2, ts, unnest(range(1, len(ts))) as i from fe),
+zp as (select fid, zone, x1, y1, x2, y2, ts, unnest(range(1, len(ts))) as i from zz),
+fm as (select fid, zone, x1 + (x2 - x1) * ts[i] as ax, y1 + (y2 - y1) * ts[i] as ay,
+              x1 + (x2 - x1) * ts[i + 1] as bx, y1 + (y2 - y1) * ts[i + 1] as by_,
+              x1 + (x2 - x1) * ((ts[i] + ts[i + 1]) / 2.0) as mx, y1 + (y2 - y1) * ((ts[i] + ts[i + 1]) / 2.0) as my from fp),
+zm as (select fid, zone, x1 + (x2 - x1) * ts[i] as ax, y1 + (y2 - y1) * ts[i] as ay,
+              x1 + (x2 - x1) * ts[i + 1] as bx, y1 + (y2 - y1) * ts[i + 1] as by_,
+              x1 + (x2 - x1) * ((ts[i] + ts[i + 1]) / 2.0) as mx, y1 + (y2 - y1) * ((ts[i] + ts[i + 1]) / 2.0) as my from zp),
+terms as (select fid, zone, 0.5 * (ax * by_ - bx * ay) as term from fm m where {pip.format(edges='ze', other='zone')}
+          union all
+          select fid, zone, 0.5 * (ax * by_ - bx * ay) as term from zm m where {pip.format(edges='be', other='fid')}),
+ov as (select fid, zone, sum(term) as area from terms group by fid, zone)
+"""
+
+
+def _coverage_sql() -> str:
+    ops = ", ".join(f"'{c}'" for c in _OP_CODES)
+    lv = ", ".join(f"'{c}'" for c in _LEVELS)
+    opmap = " ".join(f"when '{k}' then '{v}'" for k, v in C.COVERAGE_OPERATOR_CODES.items())
+    lvmap = " ".join(f"when '{k}' then {v}" for k, v in C.LEVEL_SCORES.items())
+    return f"""
+with {_overlay_sql()},
+za as (select id as zone, abs(sum(x1 * y2 - x2 * y1) / 2.0) as zone_area from ze group by id),
+attrs as (select cast(p_partkey as bigint) as fid,
+                 case ([{ops}])[p_partkey % 4 + 1] {opmap} end as operateur,
+                 case when p_size % 2 = 0 then '4G' else '5G' end as tech,
+                 ([{lv}])[p_size % 3 + 1] as niveau from part),
+frag as (select ov.zone, a.operateur, a.tech, a.niveau, ov.area, {rd('ov.area', 9)} as area_r
+         from ov join attrs a on a.fid = ov.fid),
+dom as (select zone, operateur, tech, niveau from (select *, row_number() over (
+          partition by zone, operateur, tech order by area_r desc, niveau desc) as rn from frag) where rn = 1),
+per as (select zone, operateur, tech, sum(area) as a from frag group by all)
+select per.zone, per.operateur, per.tech,
+       {rd('greatest(0.0, least(100.0, per.a / za.zone_area * 100.0))', 2)} as couverture,
+       dom.niveau, cast(coalesce(case dom.niveau {lvmap} end, 0) as integer) as score_niveau
+from per join za using (zone) join dom using (zone, operateur, tech)
+"""
+
+
+register("coverage_overlay_rate", _coverage_sql())(coverage_overlay_rate)
