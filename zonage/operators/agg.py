@@ -97,6 +97,11 @@ def rate(cond: Column, scale: float = 100.0) -> Column:
     return F.count_if(cond).cast("double") / F.count(F.lit(1)).cast("double") * scale
 
 
+def rate_of(part: str, total: str, scale: float = 100.0) -> Column:
+    """AG14 from two counts already aggregated."""
+    return F.col(part).cast("double") / F.col(total).cast("double") * scale
+
+
 def count_filter(cond: Column) -> Column:
     """AG5: ``COUNT(*) FILTER (WHERE cond)``."""
     return F.count_if(cond)

@@ -61,3 +61,12 @@ def write_zone_tables(zones: DataFrame, base: str) -> tuple[str, str]:
     zones.drop("coords").write.mode("overwrite").parquet(zp)
     zone_edges(zones).repartition("id").write.mode("overwrite").parquet(ep)
     return zp, ep
+
+
+def geometry_coords(col: str) -> "F.Column":
+    """GeoJSON geometry text column (``geo_shape``) -> multipolygon coordinates
+    (Polygons wrapped as one-part MultiPolygons; other types -> NULL)."""
+    gtype = F.get_json_object(F.col(col), "$.type")
+    txt = F.get_json_object(F.col(col), "$.coordinates")
+    return (F.when(gtype == "Polygon", F.array(F.from_json(txt, _POLY)))
+             .when(gtype == "MultiPolygon", F.from_json(txt, _MULTI)))
