@@ -28,7 +28,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import bounded_broadcast
+from ..session import bounded_broadcast, materialize
 
 EDGE_COLS = ["x1", "y1", "x2", "y2"]
 
@@ -38,13 +38,16 @@ EDGE_COLS = ["x1", "y1", "x2", "y2"]
 # --------------------------------------------------------------------------
 
 def polygon_edges(df: DataFrame, id_col: str, coords_col: str,
-                  multi: bool = True) -> DataFrame:
+                  multi: bool = True, orient: bool = True) -> DataFrame:
     """Explode polygon coordinates into the edge table.
 
     ``coords_col`` is ``array<array<array<array<double>>>>`` (part → ring →
     vertex → [x, y]) when ``multi`` else ``array<array<array<double>>>``.
     Rings may be closed (last vertex = first) or open; closing edges are
-    generated from consecutive vertices modulo the ring length.
+    generated from consecutive vertices modulo the ring length.  With
+    ``orient`` shells come out counter-clockwise and holes clockwise (the
+    ring's vertex array is reversed when its signed area has the wrong sign,
+    computed per row with a higher-order function — no shuffle).
     """
     parts = F.col(coords_col) if multi else F.array(F.col(coords_col))
     p = df.select(F.col(id_col).alias("id"), F.posexplode(parts).alias("part", "rings"))
@@ -55,6 +58,14 @@ def polygon_edges(df: DataFrame, id_col: str, coords_col: str,
         F.when((F.size("verts") > 1) & (F.element_at("verts", 1) == F.element_at("verts", -1)),
                F.slice("verts", 1, F.size("verts") - 1)).otherwise(F.col("verts")),
     )
+    if orient:
+        n = F.size("verts")
+        signed = F.aggregate(
+            F.sequence(F.lit(1), n), F.lit(0.0),
+            lambda acc, i: acc + (F.element_at("verts", i)[0] * F.element_at("verts", i % n + 1)[1]
+                                  - F.element_at("verts", i % n + 1)[0] * F.element_at("verts", i)[1]))
+        flip = ((F.col("ring") == 0) & (signed < 0)) | ((F.col("ring") > 0) & (signed > 0))
+        r = r.withColumn("verts", F.when(flip, F.reverse("verts")).otherwise(F.col("verts")))
     v = r.select("id", "part", "ring", "verts",
                  F.posexplode("verts").alias("seq", "a"))
     nxt = F.element_at("verts", ((F.col("seq") + 1) % F.size("verts")) + 1)
@@ -115,8 +126,13 @@ def auto_cell_size(edges: DataFrame) -> float:
 # point in polygon
 # --------------------------------------------------------------------------
 
-def zone_index(edges: DataFrame, cell: float) -> DataFrame:
-    """Grid index ``(cx, cy, zones: array<struct<zone, edges>>)`` (see module doc)."""
+def zone_index(edges: DataFrame, cell: float, persist: bool = True) -> DataFrame:
+    """Grid index ``(cx, cy, zones: array<struct<zone, edges>>)`` (see module doc).
+
+    The index is layer-sized (zones × cells it spans); with ``persist`` it is
+    written once to the shared checkpoint folder so that the size check of
+    :func:`zonage.session.bounded_broadcast` and the join reuse it instead of
+    recomputing it."""
     bb = bboxes(edges)
     zone_cells = bb.select(
         F.col("id").alias("zone"),
@@ -129,9 +145,10 @@ def zone_index(edges: DataFrame, cell: float) -> DataFrame:
     )
     per_band = bands.groupBy("zone", "cy").agg(
         F.collect_list(F.struct(*EDGE_COLS)).alias("edges"))
-    return (zone_cells.join(per_band, ["zone", "cy"])
-            .groupBy("cx", "cy")
-            .agg(F.collect_list(F.struct("zone", "edges")).alias("zones")))
+    idx = (zone_cells.join(per_band, ["zone", "cy"])
+           .groupBy("cx", "cy")
+           .agg(F.collect_list(F.struct("zone", "edges")).alias("zones")))
+    return materialize(idx) if persist else idx
 
 
 def _crosses(e: Column, px: Column, py: Column) -> Column:
@@ -197,6 +214,55 @@ def points_in_zones_all(points: DataFrame, index: DataFrame, x: str, y: str, cel
              .drop("_cx", "_cy", "cx", "cy", "zones"))
 
 
+# --------------------------------------------------------------------------
+# tests against a *named* polygon: per-polygon band tables
+# --------------------------------------------------------------------------
+
+def band_edges(edges: DataFrame, cell: float, persist: bool = True) -> DataFrame:
+    """``(id, cy, edges)``: for every polygon, the edges crossing each
+    horizontal band of height ``cell``.  A point inside a polygon has the
+    boundary crossing its +x ray, and that edge spans the point's band, so a
+    parity test needs only ``(polygon, band)``'s edges — whatever the number
+    of other polygons around."""
+    b = edges.select("id", *EDGE_COLS,
+                     F.explode(_cells(F.least("y1", "y2"), F.greatest("y1", "y2"), cell)).alias("cy"))
+    out = b.groupBy("id", "cy").agg(F.collect_list(F.struct(*EDGE_COLS)).alias("edges"))
+    return materialize(out) if persist else out
+
+
+def _parity(edges: Column, px: Column, py: Column) -> Column:
+    n = F.aggregate(edges, F.lit(0), lambda acc, e: acc + F.when(_crosses(e, px, py), 1).otherwise(0))
+    return (n % 2) == 1
+
+
+def inside_named(points: DataFrame, poly_col: str, x: str, y: str, bands: DataFrame,
+                 cell: float) -> DataFrame:
+    """Rows of ``points`` lying inside the polygon named in ``poly_col``
+    (equi-join on ``(polygon, band)`` + JVM-side parity)."""
+    b = bounded_broadcast(bands.select(F.col("id").alias("_bid"), F.col("cy").alias("_bcy"), "edges"))
+    j = points.withColumn("_cy", _cell(F.col(y), cell)).join(
+        b, (F.col(poly_col) == F.col("_bid")) & (F.col("_cy") == F.col("_bcy")))
+    return j.filter(_parity(F.col("edges"), F.col(x), F.col(y))).drop("_cy", "_bid", "_bcy", "edges")
+
+
+def bbox_cells(edges: DataFrame, cell: float) -> DataFrame:
+    """``(poly, cx, cy)`` for every cell a polygon's bounding box covers."""
+    bb = bboxes(edges)
+    return bb.select(F.col("id").alias("poly"), F.explode(_cells(F.col("minx"), F.col("maxx"), cell)).alias("cx"),
+                     "miny", "maxy") \
+             .select("poly", "cx", F.explode(_cells(F.col("miny"), F.col("maxy"), cell)).alias("cy"))
+
+
+def vertices_in_polygons(vertices: DataFrame, polys: DataFrame, bands: DataFrame,
+                         cell: float) -> DataFrame:
+    """``(id, poly)``: vertex owners ``id`` whose point ``(px, py)`` lies in
+    polygon ``poly``.  Candidates come from the polygons' bounding-box cells
+    (an equi-join on the cell), then :func:`inside_named`."""
+    v = vertices.withColumn("cx", _cell(F.col("px"), cell)).withColumn("cy", _cell(F.col("py"), cell))
+    cand = v.join(bbox_cells(polys, cell), ["cx", "cy"]).drop("cx", "cy")
+    return inside_named(cand, "poly", "px", "py", bands, cell).select("id", "poly")
+
+
 # --------------------------------------------------------------------------
 # polygon / polygon predicates
 # --------------------------------------------------------------------------
@@ -216,11 +282,22 @@ def _orient(ax, ay, bx, by, cx, cy) -> Column:
 
 
 def segment_pairs(features: DataFrame, zones: DataFrame, cell: float) -> DataFrame:
-    """Candidate segment pairs ``(fid, zid, f*, z*, o1..o4)`` sharing a cell,
-    each pair once, with the four orientation values."""
+    """Candidate segment pairs ``(fid, zid, f*, z*, o1..o4)`` whose bounding
+    boxes overlap, each pair once, with the four orientation values.
+
+    Both sides are exploded over the cells their bounding boxes cover and
+    joined on the cell; a pair sharing several cells is kept only in its
+    *reference cell* — the cell of the lower-left corner of the two boxes'
+    overlap — so no ``distinct`` shuffle is needed."""
     fe = _edge_cells(features, cell, "f")
     ze = bounded_broadcast(_edge_cells(zones, cell, "z"))
-    j = fe.join(ze, ["cx", "cy"]).drop("cx", "cy").distinct()
+    j = fe.join(ze, ["cx", "cy"])
+    lox = F.greatest(F.least("fx1", "fx2"), F.least("zx1", "zx2"))
+    loy = F.greatest(F.least("fy1", "fy2"), F.least("zy1", "zy2"))
+    overlap = ((lox <= F.least(F.greatest("fx1", "fx2"), F.greatest("zx1", "zx2")))
+               & (loy <= F.least(F.greatest("fy1", "fy2"), F.greatest("zy1", "zy2"))))
+    j = j.filter(overlap & (F.col("cx") == _cell(lox, cell)) & (F.col("cy") == _cell(loy, cell))) \
+         .drop("cx", "cy")
     f = {c: F.col(f"f{c}") for c in EDGE_COLS}
     z = {c: F.col(f"z{c}") for c in EDGE_COLS}
     ids = [c for c in j.columns if c[1:] in ("part", "ring", "seq")]
@@ -261,9 +338,9 @@ def features_in_zones(features: DataFrame, zones: DataFrame, predicate: str = "w
     * ``intersects``: boundaries meet (closed segment test), or one polygon's
       first vertex lies inside the other (containment without contact).
     """
-    zidx = zone_index(zones, cell)
     pairs = segment_pairs(features, zones, cell)
     if predicate == "within":
+        zidx = zone_index(zones, cell)
         verts = features.select("id", F.col("x1").alias("px"), F.col("y1").alias("py")).distinct()
         nverts = verts.groupBy("id").agg(F.count("*").alias("_n"))
         inside = (points_in_zones_all(verts, zidx, "px", "py", cell, "zone")
@@ -275,13 +352,10 @@ def features_in_zones(features: DataFrame, zones: DataFrame, predicate: str = "w
                    .select(F.col("id").alias("fid"), "zone")
     if predicate == "intersects":
         touch = pairs.filter(_touching(pairs)).select("fid", F.col("zid").alias("zone"))
-        fv = _first_vertices(features)
-        f_in_z = points_in_zones_all(fv, zidx, "px", "py", cell, "zone") \
-            .select(F.col("id").alias("fid"), "zone")
-        fidx = zone_index(features, cell)
-        zv = _first_vertices(zones)
-        z_in_f = points_in_zones_all(zv, fidx, "px", "py", cell, "fid") \
-            .select("fid", F.col("id").alias("zone"))
+        f_in_z = vertices_in_polygons(_first_vertices(features), zones, band_edges(zones, cell), cell) \
+            .select(F.col("id").alias("fid"), F.col("poly").alias("zone"))
+        z_in_f = vertices_in_polygons(_first_vertices(zones), features, band_edges(features, cell), cell) \
+            .select(F.col("poly").alias("fid"), F.col("id").alias("zone"))
         return touch.unionByName(f_in_z).unionByName(z_in_f).distinct()
     raise ValueError(f"unknown predicate {predicate!r}")
 
@@ -343,7 +417,7 @@ def orient_rings(edges: DataFrame) -> DataFrame:
 
 
 def _pieces_inside(own_edges: DataFrame, pairs: DataFrame, own_key: str, other_key: str,
-                   cuts: DataFrame, other_index: DataFrame, cell: float) -> DataFrame:
+                   cuts: DataFrame, other_bands: DataFrame, cell: float) -> DataFrame:
     """Sub-segments of ``own`` edges (split at the cut parameters) whose
     midpoint is inside the paired ``other`` polygon, with their Green term."""
     e = own_edges.withColumnRenamed("id", own_key)
@@ -363,32 +437,35 @@ def _pieces_inside(own_edges: DataFrame, pairs: DataFrame, own_key: str, other_k
                  (F.col("x1") + dx * ta).alias("ax"), (F.col("y1") + dy * ta).alias("ay"),
                  (F.col("x1") + dx * tb).alias("bx"), (F.col("y1") + dy * tb).alias("by"),
                  (F.col("x1") + dx * tm).alias("mx"), (F.col("y1") + dy * tm).alias("my"))
-    idx = bounded_broadcast(other_index)
-    p = p.withColumn("_cx", _cell(F.col("mx"), cell)).withColumn("_cy", _cell(F.col("my"), cell))
-    j = p.join(idx, (F.col("_cx") == idx["cx"]) & (F.col("_cy") == idx["cy"]))
-    inside = F.array_contains(containing_zones(F.col("zones"), F.col("mx"), F.col("my")), F.col(other_key))
-    return j.filter(inside).select(
+    inside = inside_named(p, other_key, "mx", "my", other_bands, cell)
+    return inside.select(
         own_key, other_key,
         (F.lit(0.5) * (F.col("ax") * F.col("by") - F.col("bx") * F.col("ay"))).alias("term"))
 
 
 def overlay_area(features: DataFrame, zones: DataFrame, cell: float = 1.0,
-                 pairs: DataFrame | None = None) -> DataFrame:
+                 orient: bool = False) -> DataFrame:
     """JN5: ``(fid, zone, area)`` = area of feature ∩ zone for every
     intersecting pair, by Green's theorem over the boundary of the
     intersection: feature edges inside the zone plus zone edges inside the
     feature, each split at their mutual crossings.  Work is per candidate
     pair (found through shared grid cells) and per edge — no pair of
-    polygons is ever materialised as a whole.  Coincident edges are not
-    de-duplicated (they do not occur between a coverage layer and a zone
-    mosaic except on the outer border)."""
-    f, z = orient_rings(features), orient_rings(zones)
-    if pairs is None:
-        pairs = features_in_zones(f, z, "intersects", cell)
-    pairs = pairs.select("fid", "zone").distinct()
+    polygons is ever materialised as a whole.
+
+    Edge tables from :func:`polygon_edges` / :func:`box_edges` are already
+    oriented (shells counter-clockwise); pass ``orient=True`` for others.
+    Coincident edges are not de-duplicated (they do not occur between a
+    coverage layer and a zone mosaic except on the outer border)."""
+    f, z = (orient_rings(features), orient_rings(zones)) if orient else (features, zones)
     segs = segment_pairs(f, z, cell)
-    hit = segs.filter(_touching(segs)).join(
-        pairs.withColumnRenamed("zone", "zid"), ["fid", "zid"])
+    hit = materialize(segs.filter(_touching(segs)))
+    fb, zb = band_edges(f, cell), band_edges(z, cell)
+    f_in_z = vertices_in_polygons(_first_vertices(f), z, zb, cell) \
+        .select(F.col("id").alias("fid"), F.col("poly").alias("zone"))
+    z_in_f = vertices_in_polygons(_first_vertices(z), f, fb, cell) \
+        .select(F.col("poly").alias("fid"), F.col("id").alias("zone"))
+    pairs = materialize(hit.select("fid", F.col("zid").alias("zone"))
+                        .unionByName(f_in_z).unionByName(z_in_f).distinct())
     fcut = (hit.filter(F.col("o3") != F.col("o4"))
             .groupBy("fid", F.col("zid").alias("zone"), F.col("fpart").alias("part"),
                      F.col("fring").alias("ring"), F.col("fseq").alias("seq"))
@@ -397,6 +474,6 @@ def overlay_area(features: DataFrame, zones: DataFrame, cell: float = 1.0,
             .groupBy("fid", F.col("zid").alias("zone"), F.col("zpart").alias("part"),
                      F.col("zring").alias("ring"), F.col("zseq").alias("seq"))
             .agg(F.collect_list(F.col("o1") / (F.col("o1") - F.col("o2"))).alias("ts")))
-    f_in = _pieces_inside(f, pairs, "fid", "zone", fcut, zone_index(z, cell), cell)
-    z_in = _pieces_inside(z, pairs, "zone", "fid", zcut, zone_index(f, cell), cell)
+    f_in = _pieces_inside(f, pairs, "fid", "zone", fcut, zb, cell)
+    z_in = _pieces_inside(z, pairs, "zone", "fid", zcut, fb, cell)
     return f_in.unionByName(z_in).groupBy("fid", "zone").agg(F.sum("term").alias("area"))

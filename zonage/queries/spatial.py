@@ -43,7 +43,7 @@ def point_in_zone(spark, sf):
     customer, nation = tables(spark, sf, "customer", "nation")
     pts = LT.with_point(customer.select("c_custkey"), "c_custkey")
     ze = _zones(spark, sf)
-    idx = materialize(G.zone_index(ze, CELL))
+    idx = G.zone_index(ze, CELL)
     j = G.points_in_zones(pts, ze, "x", "y", CELL, "zone", index=idx)
     j = G.points_in_zones(j, ze, "x", "y", CELL, "zone_strict", strict=True, index=idx)
     dist = nation.select(F.col("n_nationkey").cast("long").alias("zone"),
@@ -70,7 +70,7 @@ def point_in_zone_aggregate(spark, sf):
     zone-less points."""
     customer, supplier, nation = tables(spark, sf, "customer", "supplier", "nation")
     ze = _zones(spark, sf)
-    idx = materialize(G.zone_index(ze, CELL))
+    idx = G.zone_index(ze, CELL)
     cust = G.points_in_zones(LT.with_point(customer.select("c_custkey", "c_acctbal"), "c_custkey"),
                              ze, "x", "y", CELL, "zone", index=idx)
     supp = G.points_in_zones(LT.with_point(supplier.select("s_suppkey"), "s_suppkey"),
