@@ -164,16 +164,17 @@ union all select 'unique', 'l_orderkey,l_partkey,l_suppkey', cast(coalesce(sum(k
 
 def keep_first_dedupe(spark, sf):
     """WN6: first line per order under an explicit total order (earliest
-    ship date, then line number) — deterministic unlike ``dropDuplicates``."""
+    ship date, then line number, then supplier: the table has repeated line
+    numbers) — deterministic unlike ``dropDuplicates``."""
     (lineitem,) = tables(spark, sf, "lineitem")
     li = lineitem.select("l_orderkey", "l_linenumber", "l_shipdate", "l_suppkey")
-    return S.keep_first(li, ["l_orderkey"], [F.col("l_shipdate"), F.col("l_linenumber")])
+    return S.keep_first(li, ["l_orderkey"], [F.col("l_shipdate"), F.col("l_linenumber"), F.col("l_suppkey")])
 
 
 register("keep_first_dedupe", """
 select l_orderkey, l_linenumber, l_shipdate, l_suppkey from (
   select l_orderkey, l_linenumber, l_shipdate, l_suppkey,
-         row_number() over (partition by l_orderkey order by l_shipdate, l_linenumber) as rn from lineitem)
+         row_number() over (partition by l_orderkey order by l_shipdate, l_linenumber, l_suppkey) as rn from lineitem)
 where rn = 1
 """)(keep_first_dedupe)
 
