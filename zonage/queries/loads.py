@@ -19,8 +19,8 @@ _COLS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice"]
 
 def _target_batch(spark, sf):
     (orders,) = tables(spark, sf, "orders")
-    target = orders.filter(F.col("o_orderdate") < F.lit("1999-01-01").cast("timestamp")).select(*_COLS)
-    batch = orders.filter(F.col("o_orderdate") >= F.lit("1998-01-01").cast("timestamp")).select(
+    target = orders.filter(F.col("o_orderdate") < F.lit("1999-01-01").cast("timestamp_ntz")).select(*_COLS)
+    batch = orders.filter(F.col("o_orderdate") >= F.lit("1998-01-01").cast("timestamp_ntz")).select(
         "o_orderkey", "o_custkey", "o_orderstatus",
         C.round_dec(F.col("o_totalprice") * 1.1, 2).alias("o_totalprice"))
     return target, batch
@@ -54,7 +54,7 @@ def insert_ignore_merge(spark, sf):
     (orders,) = tables(spark, sf, "orders")
     target, batch = _target_batch(spark, sf)
     second = orders.filter((F.col("o_orderstatus") == "F")
-                           & (F.col("o_orderdate") >= F.lit("1997-01-01").cast("timestamp"))) \
+                           & (F.col("o_orderdate") >= F.lit("1997-01-01").cast("timestamp_ntz"))) \
         .select(*_COLS)
     b = batch.withColumn("_extract", F.lit(1)).unionByName(second.withColumn("_extract", F.lit(2)))
     nxt = L.insert_ignore(target, b, ["o_orderkey"], [F.col("_extract"), F.col("o_totalprice")])
