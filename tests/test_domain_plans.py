@@ -95,3 +95,79 @@ def test_streaming_upsert_runs(spark, tmpdir_fresh):
     ST.run_available(ST.landing_stream(spark, land, schema, options={"header": "true"}), target, ["k"],
                      checkpoint=ckpt)
     assert sorted(tuple(r) for r in L.read_current(spark, target).collect()) == [("1", "a"), ("2", "B"), ("3", "c")]
+
+
+def test_sales_silver_and_price_indicators(spark, tmpdir_fresh):
+    from zonage.plans import housing as H
+    from zonage.sources import readers as R
+    from zonage.operators import spatial as G
+    header = "|".join(H.SALES_COLUMNS)
+    rows = [
+        ["1", "03/01/2022", "Vente", "500000,00", "3", "RUE", "DE RIVOLI", "75001", "PARIS 01", "75", "101", "AB", "12", "2", "Appartement", "50", "2", ""],
+        ["1", "03/01/2022", "Vente", "500000,00", "3", "RUE", "DE RIVOLI", "75001", "PARIS 01", "75", "101", "AB", "12", "2", "Appartement", "50", "2", ""],
+        ["1", "05/02/2022", "Vente", "900000,00", "8", "AV", "FOCH", "75116", "PARIS 16", "75", "116", "CD", "3", "1", "Maison", "100", "5", "200"],
+        ["1", "05/02/2022", "Vente", "10,00", "1", "RUE", "X", "92100", "BOULOGNE", "92", "012", "EF", "1", "2", "Appartement", "10", "1", ""],
+        ["1", "05/02/2022", "Vente", "10,00", "1", "RUE", "Y", "75002", "PARIS 02", "75", "102", "EF", "1", "3", "Dépendance", "", "", ""],
+    ]
+    p = os.path.join(tmpdir_fresh, "ValeursFoncieres-2022.txt")
+    with open(p, "w") as f:
+        f.write(header + "\n" + "\n".join("|".join(r) for r in rows) + "\n")
+    raw = R.read_delimited(spark, p, R.ReaderSpec(sep="|"), with_file=True)
+    zones = spark.createDataFrame([("751010101", "Z1", 1), ("751160101", "Z2", 16)], "zone string, name string, district int")
+    coords = spark.createDataFrame([("751010101", [[[[0.0, 0.0], [1.0, 0.0], [1.0, 1.0], [0.0, 1.0]]]]),
+                                    ("751160101", [[[[1.0, 0.0], [2.0, 0.0], [2.0, 1.0], [1.0, 1.0]]]])],
+                                   "zone string, coords array<array<array<array<double>>>>")
+    ze = G.polygon_edges(coords, "zone", "coords")
+    addr = spark.createDataFrame([("3 RUE DE RIVOLI", "75001", 0.5, 0.5), ("8 AV FOCH", "75116", 0.5, 1.5)],
+                                 "adresse string, postcode string, latitude double, longitude double")
+    sales = H.sales_silver(raw, addr, ze, zones)
+    got = {r.id_mutation: r for r in sales.collect()}
+    assert len(got) == 2                                    # duplicate collapsed, 92 and outbuilding dropped
+    by_zone = {r.code_iris: r for r in got.values()}
+    assert by_zone["751010101"].valeur_fonciere == 500000.0 and by_zone["751160101"].arrondissement == 116
+    ind = {r.code_iris: r for r in H.price_indicators(sales).collect()}
+    assert ind["751010101"].prix_m2_median == 10000.0 and ind["751160101"].nb_maisons == 1
+    target = sales.limit(1)
+    assert H.sales_silver(raw, target=target).count() == 1     # only new ids
+
+
+def test_aes_scores(spark):
+    from zonage.plans import education as E
+    pupils = spark.createDataFrame([(1, 100), (2, 300), (3, 200)], "arrondissement int, nb_eleves int")
+    colleges = spark.createDataFrame([(1,), (1,), (2,), (3,)], "arrondissement int")
+    children = spark.createDataFrame([(1, 1000.0, 500.0), (2, 1000.0, 0.0), (3, 1000.0, 1000.0)],
+                                     "arrondissement int, pop_3_10 double, pop_11_17 double")
+    population = spark.createDataFrame([(1, 10000), (2, 20000), (3, 10000)], "arrondissement int, population_totale int")
+    health = spark.createDataFrame([(1, 10, 5, 2), (2, 10, 5, 2), (3, 10, 5, 2)],
+                                   "arrondissement int, nb_medecins int, nb_infirmiers int, nb_pharmacies int")
+    hospitals = spark.createDataFrame([(1,)], "arrondissement int")
+    r = {x.arrondissement: x for x in E.aes_scores(pupils, colleges, children, population, health, hospitals).collect()}
+    assert r[1].e1 == 0.0 and r[2].e1 == 1.0
+    assert r[1].e2 == 1.0 and r[3].e2 == 0.0
+    assert r[2].e2 is None and r[2].score_education is None     # 0 children 11-17 -> NULL rate stays NULL
+    assert r[1].s3 == 1.0 and r[2].s3 == 0.0                     # hospital count NULL -> 0 before min-max
+
+
+def test_serving_plans(spark):
+    from zonage.plans import serving as SV
+    zones = spark.createDataFrame([("751010101", "Les Halles", 1), ("751010102", "Palais", 1)],
+                                  "zone string, name string, district int")
+    housing = spark.createDataFrame([("751010101", 2023, 5), ("751010101", 2025, 7)],
+                                    "code_iris string, annee int, nb_logements_sociaux_finances int")
+    socio = spark.createDataFrame([("751010101", 2021, 20000.0, 10000.0, 6.0), ("751010102", 2021, 30000.0, 9000.0, 3.6)],
+                                  "code_iris string, annee int, revenu_median double, prix_m2_median double, iai double")
+    env = spark.createDataFrame([("751010101", 0.5)], "code_iris string, score double")
+    net = spark.createDataFrame([("751010101", 0.42, "Free", "Orange")],
+                                "code_iris string, score_final_stocke double, meilleur_operateur_mobile string, meilleur_operateur_fibre string")
+    mob = spark.createDataFrame([("751010101", 0.1, 0.2, float("nan"))],
+                                "code_iris string, score_transport_collectif double, score_velib double, score_mobilite double")
+    z = SV.zone_indicators(zones, housing, socio, env, net, mob, 2024)
+    rows = {r.code_iris: r for r in z.collect()}
+    assert rows["751010101"].nb_logements_sociaux_finances == 7      # 2024 -> 2025 (tie rule: later)
+    assert rows["751010102"].nb_logements_sociaux_finances == 0 and rows["751010101"].score_mobilite is None
+    cmp = {r.indicateur: r.gagnant for r in SV.compare(z, "751010101", "751010102", ["iai", "revenu_median"]).collect()}
+    assert cmp == {"iai": "751010102", "revenu_median": "751010102"}
+    assert [r.zone for r in SV.search(zones, "pal").collect()] == ["751010102"]
+    aes = spark.createDataFrame([(1, 0.5, 0.5, 0.5)], "arrondissement int, score_education double, score_sante double, score_aes double")
+    d = SV.district_indicators(z, aes).first()
+    assert d.nb_logements_sociaux_finances == 7 and d.meilleur_operateur_mobile == "Free"
