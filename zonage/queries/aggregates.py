@@ -453,3 +453,35 @@ def value_counts_top5(spark, sf):
 register("value_counts_top5", """
 select o_orderpriority, count(*) as n from orders group by 1 order by n desc, o_orderpriority limit 5
 """)(value_counts_top5)
+
+
+# ---------------------------------------------------------- JN15 / SO1
+
+def antijoin_tuple_union(spark, sf):
+    """JN15 + SO1: entries of the first list (customers) whose (number,
+    district) tuple also appears among the second list's 'Polyvalent' rows
+    (suppliers with a positive balance) are dropped — NULL-safe, a NULL
+    district matches a NULL district — then both lists are unioned by name."""
+    customer, supplier = tables(spark, sf, "customer", "supplier")
+    num = lambda c: F.regexp_extract(F.col(c), r"#0*(\d+)$", 1)
+    a = customer.select(num("c_name").alias("numero"),
+                        F.when(F.col("c_acctbal") >= 0, F.col("c_nationkey")).alias("district"),
+                        F.lit("client").alias("type"))
+    b = supplier.select(num("s_name").alias("numero"),
+                        F.when(F.col("s_acctbal") >= 0, F.col("s_nationkey")).alias("district"),
+                        F.when(F.col("s_acctbal") > 0, F.lit("Polyvalent")).otherwise(F.lit("Autre")).alias("type"))
+    poly = b.filter(F.col("type") == "Polyvalent")
+    kept = J.anti_join(a, poly, ["numero", "district"], null_safe=True)
+    return kept.unionByName(b)
+
+
+register("antijoin_tuple_union", """
+with a as (select regexp_extract(c_name, '#0*(\\d+)$', 1) as numero,
+                  case when c_acctbal >= 0 then c_nationkey end as district, 'client' as type from customer),
+b as (select regexp_extract(s_name, '#0*(\\d+)$', 1) as numero,
+             case when s_acctbal >= 0 then s_nationkey end as district,
+             case when s_acctbal > 0 then 'Polyvalent' else 'Autre' end as type from supplier)
+select * from a where not exists (select 1 from b where b.type = 'Polyvalent'
+  and b.numero is not distinct from a.numero and b.district is not distinct from a.district)
+union all select * from b
+""")(antijoin_tuple_union)

@@ -300,3 +300,23 @@ def register_late_oracles() -> None:
     ORACLES.setdefault("wide_zone_indicators", _wide_zone_sql().strip())
     ORACLES.setdefault("wide_district_indicators", _wide_district_sql().strip())
     ORACLES.setdefault("zone_compare", _compare_sql().strip())
+
+
+def zone_label(spark, sf):
+    """SF21: zone codes and labels — 9-character zone code built from the
+    district number (``751`` + 2-digit district + 4-digit sequence), the
+    5-character commune prefix, and the ``1er`` / ``Ne`` district label."""
+    (nation,) = tables(spark, sf, "nation")
+    d = F.col("n_nationkey") % 20 + 1
+    prefix = C.district_zone_prefix(d)
+    return nation.select(F.col("n_nationkey").alias("zone"), prefix.alias("commune"),
+                         F.concat(prefix, F.lpad(F.col("n_nationkey").cast("string"), 4, "0")).alias("code_iris"),
+                         C.district_label(d).alias("libelle"))
+
+
+register("zone_label", """
+select n_nationkey as zone, '751' || lpad(cast(n_nationkey % 20 + 1 as varchar), 2, '0') as commune,
+       '751' || lpad(cast(n_nationkey % 20 + 1 as varchar), 2, '0') || lpad(cast(n_nationkey as varchar), 4, '0') as code_iris,
+       case when n_nationkey % 20 + 1 = 1 then '1er' else cast(n_nationkey % 20 + 1 as varchar) || 'e' end as libelle
+from nation
+""")(zone_label)
