@@ -151,6 +151,11 @@ def zone_index(edges: DataFrame, cell: float, persist: bool = True) -> DataFrame
     return materialize(idx) if persist else idx
 
 
+def _index_items() -> Column:
+    """Number of edges held by one grid-index row (broadcast size bound)."""
+    return F.aggregate(F.col("zones"), F.lit(0), lambda acc, z: acc + F.size(z["edges"]))
+
+
 def _crosses(e: Column, px: Column, py: Column) -> Column:
     """Half-open even–odd rule: the +x ray from (px, py) crosses edge ``e``."""
     straddles = (e["y1"] > py) != (e["y2"] > py)
@@ -192,7 +197,7 @@ def points_in_zones(points: DataFrame, zone_edges: DataFrame, x: str, y: str,
     if index is None:
         cell = cell or auto_cell_size(zone_edges)
         index = zone_index(zone_edges, cell)
-    idx = bounded_broadcast(index)
+    idx = bounded_broadcast(index, items=_index_items())
     keyed = points.withColumn("_cx", _cell(F.col(x), cell)).withColumn("_cy", _cell(F.col(y), cell))
     j = keyed.join(idx, (keyed["_cx"] == idx["cx"]) & (keyed["_cy"] == idx["cy"]), "left")
     hits = containing_zones(F.col("zones"), F.col(x), F.col(y), strict)
@@ -206,7 +211,7 @@ def points_in_zones_all(points: DataFrame, index: DataFrame, x: str, y: str, cel
                         zone_col: str = "zone", strict: bool = False) -> DataFrame:
     """Like :func:`points_in_zones` but one output row per containing zone
     (for overlapping layers, e.g. polygons tested against vertices)."""
-    idx = bounded_broadcast(index)
+    idx = bounded_broadcast(index, items=_index_items())
     keyed = points.withColumn("_cx", _cell(F.col(x), cell)).withColumn("_cy", _cell(F.col(y), cell))
     j = keyed.join(idx, (keyed["_cx"] == idx["cx"]) & (keyed["_cy"] == idx["cy"]), "inner")
     hits = containing_zones(F.col("zones"), F.col(x), F.col(y), strict)
@@ -239,7 +244,8 @@ def inside_named(points: DataFrame, poly_col: str, x: str, y: str, bands: DataFr
                  cell: float) -> DataFrame:
     """Rows of ``points`` lying inside the polygon named in ``poly_col``
     (equi-join on ``(polygon, band)`` + JVM-side parity)."""
-    b = bounded_broadcast(bands.select(F.col("id").alias("_bid"), F.col("cy").alias("_bcy"), "edges"))
+    b = bounded_broadcast(bands.select(F.col("id").alias("_bid"), F.col("cy").alias("_bcy"), "edges"),
+                          items=F.size("edges"))
     j = points.withColumn("_cy", _cell(F.col(y), cell)).join(
         b, (F.col(poly_col) == F.col("_bid")) & (F.col("_cy") == F.col("_bcy")))
     return j.filter(_parity(F.col("edges"), F.col(x), F.col(y))).drop("_cy", "_bid", "_bcy", "edges")

@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Dimension-sized sides (zone references, grid indexes, 1-row statistics) are
@@ -87,15 +87,29 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     return os.path.join(base, name)
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast ``df`` only if it provably holds at most ``max_rows`` rows.
+# Bound on the total number of nested items (e.g. polygon edges held in
+# array columns) of a broadcast side: ~32 bytes per edge -> ~128 MB.
+BROADCAST_MAX_ITEMS = 4_000_000
 
-    The check is a ``limit(max_rows + 1).count()``: it stops reading as soon as
-    the bound is exceeded, so it is cheap on large inputs.  Above the bound the
-    frame is returned unchanged and the join is planned as a shuffle join.
+
+def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
+                      items: Column | None = None,
+                      max_items: int = BROADCAST_MAX_ITEMS) -> DataFrame:
+    """Broadcast ``df`` only if it provably holds at most ``max_rows`` rows
+    (and, when ``items`` — a per-row count of nested elements such as
+    ``size(edges)`` — is given, at most ``max_items`` elements in total).
+
+    Without ``items`` the check is a ``limit(max_rows + 1).count()``: it stops
+    reading as soon as the bound is exceeded, so it is cheap on large inputs.
+    Above a bound the frame is returned unchanged and the join is planned as
+    a shuffle join.
     """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    if items is None:
+        n = df.limit(max_rows + 1).count()
+        return F.broadcast(df) if n <= max_rows else df
+    row = df.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(items), F.lit(0)).alias("k")).first()
+    ok = row["n"] <= max_rows and row["k"] <= max_items
+    return F.broadcast(df) if ok else df
 
 
 def read_table(spark: SparkSession, base: str, name: str) -> DataFrame:
