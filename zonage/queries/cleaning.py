@@ -295,3 +295,35 @@ register("lookup_passthrough", f"""
 select o_orderkey, o_orderpriority, case {_pl}end as label,
        coalesce(case {_pl}end, o_orderpriority) as label_or_raw from orders
 """)(lookup_passthrough)
+
+
+# ---------------------------------------------------------------- SF24
+
+def age_band_sums(spark, sf):
+    """SF24: band columns summed row-wise per district — the 3–10 sum treats
+    a missing band as 0, the 11–17 sum propagates NULL.  The bands are
+    conditional sums that are NULL when no row qualifies."""
+    customer, nation = tables(spark, sf, "customer", "nation")
+    cz = customer.join(nation.select(F.col("n_nationkey").alias("c_nationkey"),
+                                     F.col("n_regionkey").alias("district")), "c_nationkey")
+    seg, bal = F.col("c_mktsegment"), F.col("c_acctbal")
+    band = lambda cond: F.sum(F.when(cond, F.lit(1)))
+    d = cz.groupBy("district").agg(
+        band(seg == "AUTOMOBILE").alias("f3_5"), band(seg == "BUILDING").alias("f6_10"),
+        band(seg == "FURNITURE").alias("h3_5"), band((seg == "HOUSEHOLD") & (bal > 9900)).alias("h6_10"),
+        band(seg == "MACHINERY").alias("f11_17"), band(bal < -990).alias("h11_17"))
+    return d.select("district", C.sum_columns(["f3_5", "f6_10", "h3_5", "h6_10"]).alias("pop_3_10"),
+                    C.sum_columns(["f11_17", "h11_17"], null_as_zero=False).alias("pop_11_17"))
+
+
+register("age_band_sums", """
+with d as (select n.n_regionkey as district,
+    sum(case when c_mktsegment = 'AUTOMOBILE' then 1 end) as f3_5, sum(case when c_mktsegment = 'BUILDING' then 1 end) as f6_10,
+    sum(case when c_mktsegment = 'FURNITURE' then 1 end) as h3_5,
+    sum(case when c_mktsegment = 'HOUSEHOLD' and c_acctbal > 9900 then 1 end) as h6_10,
+    sum(case when c_mktsegment = 'MACHINERY' then 1 end) as f11_17, sum(case when c_acctbal < -990 then 1 end) as h11_17
+  from customer c join nation n on c.c_nationkey = n.n_nationkey group by 1)
+select district, coalesce(f3_5, 0) + coalesce(f6_10, 0) + coalesce(h3_5, 0) + coalesce(h6_10, 0) as pop_3_10,
+       f11_17 + h11_17 as pop_11_17
+from d
+""")(age_band_sums)

@@ -10,7 +10,6 @@ from ..functions.geo import lambert93, lambert93_sql
 from ..operators import agg as A
 from ..operators import score as S
 from ..operators import spatial as G
-from ..session import materialize
 from ..sources import lattice as LT
 from . import register
 from ._common import rd, tables
