@@ -94,3 +94,11 @@ def test_weighted_score_order_and_round(spark):
     df = spark.createDataFrame([(0.1, 0.2)], "a double, b double")
     r = S.weighted_score(df, {"a": 0.3, "b": 0.7}, "s", digits=4).first()
     assert r.s == round(0.3 * 0.1 + 0.7 * 0.2, 4)
+
+
+def test_rank_with_infinities_and_nan(spark):
+    vals = [float("-inf"), -1.0, 0.0, 2.5, float("inf"), float("nan"), 2.5]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(vals)], "id int, v double")
+    got = {r.id: r.rank for r in S.rank_desc(df, "v", "rank").collect()}
+    # Spark orders NaN above +Inf
+    assert got == {5: 1, 4: 2, 3: 3, 6: 3, 2: 5, 1: 6, 0: 7}

@@ -32,8 +32,10 @@ def value_bucket(v: Column) -> Column:
     """Monotone (non-decreasing) bucket of a numeric value."""
     d = v.cast("double")
     lg = F.signum(d) * F.log1p(F.abs(d)) * float(BUCKETS_PER_E)
-    return (F.when(F.isnan(lg) | (F.abs(lg) > 1e15), F.signum(d) * 1e15)
-             .otherwise(F.floor(lg))).cast("long")
+    # ±Inf get the extreme finite buckets; NaN sorts above +Inf in Spark
+    return (F.when(F.isnan(d), F.lit(10 ** 16))
+             .when(F.abs(lg) > 1e15, (F.signum(d) * 1e15).cast("long"))
+             .otherwise(F.floor(lg).cast("long")))
 
 
 def positions(hist: DataFrame, value: str, count: str = "_c",
