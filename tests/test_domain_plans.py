@@ -171,3 +171,28 @@ def test_serving_plans(spark):
     aes = spark.createDataFrame([(1, 0.5, 0.5, 0.5)], "arrondissement int, score_education double, score_sante double, score_aes double")
     d = SV.district_indicators(z, aes).first()
     assert d.nb_logements_sociaux_finances == 7 and d.meilleur_operateur_mobile == "Free"
+
+
+def test_fibre_buildings_projected(spark):
+    from zonage.functions.geo import lambert93
+    from zonage.operators import spatial as G
+    coords = spark.createDataFrame(
+        [("751010101", [[[[2.30, 48.85], [2.31, 48.85], [2.31, 48.86], [2.30, 48.86]]]]),
+         ("751020101", [[[[2.31, 48.85], [2.32, 48.85], [2.32, 48.86], [2.31, 48.86]]]])],
+        "zone string, coords array<array<array<array<double>>>>")
+    e = G.polygon_edges(coords, "zone", "coords")
+    x1, y1 = lambert93(F.col("x1"), F.col("y1"))
+    x2, y2 = lambert93(F.col("x2"), F.col("y2"))
+    e93 = e.select("id", "part", "ring", "seq", x1.alias("x1"), y1.alias("y1"), x2.alias("x2"), y2.alias("y2"))
+    zones = spark.createDataFrame([("751010101", "A", 1), ("751020101", "B", 2)], "zone string, name string, district int")
+    raw = spark.createDataFrame([
+        ("2.305", "48.855", "75001.0", "deploye", "deploye", "FRTE"),
+        ("2.315", "48.855", "75002", "deploye", "en cours", "XXXX"),
+        ("2.315", "48.855", "75116", "deploye", "deploye", "SFR0"),    # outside the pattern: dropped
+        ("2.5", "48.9", "75003", "deploye", "deploye", "FREE"),         # outside every zone: dropped
+    ], "x string, y string, code_poste string, imb_etat string, pm_etat string, code_l331 string")
+    b = {r.code_iris: r for r in NET.fibre_buildings(raw, e93, zones, cell=1000.0).collect()}
+    assert set(b) == {"751010101", "751020101"}
+    assert b["751010101"].operateur == "Orange" and b["751020101"].operateur == "XXXX"
+    f = {r.code_iris: r for r in NET.fibre_silver(NET.fibre_buildings(raw, e93, zones, cell=1000.0)).collect()}
+    assert f["751020101"].taux_pm_actif == 0.0 and f["751020101"].meilleur_operateur_fibre is None

@@ -88,20 +88,57 @@ def mobile_silver(coverage: DataFrame, density: DataFrame, zones: DataFrame) ->
     return S.weighted_score(m, MOBILE_WEIGHTS, "score_mobile", digits=2)
 
 
+# Postal-code pattern of the city's buildings, and the commune
+# code of measurements taken in the city.
+POSTAL_PATTERN = r"^750\d\d$"
+CITY_INSEE = 75056
+
+
+def fibre_buildings(raw: DataFrame, zone_edges_l93: DataFrame, zones: DataFrame, cell: float) -> DataFrame:
+    """DP11 input: buildings of the city (postal code ``750dd``; a float-typed
+    ``75001.0`` is normalised first), operator from the infrastructure code
+    (unmapped codes pass through), district from the postal code, located in
+    Lambert-93 (JN2); buildings without a zone are dropped."""
+    postal = F.regexp_replace(F.trim(F.col("code_poste").cast("string")), r"\.0$", "")
+    b = raw.withColumn("code_poste", postal).filter(F.col("code_poste").rlike(POSTAL_PATTERN)).select(
+        C.to_number("x").alias("lon"), C.to_number("y").alias("lat"), "imb_etat", "pm_etat",
+        C.map_values("code_l331", C.FIBRE_OPERATOR_CODES, passthrough=True).alias("operateur"),
+        C.code_to_district("code_poste", "postal", keep_116=True).alias("arr_postal"))
+    b = C.drop_missing(b, ["lon", "lat"])
+    from .common import attach_zone
+    located = attach_zone(b, zone_edges_l93, zones, "lat", "lon", how="inner", cell=cell, projected=True)
+    return located.withColumn("arrondissement", F.coalesce("arrondissement", "arr_postal")).drop("arr_postal")
+
+
+def qos_measures(raw: DataFrame, zone_edges_l93: DataFrame, zones: DataFrame, cell: float) -> DataFrame:
+    """DP12 input: city measurements, canonical operator, decimal-comma
+    throughput, success flag, located in Lambert-93; zone-less rows dropped."""
+    m = raw.filter(C.to_int("insee_com") == CITY_INSEE).select(
+        C.canonical("operator").alias("operateur"), C.comma_decimal("bitrate_dl").alias("debit"),
+        (F.col("Result") == "Success").cast("int").alias("ok"),
+        C.to_number("latitude_start").alias("lat"), C.to_number("longitude_start").alias("lon"))
+    m = C.drop_missing(m, ["lat", "lon"])
+    from .common import attach_zone
+    return attach_zone(m, zone_edges_l93, zones, "lat", "lon", how="inner", cell=cell, projected=True)
+
+
 def fibre_silver(buildings: DataFrame) -> DataFrame:
     """DP11: per zone, one pass of conditional counts: total, deployed,
     active points, rates, weighted score, best operator among buildings with
     both deployed (argmax, ties alphabetical)."""
     dep = F.col("imb_etat") == "deploye"
     act = F.col("pm_etat") == "deploye"
+    buildings = A.drop_null_keys(buildings, ["code_iris"])
+    if "operateur" not in buildings.columns:
+        buildings = buildings.withColumn(
+            "operateur", C.map_values("code_l331", C.FIBRE_OPERATOR_CODES, passthrough=True))
     r = buildings.groupBy("code_iris").agg(
         F.count("*").alias("total_imb"), A.count_filter(dep).alias("imb_deployes"),
         A.count_filter(act).alias("pm_actifs"), F.min("arrondissement").alias("arrondissement"))
     r = r.withColumn("taux_deploiement", C.round_dec(A.rate_of("imb_deployes", "total_imb"), 2)) \
          .withColumn("taux_pm_actif", C.round_dec(A.rate_of("pm_actifs", "total_imb"), 2))
     r = S.weighted_score(r, FIBRE_WEIGHTS, "score_fibre", digits=2)
-    ops = buildings.filter(dep & act).withColumn(
-        "op", C.map_values("code_l331", C.FIBRE_OPERATOR_CODES, passthrough=True)) \
+    ops = buildings.filter(dep & act).withColumnRenamed("operateur", "op") \
         .groupBy("code_iris", "op").agg(F.count("*").alias("n"))
     best = A.argmax(ops, "code_iris", "n", "op", "meilleur_operateur_fibre")
     return r.join(best, "code_iris", "left")
@@ -111,10 +148,13 @@ def quality_silver(measures: DataFrame) -> DataFrame:
     """DP12: per (zone, operator): median throughput scaled to the reference
     (clip 0–100, round 2), success rate ×100, quality = ½/½ with NULL → 0;
     latency not measured (NULL)."""
-    m = measures.withColumn("operateur", C.canonical("operator")) \
-        .withColumn("debit", C.comma_decimal("bitrate_dl")) \
-        .withColumn("ok", (F.col("Result") == "Success").cast("int"))
+    m = measures
+    if "debit" not in m.columns:   # raw measurement columns: normalise here
+        m = m.withColumn("operateur", C.canonical("operator")) \
+             .withColumn("debit", C.comma_decimal("bitrate_dl")) \
+             .withColumn("ok", (F.col("Result") == "Success").cast("int"))
     keys = ["code_iris", "operateur"]
+    m = A.drop_null_keys(m, keys)
     med = A.exact_median(m, keys, "debit", "_med")
     ok = m.groupBy(*keys).agg((F.avg("ok") * 100.0).alias("_ok"), F.min("arrondissement").alias("arrondissement"))
     q = ok.join(med, keys, "left")
