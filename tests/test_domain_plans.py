@@ -196,3 +196,27 @@ def test_fibre_buildings_projected(spark):
     assert b["751010101"].operateur == "Orange" and b["751020101"].operateur == "XXXX"
     f = {r.code_iris: r for r in NET.fibre_silver(NET.fibre_buildings(raw, e93, zones, cell=1000.0)).collect()}
     assert f["751020101"].taux_pm_actif == 0.0 and f["751020101"].meilleur_operateur_fibre is None
+
+
+def test_social_housing_silver_and_gold(spark):
+    from zonage.plans import housing as H
+    from zonage.operators import spatial as G
+    coords = spark.createDataFrame([("751010101", [[[[2.30, 48.85], [2.31, 48.85], [2.31, 48.86], [2.30, 48.86]]]])],
+                                   "zone string, coords array<array<array<array<double>>>>")
+    ze = G.polygon_edges(coords, "zone", "coords")
+    zones = spark.createDataFrame([("751010101", "A", 1)], "zone string, name string, district int")
+    cols = ["Identifiant livraison", "Année du financement - agrément", "Nombre total de logements financés",
+            "Dont nombre de logements PLA I", "Arrondissement", "geo_point_2d"]
+    raw = spark.createDataFrame([
+        ("L1", "2020", "10", "4", "1", "48.855, 2.305"),
+        ("L1", "2020", "10", "4", "1", "48.855, 2.305"),
+        ("L2", "2020", "5", None, "1", "48.855,2.305"),      # no space after the comma: unlocated
+        ("L3", "2021", "ns", "1", "1", "48.855, 2.305"),
+    ], ", ".join(f"`{c}` string" for c in cols))
+    s = H.social_housing_silver(raw, ze, zones)
+    got = {r.identifiant_livraison: r for r in s.collect()}
+    assert set(got) == {"L1", "L2", "L3"} and got["L2"].code_iris is None and got["L3"].nb_logements_finances is None
+    full = s.withColumns({c: F.lit(None).cast("int") for c in ["nb_plus", "nb_plus_cd", "nb_pls"]})
+    g = {(r.code_iris, r.annee): r for r in H.social_housing_gold(full).collect()}
+    assert g[("751010101", 2020)].nb_logements_sociaux_finances == 10 and g[("751010101", 2021)].nb_logements_sociaux_finances == 0
+    assert H.social_housing_silver(raw, ze, zones, target=s.filter(F.col("identifiant_livraison") == "L1")).count() == 2

@@ -48,10 +48,11 @@ def parse_date(c: ColumnOrName, fmt: str = "dd/MM/yyyy") -> Column:
     return F.to_date(F.try_to_timestamp(_c(c), F.lit(fmt)))
 
 
-def lat_lon(c: ColumnOrName) -> tuple[Column, Column]:
+def lat_lon(c: ColumnOrName, sep: str = ",") -> tuple[Column, Column]:
     """SF4: ``"48.85, 2.35"`` -> (lat, lon).  Anything but exactly two numeric
-    parts gives (NULL, NULL)."""
-    parts = F.split(_c(c), ",")
+    parts gives (NULL, NULL).  ``sep=", "`` requires the space after the
+    comma (files whose reader splits on comma-space)."""
+    parts = F.split(_c(c), sep)
     ok = F.size(parts) == 2
     lat = to_number(F.trim(F.get(parts, 0)))
     lon = to_number(F.trim(F.get(parts, 1)))

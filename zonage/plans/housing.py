@@ -106,6 +106,41 @@ def affordability(income: DataFrame, prices: DataFrame) -> DataFrame:
 
 
 SOCIAL_COUNTS = ["nb_logements_finances", "nb_plai", "nb_plus", "nb_plus_cd", "nb_pls"]
+# Raw social-housing columns and their silver names.
+SOCIAL_COLUMNS = {
+    "Identifiant livraison": "identifiant_livraison", "Adresse du programme": "adresse",
+    "Code postal": "code_postal", "Ville": "ville",
+    "Année du financement - agrément": "annee_financement", "Bailleur social": "bailleur_social",
+    "Nombre total de logements financés": "nb_logements_finances",
+    "Dont nombre de logements PLA I": "nb_plai", "Dont nombre de logements PLUS": "nb_plus",
+    "Dont nombre de logements PLUS CD": "nb_plus_cd", "Dont nombre de logements PLS": "nb_pls",
+    "Mode de réalisation": "mode_realisation", "Commentaires": "commentaires",
+    "Arrondissement": "arrondissement", "Nature de programme": "nature_programme",
+    "Coordonnée en X (L93)": "x_l93", "Coordonnée en Y (L93)": "y_l93",
+    "geo_shape": "geo_shape", "geo_point_2d": "geo_point_2d",
+}
+
+
+def social_housing_silver(raw: DataFrame, zone_edges: DataFrame, zones: DataFrame,
+                          target: DataFrame | None = None) -> DataFrame:
+    """DP5 silver: renamed columns, ``"lat, lon"`` split on comma-space,
+    integer counts, zone attached (rows without coordinates kept with a NULL
+    zone), first row per delivery id, only ids new to the target."""
+    # absent optional columns become NULL strings so the silver schema is stable
+    df = raw.select(*[(F.col(k) if k in raw.columns else F.lit(None).cast("string")).alias(v)
+                      for k, v in SOCIAL_COLUMNS.items()])
+    lat, lon = C.lat_lon("geo_point_2d", sep=", ")
+    df = df.withColumns({"latitude": lat, "longitude": lon,
+                         "annee_financement": C.to_int("annee_financement").cast("int"),
+                         "arrondissement": C.to_int("arrondissement").cast("int"),
+                         "x_l93": C.to_number("x_l93"), "y_l93": C.to_number("y_l93"),
+                         **{c: C.to_int(c).cast("int") for c in SOCIAL_COUNTS}}) \
+           .drop("geo_point_2d", "geo_shape")
+    df = attach_zone(df.withColumnRenamed("arrondissement", "_arr"), zone_edges, zones,
+                     "latitude", "longitude").drop("nom_iris", "arrondissement") \
+        .withColumnRenamed("_arr", "arrondissement")
+    df = S.keep_first(df, ["identifiant_livraison"], ["code_iris"])
+    return L.new_rows(target, df, ["identifiant_livraison"]) if target is not None else df
 
 
 def social_housing_gold(silver: DataFrame) -> DataFrame:
