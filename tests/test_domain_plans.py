@@ -220,3 +220,40 @@ def test_social_housing_silver_and_gold(spark):
     g = {(r.code_iris, r.annee): r for r in H.social_housing_gold(full).collect()}
     assert g[("751010101", 2020)].nb_logements_sociaux_finances == 10 and g[("751010101", 2021)].nb_logements_sociaux_finances == 0
     assert H.social_housing_silver(raw, ze, zones, target=s.filter(F.col("identifiant_livraison") == "L1")).count() == 2
+
+
+def test_education_health_silver(spark):
+    from zonage.plans import education as E
+    from zonage.operators import spatial as G
+    coords = spark.createDataFrame([("751010101", [[[[2.30, 48.85], [2.31, 48.85], [2.31, 48.86], [2.30, 48.86]]]])],
+                                   "zone string, coords array<array<array<array<double>>>>")
+    ze = G.polygon_edges(coords, "zone", "coords")
+    zones = spark.createDataFrame([("751010101", "A", 1)], "zone string, name string, district int")
+    hc = spark.createDataFrame([
+        ("75", "2023", "75116", "E1", "A", "Elem", "Public", "120"),
+        ("75", "2024", "75116", "E1", "A", "Elem", "Public", "130"),
+        ("75", "2024", "75002", "E2", "B", "Mat", "Prive", "40"),
+        ("92", "2024", "92100", "E3", "C", "Elem", "Public", "50")],
+        "`Code département` string, `Rentrée scolaire` string, `Code Postal` string, `Numéro de l'école` string, "
+        "Patronyme string, `Dénomination principale` string, Secteur string, `Nombre total d'élèves` string")
+    h = {r.numero_ecole: r for r in E.headcounts_silver(hc).collect()}
+    assert set(h) == {"E1", "E2"} and h["E1"].nb_eleves == 130 and h["E1"].arrondissement == 16
+    assert E.headcounts_silver(hc, keep_116=True).filter("numero_ecole = 'E1'").first().arrondissement == 116
+    hosp = spark.createDataFrame([("F1", "H", "addr", "01", "cat", "t", "75001 PARIS", "48.855", "2.305"),
+                                  ("F2", "H2", "addr", "01", "cat", "t", "75001 PARIS", None, "2.305"),
+                                  ("F3", "H3", "addr", "01", "cat", "t", "92100 BOULOGNE", "48.855", "2.305")],
+                                 "FINESS_ET string, RAISON_SOCIALE string, ADRESSE_COMPLETE string, NUM_TEL string, "
+                                 "CATEGORIE_DE_L_ETABLISSEMENT string, TYPE_ETABLISSEMENT string, CP_VILLE string, lat string, lng string")
+    hs = E.hospitals_silver(hosp, ze, zones).collect()
+    assert [(r.finess, r.code_iris, r.arrondissement) for r in hs] == [("F1", "751010101", 1)]
+    cols = ", ".join(f"_c{i} string" for i in range(56))
+    sheet = spark.createDataFrame([tuple(["Titre"] + [None] * 55), tuple(["codgeo"] + ["x"] * 55),
+                                   tuple(["75101"] + ["2"] * 8 + ["3.4"] + ["1"] * 46),
+                                   tuple(["92001"] + ["9"] * 55)], cols)
+    he = E.health_equipment(sheet).collect()
+    assert [(r.arrondissement, r.nb_centres_sante, r.nb_medecins) for r in he] == [(1, 3, 1)]
+    pop = spark.createDataFrame([("751010101", "1000", "50", None, "80"), ("751010102", "900", "10", "20", None),
+                                 ("920010101", "1", "1", "1", "1")],
+                                "IRIS string, P22_POP string, P22_POP0305 string, P22_POP0610 string, P22_POP1117 string")
+    zp = E.zone_population(pop).collect()
+    assert [(r.code_iris, r.pop_3_10, r.arrondissement) for r in zp] == [("751010101", 50.0, 1)]

@@ -80,3 +80,72 @@ def aes_scores(pupils: DataFrame, colleges: DataFrame, children: DataFrame, popu
                                F.col("ns3").alias("s3"), F.col("ns4").alias("s4"),
                                edu.alias("score_education"), health_s.alias("score_sante"),
                                ((edu + health_s) / 2.0).alias("score_aes")))
+
+
+def headcounts_silver(raw: DataFrame, keep_116: bool = False) -> DataFrame:
+    """DP15 school headcounts: the city's department, latest school year
+    (FLT9), district from the postal code (SF8; ``keep_116`` reproduces the
+    75116 -> 116 quirk), pupils as integers, one row per school number."""
+    d = raw.filter(F.trim(F.col("Code département").cast("string")) == "75")
+    d = TM.latest_snapshot(d, "Rentrée scolaire")
+    out = d.select(F.col("Numéro de l'école").alias("numero_ecole"), F.col("Patronyme").alias("nom"),
+                   F.col("Dénomination principale").alias("type"), F.col("Secteur").alias("secteur"),
+                   C.code_to_district("Code Postal", "postal", keep_116=keep_116).alias("arrondissement"),
+                   C.to_int("Nombre total d'élèves").cast("int").alias("nb_eleves"))
+    return S.keep_first(out, ["numero_ecole"], ["nom"])
+
+
+def hospitals_silver(raw: DataFrame, zone_edges: DataFrame, zones: DataFrame,
+                     keep_116: bool = False) -> DataFrame:
+    """DP15 hospitals: city postcodes (``75…``), district from ``CP_VILLE``,
+    rows without coordinates dropped, zone attached, one row per FINESS."""
+    d = raw.filter(F.col("CP_VILLE").cast("string").startswith("75")).select(
+        F.col("FINESS_ET").alias("finess"), F.col("RAISON_SOCIALE").alias("nom"),
+        F.col("ADRESSE_COMPLETE").alias("adresse"), F.col("NUM_TEL").alias("telephone"),
+        F.col("CATEGORIE_DE_L_ETABLISSEMENT").alias("categorie"),
+        F.col("TYPE_ETABLISSEMENT").alias("type_etablissement"), F.col("CP_VILLE").alias("cp_ville"),
+        C.code_to_district(F.substring(F.col("CP_VILLE").cast("string"), 1, 5), "postal", keep_116=keep_116)
+        .alias("_arr"),
+        C.to_number("lat").alias("lat"), C.to_number("lng").alias("lon"))
+    d = C.drop_missing(d, ["lat", "lon"])
+    located = attach_zone(d, zone_edges, zones).drop("arrondissement").withColumnRenamed("_arr", "arrondissement")
+    return S.keep_first(located, ["finess"], ["nom"])
+
+
+def colleges_silver(raw: DataFrame, zone_edges: DataFrame, zones: DataFrame) -> DataFrame:
+    """DP15 colleges: latest school year, district from the ordinal label,
+    address key id, rows without coordinates dropped, one row per id, zone."""
+    d = TM.latest_snapshot(raw, "Année scolaire")
+    lat, lon = C.lat_lon("geo_point_2d")
+    d = d.select(F.col("Libellé établissement").alias("nom"), F.col("Adresse").alias("adresse"),
+                 C.ordinal("Arrondissement").alias("_arr"), lat.alias("lat"), lon.alias("lon"))
+    d = C.drop_missing(d.withColumn("id", C.address_key("adresse", "_arr")), ["id", "lat", "lon"])
+    d = S.keep_first(d, ["id"], ["nom"])
+    return attach_zone(d, zone_edges, zones).drop("arrondissement").withColumnRenamed("_arr", "arrondissement")
+
+
+# Positions of the health-equipment sheet export columns.
+HEALTH_POSITIONS = {0: "codgeo", 9: "nb_centres_sante", 34: "nb_medecins", 50: "nb_infirmiers",
+                    55: "nb_pharmacies"}
+
+
+def health_equipment(sheet: DataFrame) -> DataFrame:
+    """DP15 health equipment per district from the sheet's CSV export:
+    positional columns (SRC11), data rows of the city's districts only
+    (``751dd``), counts rounded to integers with NULL -> 0."""
+    from ..sources.readers import data_rows, positional
+    d = data_rows(positional(sheet, HEALTH_POSITIONS), "codgeo", r"^751\d\d$")
+    counts = [c for c in HEALTH_POSITIONS.values() if c != "codgeo"]
+    return d.select(C.code_to_district("codgeo", "insee").alias("arrondissement"),
+                    *[F.coalesce(F.round(C.to_number(c), 0), F.lit(0.0)).cast("int").alias(c) for c in counts])
+
+
+def zone_population(raw: DataFrame) -> DataFrame:
+    """DP15 population per zone: city zones, numeric totals, 3–10 with NULL
+    bands as 0, 11–17 as is; rows with any NULL dropped (FLT7)."""
+    d = raw.filter(F.col("IRIS").startswith("751")).select(
+        F.col("IRIS").alias("code_iris"), C.code_to_district("IRIS", "zone").alias("arrondissement"),
+        C.to_number("P22_POP").alias("pop_totale"),
+        C.sum_columns([C.to_number("P22_POP0305"), C.to_number("P22_POP0610")]).alias("pop_3_10"),
+        C.to_number("P22_POP1117").alias("pop_11_17"))
+    return d.dropna()

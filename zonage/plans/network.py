@@ -103,7 +103,7 @@ def fibre_buildings(raw: DataFrame, zone_edges_l93: DataFrame, zones: DataFrame,
     b = raw.withColumn("code_poste", postal).filter(F.col("code_poste").rlike(POSTAL_PATTERN)).select(
         C.to_number("x").alias("lon"), C.to_number("y").alias("lat"), "imb_etat", "pm_etat",
         C.map_values("code_l331", C.FIBRE_OPERATOR_CODES, passthrough=True).alias("operateur"),
-        C.code_to_district("code_poste", "postal", keep_116=True).alias("arr_postal"))
+        C.code_to_district("code_poste", "postal").alias("arr_postal"))
     b = C.drop_missing(b, ["lon", "lat"])
     from .common import attach_zone
     located = attach_zone(b, zone_edges_l93, zones, "lat", "lon", how="inner", cell=cell, projected=True)
