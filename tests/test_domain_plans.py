@@ -257,3 +257,19 @@ def test_education_health_silver(spark):
                                 "IRIS string, P22_POP string, P22_POP0305 string, P22_POP0610 string, P22_POP1117 string")
     zp = E.zone_population(pop).collect()
     assert [(r.code_iris, r.pop_3_10, r.arrondissement) for r in zp] == [("751010101", 50.0, 1)]
+
+
+def test_cool_islands_within(spark):
+    import json as _json
+    from zonage.operators import spatial as G
+    coords = spark.createDataFrame([("z1", [[[[0.0, 0.0], [1.0, 0.0], [1.0, 1.0], [0.0, 1.0]]]]),
+                                    ("z2", [[[[1.0, 0.0], [2.0, 0.0], [2.0, 1.0], [1.0, 1.0]]]])],
+                                   "zone string, coords array<array<array<array<double>>>>")
+    ze = G.polygon_edges(coords, "zone", "coords")
+    inside = _json.dumps({"type": "Polygon", "coordinates": [[[0.2, 0.2], [0.4, 0.2], [0.4, 0.4], [0.2, 0.2]]]})
+    straddle = _json.dumps({"type": "Polygon", "coordinates": [[[0.8, 0.2], [1.2, 0.2], [1.2, 0.4], [0.8, 0.2]]]})
+    raw = spark.createDataFrame([("a", "A", "75001", inside), ("a", "A bis", "75001", inside), ("b", "B", "75001", straddle)],
+                                "IDENTIFIANT string, Nom string, `Code postal` string, geo_shape string")
+    from zonage.plans import environment as E2
+    got = [(r.id, r.nom, r.code_iris) for r in E2.cool_islands_silver(raw, ze, 1.0).collect()]
+    assert got == [("a", "A", "z1")]

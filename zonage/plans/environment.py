@@ -66,3 +66,20 @@ def environment_score(zones: DataFrame, trees: DataFrame, green: DataFrame, isla
     d = S.pct_rank_many(d, "code_iris", {c: f"pr_{c}" for c in WEIGHTS})
     d = S.weighted_score(d, {f"pr_{c}": w for c, w in WEIGHTS.items()}, "score", digits=4)
     return d.select("code_iris", "arrondissement", "score")
+
+
+def cool_islands_silver(raw: DataFrame, zone_edges: DataFrame, cell: float) -> DataFrame:
+    """DP6 cool islands: shapes strictly within one zone (straddling ones
+    dropped, JN3); the (id, postal code) key is de-duplicated inside the
+    batch (the source file repeats identifiers)."""
+    df = raw.select(F.col("IDENTIFIANT").alias("id"), F.col("Nom").alias("nom"),
+                    C.to_int("Code postal").cast("int").alias("code_postal"), F.col("geo_shape"))
+    df = S.keep_first(C.drop_missing(df, ["geo_shape"]), ["id", "code_postal"], ["nom"])
+    return polygons_in_zones(df, "id", zone_edges, "within", cell)
+
+
+def sorting_stations_silver(raw: DataFrame, zone_edges: DataFrame, cell: float) -> DataFrame:
+    """DP6 sorting stations: district from the label, shape within one zone."""
+    df = raw.select(C.to_int("Identifiant").cast("int").alias("id"),
+                    C.first_number("Arrondissement").alias("arrondissement"), F.col("geo_shape"))
+    return polygons_in_zones(C.drop_missing(df, ["geo_shape"]), "id", zone_edges, "within", cell)
