@@ -14,12 +14,14 @@ TABLES = "region nation customer supplier part orders lineitem events".split()
 
 
 def norm(v):
+    """ints and floats kept apart, floats to 9 significant digits."""
+    import decimal
+    if isinstance(v, decimal.Decimal):
+        return ("f", float(f"{float(v):.9g}"))
     if isinstance(v, float):
-        return "nan" if math.isnan(v) else float(f"{v:.9g}")
+        return ("f", "nan") if math.isnan(v) else ("f", float(f"{v:.9g}"))
     if isinstance(v, int) and not isinstance(v, bool):
-        return float(v)
-    if hasattr(v, "as_tuple"):
-        return float(f"{float(v):.9g}")
+        return ("i", v)
     return v
 
 

@@ -103,7 +103,8 @@ def minmax(df: DataFrame, cols: Sequence[str] | Mapping[str, str], scale: float
     """WN3/WN4/WN5/WN7: min-max normalisation over the whole frame.
 
     ``cols`` maps input column -> output column (a list keeps names).
-    ``fill`` replaces NULL inputs before normalising (WN4).  When max = min
+    ``fill`` replaces NULL inputs inside the normalisation (WN4); input
+    columns themselves are left unchanged unless an output has their name.  When max = min
     every row (NULLs included) gets ``constant`` (WN3); ``constant=None``
     divides by 1 instead (WN7).  ``scale``/``digits`` give the ×100, round 2
     variant (WN5).  Min and max of all columns come from one aggregate,
@@ -112,19 +113,19 @@ def minmax(df: DataFrame, cols: Sequence[str] | Mapping[str, str], scale: float
     :func:`zonage.session.materialize`).
     """
     mapping = dict(cols) if isinstance(cols, Mapping) else {c: c for c in cols}
-    src = df
-    if fill is not None:
-        src = src.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(float(fill)))
-                               for c in mapping})
-    stats = src.select(F.struct(*[F.min(c).cast("double").alias(f"mn_{i}")
-                                  for i, c in enumerate(mapping)],
-                                *[F.max(c).cast("double").alias(f"mx_{i}")
-                                  for i, c in enumerate(mapping)]).alias("s")).scalar()
-    src = src.withColumn("_mm", stats)
+
+    def val(c: str) -> Column:
+        v = F.col(c).cast("double")
+        return F.coalesce(v, F.lit(float(fill))) if fill is not None else v
+
+    stats = df.select(F.struct(*[F.min(val(c)).alias(f"mn_{i}") for i, c in enumerate(mapping)],
+                               *[F.max(val(c)).alias(f"mx_{i}") for i, c in enumerate(mapping)])
+                      .alias("s")).scalar()
+    src = df.withColumn("_mm", stats)
     outs = {}
     for i, (c, o) in enumerate(mapping.items()):
         mn, mx = F.col(f"_mm.mn_{i}"), F.col(f"_mm.mx_{i}")
-        v = F.col(c).cast("double")
+        v = val(c)
         if constant is None:
             expr = (v - mn) / F.when(mx == mn, F.lit(1.0)).otherwise(mx - mn)
         else:

@@ -323,7 +323,7 @@ with d as (select n.n_regionkey as district,
     sum(case when c_mktsegment = 'HOUSEHOLD' and c_acctbal > 9900 then 1 end) as h6_10,
     sum(case when c_mktsegment = 'MACHINERY' then 1 end) as f11_17, sum(case when c_acctbal < -990 then 1 end) as h11_17
   from customer c join nation n on c.c_nationkey = n.n_nationkey group by 1)
-select district, coalesce(f3_5, 0) + coalesce(f6_10, 0) + coalesce(h3_5, 0) + coalesce(h6_10, 0) as pop_3_10,
-       f11_17 + h11_17 as pop_11_17
+select district, cast(coalesce(f3_5, 0) + coalesce(f6_10, 0) + coalesce(h3_5, 0) + coalesce(h6_10, 0) as bigint) as pop_3_10,
+       cast(f11_17 + h11_17 as bigint) as pop_11_17
 from d
 """)(age_band_sums)

@@ -72,7 +72,7 @@ def _wide_zone_sql() -> str:
 with h0 as (select cast(c.c_nationkey as bigint) as zone, cast(year(o.o_orderdate) as integer) as annee, count(*) as n
             from orders o join customer c on o.o_custkey = c.c_custkey where o.o_orderstatus = 'F' group by 1, 2),
 hy as (select (select annee from (select distinct annee from h0) order by abs(annee - {TARGET_YEAR}), annee desc limit 1) as y),
-h as (select zone, sum(n) as nb_logements_sociaux_finances from h0 where annee = (select y from hy) group by zone),
+h as (select zone, cast(sum(n) as bigint) as nb_logements_sociaux_finances from h0 where annee = (select y from hy) group by zone),
 s0 as ({_cte('affordability_index')}),
 sy as (select (select annee from (select distinct annee from s0) order by abs(annee - {TARGET_YEAR}), annee desc limit 1) as y),
 s as (select cast(zone as bigint) as zone, revenu_median, prix_m2_median, iai from s0 where annee = (select y from sy)),
