@@ -51,3 +51,15 @@ def test_impute_median(spark):
     df = spark.createDataFrame([(1,), (9999,), (3,), (None,)], "y int")
     got = [r.y for r in A.impute_median(df, "y", sentinel=9999).collect()]
     assert sorted(got) == [1.0, 2.0, 2.0, 3.0]
+
+
+def test_exact_median_hot_group_path_equals_direct(spark):
+    rnd = random.Random(5)
+    rows = [("hot", float(rnd.randint(0, 500))) for _ in range(2001)] + \
+           [("cold", float(v)) for v in (4, 1, 3, 2)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    direct = {r.g: r.median for r in A.exact_median(df, "g", "v").collect()}
+    bucketed = {r.g: r.median for r in A.exact_median(df, "g", "v", max_distinct=10).collect()}
+    assert direct == bucketed == {"hot": statistics.median([v for g, v in rows if g == "hot"]), "cold": 2.5}
+    glob = A.exact_median(df, [], "v", max_distinct=10).first().median
+    assert glob == statistics.median([v for _, v in rows])
