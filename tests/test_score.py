@@ -102,3 +102,22 @@ def test_rank_with_infinities_and_nan(spark):
     got = {r.id: r.rank for r in S.rank_desc(df, "v", "rank").collect()}
     # Spark orders NaN above +Inf
     assert got == {5: 1, 4: 2, 3: 3, 6: 3, 2: 5, 1: 6, 0: 7}
+
+
+@settings(max_examples=5, deadline=None)
+@given(st.lists(st.integers(min_value=0, max_value=9), min_size=1, max_size=30))
+def test_pct_rank_mean_property(spark, values):
+    df = spark.createDataFrame([(i, float(v)) for i, v in enumerate(values)], "id int, v double")
+    got = [r.p for r in S.pct_rank_avg(df, "v", "p").collect()]
+    n = len(values)
+    assert abs(sum(got) / n - (n + 1) / (2 * n)) < 1e-12
+
+
+def test_ranks_invariant_to_row_order(spark):
+    rnd = random.Random(1)
+    rows = [(i, float(rnd.randint(0, 20))) for i in range(200)]
+    a = spark.createDataFrame(rows, "id int, v double")
+    b = spark.createDataFrame(list(reversed(rows)), "id int, v double").repartition(7)
+    ra = {r.id: (r.rank, r.p) for r in S.pct_rank_avg(S.rank_desc(a, "v", "rank"), "v", "p").collect()}
+    rb = {r.id: (r.rank, r.p) for r in S.pct_rank_avg(S.rank_desc(b, "v", "rank"), "v", "p").collect()}
+    assert ra == rb
