@@ -17,9 +17,6 @@ from pyspark.sql import functions as F
 from ..functions.clean import round_dec
 from ..session import bounded_broadcast
 
-DEFAULT_BUCKETS = 64
-
-
 # Resolution of the monotone value buckets used by :func:`positions`:
 # ``floor(sign(v) * ln(1 + |v|) * BUCKETS_PER_E)``.  Any non-decreasing map of
 # the value gives exact results; at 4096 buckets per e-fold even values packed
@@ -39,7 +36,7 @@ def value_bucket(v: Column) -> Column:
 
 
 def positions(hist: DataFrame, value: str, count: str = "_c",
-              by: Sequence[str] = (), buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+              by: Sequence[str] = ()) -> DataFrame:
     """Exact prefix counts over a histogram.
 
     ``hist`` has one row per distinct ``(by…, value)`` with its multiplicity
@@ -51,7 +48,7 @@ def positions(hist: DataFrame, value: str, count: str = "_c",
     and values are prefix-summed inside their own ``(group, bucket)`` window
     partition, so no window partition ever holds all values of a hot group.
     Because the bucket map is non-decreasing in the value, the result is
-    exact.  ``buckets`` is kept for API compatibility.
+    exact.
     """
     by = list(by)
     h = hist.withColumn("_b", value_bucket(F.col(value)))
@@ -74,23 +71,21 @@ def _histogram(df: DataFrame, value: str, by: Sequence[str]) -> DataFrame:
               .groupBy(*by, value).agg(F.count("*").alias("_c")))
 
 
-def rank_desc(df: DataFrame, value: str, out: str = "rank", by: Sequence[str] = (),
-              buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+def rank_desc(df: DataFrame, value: str, out: str = "rank", by: Sequence[str] = ()) -> DataFrame:
     """WN1: competition rank, highest value first, ties share the smallest
     rank (``rank() over (order by value desc)``).  NULL values get NULL."""
     by = list(by)
-    pos = positions(_histogram(df, value, by), value, "_c", by, buckets)
+    pos = positions(_histogram(df, value, by), value, "_c", by)
     pos = pos.select(*by, value,
                      (F.col("_n") - F.col("_below") - F.col("_c") + 1).cast("long").alias(out))
     return df.join(pos, [*by, value], "left")
 
 
-def pct_rank_avg(df: DataFrame, value: str, out: str, by: Sequence[str] = (),
-                 buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+def pct_rank_avg(df: DataFrame, value: str, out: str, by: Sequence[str] = ()) -> DataFrame:
     """WN2: average-tie percentile rank, ascending
     (``(below + (ties + 1) / 2) / n``).  Not ``percent_rank`` nor ``cume_dist``."""
     by = list(by)
-    pos = positions(_histogram(df, value, by), value, "_c", by, buckets)
+    pos = positions(_histogram(df, value, by), value, "_c", by)
     pct = ((F.col("_below").cast("double") + (F.col("_c") + 1).cast("double") / 2.0)
            / F.col("_n").cast("double"))
     pos = pos.select(*by, value, pct.alias(out))
@@ -138,8 +133,7 @@ def minmax(df: DataFrame, cols: Sequence[str] | Mapping[str, str], scale: float
     return src.withColumns(outs).drop("_mm")
 
 
-def pct_rank_many(df: DataFrame, key: str | Sequence[str], cols: Mapping[str, str],
-                  buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+def pct_rank_many(df: DataFrame, key: str | Sequence[str], cols: Mapping[str, str]) -> DataFrame:
     """WN2 for several columns at once over a frame with a unique ``key``.
 
     The measures are unpivoted to ``(key, measure, value)``; a single
@@ -152,7 +146,7 @@ def pct_rank_many(df: DataFrame, key: str | Sequence[str], cols: Mapping[str, st
     long = df.select(*keys, F.explode(F.array(*[
         F.struct(F.lit(i).alias("_m"), F.col(c).cast("double").alias("_v"))
         for i, c in enumerate(names)])).alias("_mv")).select(*keys, "_mv._m", "_mv._v")
-    pos = positions(_histogram(long, "_v", ["_m"]), "_v", "_c", ["_m"], buckets)
+    pos = positions(_histogram(long, "_v", ["_m"]), "_v", "_c", ["_m"])
     pct = ((F.col("_below").cast("double") + (F.col("_c") + 1).cast("double") / 2.0)
            / F.col("_n").cast("double"))
     ranked = long.join(pos.select("_m", "_v", pct.alias("_p")), ["_m", "_v"], "left")
