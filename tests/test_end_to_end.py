@@ -91,3 +91,22 @@ def test_city_end_to_end(spark, tmpdir_fresh):
     assert wide["751010100"].nb_logements_sociaux_finances == 0
     ranks = sorted(r.rang_mobilite for r in ctx["mob"].collect())
     assert ranks[0] == 1 and len(ranks) == 4
+
+
+def test_default_wiring_idempotent(spark, tmpdir_fresh):
+    base = tmpdir_fresh
+    write_city(base)
+    paths = {"zones": os.path.join(base, "iris.geojson"), "trees": os.path.join(base, "arbres.csv"),
+             "green_spaces": os.path.join(base, "espaces_verts.csv"), "stops": os.path.join(base, "arrets.csv"),
+             "rail_stations": os.path.join(base, "gares.csv"), "bike_stations": os.path.join(base, "velib.csv")}
+    wh = os.path.join(base, "warehouse")
+    steps = RUN.default_steps(paths, wh, 0.01)
+    first = {}
+    RUN.run(spark, ["silver", "gold", "serving"], steps, first)
+    snap1 = sorted(tuple(r) for r in first["zone_indicators"].collect())
+    trees1 = first["trees"].count()
+    second = {}
+    RUN.run(spark, ["silver", "gold", "serving"], RUN.default_steps(paths, wh, 0.01), second)
+    assert second["trees"].count() == trees1 == 4            # re-run appends nothing
+    assert second["stops"].count() == 2                      # insert-ignore keeps one row per stop
+    assert sorted(tuple(r) for r in second["zone_indicators"].collect()) == snap1

@@ -38,3 +38,122 @@ def run(spark: SparkSession, layers: Iterable[str], steps: dict[str, list[tuple[
             step(spark, ctx)
             done.append(f"{layer}.{name}")
     return done
+
+
+# --------------------------------------------------------------------------
+# default wiring: landing files -> silver -> gold -> serving tables
+# --------------------------------------------------------------------------
+
+import os  # noqa: E402
+
+from pyspark.sql import DataFrame  # noqa: E402
+
+from ..operators import load as L  # noqa: E402
+
+# Load rule and key of every table written by the default
+# wiring (anti-join append, composite anti-join append, insert-ignore,
+# upsert, replace).
+TABLE_RULES: dict[str, tuple[str, list[str]]] = {
+    "silver/arbres": ("append_new", ["id"]),
+    "silver/espaces_verts": ("append_new", ["id"]),
+    "silver/ilots_fraicheur": ("append_new", ["id", "code_postal"]),
+    "silver/trilib": ("append_new", ["id"]),
+    "silver/map_arrets": ("insert_ignore", ["arret_id"]),
+    "silver/map_gares": ("insert_ignore", ["gare_id"]),
+    "silver/map_velib": ("insert_ignore", ["station_id"]),
+    "gold/score_environnemental": ("upsert", ["code_iris"]),
+    "gold/indicateurs_mobilite_iris": ("upsert", ["code_iris"]),
+    "serving/zone_indicators": ("replace", []),
+}
+
+
+def load_table(spark: SparkSession, warehouse: str, name: str, df: DataFrame) -> DataFrame:
+    """Apply the table's load rule against its current snapshot and write the
+    next snapshot; returns the new state."""
+    rule, keys = TABLE_RULES[name]
+    base = os.path.join(warehouse, name)
+    cur = L.read_current(spark, base)
+    if cur is None or rule == "replace":
+        nxt = df
+    elif rule == "append_new":
+        nxt = cur.unionByName(L.new_rows(cur, df.select(*cur.columns), keys, null_safe=len(keys) > 1))
+    elif rule == "insert_ignore":
+        nxt = L.insert_ignore(cur, df.select(*cur.columns), keys, keys)
+    elif rule == "upsert":
+        nxt = L.upsert(cur, df.select(*cur.columns), keys)
+    else:
+        raise ValueError(rule)
+    L.write_snapshot(nxt, base)
+    return L.read_current(spark, base)
+
+
+def default_steps(paths: dict[str, str], warehouse: str, cell: float) -> dict[str, list[tuple[str, Step]]]:
+    """Steps for the environment and mobility domains and the zone table from
+    landing files named in ``paths`` (keys: ``zones``, ``trees``,
+    ``green_spaces``, ``cool_islands``, ``sorting_stations``, ``stops``,
+    ``rail_stations``, ``bike_stations``); datasets without a path are
+    skipped.  Zone geometry is parsed once and kept as tables in ``ctx``."""
+    from ..sources import geojson as GJ
+    from ..sources import readers as R
+    from . import environment as ENV
+    from . import mobility as MOB
+    from . import serving as SV
+
+    def zones(spark, ctx):
+        z = GJ.read_zones(spark, paths["zones"])
+        zp, ep = GJ.write_zone_tables(z, os.path.join(warehouse, "ref"))
+        ctx["zones"], ctx["edges"] = spark.read.parquet(zp), spark.read.parquet(ep)
+
+    def read(spark, name):
+        return R.read_source(spark, name, paths[name])
+
+    def env_silver(spark, ctx):
+        e, z = ctx["edges"], ctx["zones"]
+        if "trees" in paths:
+            ctx["trees"] = load_table(spark, warehouse, "silver/arbres",
+                                      ENV.trees_silver(read(spark, "trees"), e, z))
+        if "green_spaces" in paths:
+            ctx["green"] = load_table(spark, warehouse, "silver/espaces_verts",
+                                      ENV.green_spaces_silver(read(spark, "green_spaces"), e, cell))
+        if "cool_islands" in paths:
+            ctx["islands"] = load_table(spark, warehouse, "silver/ilots_fraicheur",
+                                        ENV.cool_islands_silver(read(spark, "cool_islands"), e, cell))
+        if "sorting_stations" in paths:
+            ctx["stations_tri"] = load_table(spark, warehouse, "silver/trilib",
+                                             ENV.sorting_stations_silver(read(spark, "sorting_stations"), e, cell))
+
+    def mob_silver(spark, ctx):
+        e, z = ctx["edges"], ctx["zones"]
+        for key, name, fn, out in [("stops", "silver/map_arrets", MOB.stops_silver, "stops"),
+                                   ("rail_stations", "silver/map_gares", MOB.stations_silver, "stations"),
+                                   ("bike_stations", "silver/map_velib", MOB.bikes_silver, "bikes")]:
+            if key in paths:
+                ctx[out] = load_table(spark, warehouse, name, fn(read(spark, key), e, z))
+
+    def empty(spark, schema):
+        return spark.createDataFrame([], schema)
+
+    def gold(spark, ctx):
+        z = ctx["zones"]
+        ids = "id string, code_iris string"
+        ctx["env"] = load_table(spark, warehouse, "gold/score_environnemental", ENV.environment_score(
+            z, ctx.get("trees", empty(spark, ids)),
+            ctx.get("green", empty(spark, "id string, code_iris string, superficie double")),
+            ctx.get("islands", empty(spark, ids)), ctx.get("stations_tri", empty(spark, ids))))
+        ctx["mob"] = load_table(spark, warehouse, "gold/indicateurs_mobilite_iris", MOB.mobility_score(
+            z, ctx.get("stops", empty(spark, "code_iris string, type string")),
+            ctx.get("stations", empty(spark, "code_iris string, mode string")),
+            ctx.get("bikes", empty(spark, "code_iris string, capacite int"))))
+
+    def serve(spark, ctx):
+        e = empty
+        ctx["zone_indicators"] = load_table(spark, warehouse, "serving/zone_indicators", SV.zone_indicators(
+            ctx["zones"], e(spark, "code_iris string, annee int, nb_logements_sociaux_finances int"),
+            e(spark, "code_iris string, annee int, revenu_median double, prix_m2_median double, iai double"),
+            ctx["env"], e(spark, "code_iris string, score_final_stocke double, meilleur_operateur_mobile string, "
+                                 "meilleur_operateur_fibre string"),
+            ctx["mob"], ctx.get("year", 2025)))
+
+    return {"silver": [("zones", zones), ("environment", env_silver), ("mobility", mob_silver)],
+            "gold": [("scores", gold)],
+            "serving": [("zone_indicators", serve)]}
