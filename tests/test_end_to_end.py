@@ -110,3 +110,42 @@ def test_default_wiring_idempotent(spark, tmpdir_fresh):
     assert second["trees"].count() == trees1 == 4            # re-run appends nothing
     assert second["stops"].count() == 2                      # insert-ignore keeps one row per stop
     assert sorted(tuple(r) for r in second["zone_indicators"].collect()) == snap1
+
+
+def write_housing(base):
+    from zonage.plans import housing as H
+    header = "|".join(H.SALES_COLUMNS)
+    rows = [["1", "03/01/2022", "Vente", "500000,00", "3", "RUE", "DE RIVOLI", "75001", "PARIS 01", "75", "101", "AB",
+             "12", "2", "Appartement", "50", "2", ""],
+            ["1", "04/05/2022", "Vente", "330000,00", "5", "RUE", "DU LOUVRE", "75001", "PARIS 01", "75", "101", "AB",
+             "13", "2", "Appartement", "30", "1", ""]]
+    with open(os.path.join(base, "ValeursFoncieres-2022.txt"), "w") as f:
+        f.write(header + "\n" + "\n".join("|".join(r) for r in rows) + "\n")
+    with open(os.path.join(base, "adresses.csv"), "w") as f:
+        f.write("adresse;postcode;latitude;longitude\n3 RUE DE RIVOLI;75001;48.855;2.305\n5 RUE DU LOUVRE;75001;48.856;2.306\n")
+    with open(os.path.join(base, "BASE_TD_FILO_IRIS_2022.csv"), "w") as f:
+        f.write("IRIS;DISP_MED22\n751010100;24000\n751010101;ns\n")
+    with open(os.path.join(base, "logements_sociaux.csv"), "w", encoding="utf-8") as f:
+        f.write("﻿Identifiant livraison;Année du financement - agrément;Nombre total de logements financés;"
+                "Dont nombre de logements PLA I;Arrondissement;geo_point_2d\nL1;2022;12;4;1;48.855, 2.305\n")
+
+
+def test_default_wiring_housing(spark, tmpdir_fresh):
+    base = tmpdir_fresh
+    write_city(base)
+    write_housing(base)
+    paths = {"zones": os.path.join(base, "iris.geojson"),
+             "sales": os.path.join(base, "ValeursFoncieres-2022.txt"),
+             "addresses": os.path.join(base, "adresses.csv"),
+             "income": os.path.join(base, "BASE_TD_FILO_IRIS_2022.csv"),
+             "social_housing": os.path.join(base, "logements_sociaux.csv"),
+             "trees": os.path.join(base, "arbres.csv")}
+    ctx = {"year": 2022}
+    RUN.run(spark, ["silver", "gold", "serving"], RUN.default_steps(paths, os.path.join(base, "wh"), 0.01), ctx)
+    prices = {(r.code_iris, r.annee): r for r in ctx["prices"].collect()}
+    assert prices[("751010100", 2022)].prix_m2_median == 10500.0 and prices[("751010100", 2022)].nb_transactions == 2
+    socio = {r.code_iris: r for r in ctx["socio"].collect()}
+    assert socio["751010100"].iai == round(10500.0 / (24000 / 12), 4)
+    z = {r.code_iris: r for r in ctx["zone_indicators"].collect()}
+    assert z["751010100"].nb_logements_sociaux_finances == 12 and z["751010100"].iai == socio["751010100"].iai
+    assert z["751010101"].revenu_median is None

@@ -47,6 +47,7 @@ def run(spark: SparkSession, layers: Iterable[str], steps: dict[str, list[tuple[
 import os  # noqa: E402
 
 from pyspark.sql import DataFrame  # noqa: E402
+from pyspark.sql import functions as F  # noqa: E402
 
 from ..operators import load as L  # noqa: E402
 
@@ -61,6 +62,12 @@ TABLE_RULES: dict[str, tuple[str, list[str]]] = {
     "silver/map_arrets": ("insert_ignore", ["arret_id"]),
     "silver/map_gares": ("insert_ignore", ["gare_id"]),
     "silver/map_velib": ("insert_ignore", ["station_id"]),
+    "silver/dvf": ("append_new", ["id_mutation"]),
+    "silver/filosofi": ("append_new", ["code_iris", "annee"]),
+    "silver/logements_sociaux": ("append_new", ["identifiant_livraison"]),
+    "gold/indicateurs_dvf_iris": ("upsert", ["code_iris", "annee"]),
+    "gold/indicateurs_socio_eco_iris": ("upsert", ["code_iris", "annee"]),
+    "gold/indicateurs_logements_sociaux_iris": ("upsert", ["code_iris", "annee"]),
     "gold/score_environnemental": ("upsert", ["code_iris"]),
     "gold/indicateurs_mobilite_iris": ("upsert", ["code_iris"]),
     "serving/zone_indicators": ("replace", []),
@@ -88,14 +95,17 @@ def load_table(spark: SparkSession, warehouse: str, name: str, df: DataFrame) ->
 
 
 def default_steps(paths: dict[str, str], warehouse: str, cell: float) -> dict[str, list[tuple[str, Step]]]:
-    """Steps for the environment and mobility domains and the zone table from
-    landing files named in ``paths`` (keys: ``zones``, ``trees``,
-    ``green_spaces``, ``cool_islands``, ``sorting_stations``, ``stops``,
-    ``rail_stations``, ``bike_stations``); datasets without a path are
-    skipped.  Zone geometry is parsed once and kept as tables in ``ctx``."""
+    """Steps for the housing, environment and mobility domains and the zone
+    table from landing files named in ``paths`` (keys: ``zones``, ``sales``
+    and ``income`` — comma-separated file lists —, ``addresses``,
+    ``social_housing``, ``trees``, ``green_spaces``, ``cool_islands``,
+    ``sorting_stations``, ``stops``, ``rail_stations``, ``bike_stations``);
+    datasets without a path are skipped.  Zone geometry is parsed once and
+    kept as tables in ``ctx``."""
     from ..sources import geojson as GJ
     from ..sources import readers as R
     from . import environment as ENV
+    from . import housing as H
     from . import mobility as MOB
     from . import serving as SV
 
@@ -130,6 +140,32 @@ def default_steps(paths: dict[str, str], warehouse: str, cell: float) -> dict[st
             if key in paths:
                 ctx[out] = load_table(spark, warehouse, name, fn(read(spark, key), e, z))
 
+    def housing_silver(spark, ctx):
+        e, z = ctx["edges"], ctx["zones"]
+        if "sales" in paths:
+            raw = R.read_delimited(spark, paths["sales"].split(","), R.SOURCES["sales"], with_file=True)
+            addr = R.read_delimited(spark, paths["addresses"], R.ReaderSpec(sep=";")) \
+                .withColumn("latitude", F.col("latitude").cast("double")) \
+                .withColumn("longitude", F.col("longitude").cast("double")) if "addresses" in paths else None
+            ctx["sales"] = load_table(spark, warehouse, "silver/dvf", H.sales_silver(raw, addr, e, z))
+        if "income" in paths:
+            yearly = R.read_yearly(spark, paths["income"].split(","), R.SOURCES["income"], "DISP_MED", "IRIS")
+            ctx["income"] = load_table(spark, warehouse, "silver/filosofi", H.income_silver(yearly))
+        if "social_housing" in paths:
+            ctx["social"] = load_table(spark, warehouse, "silver/logements_sociaux",
+                                       H.social_housing_silver(read(spark, "social_housing"), e, z))
+
+    def housing_gold(spark, ctx):
+        # price indicators (DP2) before the affordability index (DP4) that reads them
+        if "sales" in ctx:
+            ctx["prices"] = load_table(spark, warehouse, "gold/indicateurs_dvf_iris", H.price_indicators(ctx["sales"]))
+        if "prices" in ctx and "income" in ctx:
+            ctx["socio"] = load_table(spark, warehouse, "gold/indicateurs_socio_eco_iris",
+                                      H.affordability(ctx["income"], ctx["prices"]))
+        if "social" in ctx:
+            ctx["housing"] = load_table(spark, warehouse, "gold/indicateurs_logements_sociaux_iris",
+                                        H.social_housing_gold(ctx["social"]))
+
     def empty(spark, schema):
         return spark.createDataFrame([], schema)
 
@@ -148,12 +184,13 @@ def default_steps(paths: dict[str, str], warehouse: str, cell: float) -> dict[st
     def serve(spark, ctx):
         e = empty
         ctx["zone_indicators"] = load_table(spark, warehouse, "serving/zone_indicators", SV.zone_indicators(
-            ctx["zones"], e(spark, "code_iris string, annee int, nb_logements_sociaux_finances int"),
-            e(spark, "code_iris string, annee int, revenu_median double, prix_m2_median double, iai double"),
+            ctx["zones"], ctx.get("housing", e(spark, "code_iris string, annee int, nb_logements_sociaux_finances int")),
+            ctx.get("socio", e(spark, "code_iris string, annee int, revenu_median double, prix_m2_median double, iai double")),
             ctx["env"], e(spark, "code_iris string, score_final_stocke double, meilleur_operateur_mobile string, "
                                  "meilleur_operateur_fibre string"),
             ctx["mob"], ctx.get("year", 2025)))
 
-    return {"silver": [("zones", zones), ("environment", env_silver), ("mobility", mob_silver)],
-            "gold": [("scores", gold)],
+    return {"silver": [("zones", zones), ("housing", housing_silver), ("environment", env_silver),
+                       ("mobility", mob_silver)],
+            "gold": [("housing", housing_gold), ("scores", gold)],
             "serving": [("zone_indicators", serve)]}
