@@ -149,3 +149,40 @@ def test_default_wiring_housing(spark, tmpdir_fresh):
     z = {r.code_iris: r for r in ctx["zone_indicators"].collect()}
     assert z["751010100"].nb_logements_sociaux_finances == 12 and z["751010100"].iai == socio["751010100"].iai
     assert z["751010101"].revenu_median is None
+
+
+def write_education(base):
+    w = lambda name, text: open(os.path.join(base, name), "w", encoding="utf-8").write(text)
+    w("effectifs.csv", "﻿Code département;Rentrée scolaire;Code Postal;Numéro de l'école;Patronyme;"
+                       "Dénomination principale;Secteur;Nombre total d'élèves\n"
+                       "75;2024;75001;E1;A;Elem;Public;200\n75;2024;75002;E2;B;Elem;Public;100\n")
+    w("colleges.csv", "﻿Année scolaire;Libellé établissement;Adresse;Type établissement;Arrondissement;geo_point_2d\n"
+                      "2024;C1;1 rue A;College;1er;48.855, 2.305\n2024;C2;2 rue B;College;2e;48.865, 2.305\n"
+                      "2024;C3;3 rue C;College;2e;48.866, 2.306\n")
+    w("hopitaux.csv", "﻿FINESS_ET;RAISON_SOCIALE;ADRESSE_COMPLETE;NUM_TEL;CATEGORIE_DE_L_ETABLISSEMENT;"
+                      "TYPE_ETABLISSEMENT;CP_VILLE;lat;lng\nF1;H1;x;0;c;t;75001 PARIS;48.855;2.305\n")
+    w("population.csv", "Arrondissement,Population\nParis 1er Arrondissement,10000\nParis 2e Arrondissement,20000\nTOTAL,30000\n")
+    w("ages.csv", "INSEE;F3-5;F6-10;F11-17;H3-5;H6-10;H11-17\n75101;100;200;150;100;200;150\n75102;50;50;100;50;50;100\n")
+    cells = [["Titre"] + [""] * 55, ["codgeo"] + ["x"] * 55,
+             ["75101"] + ["1"] * 8 + ["2"] + ["1"] * 24 + ["30"] + ["1"] * 15 + ["20"] + ["1"] * 4 + ["5"],
+             ["75102"] + ["1"] * 8 + ["1"] + ["1"] * 24 + ["10"] + ["1"] * 15 + ["10"] + ["1"] * 4 + ["5"]]
+    w("bpe.csv", "\n".join(";".join(r) for r in cells) + "\n")
+
+
+def test_default_wiring_education(spark, tmpdir_fresh):
+    base = tmpdir_fresh
+    write_city(base)
+    write_education(base)
+    paths = {"zones": os.path.join(base, "iris.geojson"), "trees": os.path.join(base, "arbres.csv"),
+             "school_headcounts": os.path.join(base, "effectifs.csv"), "colleges": os.path.join(base, "colleges.csv"),
+             "hospitals": os.path.join(base, "hopitaux.csv"), "district_population": os.path.join(base, "population.csv"),
+             "age_structure": os.path.join(base, "ages.csv"), "health_equipment": os.path.join(base, "bpe.csv")}
+    ctx = {}
+    RUN.run(spark, ["silver", "gold", "serving"], RUN.default_steps(paths, os.path.join(base, "wh"), 0.01), ctx)
+    aes = {r.arrondissement: r for r in ctx["aes"].collect()}
+    assert set(aes) == {1, 2}
+    # E1: 200/600 vs 100/200 -> district 2 best; E2: 1/300 vs 2/200 -> district 2 best
+    assert aes[2].score_education == 1.0 and aes[1].score_education == 0.0
+    d = {r.arrondissement: r for r in ctx["district_indicators"].collect()}
+    assert set(d) == {1, 2} and d[1].score_aes == aes[1].score_aes
+    assert ctx["population"].count() == 2                  # TOTAL row dropped

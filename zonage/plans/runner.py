@@ -70,7 +70,15 @@ TABLE_RULES: dict[str, tuple[str, list[str]]] = {
     "gold/indicateurs_logements_sociaux_iris": ("upsert", ["code_iris", "annee"]),
     "gold/score_environnemental": ("upsert", ["code_iris"]),
     "gold/indicateurs_mobilite_iris": ("upsert", ["code_iris"]),
+    "silver/elementaires_maternelles_effectifs": ("insert_ignore", ["numero_ecole"]),
+    "silver/colleges_paris": ("insert_ignore", ["id"]),
+    "silver/map_sante": ("insert_ignore", ["finess"]),
+    "silver/population_totale_paris": ("insert_if_empty", []),
+    "silver/population_enfants_paris": ("insert_if_empty", []),
+    "silver/sante_paris": ("insert_if_empty", []),
+    "gold/indicateurs_aes_arrondissement": ("upsert", ["arrondissement"]),
     "serving/zone_indicators": ("replace", []),
+    "serving/district_indicators": ("replace", []),
 }
 
 
@@ -88,6 +96,8 @@ def load_table(spark: SparkSession, warehouse: str, name: str, df: DataFrame) ->
         nxt = L.insert_ignore(cur, df.select(*cur.columns), keys, keys)
     elif rule == "upsert":
         nxt = L.upsert(cur, df.select(*cur.columns), keys)
+    elif rule == "insert_if_empty":
+        nxt = L.insert_if_empty(cur, df.select(*cur.columns))
     else:
         raise ValueError(rule)
     L.write_snapshot(nxt, base)
@@ -99,11 +109,14 @@ def default_steps(paths: dict[str, str], warehouse: str, cell: float) -> dict[st
     table from landing files named in ``paths`` (keys: ``zones``, ``sales``
     and ``income`` — comma-separated file lists —, ``addresses``,
     ``social_housing``, ``trees``, ``green_spaces``, ``cool_islands``,
-    ``sorting_stations``, ``stops``, ``rail_stations``, ``bike_stations``);
+    ``sorting_stations``, ``stops``, ``rail_stations``, ``bike_stations``,
+    ``school_headcounts``, ``colleges``, ``hospitals``, ``district_population``,
+    ``age_structure``, ``health_equipment``);
     datasets without a path are skipped.  Zone geometry is parsed once and
     kept as tables in ``ctx``."""
     from ..sources import geojson as GJ
     from ..sources import readers as R
+    from . import education as ED
     from . import environment as ENV
     from . import housing as H
     from . import mobility as MOB
@@ -166,6 +179,33 @@ def default_steps(paths: dict[str, str], warehouse: str, cell: float) -> dict[st
             ctx["housing"] = load_table(spark, warehouse, "gold/indicateurs_logements_sociaux_iris",
                                         H.social_housing_gold(ctx["social"]))
 
+    def education_silver(spark, ctx):
+        e, z = ctx["edges"], ctx["zones"]
+        if "school_headcounts" in paths:
+            ctx["pupils"] = load_table(spark, warehouse, "silver/elementaires_maternelles_effectifs",
+                                       ED.headcounts_silver(read(spark, "school_headcounts")))
+        if "colleges" in paths:
+            ctx["colleges"] = load_table(spark, warehouse, "silver/colleges_paris",
+                                         ED.colleges_silver(read(spark, "colleges"), e, z))
+        if "hospitals" in paths:
+            ctx["hospitals"] = load_table(spark, warehouse, "silver/map_sante",
+                                          ED.hospitals_silver(read(spark, "hospitals"), e, z))
+        if "district_population" in paths:
+            ctx["population"] = load_table(spark, warehouse, "silver/population_totale_paris",
+                                           ED.district_population(read(spark, "district_population")))
+        if "age_structure" in paths:
+            ctx["children"] = load_table(spark, warehouse, "silver/population_enfants_paris",
+                                         ED.age_population(read(spark, "age_structure")))
+        if "health_equipment" in paths:
+            ctx["health"] = load_table(spark, warehouse, "silver/sante_paris",
+                                       ED.health_equipment(read(spark, "health_equipment")))
+
+    def education_gold(spark, ctx):
+        needed = ["pupils", "colleges", "children", "population", "health", "hospitals"]
+        if all(k in ctx for k in needed):
+            ctx["aes"] = load_table(spark, warehouse, "gold/indicateurs_aes_arrondissement",
+                                    ED.aes_scores(*[ctx[k] for k in needed]))
+
     def empty(spark, schema):
         return spark.createDataFrame([], schema)
 
@@ -189,8 +229,11 @@ def default_steps(paths: dict[str, str], warehouse: str, cell: float) -> dict[st
             ctx["env"], e(spark, "code_iris string, score_final_stocke double, meilleur_operateur_mobile string, "
                                  "meilleur_operateur_fibre string"),
             ctx["mob"], ctx.get("year", 2025)))
+        if "aes" in ctx:
+            ctx["district_indicators"] = load_table(spark, warehouse, "serving/district_indicators",
+                                                    SV.district_indicators(ctx["zone_indicators"], ctx["aes"]))
 
     return {"silver": [("zones", zones), ("housing", housing_silver), ("environment", env_silver),
-                       ("mobility", mob_silver)],
-            "gold": [("housing", housing_gold), ("scores", gold)],
+                       ("mobility", mob_silver), ("education", education_silver)],
+            "gold": [("housing", housing_gold), ("scores", gold), ("education", education_gold)],
             "serving": [("zone_indicators", serve)]}
