@@ -186,3 +186,50 @@ def test_default_wiring_education(spark, tmpdir_fresh):
     d = {r.arrondissement: r for r in ctx["district_indicators"].collect()}
     assert set(d) == {1, 2} and d[1].score_aes == aes[1].score_aes
     assert ctx["population"].count() == 2                  # TOTAL row dropped
+
+
+def write_network(base):
+    def layer(name, polys):
+        fc = {"type": "FeatureCollection", "features": [
+            {"type": "Feature", "properties": {"niveau": lvl}, "geometry": {"type": "Polygon", "coordinates": c}}
+            for lvl, c in polys]}
+        with open(os.path.join(base, name), "w") as f:
+            json.dump(fc, f)
+        return os.path.join(base, name)
+    full0 = [[[2.2999, 48.8499], [2.3101, 48.8499], [2.3101, 48.8601], [2.2999, 48.8601], [2.2999, 48.8499]]]
+    half1 = [[[2.31, 48.85], [2.315, 48.85], [2.315, 48.86], [2.31, 48.86], [2.31, 48.85]]]
+    a = layer("2025_T4_couv_Metropole_OF_4G_data.geojson", [("TBC", full0)])
+    b = layer("2025_T4_couv_Metropole_SFR0_5G_data.geojson", [("BC", half1)])
+    with open(os.path.join(base, "antennes.csv"), "w", encoding="cp1252") as f:
+        f.write("Opérateur;Arrondissement\nOrange;75101\nSFR;75101\nSFR;75102\nInconnu;75101\n")
+    with open(os.path.join(base, "fibre.csv"), "w") as f:
+        f.write("x,y,code_poste,imb_etat,pm_etat,code_l331\n2.305,48.855,75001,deploye,deploye,FRTE\n"
+                "2.315,48.855,75001,en cours,deploye,SFR0\n")
+    with open(os.path.join(base, "qos.csv"), "w", encoding="latin-1") as f:
+        f.write("insee_com;operator;bitrate_dl;Result;latitude_start;longitude_start\n"
+                "75056;Orange;80,5;Success;48.855;2.305\n75056;orange;20;Failure;48.855;2.306\n"
+                "92012;SFR;10;Success;48.855;2.305\n")
+    return ",".join([a, b])
+
+
+def test_default_wiring_network(spark, tmpdir_fresh):
+    base = tmpdir_fresh
+    write_city(base)
+    cov = write_network(base)
+    paths = {"zones": os.path.join(base, "iris.geojson"), "trees": os.path.join(base, "arbres.csv"),
+             "coverage": cov, "antennas": os.path.join(base, "antennes.csv"),
+             "fibre": os.path.join(base, "fibre.csv"), "qos": os.path.join(base, "qos.csv")}
+    ctx = {}
+    RUN.run(spark, ["silver", "gold", "serving"], RUN.default_steps(paths, os.path.join(base, "wh"), 0.01), ctx)
+    mob = {(r.code_iris, r.operateur): r for r in ctx["mobile"].collect()}
+    assert mob[("751010100", "Orange")].couv_4g == 100.0 and mob[("751010100", "Orange")].score_niveau == 100
+    assert abs(mob[("751010101", "SFR")].couv_5g - 50.0) < 0.5 and mob[("751010101", "SFR")].score_niveau == 60
+    assert mob[("751010103", "Orange")].couv_4g == 0.01                 # genuine 0.0001° x 0.0001° corner overhang
+    assert mob[("751010100", "SFR")].couv_5g == 0.0                     # shares only an edge: every zone gets every layer
+    q = {r.code_iris: r for r in ctx["quality"].collect()}
+    assert set(q) == {"751010100"} and q["751010100"].score_fiabilite == 50.0
+    net = {r.code_iris: r for r in ctx["net"].collect()}
+    assert len(net) == 4 and net["751010100"].rang_reseau == 1
+    assert net["751010101"].score_qualite == q["751010100"].score_qualite   # filled from its neighbour
+    z = {r.code_iris: r for r in ctx["zone_indicators"].collect()}
+    assert z["751010100"].score_reseau == net["751010100"].score_final_stocke

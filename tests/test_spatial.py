@@ -96,3 +96,17 @@ def test_overlay_area_conserves_box_area(spark):
     expected = {1: 0.04, 2: 0.16, 3: 2.3 * 1.9, 4: 0.5 * 0.5}
     for k, v in expected.items():
         assert abs(got[k] - v) < 1e-9, (k, got[k], v)
+
+
+def test_overlay_coincident_edges(spark):
+    zones = spark.createDataFrame([("a", [[[[0.0, 0.0], [1.0, 0.0], [1.0, 1.0], [0.0, 1.0]]]]),
+                                   ("b", [[[[1.0, 0.0], [2.0, 0.0], [2.0, 1.0], [1.0, 1.0]]]])],
+                                  "zone string, coords array<array<array<array<double>>>>")
+    feats = spark.createDataFrame([("same", [[[[1.0, 0.0], [1.5, 0.0], [1.5, 1.0], [1.0, 1.0]]]]),   # shares b's left edge
+                                   ("equal", [[[[0.0, 0.0], [1.0, 0.0], [1.0, 1.0], [0.0, 1.0]]]])],  # equals zone a
+                                  "fid string, coords array<array<array<array<double>>>>")
+    ze = G.polygon_edges(zones, "zone", "coords")
+    fe = G.polygon_edges(feats, "fid", "coords")
+    got = {(r.fid, r.zone): r.area for r in G.overlay_area(fe, ze, 1.0).collect()}
+    assert abs(got[("same", "b")] - 0.5) < 1e-12 and abs(got.get(("same", "a"), 0.0)) < 1e-12
+    assert abs(got[("equal", "a")] - 1.0) < 1e-12 and abs(got.get(("equal", "b"), 0.0)) < 1e-12

@@ -62,3 +62,11 @@ def lambert93_sql(lon: str, lat: str) -> tuple[str, str]:
     rho = f"({d(AF)} * pow({t}, {d(N)}))"
     theta = f"({d(N)} * (radians({lon}) - {d(LON0)}))"
     return (f"({d(X0)} + {rho} * sin({theta}))", f"({d(Y0)} + {d(RHO0)} - {rho} * cos({theta}))")
+
+
+def project_edges(edges):
+    """Edge table in lon/lat -> the same edges in Lambert-93 metres."""
+    x1, y1 = lambert93(F.col("x1"), F.col("y1"))
+    x2, y2 = lambert93(F.col("x2"), F.col("y2"))
+    keep = [c for c in edges.columns if c not in ("x1", "y1", "x2", "y2")]
+    return edges.select(*keep, x1.alias("x1"), y1.alias("y1"), x2.alias("x2"), y2.alias("y2"))

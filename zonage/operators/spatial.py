@@ -422,10 +422,26 @@ def orient_rings(edges: DataFrame) -> DataFrame:
                     F.when(flip, F.col("y1")).otherwise(F.col("y2")).alias("y2"))
 
 
+def _near_edge(e: Column, px: Column, py: Column, rel_tol: float = 1e-9) -> Column:
+    """Point on segment ``e`` up to a relative tolerance (midpoints of pieces
+    are computed values, so exact zero cross products cannot be relied on)."""
+    dx, dy = e["x2"] - e["x1"], e["y2"] - e["y1"]
+    cross = dx * (py - e["y1"]) - dy * (px - e["x1"])
+    len2 = dx * dx + dy * dy
+    t = F.try_divide(dx * (px - e["x1"]) + dy * (py - e["y1"]), len2)
+    return (F.abs(cross) <= F.lit(rel_tol) * len2) & (t >= -rel_tol) & (t <= 1 + rel_tol)
+
+
 def _pieces_inside(own_edges: DataFrame, pairs: DataFrame, own_key: str, other_key: str,
-                   cuts: DataFrame, other_bands: DataFrame, cell: float) -> DataFrame:
-    """Sub-segments of ``own`` edges (split at the cut parameters) whose
-    midpoint is inside the paired ``other`` polygon, with their Green term."""
+                   cuts: DataFrame, other_bands: DataFrame, cell: float,
+                   keep_coincident: bool) -> DataFrame:
+    """Sub-segments of ``own`` edges (split at the cut parameters) that lie
+    inside the paired ``other`` polygon, with their Green term.
+
+    A piece lying on the other polygon's boundary (coincident edges) is kept
+    only when ``keep_coincident`` and the two edges run the same way — so a
+    shared stretch is counted once, from one side — and dropped when they run
+    opposite ways."""
     e = own_edges.withColumnRenamed("id", own_key)
     e = pairs.join(e, own_key)
     e = e.join(cuts, [own_key, other_key, "part", "ring", "seq"], "left")
@@ -443,8 +459,19 @@ def _pieces_inside(own_edges: DataFrame, pairs: DataFrame, own_key: str, other_k
                  (F.col("x1") + dx * ta).alias("ax"), (F.col("y1") + dy * ta).alias("ay"),
                  (F.col("x1") + dx * tb).alias("bx"), (F.col("y1") + dy * tb).alias("by"),
                  (F.col("x1") + dx * tm).alias("mx"), (F.col("y1") + dy * tm).alias("my"))
-    inside = inside_named(p, other_key, "mx", "my", other_bands, cell)
-    return inside.select(
+    b = bounded_broadcast(other_bands.select(F.col("id").alias("_bid"), F.col("cy").alias("_bcy"), "edges"),
+                          items=F.size("edges"))
+    j = p.withColumn("_cy", _cell(F.col("my"), cell)).join(
+        b, (F.col(other_key) == F.col("_bid")) & (F.col("_cy") == F.col("_bcy")))
+    mx, my = F.col("mx"), F.col("my")
+    on = F.exists(F.col("edges"), lambda ed: _near_edge(ed, mx, my))
+    keep = ~on & _parity(F.col("edges"), mx, my)
+    if keep_coincident:
+        same = F.exists(F.col("edges"), lambda ed: _near_edge(ed, mx, my) & (
+            (ed["x2"] - ed["x1"]) * (F.col("bx") - F.col("ax"))
+            + (ed["y2"] - ed["y1"]) * (F.col("by") - F.col("ay")) > 0))
+        keep = keep | same
+    return j.filter(keep).select(
         own_key, other_key,
         (F.lit(0.5) * (F.col("ax") * F.col("by") - F.col("bx") * F.col("ay"))).alias("term"))
 
@@ -460,8 +487,8 @@ def overlay_area(features: DataFrame, zones: DataFrame, cell: float = 1.0,
 
     Edge tables from :func:`polygon_edges` / :func:`box_edges` are already
     oriented (shells counter-clockwise); pass ``orient=True`` for others.
-    Coincident edges are not de-duplicated (they do not occur between a
-    coverage layer and a zone mosaic except on the outer border)."""
+    Coincident stretches of boundary are counted once (from the feature side)
+    when both edges run the same way and dropped when they run opposite ways."""
     f, z = (orient_rings(features), orient_rings(zones)) if orient else (features, zones)
     segs = segment_pairs(f, z, cell)
     hit = materialize(segs.filter(_touching(segs)))
@@ -480,6 +507,6 @@ def overlay_area(features: DataFrame, zones: DataFrame, cell: float = 1.0,
             .groupBy("fid", F.col("zid").alias("zone"), F.col("zpart").alias("part"),
                      F.col("zring").alias("ring"), F.col("zseq").alias("seq"))
             .agg(F.collect_list(F.col("o1") / (F.col("o1") - F.col("o2"))).alias("ts")))
-    f_in = _pieces_inside(f, pairs, "fid", "zone", fcut, zb, cell)
-    z_in = _pieces_inside(z, pairs, "zone", "fid", zcut, fb, cell)
+    f_in = _pieces_inside(f, pairs, "fid", "zone", fcut, zb, cell, keep_coincident=True)
+    z_in = _pieces_inside(z, pairs, "zone", "fid", zcut, fb, cell, keep_coincident=False)
     return f_in.unionByName(z_in).groupBy("fid", "zone").agg(F.sum("term").alias("area"))

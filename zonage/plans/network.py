@@ -171,7 +171,11 @@ def network_score(mobile: DataFrame, quality: DataFrame, fibre: DataFrame, zones
     neighbours (0 everywhere when no quality measure exists), fibre; NULL → 0;
     score = (.45·mobile + .35·quality + .20·fibre) / 100 round 4; rank on the
     4-decimal score (the 2-decimal stored value is ``score_final_stocke``)."""
-    mi = mobile.groupBy("code_iris", "arrondissement").agg(
+    # one row per zone; the district is a dependent attribute (it is NULL on
+    # rows of operators present in the 5G layers only, which a group key on
+    # the district would split off or — with pandas semantics — drop)
+    mi = mobile.groupBy("code_iris").agg(
+        F.max("arrondissement").alias("arrondissement"),
         F.max("couv_4g").alias("couv_4g_max"), F.max("couv_5g").alias("couv_5g_max"),
         F.max("score_mobile").alias("score_mobile"))
     best = A.argmax(mobile, "code_iris", "score_mobile", "operateur", "meilleur_operateur_mobile")

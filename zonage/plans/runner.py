@@ -77,6 +77,10 @@ TABLE_RULES: dict[str, tuple[str, list[str]]] = {
     "silver/population_enfants_paris": ("insert_if_empty", []),
     "silver/sante_paris": ("insert_if_empty", []),
     "gold/indicateurs_aes_arrondissement": ("upsert", ["arrondissement"]),
+    "silver/reseau_mobile": ("insert_if_empty", []),
+    "silver/reseau_fibre": ("insert_if_empty", []),
+    "silver/reseau_qualite": ("insert_if_empty", []),
+    "gold/score_reseau": ("insert_if_empty", []),
     "serving/zone_indicators": ("replace", []),
     "serving/district_indicators": ("replace", []),
 }
@@ -111,12 +115,17 @@ def default_steps(paths: dict[str, str], warehouse: str, cell: float) -> dict[st
     ``social_housing``, ``trees``, ``green_spaces``, ``cool_islands``,
     ``sorting_stations``, ``stops``, ``rail_stations``, ``bike_stations``,
     ``school_headcounts``, ``colleges``, ``hospitals``, ``district_population``,
-    ``age_structure``, ``health_equipment``);
+    ``age_structure``, ``health_equipment``, ``coverage`` — comma-separated
+    layer files —, ``antennas``, ``fibre``, ``qos``);
     datasets without a path are skipped.  Zone geometry is parsed once and
     kept as tables in ``ctx``."""
     from ..sources import geojson as GJ
     from ..sources import readers as R
+    from ..functions import clean as C
+    from ..functions.geo import project_edges
+    from ..operators import spatial as G
     from . import education as ED
+    from . import network as NET
     from . import environment as ENV
     from . import housing as H
     from . import mobility as MOB
@@ -206,6 +215,41 @@ def default_steps(paths: dict[str, str], warehouse: str, cell: float) -> dict[st
             ctx["aes"] = load_table(spark, warehouse, "gold/indicateurs_aes_arrondissement",
                                     ED.aes_scores(*[ctx[k] for k in needed]))
 
+    def network_silver(spark, ctx):
+        z = ctx["zones"]
+        z93 = project_edges(ctx["edges"])
+        cell_m = G.auto_cell_size(z93)
+        ctx["cell_m"] = cell_m
+        if "coverage" in paths:
+            layers = GJ.read_coverage_layers(spark, paths["coverage"].split(","))
+            attrs = layers.select("id", C.map_values("op_code", C.COVERAGE_OPERATOR_CODES).alias("operateur"),
+                                  "techno", "niveau")
+            cov_edges = project_edges(G.polygon_edges(layers, "id", "coords"))
+            # the layer list (operator × technology, one per file) is a handful of rows
+            names = [(r.operateur, r.techno) for r in attrs.select("operateur", "techno").distinct().collect()]
+            cov = NET.coverage_rates(cov_edges, attrs, z93, z, cell_m, layers=sorted(names))
+            area = G.polygon_area(z93).select(F.col("id").alias("zone"), "area")
+            density = NET.antenna_density(read(spark, "antennas"), z, area) if "antennas" in paths else \
+                spark.createDataFrame([], "code_iris string, operateur string, nb_antennes double, "
+                                          "densite_antennes_km2 double, score_densite double")
+            ctx["mobile"] = load_table(spark, warehouse, "silver/reseau_mobile", NET.mobile_silver(cov, density, z))
+        if "fibre" in paths:
+            ctx["fibre"] = load_table(spark, warehouse, "silver/reseau_fibre", NET.fibre_silver(
+                NET.fibre_buildings(read(spark, "fibre"), z93, z, cell_m)))
+        if "qos" in paths:
+            ctx["quality"] = load_table(spark, warehouse, "silver/reseau_qualite", NET.quality_silver(
+                NET.qos_measures(read(spark, "qos"), z93, z, cell_m)))
+
+    def network_gold(spark, ctx):
+        if "mobile" not in ctx:
+            return
+        quality = ctx.get("quality", empty(spark, "code_iris string, score_qualite double"))
+        fibre = ctx.get("fibre", empty(spark, "code_iris string, taux_deploiement double, taux_pm_actif double, "
+                                              "score_fibre double, meilleur_operateur_fibre string"))
+        neigh = G.adjacency(ctx["edges"], G.auto_cell_size(ctx["edges"]))
+        ctx["net"] = load_table(spark, warehouse, "gold/score_reseau",
+                                NET.network_score(ctx["mobile"], quality, fibre, ctx["zones"], neigh))
+
     def empty(spark, schema):
         return spark.createDataFrame([], schema)
 
@@ -226,14 +270,15 @@ def default_steps(paths: dict[str, str], warehouse: str, cell: float) -> dict[st
         ctx["zone_indicators"] = load_table(spark, warehouse, "serving/zone_indicators", SV.zone_indicators(
             ctx["zones"], ctx.get("housing", e(spark, "code_iris string, annee int, nb_logements_sociaux_finances int")),
             ctx.get("socio", e(spark, "code_iris string, annee int, revenu_median double, prix_m2_median double, iai double")),
-            ctx["env"], e(spark, "code_iris string, score_final_stocke double, meilleur_operateur_mobile string, "
-                                 "meilleur_operateur_fibre string"),
+            ctx["env"], ctx.get("net", e(spark, "code_iris string, score_final_stocke double, "
+                                                "meilleur_operateur_mobile string, meilleur_operateur_fibre string")),
             ctx["mob"], ctx.get("year", 2025)))
         if "aes" in ctx:
             ctx["district_indicators"] = load_table(spark, warehouse, "serving/district_indicators",
                                                     SV.district_indicators(ctx["zone_indicators"], ctx["aes"]))
 
     return {"silver": [("zones", zones), ("housing", housing_silver), ("environment", env_silver),
-                       ("mobility", mob_silver), ("education", education_silver)],
-            "gold": [("housing", housing_gold), ("scores", gold), ("education", education_gold)],
+                       ("mobility", mob_silver), ("education", education_silver), ("network", network_silver)],
+            "gold": [("housing", housing_gold), ("scores", gold), ("education", education_gold),
+                     ("network", network_gold)],
             "serving": [("zone_indicators", serve)]}

@@ -70,3 +70,22 @@ def geometry_coords(col: str) -> "F.Column":
     txt = F.get_json_object(F.col(col), "$.coordinates")
     return (F.when(gtype == "Polygon", F.array(F.from_json(txt, _POLY)))
              .when(gtype == "MultiPolygon", F.from_json(txt, _MULTI)))
+
+
+def read_coverage_layers(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """SRC13: coverage layer files ``YYYY_Tn_couv_Metropole_<OP>_<TECH>_data…``
+    (GeoJSON FeatureCollections) -> ``(id, op_code, techno, niveau, coords)``,
+    one row per polygon feature; operator code and technology come from the
+    file name, the level from the ``niveau`` property."""
+    from .readers import coverage_layer_keys
+    doc = spark.read.text(paths, wholetext=True).select("value", F.col("_metadata.file_name").alias("_file"))
+    feats = doc.select("_file", F.posexplode(F.from_json("value", _FEATURES)["features"]).alias("pos", "f"))
+    geom = F.col("f.geometry")
+    gtype = F.get_json_object(geom, "$.type")
+    txt = F.get_json_object(geom, "$.coordinates")
+    coords = (F.when(gtype == "Polygon", F.array(F.from_json(txt, _POLY)))
+               .when(gtype == "MultiPolygon", F.from_json(txt, _MULTI)))
+    op, tech = coverage_layer_keys("_file")
+    return feats.select(F.concat_ws("#", "_file", F.col("pos").cast("string")).alias("id"),
+                        op.alias("op_code"), tech.alias("techno"),
+                        F.col("f.properties")["niveau"].alias("niveau"), coords.alias("coords"))
