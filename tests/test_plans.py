@@ -32,3 +32,17 @@ def test_point_join_does_not_shuffle_points(spark):
     load_all()
     p = plan(REGISTRY["point_in_zone"](spark, SF))
     assert "BroadcastHashJoin" in p
+
+
+def test_overlay_and_wide_plans_have_no_cartesian(spark):
+    load_all()
+    for k in ["coverage_overlay_rate", "feature_within_zone", "zone_adjacency", "affordability_index"]:
+        p = plan(REGISTRY[k](spark, SF))
+        assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p, k
+
+
+def test_median_uses_partial_aggregation(spark):
+    load_all()
+    p = plan(REGISTRY["price_indicators_by_zone_year"](spark, SF))
+    assert "percentile" in p.lower()          # ordinary groups: one aggregate over the histogram
+    assert "partial_count" in p               # the histogram is pre-aggregated map-side
