@@ -37,7 +37,7 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _WORDS = r"""list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-   '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), x -> x <> '')"""
+   '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')"""
 
 
 @register("op5_decontaminate", f"""
