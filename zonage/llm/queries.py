@@ -5,12 +5,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from zonage.session import read_table
 
-from . import decontaminate, exact_dedup
+from . import bpe, decontaminate, exact_dedup, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -62,3 +63,19 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
                         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
                         (F.col("n_hit") > 0).alias("contaminated"))
+
+
+@register("op9_byte_bpe")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path, pattern = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
+    encoded = bpe.encode(read_table(spark, sf_dir, "documents"), path, pattern)
+    return bpe.decode(encoded, path, pattern).select(
+        "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@register("op10_token_counts")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = token_counts.token_counts(read_table(spark, sf_dir, "documents"),
+                                       public_tokenizers.path("piece_bpe_32k.model"))
+    return counts.withColumn("over_limit", F.col("n_tokens") > 4096)
