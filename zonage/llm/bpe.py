@@ -50,7 +50,7 @@ class PerfectHash:
     seed under which its keys fall into slots of their own; buckets of one key
     name their slot outright (as ``-slot - 1``)."""
 
-    def __init__(self, keys: list[bytes], load: int = 4):
+    def __init__(self, keys: list[bytes], load: int = 2):
         self.n = max(1, len(keys))
         self.m = max(1, len(keys) // load)
         self.seeds = [0] * self.m
