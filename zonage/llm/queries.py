@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from zonage.session import read_table
 
-from . import bpe, decontaminate, exact_dedup, token_counts
+from . import bpe, decontaminate, exact_dedup, quality, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -79,3 +79,17 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = token_counts.token_counts(read_table(spark, sf_dir, "documents"),
                                        public_tokenizers.path("piece_bpe_32k.model"))
     return counts.withColumn("over_limit", F.col("n_tokens") > 4096)
+
+
+def quality_model(spark: SparkSession, sf_dir: str) -> quality.Machine:
+    """Fitted on labels of rows whose crc32(doc_id as text) mod 3 is not 1."""
+    labels = read_table(spark, sf_dir, "labels")
+    ours = labels.filter(F.crc32(F.col("doc_id").cast("string")) % 3 != 1)
+    return quality.train(read_table(spark, sf_dir, "documents"), ours)
+
+
+@register("op8_quality")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scores = quality.scores(read_table(spark, sf_dir, "documents"), quality_model(spark, sf_dir))
+    return scores.select("doc_id", (F.crc32(F.col("doc_id").cast("string")) % 3 == 1).alias("held_out"),
+                         "score", F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"))
