@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from zonage.session import read_table
 
-from . import bpe, decontaminate, exact_dedup, quality, token_counts
+from . import bpe, decontaminate, exact_dedup, jaccard_join, quality, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -93,3 +93,8 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     scores = quality.scores(read_table(spark, sf_dir, "documents"), quality_model(spark, sf_dir))
     return scores.select("doc_id", (F.crc32(F.col("doc_id").cast("string")) % 3 == 1).alias("held_out"),
                          "score", F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"))
+
+
+@register("op4_jaccard_join")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.similarity_components(read_table(spark, sf_dir, "documents"))
