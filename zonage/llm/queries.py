@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from zonage.session import read_table
 
-from . import bpe, decontaminate, exact_dedup, jaccard_join, quality, token_counts
+from . import bpe, decontaminate, exact_dedup, jaccard_join, quality, secrets, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -98,3 +98,13 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op4_jaccard_join")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.similarity_components(read_table(spark, sf_dir, "documents"))
+
+
+@register("op2_secrets")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan(read_table(spark, sf_dir, "documents"))
+    count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+    base = F.filter("spans", lambda s: s["kind"] != "novel")
+    return found.select("doc_id", count("assign").alias("n_assign"), count("access").alias("n_access"),
+                        count("hex").alias("n_hex"), F.sha2(secrets.written(base), 256).alias("base_sha256"),
+                        secrets.written(F.col("spans")).alias("spans"))
