@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from zonage.session import read_table
 
-from . import bpe, decontaminate, exact_dedup, jaccard_join, quality, secrets, token_counts
+from . import bpe, decontaminate, exact_dedup, jaccard_join, quality, secrets, suffix_dedup, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -108,3 +108,11 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", count("assign").alias("n_assign"), count("access").alias("n_access"),
                         count("hex").alias("n_hex"), F.sha2(secrets.written(base), 256).alias("base_sha256"),
                         secrets.written(F.col("spans")).alias("spans"))
+
+
+@register("op6_suffix_dedup")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup.remove_repeats(read_table(spark, sf_dir, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["b"] - s["a"])
+    return found.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
+                        "kept_sha256")
