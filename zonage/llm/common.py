@@ -65,3 +65,12 @@ def bounded(df: DataFrame, max_rows: int) -> bool:
     """Whether ``df`` has at most ``max_rows`` rows (a partial count per task,
     nothing is collected but one number)."""
     return df.agg(F.count(F.lit(1)).alias("n")).first()["n"] <= max_rows
+
+
+def left_join_spread(left: DataFrame, right: DataFrame, key: str, spread: str, salts: int = 16) -> DataFrame:
+    """``left`` left-joined with ``right`` (one row per ``key``), a hot key of
+    ``left`` dealt over ``salts`` tasks by the column ``spread``.  ``right`` is
+    replicated only for the (key, salt) pairs that occur."""
+    salted = left.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(salts)))
+    needed = salted.select(key, "_salt").distinct().join(right, key)
+    return salted.join(needed, [key, "_salt"], "left").drop("_salt")

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from zonage.session import read_table
 
-from . import bpe, decontaminate, exact_dedup, jaccard_join, quality, secrets, suffix_dedup, token_counts
+from . import bpe, decontaminate, exact_dedup, jaccard_join, lm_score, quality, secrets, suffix_dedup, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -116,3 +116,13 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["b"] - s["a"])
     return found.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
                         "kept_sha256")
+
+
+@register("op3_lm_score")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    fold = F.crc32(F.col("doc_id").cast("string")) % 5
+    model, counts = lm_score.train(docs.filter(fold != 1))
+    return lm_score.score(docs, model, counts).select(
+        "doc_id", (fold == 1).alias("held_out"), "n_tokens", "n_known",
+        F.lit(model.total).cast("long").alias("train_tokens"), "base_score", "score")
