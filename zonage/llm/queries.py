@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from zonage.session import read_table
 
-from . import bpe, decontaminate, exact_dedup, jaccard_join, lm_score, quality, secrets, suffix_dedup, token_counts
+from . import bpe, decontaminate, exact_dedup, jaccard_join, licences, lm_score, quality, secrets, suffix_dedup, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -126,3 +126,36 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_score.score(docs, model, counts).select(
         "doc_id", (fold == 1).alias("held_out"), "n_tokens", "n_known",
         F.lit(model.total).cast("long").alias("train_tokens"), "base_score", "score")
+
+
+def _canonical_sql(text: str) -> str:
+    """:func:`licences.canonical` in DuckDB SQL."""
+    quoted = lambda x: "'" + x.replace("'", "''") + "'"
+    out = f"translate(coalesce({text}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    out = f"regexp_replace({out}, {quoted(licences.COPYRIGHT)}, chr(10), 'g')"
+    out = f"'  ' || regexp_replace({out}, {quoted(licences.PUNCTUATION)}, '  ', 'g') || '  '"
+    for a, b in licences.SPELLINGS:
+        out = f"replace({out}, ' {a.replace(' ', '  ')} ', ' {b.replace(' ', '  ')} ')"
+    return f"trim(regexp_replace({out}, ' +', ' ', 'g'))"
+
+
+def _op1_sql() -> str:
+    known = ", ".join("('" + n + "', '" + t.replace("'", "''") + "')" for n, t in licences.KNOWN)
+    return f"""
+with known(licence, text) as (values {known}),
+k as (select sha256(c) as digest, min(licence) as licence from (select licence, {_canonical_sql("text")} as c from known)
+      where c <> '' group by all),
+d as (select doc_id, sha256({_canonical_sql("text")}) as digest from documents),
+l as (select doc_id, sha256({_canonical_sql("line")}) as digest
+      from (select doc_id, unnest(string_split(coalesce(text, ''), chr(10))) as line from documents) where line <> ''),
+n as (select doc_id, string_agg(distinct licence, ',' order by licence) as notices, count(*) as n_notice_lines
+      from l join k using (digest) group by doc_id)
+select doc_id, digest, licence, coalesce(notices, '') as notices, coalesce(n_notice_lines, 0)::bigint as n_notice_lines
+from d left join k using (digest) left join n using (doc_id)
+"""
+
+
+@register("op1_licences", _op1_sql())
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licences.scan(read_table(spark, sf_dir, "documents"))
+    return found.withColumn("notices", F.array_join("notices", ","))
