@@ -39,6 +39,21 @@ def id_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
                        F.coalesce(docs[text_col].cast("string"), F.lit("")).alias("_text"))
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until ``df`` has no column of that name."""
+    while name.lower() in {c.lower() for c in df.columns}:
+        name += "_"
+    return name
+
+
+def without(docs: DataFrame, ids: DataFrame, id_col: str) -> DataFrame:
+    """``docs`` without the rows whose id is the value of ``ids``' only column
+    (nulls are equal), all columns unchanged."""
+    name = unused(docs, "_gone")
+    gone = ids.toDF(name)
+    return docs.join(gone, docs[id_col].eqNullSafe(gone[name]), "left_anti")
+
+
 def ascii_lower(text: Column) -> Column:
     """Lower-case A-Z only.  Pure-ASCII texts (as many bytes as characters)
     take ``lower``, which agrees there and is cheaper than ``translate``."""

@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, bounded, id_and_text, stored
+from .common import ascii_lower, bounded, id_and_text, stored, without
 
 # Fixed value: what separates words (every ASCII character but a-z and 0-9).
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -105,5 +105,5 @@ def drop_contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id",
                       **kw) -> DataFrame:
     """``docs`` without the documents in which a benchmark window occurs, all
     columns unchanged; the rest, null ids included, stays as it is."""
-    bad = find_hits(docs, items, id_col, text_col, **kw).select(F.col(id_col).alias("_bad")).distinct()
-    return docs.join(stored(bad, "contaminated"), docs[id_col].eqNullSafe(F.col("_bad")), "left_anti")
+    bad = find_hits(docs, items, id_col, text_col, **kw).select(id_col).distinct()
+    return without(docs, stored(bad, "contaminated"), id_col)

@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, id_and_text, stored
+from .common import ascii_lower, id_and_text, stored, unused, without
 
 BUCKETS = 1 << 20
 SALTS = 64
@@ -81,8 +81,8 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without the rows that :func:`exact_dedup` drops, all columns
     unchanged; of rows with equal id and equal text one stays."""
-    dropped = exact_dedup(docs, id_col, text_col).filter(~F.col("kept")) \
-        .select(F.col(id_col).alias("_dropped")).distinct()
-    kept = docs.join(dropped, docs[id_col].eqNullSafe(F.col("_dropped")), "left_anti")
-    digest = F.sha2(ascii_lower(F.coalesce(kept[text_col], F.lit(""))), 256)
-    return kept.withColumn("_digest", digest).dropDuplicates([id_col, "_digest"]).drop("_digest")
+    dropped = exact_dedup(docs, id_col, text_col).filter(~F.col("kept")).select(id_col).distinct()
+    kept = without(docs, dropped, id_col)
+    digest = unused(docs, "_digest")
+    kept = kept.withColumn(digest, F.sha2(ascii_lower(F.coalesce(kept[text_col].cast("string"), F.lit(""))), 256))
+    return kept.dropDuplicates([id_col, digest]).drop(digest)

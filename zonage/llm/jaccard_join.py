@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from .bpe import _Shared
-from .common import id_and_text, stored, text_rows
+from .common import id_and_text, stored, text_rows, without
 
 WIDTH = 5
 # At most so many shingles count as frequent: those held by at least
@@ -409,6 +409,5 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     """``docs`` with one document of each component (its smallest id), all
     columns unchanged; rows with a null id stay."""
     found = similarity_components(docs, id_col, text_col)
-    gone = stored(found.filter(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias("_gone")).distinct(),
-                  "gone")
-    return docs.join(gone, docs[id_col] == F.col("_gone"), "left_anti")
+    gone = found.filter(F.col(id_col) != F.col("component_id")).select(id_col).distinct()
+    return without(docs, stored(gone, "gone"), id_col)
