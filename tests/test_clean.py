@@ -76,3 +76,17 @@ def test_band_and_labels(spark):
     assert one(spark, [3.0, 7.0, 12.0, None], C.band, "double") == ["Bon", "Moyen", "Faible", None]
     assert one(spark, [1, 11], C.district_label, "int") == ["1er", "11e"]
     assert one(spark, [7], C.district_zone_prefix, "int") == ["75107"]
+
+
+def test_values_beyond_their_type_are_null_or_kept(spark):
+    df = spark.createDataFrame([("12345678901", 1e30), ("75012345678901", -1.005), (None, None)], "s string, x double")
+    got = df.select(C.first_number("s").alias("n"), C.code_to_district("s").alias("p"), C.code_to_district("s", "insee").alias("i"),
+                    C.code_to_district("s", "last2").alias("l"), C.round_dec("x", 2).alias("r"),
+                    C.round_half_even("x", 2).alias("h")).collect()
+    assert [r.n for r in got] == [None, None, None] and [r.p for r in got] == [None, None, None]
+    assert got[0].r == 1e30 and got[0].h == 1e30 and got[1].r == -1.01 and got[2].r is None
+
+
+def test_gauge(spark):
+    df = spark.createDataFrame([(4.0,), (5.0,), (9.0,), (10.0,), (30.0,), (None,)], "x double")
+    assert [r[0] for r in df.select(C.gauge("x")).collect()] == [68.0, 70.0, 46.0, 50.0, 10.0, None]

@@ -79,7 +79,7 @@ def test_city_end_to_end(spark, tmpdir_fresh):
     assert done == ["silver.all", "gold.scores", "serving.zones"]
 
     trees = {r.id: (r.code_iris, r.arrondissement) for r in ctx["trees"].collect()}
-    assert trees[1] == ("751010100", 1) and trees[3] == ("751010103", None) and trees[4] == (None, 2)
+    assert trees[1] == ("751010100", 1) and 3 not in trees and trees[4] == (None, 2)   # 3: no city tree
     green = ctx["green"].collect()
     # the square straddles zones 0 and 1: intersects attaches it to both; the
     # 9999 opening year is unknown and there is no other year to impute from
@@ -107,7 +107,7 @@ def test_default_wiring_idempotent(spark, tmpdir_fresh):
     trees1 = first["trees"].count()
     second = {}
     RUN.run(spark, ["silver", "gold", "serving"], RUN.default_steps(paths, wh, 0.01), second)
-    assert second["trees"].count() == trees1 == 4            # re-run appends nothing
+    assert second["trees"].count() == trees1 == 3            # re-run appends nothing
     assert second["stops"].count() == 2                      # insert-ignore keeps one row per stop
     assert sorted(tuple(r) for r in second["zone_indicators"].collect()) == snap1
 

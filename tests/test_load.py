@@ -1,5 +1,6 @@
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from zonage.operators import load as L
@@ -64,3 +65,64 @@ def test_features_text(spark):
     f = L.to_features(df, "id", "g", ["z"]).first()
     assert f._id == "7"
     assert f.feature == '{"type":"Feature","properties":{"z":3},"geometry":{"type": "Point", "coordinates": [2.0, 48.0]}}'
+
+
+def test_append_leaves_old_files_alone(spark, tmpdir_fresh):
+    base = os.path.join(tmpdir_fresh, "tbl")
+    tgt, src = frames(spark)
+    L.replace(tgt, base)
+    part = L.read_version(spark, base).parts[0]
+    files = {f: os.stat(os.path.join(base, part, f)).st_mtime_ns for f in os.listdir(os.path.join(base, part))}
+    L.append_part(L.new_rows(L.read_current(spark, base), src, ["k"]), base)
+    assert {f: os.stat(os.path.join(base, part, f)).st_mtime_ns for f in os.listdir(os.path.join(base, part))} == files
+    assert rows(L.read_current(spark, base)) == [(1, "a"), (2, "b"), (3, "C"), (3, "C2")]
+    number = L.read_version(spark, base).number
+    L.append_part(src.filter("false"), base)
+    assert L.read_version(spark, base).number == number
+
+
+def test_upsert_rewrites_touched_parts_only(spark, tmpdir_fresh):
+    base = os.path.join(tmpdir_fresh, "tbl")
+    L.replace(spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string"), base)
+    L.append_part(spark.createDataFrame([(7, "x"), (8, "y")], "k int, v string"), base)
+    first, second = L.read_version(spark, base).parts
+    L.upsert_parts(spark.createDataFrame([(8, "Y"), (8, "Z"), (9, "n")], "k int, v string"), base, ["k"], ["v"])
+    parts = L.read_version(spark, base).parts
+    assert first in parts and second not in parts
+    assert rows(L.read_current(spark, base)) == [(1, "a"), (2, "b"), (7, "x"), (8, "Y"), (9, "n")]
+    L.compact(spark, base)
+    assert len(L.read_version(spark, base).parts) == 1 and L.read_current(spark, base).count() == 5
+    assert L.vacuum(spark, base, keep=1) > 0 and L.read_current(spark, base).count() == 5
+
+
+def test_damaged_pointer_raises_and_keeps_the_data(spark, tmpdir_fresh):
+    base = os.path.join(tmpdir_fresh, "tbl")
+    tgt, src = frames(spark)
+    L.replace(tgt, base)
+    version = os.path.join(base, L.LOG, f"{1:020d}")
+    text = open(version).read()
+    for f in os.listdir(os.path.dirname(version)):
+        if f.endswith(".crc"):
+            os.remove(os.path.join(os.path.dirname(version), f))
+    for damage in ("", text[:20]):
+        with open(version, "w") as f:
+            f.write(damage)
+        with pytest.raises(OSError):
+            L.read_current(spark, base)
+        with pytest.raises(OSError):
+            L.append_part(src, base)
+        with pytest.raises(OSError):
+            L.upsert_parts(src, base, ["k"], ["v"])
+    with open(version, "w") as f:
+        f.write(text)
+    assert rows(L.read_current(spark, base)) == rows(tgt)
+
+
+def test_second_writer_of_a_version_fails(spark, tmpdir_fresh):
+    base = os.path.join(tmpdir_fresh, "tbl")
+    tgt, _ = frames(spark)
+    old = L.read_version(spark, base)
+    L.replace(tgt, base)
+    with pytest.raises(OSError):
+        L._publish(spark, base, L.Version(old.number + 1, [], tgt.schema.jsonValue(), {}))
+    assert rows(L.read_current(spark, base)) == rows(tgt)

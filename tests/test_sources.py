@@ -85,3 +85,31 @@ def test_geojson_zones(spark, tmpdir_fresh):
     pts = spark.createDataFrame([(1, 1.0, 1.0), (2, 3.0, 1.0)], "id int, x double, y double")
     got = {r.id: r.zone for r in G.points_in_zones(pts, edges, "x", "y", cell=2.0).collect()}
     assert got == {1: "751010101", 2: "751020101"}
+
+
+def test_files_with_different_headers_are_joined_by_name(spark, tmpdir_fresh):
+    paths = []
+    for name, text in [("a.csv", "a|b\n1|2\n"), ("b.csv", "b|a\n2|1\n"), ("c.csv", "a|c\n5|6\n")]:
+        paths.append(os.path.join(tmpdir_fresh, name))
+        with open(paths[-1], "w") as f:
+            f.write(text)
+    got = R.read_delimited(spark, paths, R.ReaderSpec(sep="|"), with_file=True)
+    assert sorted(map(tuple, got.select("a", "b", "c", "_file").collect()), key=str) == [
+        ("1", "2", None, "a.csv"), ("1", "2", None, "b.csv"), ("5", None, "6", "c.csv")]
+
+
+def test_yearly_column_is_exact_and_files_without_it_are_skipped(spark, tmpdir_fresh):
+    paths = []
+    for name, text in [("r_2018.csv", "IRIS;DISP_MED18;DISP_MED18_X\nz;10;99\n"), ("r_2019.csv", "IRIS;OTHER\nz;1\n"),
+                       ("r_2020.csv", "IRIS;X_DISP_MED20;DISP_MED20\nz;98;20\n")]:
+        paths.append(os.path.join(tmpdir_fresh, name))
+        with open(paths[-1], "w") as f:
+            f.write(text)
+    got = R.read_yearly(spark, paths, R.ReaderSpec(sep=";"), "DISP_MED", "IRIS")
+    assert sorted(map(tuple, got.collect())) == [("z", 2018, "10"), ("z", 2020, "20")]
+
+
+def test_unknown_operator_codes_stand_for_themselves():
+    known = {"OF": "Orange"}
+    assert R.coverage_layer("/x/2025_T4_couv_Metropole_OF_4G_data.geojson", known) == ("Orange", "4G")
+    assert R.coverage_layer("2025_T4_couv_Metropole_NEW_5G_data.geojson", known) == ("NEW", "5G")

@@ -110,3 +110,79 @@ def test_overlay_coincident_edges(spark):
     got = {(r.fid, r.zone): r.area for r in G.overlay_area(fe, ze, 1.0).collect()}
     assert abs(got[("same", "b")] - 0.5) < 1e-12 and abs(got.get(("same", "a"), 0.0)) < 1e-12
     assert abs(got[("equal", "a")] - 1.0) < 1e-12 and abs(got.get(("equal", "b"), 0.0)) < 1e-12
+
+
+def shapes(spark, rows):
+    """Edge table of ``(id, parts)`` rows; a part is a list of rings."""
+    return G.polygon_edges(spark.createDataFrame(rows, "id string, c array<array<array<array<double>>>>"), "id", "c")
+
+
+def box(x0, y0, x1, y1):
+    return [[float(x0), float(y0)], [float(x1), float(y0)], [float(x1), float(y1)], [float(x0), float(y1)]]
+
+
+def pairs(df):
+    return sorted((r.fid, r.zone) for r in df.collect())
+
+
+ZONES = [("A", [[box(0, 0, 10, 10)]]), ("B", [[box(20, 0, 30, 10)]]),
+         ("H", [[box(40, 0, 60, 20), box(45, 5, 50, 10)]]),                       # with a hole
+         ("L", [[[[70.0, 0.0], [90.0, 0.0], [90.0, 10.0], [80.0, 10.0], [80.0, 20.0], [70.0, 20.0]]]])]  # reflex corner
+
+
+def test_every_part_of_a_feature_counts(spark):
+    """One part in A, one wholly inside B: both meet, each with area 1."""
+    f = shapes(spark, [("two", [[box(1, 1, 2, 2)], [box(22, 2, 23, 3)]])])
+    z = shapes(spark, ZONES)
+    assert pairs(G.features_in_zones(f, z, "intersects", 5.0)) == [("two", "A"), ("two", "B")]
+    assert {(r.fid, r.zone): round(r.area, 9) for r in G.overlay_area(f, z, 5.0).collect()} == {("two", "A"): 1.0, ("two", "B"): 1.0}
+    assert pairs(G.features_in_zones(f, z, "within", 5.0)) == []
+
+
+def test_every_part_of_a_zone_counts(spark):
+    f = shapes(spark, [("big", [[box(0, 0, 100, 100)]])])
+    z = shapes(spark, [("parts", [[box(200, 200, 210, 210)], [box(50, 50, 51, 51)]])])
+    assert pairs(G.features_in_zones(f, z, "intersects", 10.0)) == [("big", "parts")]
+    assert [round(r.area, 9) for r in G.overlay_area(f, z, 10.0).collect()] == [1.0]
+
+
+def test_within_allows_contact_and_minds_holes(spark):
+    f = shapes(spark, [
+        ("flush upper right", [[box(8, 8, 10, 10)]]), ("flush lower left", [[box(0, 0, 2, 2)]]), ("whole", [[box(0, 0, 10, 10)]]),
+        ("inside", [[box(3, 3, 4, 4)]]), ("over the edge", [[box(9, 9, 11, 11)]]), ("along the edge", [[box(0, 8, 12, 10)]]),
+        ("around the hole", [[box(44, 4, 52, 12)]]), ("in the hole", [[box(46, 6, 47, 7)]]), ("beside the hole", [[box(50, 5, 55, 10)]]),
+        ("ring round the hole", [[box(44, 4, 52, 12), box(45, 5, 50, 10)]]),
+        ("through the corner", [[[[75.0, 19.0], [75.0, 18.0], [89.0, 8.0], [89.0, 9.0]]]]),
+        ("into the corner", [[box(75, 5, 80, 10)]]), ("both arms", [[[[71.0, 1.0], [89.0, 1.0], [71.0, 19.0]]]])])
+    z = shapes(spark, ZONES)
+    for cell in (3.0, 10.0, None):
+        assert pairs(G.features_in_zones(f, z, "within", cell)) == sorted([
+            ("flush upper right", "A"), ("flush lower left", "A"), ("whole", "A"), ("inside", "A"),
+            ("beside the hole", "H"), ("ring round the hole", "H"), ("into the corner", "L"), ("both arms", "L")])
+
+
+def test_zones_whose_boundaries_cross_are_neighbours(spark):
+    z = shapes(spark, [("a", [[box(0, 0, 10, 10)]]), ("b", [[box(5, 5, 15, 15)]]), ("c", [[box(15, 8, 20, 9)]]),
+                       ("d", [[box(40, 40, 41, 41)]]), ("e", [[box(1, 1, 2, 2)]])])
+    got = sorted((r.zone, r.nzone) for r in G.adjacency(z, 5.0).collect())
+    assert got == [("a", "b"), ("b", "a"), ("b", "c"), ("c", "b")]
+
+
+def test_overlay_of_random_boxes(spark):
+    import random
+    r = random.Random(4)
+    boxes = lambda n: [(f"{i}", *(lambda x, y: (x, y, x + r.randrange(1, 9), y + r.randrange(1, 9)))(r.randrange(20), r.randrange(20)))
+                       for i in range(n)]
+    fs, zs = boxes(12), boxes(12)
+    want = {}
+    for i, a, b, c, d in fs:
+        for j, e, f, g, h in zs:
+            w, t = min(c, g) - max(a, e), min(d, h) - max(b, f)
+            if w >= 0 and t >= 0:
+                want[i, j] = float(w * t)
+    f, z = (shapes(spark, [(i, [[box(*b)]]) for i, *b in x]) for x in (fs, zs))
+    assert pairs(G.features_in_zones(f, z, "intersects", 4.0)) == sorted(want)
+    got = {(x.fid, x.zone): round(x.area, 9) for x in G.overlay_area(f, z, 4.0).collect()}
+    assert {k: v for k, v in got.items() if v} == {k: v for k, v in want.items() if v}
+    inside = sorted((i, j) for i, a, b, c, d in fs for j, e, g, h, k in zs if e <= a and g <= b and c <= h and d <= k)
+    assert pairs(G.features_in_zones(f, z, "within", 4.0)) == inside

@@ -71,7 +71,7 @@ def first_number(c: ColumnOrName) -> Column:
     suffix (``"PARIS 20E ARRDT"`` -> 20, ``"Paris 1er Arrondissement"`` -> 1,
     ``"TOTAL"`` -> NULL)."""
     digits = F.regexp_extract(_c(c), r"(?i)\b(\d+)(er|e|ème)?\b", 1)
-    return F.when(digits != "", digits.cast("int"))
+    return F.when(digits != "", digits.try_cast("int"))
 
 
 def code_to_district(c: ColumnOrName, kind: str = "postal",
@@ -88,13 +88,13 @@ def code_to_district(c: ColumnOrName, kind: str = "postal",
         d = n - 75000
         if not keep_116:
             d = F.when(d == 116, F.lit(16)).otherwise(d)
-        return d.cast("int")
+        return d.try_cast("int")
     if kind == "insee":
-        return (n - 75100).cast("int")
+        return (n - 75100).try_cast("int")
     if kind == "zone":
-        return to_int(F.substring(s, 4, 2)).cast("int")
+        return to_int(F.substring(s, 4, 2)).try_cast("int")
     if kind == "last2":
-        return (n % 100).cast("int")
+        return (n % 100).try_cast("int")
     raise ValueError(f"unknown code kind {kind!r}")
 
 
@@ -181,13 +181,14 @@ def clip(c: ColumnOrName, lo: float = 0.0, hi: float = 100.0) -> Column:
 def round_dec(c: ColumnOrName, digits: int) -> Column:
     """SF17: half-up rounding done in decimal arithmetic so that the result
     does not depend on the binary expansion of the double (matches SQL
-    engines that round decimals)."""
-    return F.round(_c(c).cast("decimal(38,10)"), digits).cast("double")
+    engines that round decimals).  A double beyond decimal(38,10) has no digits
+    to round and stays as it is."""
+    return F.coalesce(F.round(_c(c).try_cast("decimal(38,10)"), digits).cast("double"), _c(c).cast("double"))
 
 
 def round_half_even(c: ColumnOrName, digits: int) -> Column:
     """SF17: banker's rounding (parity with pandas/numpy ``round``)."""
-    return F.bround(_c(c).cast("decimal(38,10)"), digits).cast("double")
+    return F.coalesce(F.bround(_c(c).try_cast("decimal(38,10)"), digits).cast("double"), _c(c).cast("double"))
 
 
 def safe_div(num: ColumnOrName, den: ColumnOrName) -> Column:
@@ -233,6 +234,13 @@ def band(c: ColumnOrName, thresholds: Sequence[tuple[float, str]] = AFFORDABILIT
     return F.when(x.isNotNull(), out.otherwise(F.lit(other)))
 
 
+def gauge(c: ColumnOrName) -> Column:
+    """SF22: gauge score of the affordability index: the slope falls from band
+    to band, and the last band ends at 10."""
+    x = _c(c)
+    return F.when(x < 5, 100 - x * 8).when(x < 10, 100 - x * 6).when(x.isNotNull(), F.greatest(F.lit(10.0), 100 - x * 5))
+
+
 def per_10k(count: ColumnOrName, population: ColumnOrName) -> Column:
     """SF23: rate per 10 000 persons, NULL when the population is 0/NULL."""
     return safe_div(_c(count).cast("double") * 10000.0, population)

@@ -10,6 +10,10 @@ listed under its first ``n // 5 + 1`` shingles; two similar sets always meet in
 the list of their first common shingle.  Each entry has the set's size and the
 shingle's position, and blocks of entries that these rule out are skipped.
 
+*Sketches.*  A set's sketch, a count per range of hashes, is 1/20 of its size;
+pairs whose sketches bound their intersection too low are dropped before whole
+sets are fetched.
+
 *Answers from a similar set.*  Lists are never compared pairwise.  In a first
 round each list is compared to one pivot; entries similar to the pivot take
 over its component.  Later rounds look only at lists that still hold several
@@ -35,6 +39,8 @@ component; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -58,33 +64,108 @@ PIVOTS = (16, 64, 256, 1024, 4096)
 
 _MUL = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9,
                  0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
+SECTION = 1 << 20      # bytes whose words are hashed together
+_SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
+_SPACE_BYTE = re.compile(rb"[\x09-\x0D\x20]")
+_BYTE = np.random.default_rng(11).integers(1, 1 << 63, 256, np.uint64)
+_BASE = 0x9E3779B97F4A7C15
+_powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]  # of the base, and of its inverse
+
+
+def _mix(x: np.ndarray) -> np.ndarray:
+    x = x ^ (x >> np.uint64(32))
+    x *= np.uint64(0xD6E8FEB86659FD93)
+    x ^= x >> np.uint64(32)
+    return x
+
+
+def _power(n: int) -> list[np.ndarray]:
+    if len(_powers[0]) < n:
+        for k, base in enumerate((_BASE, pow(_BASE, -1, 1 << 64))):
+            step = np.full(n, base, np.uint64)
+            step[0] = 1
+            _powers[k] = np.cumprod(step)
+    return _powers
+
+
+def word_hashes(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Hash and first byte of each word of lower-cased ``data``: a polynomial in
+    the word's bytes, from one running sum over all bytes."""
+    raw = np.frombuffer(data, np.uint8)
+    word = np.concatenate([[False], ~_SPACE[raw], [False]])
+    edges = np.flatnonzero(word[1:] != word[:-1])
+    starts, ends = edges[::2], edges[1::2]
+    power, inverse = _power(len(raw) + 1)
+    sums = np.zeros(len(raw) + 1, np.uint64)
+    np.cumsum(_BYTE[raw] * power[:len(raw)], out=sums[1:])
+    return _mix((sums[ends] - sums[starts]) * inverse[starts]), starts
+
+
+def _sections(text: bytes):
+    """A long text in sections cut at white space."""
+    at = 0
+    while len(text) - at > SECTION:
+        m = _SPACE_BYTE.search(text, at + SECTION)
+        if m is None:
+            break
+        cut = m.start()
+        yield text[at:cut]
+        at = cut
+    yield text[at:]
+
+
+def shingle_sets(texts: list[bytes]) -> list[np.ndarray]:
+    """Sorted distinct shingle hashes of each text."""
+    out: list = [None] * len(texts)
+    short, size = [], 0
+
+    def settle():
+        # Texts are hashed together; a space between them ends their last words.
+        hashes, starts = word_hashes(b" ".join(texts[i] for i in short).lower())
+        bounds = np.searchsorted(starts, np.cumsum([0] + [len(texts[i]) + 1 for i in short]))
+        for i, a, b in zip(short, bounds, bounds[1:]):
+            out[i] = _shingles(hashes[a:b])
+
+    for i, t in enumerate(texts):
+        if len(t) > SECTION:
+            out[i] = _shingles(np.concatenate([word_hashes(x.lower())[0] for x in _sections(t)]))
+            continue
+        if short and size + len(t) > SECTION:
+            settle()
+            short, size = [], 0
+        short.append(i)
+        size += len(t)
+    if short:
+        settle()
+    return out
 
 
-class Shingler(dict):
-    """Memo from a word to its hash; makes shingle sets."""
+def _shingles(words: np.ndarray) -> np.ndarray:
+    if not len(words):
+        return np.empty(0, np.uint64)
+    n = max(1, len(words) - WIDTH + 1)
+    s = np.full(n, len(words) if len(words) < WIDTH else 0, np.uint64)
+    for k in range(min(WIDTH, len(words))):
+        s += words[k:k + n] * _MUL[k]
+    return np.unique(_mix(s))
 
-    def __missing__(self, word: bytes) -> int:
-        self[word] = h = xxhash.xxh3_64_intdigest(word)
-        return h
 
-    def shingles(self, text: bytes) -> np.ndarray:
-        """Sorted distinct shingle hashes of ``text``."""
-        words = text.lower().split()  # of bytes: A-Z and ASCII white space only
-        if not words:
-            return np.empty(0, np.uint64)
-        if len(words) < WIDTH:
-            return np.array([xxhash.xxh3_64_intdigest(b" ".join(words), len(words))], np.uint64)
-        if len(self) > MEMO_SIZE:
-            self.clear()
-        h = np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
-        n = len(h) - WIDTH + 1
-        s = h[:n] * _MUL[0]
-        for k in range(1, WIDTH):
-            s += h[k:k + n] * _MUL[k]
-        s ^= s >> np.uint64(32)
-        s *= np.uint64(0xD6E8FEB86659FD93)
-        s ^= s >> np.uint64(32)
-        return np.unique(s)
+def sketch(shingles: np.ndarray) -> bytes | None:
+    """How many shingles fall into each of 2**k ranges of hashes, about three a
+    range.  Summed minima of two sketches bound the sets' intersection from
+    above (null: no bound)."""
+    k = max(2, int(len(shingles) // 2).bit_length() - 1)
+    counts = np.bincount((shingles >> np.uint64(64 - k)).astype(np.int64), minlength=1 << k)
+    return counts.astype(np.uint8).tobytes() if counts.max() < 256 else None
+
+
+def may_link(n: int, x: bytes | None, m: int, y: bytes | None) -> bool:
+    """Whether the sketches of sets of sizes ``n`` and ``m`` leave a link possible."""
+    if x is None or y is None:
+        return True
+    u, v = np.frombuffer(x, np.uint8).astype(np.int64), np.frombuffer(y, np.uint8).astype(np.int64)
+    k = min(len(u), len(v))
+    return 9 * int(np.minimum(u.reshape(k, -1).sum(1), v.reshape(k, -1).sum(1)).sum()) >= 4 * (n + m)
 
 
 def set_id(shingles: np.ndarray) -> int:
@@ -108,45 +189,44 @@ class _Seen(set):
 
 
 def _describe(src: DataFrame) -> DataFrame:
-    """Rows ``(_id, n, sid)`` per document and ``(token, hits)`` per shingle
-    that repeats within a task, in one pass."""
+    """Rows ``(_id, n, sid, sketch)`` per document (the sketch once per set and
+    task) and ``(token, hits)`` per shingle that repeats within a task."""
     id_type = src.schema["_id"].dataType.simpleString()
+    names = ["_id", "n", "sid", "sketch", "token", "hits"]
 
     def run(batches):
-        make, seen, held, size = Shingler(), _Seen(), [], 0
+        seen, held, size = _Seen(), [], 0
 
-        def repeats():
+        def repeats(id_arrow):
             tokens, counts = np.unique(np.concatenate(held), return_counts=True)
             often = counts >= 4
             t, c = tokens[often], counts[often]
-            return pa.RecordBatch.from_arrays(
-                [pa.nulls(len(t), id_arrow), pa.nulls(len(t), pa.int64()), pa.nulls(len(t), pa.int64()),
-                 pa.array(_signed(t)), pa.array(c.astype(np.int64))], ["_id", "n", "sid", "token", "hits"])
+            empty = (pa.nulls(len(t), x) for x in (id_arrow, pa.int64(), pa.int64(), pa.binary()))
+            return pa.RecordBatch.from_arrays([*empty, pa.array(_signed(t)), pa.array(c.astype(np.int64))], names)
 
-        id_arrow = None
         for batch in batches:
-            id_arrow = batch.column(0).type
             for ids, texts in text_rows([batch]):
-                ns, sids = [], []
-                for t in texts:
-                    s = make.shingles(t)
-                    ns.append(len(s))
-                    sids.append(sid := set_id(s) if len(s) else None)
-                    if len(s) and seen.new(sid):
+                sets = shingle_sets(texts)
+                sids, sketches = [], []
+                for s in sets:
+                    sid = set_id(s) if len(s) else None
+                    fresh = sid is not None and seen.new(sid)
+                    sids.append(None if sid is None else sid - (sid >> 63 << 64))
+                    sketches.append(sketch(s) if fresh else None)
+                    if fresh:
                         held.append(s)
                         size += len(s)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids, id_arrow), pa.array(ns, pa.int64()),
-                     pa.array([None if x is None else x - (x >> 63 << 64) for x in sids], pa.int64()),
-                     pa.nulls(len(ids), pa.int64()), pa.nulls(len(ids), pa.int64())],
-                    ["_id", "n", "sid", "token", "hits"])
+                    [pa.array(ids, batch.column(0).type), pa.array([len(s) for s in sets], pa.int64()),
+                     pa.array(sids, pa.int64()), pa.array(sketches, pa.binary()), pa.nulls(len(ids), pa.int64()),
+                     pa.nulls(len(ids), pa.int64())], names)
                 if size >= COUNT_AT_ONCE:
-                    yield repeats()
+                    yield repeats(batch.column(0).type)
                     held, size = [], 0
         if held:
-            yield repeats()
+            yield repeats(batch.column(0).type)
 
-    return src.mapInArrow(run, f"_id {id_type}, n bigint, sid bigint, token bigint, hits bigint")
+    return src.mapInArrow(run, f"_id {id_type}, n bigint, sid bigint, sketch binary, token bigint, hits bigint")
 
 
 def _frequent(described: DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -166,13 +246,12 @@ def _index(src: DataFrame, frequent: _Shared) -> DataFrame:
     position, negative under a frequent shingle."""
 
     def run(batches):
-        make, seen = Shingler(), _Seen()
+        seen = _Seen()
         tokens, levels = frequent.value
         for batch in batches:
             for _, texts in text_rows([batch]):
                 ts, ss, nps = [np.empty(0, np.uint64)], [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
-                for t in texts:
-                    s = make.shingles(t)
+                for s in shingle_sets(texts):
                     if not len(s) or not seen.new(sid := set_id(s)):
                         continue
                     often = np.zeros(len(s), np.uint8)
@@ -193,12 +272,13 @@ def _index(src: DataFrame, frequent: _Shared) -> DataFrame:
 
 def _lists(index: DataFrame) -> DataFrame:
     """Lists of two entries or more, each entry with its list's pivot (the
-    smallest set id): ``(token, sid, n, pos, pivot, pn, ppos)``.  A streaming
-    pass over sorted entries; only the running list's pivot is held."""
+    smallest set id): ``(token, sid, n, pos, pivot, pn, ppos, more)``; ``more``
+    is 0 if the list surely has no third entry.  A streaming pass over sorted
+    entries; only the running list's pivot is held."""
     salt = F.when(F.col("np") < 0, F.pmod("sid", F.lit(SALTS))).otherwise(F.lit(0))
     sorted_ = index.withColumn("salt", salt).repartition("token", "salt") \
                    .sortWithinPartitions("token", "salt", "sid")
-    names = ["token", "sid", "n", "pos", "pivot", "pn", "ppos"]
+    names = ["token", "sid", "n", "pos", "pivot", "pn", "ppos", "more"]
 
     def run(batches):
         held = None    # the running list's pivot: (token, salt, sid, np)
@@ -218,7 +298,9 @@ def _lists(index: DataFrame) -> DataFrame:
                 again[1] = True
             at = np.flatnonzero(starts)
             of = np.cumsum(starts) - 1
-            many = np.bincount(of, ~again) > 1
+            size = np.bincount(of, ~again)
+            many = size > 1
+            more = (size > 2)[of] | (p < 0) | (of == of[-1]) | (of == 0)  # the first and last may go on
             out = ~again & (many[of] | (p < 0))
             if told:
                 out[0] = False
@@ -228,7 +310,8 @@ def _lists(index: DataFrame) -> DataFrame:
             piv = at[of][out]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(x) for x in (t[out], s[out], np.abs(p[out]) >> 31, np.abs(p[out]) & 0x7FFFFFFF,
-                                       s[piv], np.abs(p[piv]) >> 31, np.abs(p[piv]) & 0x7FFFFFFF)], names)
+                                       s[piv], np.abs(p[piv]) >> 31, np.abs(p[piv]) & 0x7FFFFFFF,
+                                       more[out].astype(np.int64))], names)
 
     return sorted_.mapInArrow(run, ", ".join(f"{x} bigint" for x in names))
 
@@ -256,12 +339,11 @@ def _sets(src: DataFrame, wanted: _Shared) -> DataFrame:
     """``(sid, members)`` of the wanted sets (and a few whose bit is the same)."""
 
     def run(batches):
-        make, seen, bits = Shingler(), _Seen(), wanted.value
+        seen, bits = _Seen(), wanted.value
         for batch in batches:
             for _, texts in text_rows([batch]):
                 sids, members = [], []
-                for t in texts:
-                    s = make.shingles(t)
+                for s in shingle_sets(texts):
                     if not len(s):
                         continue
                     sid = set_id(s)
@@ -275,17 +357,36 @@ def _sets(src: DataFrame, wanted: _Shared) -> DataFrame:
     return src.mapInArrow(run, "sid bigint, members binary")
 
 
-def _verify(src: DataFrame, pairs: DataFrame) -> DataFrame:
-    """``(a, b, j, linked)``: the similarity of each pair.  Pivots (``a``) may be hot: their sets are
+def _attach(pairs: DataFrame, values: DataFrame, columns: list[str]) -> DataFrame:
+    """``pairs`` with the columns of ``values`` (by ``sid``) for ``a`` (named
+    ``x_``) and ``b`` (``y_``).  Pivots (``a``) may be hot: their values are
     replicated for the salts that occur."""
+    salted = pairs.withColumn("salt", F.pmod("b", F.lit(SALTS)))
+    x = values.select(F.col("sid").alias("a"), *[F.col(c).alias(f"x_{c}") for c in columns])
+    y = values.select(F.col("sid").alias("b"), *[F.col(c).alias(f"y_{c}") for c in columns])
+    needs = salted.select("a", "salt").distinct().join(x, "a")
+    return salted.join(needs, ["a", "salt"]).join(y, "b") \
+                 .select("a", "b", *[f"{p}_{c}" for c in columns for p in "xy"])
+
+
+def _plausible(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
+    """The pairs that their sketches don't rule out."""
+
+    def run(batches):
+        for batch in batches:
+            n, m, x, y = (batch.column(i).to_pylist() for i in range(2, 6))
+            ok = pa.array([may_link(*v) for v in zip(n, x, m, y)], pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch.column(0).filter(ok), batch.column(1).filter(ok)], ["a", "b"])
+
+    return _attach(pairs, sketches, ["n", "sketch"]).mapInArrow(run, "a bigint, b bigint")
+
+
+def _verify(src: DataFrame, pairs: DataFrame) -> DataFrame:
+    """``(a, b, j, linked)``: the similarity of each pair."""
     spark = src.sparkSession
     sets = _sets(src, _Shared(spark, _wanted(pairs)))
     sets = stored(sets.groupBy("sid").agg(F.first("members").alias("members")), "sets")
-    salted = pairs.withColumn("salt", F.pmod("b", F.lit(SALTS)))
-    needs = salted.select("a", "salt").distinct().join(sets.withColumnRenamed("sid", "a"), "a")
-    left = salted.join(needs.withColumnRenamed("members", "x"), ["a", "salt"]).drop("salt")
-    both = left.join(sets.select(F.col("sid").alias("b"), F.col("members").alias("y")), "b") \
-               .select("a", "b", "x", "y")
+    both = _attach(pairs, sets, ["members"])
 
     def run(batches):
         for batch in batches:
@@ -340,17 +441,20 @@ def similarity_components(docs: DataFrame, id_col: str = "doc_id", text_col: str
     described = stored(_describe(src), "described")
     rows = described.filter("token is null").select("_id", "n", "sid")
     frequent = _Shared(spark, _frequent(described))
+    sketches = stored(described.filter("sketch is not null").groupBy("sid")
+                      .agg(F.max("n").alias("n"), F.max("sketch").alias("sketch")), "sketches")
     lists = stored(_lists(_index(src, frequent)), "lists")
 
-    pairs = stored(lists.filter("sid <> pivot").filter(_possible(F.col("n"), F.col("pos"), F.col("pn"), F.col("ppos")))
-                        .select(F.col("pivot").alias("a"), F.col("sid").alias("b")).distinct(), "pairs")
+    pairs = lists.filter("sid <> pivot").filter(_possible(F.col("n"), F.col("pos"), F.col("pn"), F.col("ppos"))) \
+                 .select(F.col("pivot").alias("a"), F.col("sid").alias("b")).distinct()
+    pairs = stored(_plausible(pairs, sketches), "pairs")
     verified = stored(_verify(src, pairs), "verified")
     links = verified.filter("linked").select("a", "b")
     comps = components(links)
 
     # Later rounds: entries with what the first pivot's answers say of them.
     known = verified.select(F.col("a").alias("pivot"), F.col("b").alias("sid"), "j")
-    entries = lists.join(known, ["pivot", "sid"], "left") \
+    entries = lists.filter("more = 1").join(known, ["pivot", "sid"], "left") \
         .withColumn("j", F.when(F.col("sid") == F.col("pivot"), F.lit(1.0)).otherwise(F.col("j"))) \
         .select("token", "sid", "n", "pos", "pivot", "j")
     checked = verified.select("a", "b")
@@ -370,7 +474,7 @@ def similarity_components(docs: DataFrame, id_col: str = "doc_id", text_col: str
                                    | (F.abs(F.col("p.j") - F.col("e.j")) <= 0.2000001), F.lit(True)))
                 .select(F.least("p.sid", "e.sid").alias("a"), F.greatest("p.sid", "e.sid").alias("b")).distinct()
                 .join(checked, ["a", "b"], "left_anti"))
-        new = stored(new, "pairs")
+        new = stored(_plausible(new, sketches), "pairs")
         if not new.isEmpty():
             more = stored(_verify(src, new), "verified")
             checked = checked.union(more.select("a", "b"))

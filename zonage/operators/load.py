@@ -1,21 +1,25 @@
 """Idempotent load semantics and table contracts (SNK1–SNK15).
 
-Plain Parquet has no MERGE, so every load is computed as a DataFrame — the
-*next state* of the target — and written as a new snapshot directory; the
-previous snapshot is never overwritten while it is being read
-(:func:`write_snapshot`).  Each rule is a join:
-
-* insert-if-empty  = source gated by a scalar ``count(target) = 0``;
-* anti-join append = ``source ⟕anti target`` on the key;
-* insert-ignore    = dedupe the batch (explicit order) then anti-join append;
-* upsert           = ``source ∪ (target ⟕anti source)``.
-
-The joins are shuffle joins on the key (or broadcast when one side is
-small per AQE's runtime statistics); none collects either side.
+Plain Parquet has no MERGE.  A table is a folder of immutable data parts and a
+log of versions; a version is a small file that names the table's parts and
+schema, written under a temporary name and renamed into place, so a reader sees
+either the version before or the one after.  The highest version counts.  Only a
+missing log means an empty table: anything else that goes wrong while reading is
+an error, never an empty table.
+
+* append, insert-if-empty, insert-ignore, anti-join append (SNK1–SNK5) write one
+  new part with the new rows; what the table had is not read beyond the keys and
+  not written again;
+* upsert (SNK6) rewrites only the parts that hold keys of the batch;
+* drop-and-reload (SNK7, SNK8) is a version with one new part.
+
+:func:`vacuum` removes parts that no recent version names.  The joins are shuffle
+joins on the key (or broadcast by AQE's runtime statistics); none collects a side.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import uuid
 from collections.abc import Mapping, Sequence
@@ -23,6 +27,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .joins import anti_join
 from .score import keep_first
@@ -56,44 +61,177 @@ def insert_ignore(target: DataFrame, source: DataFrame, keys: Sequence[str],
 
 
 def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
-           order: Sequence[Column | str] | None = None) -> DataFrame:
+           order: Sequence[Column | str]) -> DataFrame:
     """SNK6: ``INSERT … ON CONFLICT DO UPDATE``: new rows replace old ones per
     key.  Duplicate keys inside the batch keep the first row under ``order``
     (PostgreSQL would reject such a batch)."""
-    src = keep_first(source, keys, order) if order else source
+    src = keep_first(source, keys, order)
     kept = anti_join(target, src, keys, null_safe=False)
     return src.select(*target.columns).unionByName(kept)
 
 
-def write_snapshot(df: DataFrame, base: str, partition_by: Sequence[str] = ()) -> str:
-    """SNK6/SNK7: write the next state of a table as a new snapshot directory
-    ``<base>/snapshot=<id>`` and point ``<base>/_CURRENT`` at it.  Readers use
-    :func:`read_current`; the old snapshot stays readable until replaced."""
-    spark = df.sparkSession
-    snap = f"snapshot={uuid.uuid4().hex}"
-    path = os.path.join(base, snap)
+# --------------------------------------------------------------------------
+# stored tables
+# --------------------------------------------------------------------------
+
+LOG = "_log"
+
+
+@dataclass
+class Version:
+    """What one version of a stored table says."""
+    number: int
+    parts: list[str]          # folders below the table's
+    schema: dict | None       # None: never written
+    batches: dict[str, int]   # last micro-batch of each stream
+
+
+def _fs(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), jvm.org.apache.hadoop.fs.Path
+
+
+def versions(spark: SparkSession, base: str) -> list[int]:
+    """Numbers of the versions in the log, ascending; none if there is no log."""
+    fs, path = _fs(spark, base)
+    log = path(os.path.join(base, LOG))
+    if not fs.exists(log):
+        return []
+    return sorted(int(f.getPath().getName()) for f in fs.listStatus(log) if f.getPath().getName().isdigit())
+
+
+def read_version(spark: SparkSession, base: str, number: int | None = None) -> Version:
+    """A version of a table (by default the highest); an unreadable one raises."""
+    known = versions(spark, base)
+    if number is None:
+        if not known:
+            return Version(0, [], None, {})
+        number = known[-1]
+    lines = spark.read.text(os.path.join(base, LOG, f"{number:020d}"), wholetext=True).collect()
+    try:
+        found = json.loads(lines[0][0])
+        return Version(number, found["parts"], found["schema"], found["batches"])
+    except (IndexError, KeyError, ValueError) as e:
+        raise OSError(f"version {number} of table {base} is damaged") from e
+
+
+def _publish(spark: SparkSession, base: str, version: Version) -> None:
+    """Make ``version`` the table's highest, or raise if another writer has."""
+    fs, path = _fs(spark, base)
+    log = os.path.join(base, LOG)
+    temp, final = path(os.path.join(log, f".{uuid.uuid4().hex}")), path(os.path.join(log, f"{version.number:020d}"))
+    text = json.dumps({"parts": version.parts, "schema": version.schema, "batches": version.batches})
+    out = fs.create(temp, False)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+    if fs.exists(final) or not fs.rename(temp, final):
+        fs.delete(temp, False)
+        raise OSError(f"another writer has published version {version.number} of table {base}")
+
+
+def _write_part(df: DataFrame, base: str, partition_by: Sequence[str] = ()) -> str:
+    name = f"part={uuid.uuid4().hex}"
     w = df.write.mode("errorifexists")
     if partition_by:
         w = w.partitionBy(*partition_by)
-    w.parquet(path)
-    spark.createDataFrame([(snap,)], "current string").coalesce(1) \
-        .write.mode("overwrite").text(os.path.join(base, "_CURRENT"))
-    return path
+    w.parquet(os.path.join(base, name))
+    return name
+
+
+def _read_parts(spark: SparkSession, base: str, version: Version, parts: Sequence[str] | None = None) -> DataFrame:
+    schema = T.StructType.fromJson(version.schema)
+    frames = [spark.read.schema(schema).parquet(os.path.join(base, p)) for p in (version.parts if parts is None else parts)]
+    out = frames[0] if frames else spark.createDataFrame([], schema)
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
 
 
 def read_current(spark: SparkSession, base: str) -> DataFrame | None:
-    """Read the snapshot ``_CURRENT`` points at (``None`` if never written)."""
-    ptr = os.path.join(base, "_CURRENT")
-    try:
-        snap = spark.read.text(ptr).first()
-    except Exception:  # noqa: BLE001 - missing pointer = empty table
-        return None
-    return spark.read.parquet(os.path.join(base, snap[0])) if snap else None
+    """The table's current rows; ``None`` only if it has never been written."""
+    version = read_version(spark, base)
+    return None if version.schema is None else _read_parts(spark, base, version)
+
+
+def replace(df: DataFrame, base: str, partition_by: Sequence[str] = (), batch: tuple[str, int] | None = None) -> None:
+    """SNK7/SNK8: drop-and-reload; the version before stays readable by number."""
+    spark = df.sparkSession
+    old = read_version(spark, base)
+    part = _write_part(df, base, partition_by)
+    _publish(spark, base, Version(old.number + 1, [part], df.schema.jsonValue(),
+                                  old.batches | ({batch[0]: batch[1]} if batch else {})))
+
+
+write_snapshot = replace
 
 
-def replace(df: DataFrame, path: str) -> None:
-    """SNK7/SNK8: drop-and-reload of a whole table."""
-    df.write.mode("overwrite").parquet(path)
+def append_part(df: DataFrame, base: str, batch: tuple[str, int] | None = None) -> None:
+    """Add the rows of ``df`` as one more part; the other parts stay untouched.
+    Without rows there is no new version, unless a ``batch`` is to be noted."""
+    spark = df.sparkSession
+    old = read_version(spark, base)
+    if old.schema is None:
+        return replace(df, base, batch=batch)
+    schema = T.StructType.fromJson(old.schema)
+    part = _write_part(df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields]), base)
+    parts = [] if spark.read.schema(schema).parquet(os.path.join(base, part)).isEmpty() else [part]
+    if parts or batch:
+        _publish(spark, base, Version(old.number + 1, [*old.parts, *parts], old.schema,
+                                      old.batches | ({batch[0]: batch[1]} if batch else {})))
+
+
+def upsert_parts(df: DataFrame, base: str, keys: Sequence[str], order: Sequence[Column | str],
+                 batch: tuple[str, int] | None = None) -> None:
+    """SNK6 on a stored table: of the old parts only those that hold a key of
+    the batch are rewritten."""
+    spark = df.sparkSession
+    old = read_version(spark, base)
+    if old.schema is None:
+        return replace(keep_first(df, keys, order), base, batch=batch)
+    schema = T.StructType.fromJson(old.schema)
+    new = keep_first(df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields]), keys, order)
+    part = _write_part(new, base)
+    new = spark.read.schema(schema).parquet(os.path.join(base, part))
+    if new.isEmpty() and batch is None:
+        return None
+    touched = []
+    for p in old.parts:  # the number of parts is the number of loads since the last compaction
+        here = _read_parts(spark, base, old, [p])
+        if not here.join(new.select(*keys), list(keys), "left_semi").isEmpty():
+            touched.append(p)
+    parts = [p for p in old.parts if p not in touched] + [part]
+    if touched:
+        parts.append(_write_part(anti_join(_read_parts(spark, base, old, touched), new, keys, null_safe=False), base))
+    return _publish(spark, base, Version(old.number + 1, parts, old.schema,
+                                         old.batches | ({batch[0]: batch[1]} if batch else {})))
+
+
+def compact(spark: SparkSession, base: str) -> None:
+    """Rewrite a table of many parts as one part."""
+    old = read_version(spark, base)
+    if len(old.parts) > 1:
+        part = _write_part(_read_parts(spark, base, old), base)
+        _publish(spark, base, Version(old.number + 1, [part], old.schema, old.batches))
+
+
+def vacuum(spark: SparkSession, base: str, keep: int = 2) -> int:
+    """Remove the versions before the last ``keep`` and the parts that only they
+    name; returns how many parts.  Not for use beside a running writer."""
+    known = versions(spark, base)
+    fs, path = _fs(spark, base)
+    used = {p for n in known[-keep:] for p in read_version(spark, base, n).parts}
+    gone = 0
+    for n in known[:-keep]:
+        fs.delete(path(os.path.join(base, LOG, f"{n:020d}")), False)
+    for f in fs.listStatus(path(base)) if known else []:
+        name = f.getPath().getName()
+        if name.startswith("part=") and name not in used:
+            fs.delete(f.getPath(), True)
+            gone += 1
+    return gone
 
 
 def audit(df: DataFrame, col: str = "created_at") -> DataFrame:

@@ -329,70 +329,87 @@ def _touching(p: DataFrame) -> Column:
 
 
 def _first_vertices(edges: DataFrame) -> DataFrame:
-    return edges.filter((F.col("part") == 0) & (F.col("ring") == 0) & (F.col("seq") == 0)) \
+    """First shell vertex of every part: parts may lie far apart."""
+    return edges.filter((F.col("ring") == 0) & (F.col("seq") == 0)) \
                 .select("id", F.col("x1").alias("px"), F.col("y1").alias("py"))
 
 
+def _meeting(f: DataFrame, z: DataFrame, fb: DataFrame, zb: DataFrame, hit: DataFrame, cell: float) -> DataFrame:
+    """``(fid, zone)`` pairs that share a point: their boundaries meet (``hit``),
+    or a part of one lies inside the other."""
+    f_in_z = vertices_in_polygons(_first_vertices(f), z, zb, cell) \
+        .select(F.col("id").alias("fid"), F.col("poly").alias("zone"))
+    z_in_f = vertices_in_polygons(_first_vertices(z), f, fb, cell) \
+        .select(F.col("poly").alias("fid"), F.col("id").alias("zone"))
+    return hit.select("fid", F.col("zid").alias("zone")).unionByName(f_in_z).unionByName(z_in_f).distinct()
+
+
+def _cuts(hit: DataFrame, side: str) -> DataFrame:
+    """Where the edges of one side (``f`` or ``z``) are cut by the other's:
+    positions from 0 to 1 per edge and pair."""
+    a, b = ("o3", "o4") if side == "f" else ("o1", "o2")
+    return (hit.filter(F.col(a) != F.col(b))
+            .groupBy("fid", F.col("zid").alias("zone"), *[F.col(f"{side}{c}").alias(c) for c in ("part", "ring", "seq")])
+            .agg(F.collect_list(F.col(a) / (F.col(a) - F.col(b))).alias("ts")))
+
+
 def features_in_zones(features: DataFrame, zones: DataFrame, predicate: str = "within",
-                      cell: float = 1.0) -> DataFrame:
+                      cell: float | None = None) -> DataFrame:
     """JN3/JN4: ``(fid, zone)`` pairs of a polygon layer against the zones.
 
-    * ``within``: every vertex of the feature is inside the zone (even–odd
-      rule) and no feature edge properly crosses a zone edge.  A feature
-      straddling two zones matches none (it is dropped, as in the source
-      pipeline).
-    * ``intersects``: boundaries meet (closed segment test), or one polygon's
-      first vertex lies inside the other (containment without contact).
+    * ``within``: the zone covers the feature, contact with its boundary
+      allowed: every piece of the feature's edges, split where the zone's edges
+      meet them, lies inside the zone or on its boundary, and no piece of the
+      zone's edges lies inside the feature (as a hole of the zone would).  A
+      feature straddling two zones matches none.
+    * ``intersects``: boundaries meet (closed segment test), or the first vertex
+      of a part of one polygon lies inside the other.
+
+    ``cell`` is derived from the zones' sizes if not given.
     """
-    pairs = segment_pairs(features, zones, cell)
-    if predicate == "within":
-        zidx = zone_index(zones, cell)
-        verts = features.select("id", F.col("x1").alias("px"), F.col("y1").alias("py")).distinct()
-        nverts = verts.groupBy("id").agg(F.count("*").alias("_n"))
-        inside = (points_in_zones_all(verts, zidx, "px", "py", cell, "zone")
-                  .groupBy("id", "zone").agg(F.count("*").alias("_k")))
-        full = inside.join(nverts, "id").filter(F.col("_k") == F.col("_n")).select("id", "zone")
-        crossing = pairs.filter(_proper(pairs)).select(
-            F.col("fid").alias("id"), F.col("zid").alias("zone")).distinct()
-        return full.join(crossing, ["id", "zone"], "left_anti") \
-                   .select(F.col("id").alias("fid"), "zone")
+    if predicate not in ("within", "intersects"):
+        raise ValueError(f"unknown predicate {predicate!r}")
+    cell = cell or auto_cell_size(zones)
+    segs = segment_pairs(features, zones, cell)
+    hit = materialize(segs.filter(_touching(segs)))
+    fb, zb = band_edges(features, cell), band_edges(zones, cell)
+    pairs = _meeting(features, zones, fb, zb, hit, cell)
     if predicate == "intersects":
-        touch = pairs.filter(_touching(pairs)).select("fid", F.col("zid").alias("zone"))
-        f_in_z = vertices_in_polygons(_first_vertices(features), zones, band_edges(zones, cell), cell) \
-            .select(F.col("id").alias("fid"), F.col("poly").alias("zone"))
-        z_in_f = vertices_in_polygons(_first_vertices(zones), features, band_edges(features, cell), cell) \
-            .select(F.col("poly").alias("fid"), F.col("id").alias("zone"))
-        return touch.unionByName(f_in_z).unionByName(z_in_f).distinct()
-    raise ValueError(f"unknown predicate {predicate!r}")
+        return pairs
+    fbox, zbox = bboxes(features), bboxes(zones)
+    f, z = fbox.alias("f"), zbox.alias("z")
+    inside_box = (pairs.join(f, pairs["fid"] == F.col("f.id")).join(z, pairs["zone"] == F.col("z.id"))
+                  .filter((F.col("f.minx") >= F.col("z.minx")) & (F.col("f.maxx") <= F.col("z.maxx"))
+                          & (F.col("f.miny") >= F.col("z.miny")) & (F.col("f.maxy") <= F.col("z.maxy")))
+                  .select("fid", "zone"))
+    inside_box = materialize(inside_box)
+    out = _pieces(features, inside_box, "fid", "zone", _cuts(hit, "f"), zb, zbox, cell).filter(~F.col("on") & ~F.col("inside"))
+    held = _pieces(zones, inside_box, "zone", "fid", _cuts(hit, "z"), fb, fbox, cell).filter(~F.col("on") & F.col("inside"))
+    bad = out.select("fid", "zone").unionByName(held.select("fid", "zone")).distinct()
+    return inside_box.join(bad, ["fid", "zone"], "left_anti")
 
 
 # --------------------------------------------------------------------------
 # adjacency and area
 # --------------------------------------------------------------------------
 
-def adjacency(edges: DataFrame, cell: float = 1.0, digits: int = 9) -> DataFrame:
+def adjacency(edges: DataFrame, cell: float | None = None, digits: int = 9) -> DataFrame:
     """JN6: ordered neighbour pairs ``(zone, nzone)``, zone ≠ nzone.
 
-    Zones are neighbours when their boundaries touch: a shared vertex (equi-
-    join on the rounded vertex key) or a vertex of one lying on an edge of
-    the other (T-junctions), found through the cell join.
+    Zones are neighbours when their boundaries meet: a shared vertex (equi-
+    join on the rounded vertex key), or two edges that touch or cross (closed
+    segment test on shared cells; a vertex on the other's edge is one case).
     """
+    cell = cell or auto_cell_size(edges)
     v = edges.select(F.col("id").alias("zone"),
                      F.round("x1", digits).alias("kx"), F.round("y1", digits).alias("ky")).distinct()
     shared = (v.alias("a").join(v.alias("b"), ["kx", "ky"])
               .filter(F.col("a.zone") != F.col("b.zone"))
               .select(F.col("a.zone").alias("zone"), F.col("b.zone").alias("nzone")))
-    pv = edges.select(F.col("id").alias("vzone"), F.col("x1").alias("px"), F.col("y1").alias("py"))
-    pv = pv.withColumn("cx", _cell(F.col("px"), cell)).withColumn("cy", _cell(F.col("py"), cell))
-    ze = _edge_cells(edges, cell, "z")
-    ze = ze.select("cx", "cy", "zid", *[f"z{c}" for c in EDGE_COLS])
-    on = (pv.join(ze, ["cx", "cy"])
-          .filter(F.col("vzone") != F.col("zid"))
-          .filter(_on_edge(F.struct(*[F.col(f"z{c}").alias(c) for c in EDGE_COLS]),
-                           F.col("px"), F.col("py")))
-          .select(F.col("vzone").alias("zone"), F.col("zid").alias("nzone")))
-    both = on.unionByName(on.select(F.col("nzone").alias("zone"), F.col("zone").alias("nzone")))
-    return shared.unionByName(both).distinct()
+    segs = segment_pairs(edges, edges, cell)
+    met = segs.filter((F.col("fid") != F.col("zid")) & _touching(segs)) \
+              .select(F.col("fid").alias("zone"), F.col("zid").alias("nzone"))
+    return shared.unionByName(met).distinct()
 
 
 def polygon_area(edges: DataFrame) -> DataFrame:
@@ -432,18 +449,29 @@ def _near_edge(e: Column, px: Column, py: Column, rel_tol: float = 1e-9) -> Colu
     return (F.abs(cross) <= F.lit(rel_tol) * len2) & (t >= -rel_tol) & (t <= 1 + rel_tol)
 
 
-def _pieces_inside(own_edges: DataFrame, pairs: DataFrame, own_key: str, other_key: str,
-                   cuts: DataFrame, other_bands: DataFrame, cell: float,
-                   keep_coincident: bool) -> DataFrame:
-    """Sub-segments of ``own`` edges (split at the cut parameters) that lie
-    inside the paired ``other`` polygon, with their Green term.
-
-    A piece lying on the other polygon's boundary (coincident edges) is kept
-    only when ``keep_coincident`` and the two edges run the same way — so a
-    shared stretch is counted once, from one side — and dropped when they run
-    opposite ways."""
-    e = own_edges.withColumnRenamed("id", own_key)
-    e = pairs.join(e, own_key)
+def _edges_near(own: DataFrame, boxes: DataFrame, cell: float) -> DataFrame:
+    """``own``'s edges with each polygon (``poly``) whose bounding box shares a
+    cell with the edge's; an edge far from a polygon is never paired with it.
+    A pair that shares several cells is kept in the first of them."""
+    cells = boxes.select(F.col("id").alias("poly"), _cell(F.col("minx"), cell).alias("bx"), _cell(F.col("miny"), cell).alias("by"),
+                         F.explode(_cells(F.col("minx"), F.col("maxx"), cell)).alias("cx"), "miny", "maxy") \
+                 .select("poly", "bx", "by", "cx", F.explode(_cells(F.col("miny"), F.col("maxy"), cell)).alias("cy"))
+    ex, ey = _cell(F.least("x1", "x2"), cell), _cell(F.least("y1", "y2"), cell)
+    e = own.withColumns({"ex": ex, "ey": ey})
+    e = e.withColumn("cx", F.explode(_cells(F.least("x1", "x2"), F.greatest("x1", "x2"), cell)))
+    e = e.withColumn("cy", F.explode(_cells(F.least("y1", "y2"), F.greatest("y1", "y2"), cell)))
+    first = (F.col("cx") == F.greatest("ex", "bx")) & (F.col("cy") == F.greatest("ey", "by"))
+    return e.join(cells, ["cx", "cy"]).filter(first).drop("cx", "cy", "ex", "ey", "bx", "by")
+
+
+def _pieces(own_edges: DataFrame, pairs: DataFrame, own_key: str, other_key: str, cuts: DataFrame,
+            other_bands: DataFrame, other_boxes: DataFrame, cell: float) -> DataFrame:
+    """Pieces of ``own`` edges (split at the cut positions) near the paired
+    polygon: end points, and whether the middle lies ``on`` the other's boundary
+    (``same``: along an edge that runs the same way) or ``inside`` it by the
+    even–odd rule (half-open; meaningful where it isn't ``on``)."""
+    e = _edges_near(own_edges.withColumnRenamed("id", own_key), other_boxes, cell).withColumnRenamed("poly", other_key)
+    e = e.join(pairs, [own_key, other_key])
     e = e.join(cuts, [own_key, other_key, "part", "ring", "seq"], "left")
     ts = F.array_sort(F.array_distinct(F.concat(F.array(F.lit(0.0), F.lit(1.0)),
                                                 F.coalesce(F.col("ts"), F.array().cast("array<double>")))))
@@ -461,52 +489,41 @@ def _pieces_inside(own_edges: DataFrame, pairs: DataFrame, own_key: str, other_k
                  (F.col("x1") + dx * tm).alias("mx"), (F.col("y1") + dy * tm).alias("my"))
     b = bounded_broadcast(other_bands.select(F.col("id").alias("_bid"), F.col("cy").alias("_bcy"), "edges"),
                           items=F.size("edges"))
+    # No edge of the other polygon in the band: outside.
     j = p.withColumn("_cy", _cell(F.col("my"), cell)).join(
-        b, (F.col(other_key) == F.col("_bid")) & (F.col("_cy") == F.col("_bcy")))
+        b, (F.col(other_key) == F.col("_bid")) & (F.col("_cy") == F.col("_bcy")), "left")
     mx, my = F.col("mx"), F.col("my")
-    on = F.exists(F.col("edges"), lambda ed: _near_edge(ed, mx, my))
-    keep = ~on & _parity(F.col("edges"), mx, my)
-    if keep_coincident:
-        same = F.exists(F.col("edges"), lambda ed: _near_edge(ed, mx, my) & (
-            (ed["x2"] - ed["x1"]) * (F.col("bx") - F.col("ax"))
-            + (ed["y2"] - ed["y1"]) * (F.col("by") - F.col("ay")) > 0))
-        keep = keep | same
-    return j.filter(keep).select(
-        own_key, other_key,
-        (F.lit(0.5) * (F.col("ax") * F.col("by") - F.col("bx") * F.col("ay"))).alias("term"))
-
-
-def overlay_area(features: DataFrame, zones: DataFrame, cell: float = 1.0,
+    edges = F.coalesce("edges", F.array().cast(other_bands.schema["edges"].dataType))
+    along = lambda ed: ((ed["x2"] - ed["x1"]) * (F.col("bx") - F.col("ax"))
+                        + (ed["y2"] - ed["y1"]) * (F.col("by") - F.col("ay")) > 0)
+    return j.select(own_key, other_key, "ax", "ay", "bx", "by",
+                    F.exists(edges, lambda ed: _near_edge(ed, mx, my)).alias("on"),
+                    F.exists(edges, lambda ed: _near_edge(ed, mx, my) & along(ed)).alias("same"),
+                    _parity(edges, mx, my).alias("inside"))
+
+
+def overlay_area(features: DataFrame, zones: DataFrame, cell: float | None = None,
                  orient: bool = False) -> DataFrame:
     """JN5: ``(fid, zone, area)`` = area of feature ∩ zone for every
     intersecting pair, by Green's theorem over the boundary of the
     intersection: feature edges inside the zone plus zone edges inside the
     feature, each split at their mutual crossings.  Work is per candidate
-    pair (found through shared grid cells) and per edge — no pair of
-    polygons is ever materialised as a whole.
+    pair (found through shared grid cells) and per edge near the other polygon.
 
     Edge tables from :func:`polygon_edges` / :func:`box_edges` are already
     oriented (shells counter-clockwise); pass ``orient=True`` for others.
     Coincident stretches of boundary are counted once (from the feature side)
-    when both edges run the same way and dropped when they run opposite ways."""
+    when both edges run the same way and dropped when they run opposite ways.
+    ``cell`` is derived from the zones' sizes if not given."""
     f, z = (orient_rings(features), orient_rings(zones)) if orient else (features, zones)
+    cell = cell or auto_cell_size(zones)
     segs = segment_pairs(f, z, cell)
     hit = materialize(segs.filter(_touching(segs)))
     fb, zb = band_edges(f, cell), band_edges(z, cell)
-    f_in_z = vertices_in_polygons(_first_vertices(f), z, zb, cell) \
-        .select(F.col("id").alias("fid"), F.col("poly").alias("zone"))
-    z_in_f = vertices_in_polygons(_first_vertices(z), f, fb, cell) \
-        .select(F.col("poly").alias("fid"), F.col("id").alias("zone"))
-    pairs = materialize(hit.select("fid", F.col("zid").alias("zone"))
-                        .unionByName(f_in_z).unionByName(z_in_f).distinct())
-    fcut = (hit.filter(F.col("o3") != F.col("o4"))
-            .groupBy("fid", F.col("zid").alias("zone"), F.col("fpart").alias("part"),
-                     F.col("fring").alias("ring"), F.col("fseq").alias("seq"))
-            .agg(F.collect_list(F.col("o3") / (F.col("o3") - F.col("o4"))).alias("ts")))
-    zcut = (hit.filter(F.col("o1") != F.col("o2"))
-            .groupBy("fid", F.col("zid").alias("zone"), F.col("zpart").alias("part"),
-                     F.col("zring").alias("ring"), F.col("zseq").alias("seq"))
-            .agg(F.collect_list(F.col("o1") / (F.col("o1") - F.col("o2"))).alias("ts")))
-    f_in = _pieces_inside(f, pairs, "fid", "zone", fcut, zb, cell, keep_coincident=True)
-    z_in = _pieces_inside(z, pairs, "zone", "fid", zcut, fb, cell, keep_coincident=False)
-    return f_in.unionByName(z_in).groupBy("fid", "zone").agg(F.sum("term").alias("area"))
+    pairs = materialize(_meeting(f, z, fb, zb, hit, cell))
+    term = (F.lit(0.5) * (F.col("ax") * F.col("by") - F.col("bx") * F.col("ay"))).alias("term")
+    inside = ~F.col("on") & F.col("inside")
+    f_in = _pieces(f, pairs, "fid", "zone", _cuts(hit, "f"), zb, bboxes(z), cell).filter(inside | F.col("same"))
+    z_in = _pieces(z, pairs, "zone", "fid", _cuts(hit, "z"), fb, bboxes(f), cell).filter(inside)
+    return f_in.select("fid", "zone", term).unionByName(z_in.select("fid", "zone", term)) \
+               .groupBy("fid", "zone").agg(F.sum("term").alias("area"))

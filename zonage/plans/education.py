@@ -20,8 +20,8 @@ def schools_map(schools: DataFrame, colleges_like: DataFrame, zone_edges: DataFr
                 zones: DataFrame) -> DataFrame:
     """DP15 school map: latest school year of each file (FLT9), elementary rows
     also listed as 'Polyvalent' dropped by (name, address) — NULL-safe (JN15) —
-    union, district from the ordinal label, address key, first row per key,
-    zone attached."""
+    union, district from the ordinal label, rows without point or district
+    dropped, address key, first row per key, zone attached."""
     def prep(df):
         d = TM.latest_snapshot(df, "Année scolaire")
         lat, lon = C.lat_lon("geo_point_2d")
@@ -31,8 +31,9 @@ def schools_map(schools: DataFrame, colleges_like: DataFrame, zone_edges: DataFr
     a, b = prep(schools), prep(colleges_like)
     poly = b.filter(F.col("type") == "Polyvalent")
     a = J.anti_join(a, poly, ["nom", "adresse"], null_safe=True)
-    u = a.unionByName(b).withColumn("id", C.address_key("adresse", "arrondissement"))
-    u = S.keep_first(C.drop_missing(u, ["id"]), ["id"], ["nom", "type"])
+    u = C.drop_missing(a.unionByName(b), ["lat", "lon", "arrondissement"])
+    u = u.withColumn("id", C.address_key("adresse", "arrondissement"))
+    u = S.keep_first(u, ["id"], ["nom", "type"])
     located = attach_zone(u.withColumnRenamed("arrondissement", "_arr"), zone_edges, zones)
     return located.drop("arrondissement").withColumnRenamed("_arr", "arrondissement")
 
@@ -56,15 +57,18 @@ def age_population(raw: DataFrame) -> DataFrame:
 
 def aes_scores(pupils: DataFrame, colleges: DataFrame, children: DataFrame, population: DataFrame,
                health: DataFrame, hospitals: DataFrame) -> DataFrame:
-    """DP16 per district: E1 = pupils / children 3–10, E2 = colleges / children
-    11–17; S1..S4 = doctors, nurses, hospitals, pharmacies per 10 000; min-max
-    (E* keep NULLs, S* NULL → 0); education = (2·E1 + E2) / 3; health = mean
-    S1..S4; overall = mean of both."""
-    e = children.join(pupils.groupBy("arrondissement").agg(F.sum("nb_eleves").alias("eleves")), "arrondissement") \
+    """DP16 per district that has children and a population: E1 = pupils /
+    children 3–10, E2 = colleges / children 11–17; S1..S4 = doctors, nurses,
+    hospitals, pharmacies per 10 000 (no college or hospital row counts as 0);
+    the scores use min-max values (E* keep NULLs, S* NULL → 0): education =
+    (2·E1 + E2) / 3, health = mean S1..S4, overall = mean of both.  The table
+    holds the raw indicators and the scores."""
+    e = children.join(population, "arrondissement") \
+        .join(pupils.groupBy("arrondissement").agg(F.sum("nb_eleves").alias("eleves")), "arrondissement", "left") \
         .join(colleges.groupBy("arrondissement").agg(F.count("*").alias("nb_colleges")), "arrondissement", "left") \
-        .join(population, "arrondissement", "left") \
         .join(health, "arrondissement", "left") \
-        .join(hospitals.groupBy("arrondissement").agg(F.count("*").alias("nb_hopitaux")), "arrondissement", "left")
+        .join(hospitals.groupBy("arrondissement").agg(F.count("*").alias("nb_hopitaux")), "arrondissement", "left") \
+        .fillna({"nb_colleges": 0, "nb_hopitaux": 0})
     d = e.select("arrondissement",
                  C.safe_div("eleves", "pop_3_10").alias("e1"), C.safe_div("nb_colleges", "pop_11_17").alias("e2"),
                  C.per_10k("nb_medecins", "population_totale").alias("s1"),
@@ -75,9 +79,10 @@ def aes_scores(pupils: DataFrame, colleges: DataFrame, children: DataFrame, popu
     d = S.minmax(d, {"s1": "ns1", "s2": "ns2", "s3": "ns3", "s4": "ns4"}, fill=0)
     edu = (2.0 * F.col("ne1") + F.col("ne2")) / 3.0
     health_s = (F.col("ns1") + F.col("ns2") + F.col("ns3") + F.col("ns4")) / 4.0
-    return C.sanitize(d.select("arrondissement", F.col("ne1").alias("e1"), F.col("ne2").alias("e2"),
-                               F.col("ns1").alias("s1"), F.col("ns2").alias("s2"),
-                               F.col("ns3").alias("s3"), F.col("ns4").alias("s4"),
+    return C.sanitize(d.select("arrondissement", F.col("e1").alias("e1_scolarisation"),
+                               F.col("e2").alias("e2_couverture_college"), F.col("s1").alias("s1_medecins"),
+                               F.col("s2").alias("s2_infirmiers"), F.col("s3").alias("s3_centres_hospitaliers"),
+                               F.col("s4").alias("s4_pharmacies"),
                                edu.alias("score_education"), health_s.alias("score_sante"),
                                ((edu + health_s) / 2.0).alias("score_aes")))
 

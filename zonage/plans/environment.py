@@ -18,10 +18,10 @@ WEIGHTS = {"arbres": 0.30, "espaces_verts": 0.40, "ilots_fraicheur": 0.20, "tril
 
 
 def trees_silver(raw: DataFrame, zone_edges: DataFrame, zones: DataFrame) -> DataFrame:
-    """DP6 trees: point parse, district from the label, zone attached (trees
-    without a zone are kept)."""
+    """DP6 trees: city trees only (label ``PARIS …``, FLT2), point parse,
+    district from the label, zone attached (trees without a zone are kept)."""
     lat, lon = C.lat_lon("geo_point_2d")
-    df = raw.select(C.to_int("IDBASE").alias("id"), C.first_number("ARRONDISSEMENT").alias("arr_label"),
+    df = C.starts_with(raw, "ARRONDISSEMENT", "PARIS").select(C.to_int("IDBASE").alias("id"), C.first_number("ARRONDISSEMENT").alias("arr_label"),
                     lat.alias("latitude"), lon.alias("longitude"))
     df = attach_zone(df, zone_edges, zones, "latitude", "longitude").drop("nom_iris", "arrondissement")
     return df.withColumnRenamed("arr_label", "arrondissement")
@@ -39,13 +39,14 @@ def polygons_in_zones(raw: DataFrame, id_col: str, zone_edges: DataFrame, predic
 
 
 def green_spaces_silver(raw: DataFrame, zone_edges: DataFrame, cell: float) -> DataFrame:
-    """DP6 green spaces: opening year sentinel 9999 -> NULL -> median (FLT12),
-    rows without surface dropped, intersecting zones attached."""
+    """DP6 green spaces: rows without id, postal code or shape dropped (FLT7),
+    opening year sentinel 9999 -> NULL -> median (FLT12), intersecting zones
+    attached."""
     df = raw.select(C.to_int("Identifiant espace vert").alias("id"), F.col("Nom de l'espace vert").alias("nom"),
                     C.to_int("Code postal").alias("code_postal"),
                     C.to_number("Superficie totale réelle").alias("superficie"),
                     C.to_int("Année de l'ouverture").alias("annee"), F.col("Geo Shape").alias("geo_shape"))
-    df = C.drop_missing(df, ["superficie", "geo_shape"])
+    df = C.drop_missing(df, ["id", "code_postal", "geo_shape"])
     df = A.impute_median(df, "annee", sentinel=9999)
     return polygons_in_zones(df, "id", zone_edges, "intersects", cell)
 

@@ -25,8 +25,8 @@ SALES_COLUMNS = {
     "Surface terrain": "surface_terrain",
 }
 # The ten columns hashed into the sale id, in order.
-SALE_ID_COLUMNS = ["date_mutation", "valeur_fonciere", "no_voie", "voie", "code_postal",
-                   "section", "no_plan", "type_local", "surface_reelle_bati", "no_disposition"]
+SALE_ID_COLUMNS = ["date_mutation", "no_disposition", "code_commune", "section", "no_plan", "no_voie", "voie",
+                   "code_type_local", "surface_reelle_bati", "nombre_pieces"]
 
 
 def sales_silver(raw: DataFrame, addresses: DataFrame | None = None,
@@ -57,8 +57,9 @@ def sales_silver(raw: DataFrame, addresses: DataFrame | None = None,
         df = df.withColumn("adresse", adresse)
         ref = addresses.select("adresse", F.col("postcode").alias("code_postal"),
                                F.col("latitude"), F.col("longitude"))
-        ref = ref.groupBy("adresse", "code_postal").agg(F.first("latitude").alias("latitude"),
-                                                         F.first("longitude").alias("longitude"))
+        point = F.struct("latitude", "longitude")
+        ref = ref.groupBy("adresse", "code_postal").agg(F.min(point).alias("p")) \
+                 .select("adresse", "code_postal", "p.latitude", "p.longitude")
         usable = F.length("adresse") > 2
         df = df.join(ref, ["adresse", "code_postal"], "left") \
                .withColumn("latitude", F.when(usable, F.col("latitude"))) \

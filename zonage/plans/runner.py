@@ -87,24 +87,25 @@ TABLE_RULES: dict[str, tuple[str, list[str]]] = {
 
 
 def load_table(spark: SparkSession, warehouse: str, name: str, df: DataFrame) -> DataFrame:
-    """Apply the table's load rule against its current snapshot and write the
-    next snapshot; returns the new state."""
+    """Apply the table's load rule to the stored table and return its new
+    state.  Only new rows are written but for upserts and reloads."""
     rule, keys = TABLE_RULES[name]
     base = os.path.join(warehouse, name)
     cur = L.read_current(spark, base)
-    if cur is None or rule == "replace":
-        nxt = df
+    if rule == "replace":
+        L.replace(df, base)
+    elif rule == "upsert":
+        L.upsert_parts(df, base, keys, keys)
     elif rule == "append_new":
-        nxt = cur.unionByName(L.new_rows(cur, df.select(*cur.columns), keys, null_safe=len(keys) > 1))
+        L.append_part(df if cur is None else L.new_rows(cur, df.select(*cur.columns), keys, null_safe=len(keys) > 1), base)
     elif rule == "insert_ignore":
-        nxt = L.insert_ignore(cur, df.select(*cur.columns), keys, keys)
-    elif rule == "upsert":
-        nxt = L.upsert(cur, df.select(*cur.columns), keys)
+        batch = L.keep_first(df, keys, keys)
+        L.append_part(batch if cur is None else L.new_rows(cur, batch.select(*cur.columns), keys), base)
     elif rule == "insert_if_empty":
-        nxt = L.insert_if_empty(cur, df.select(*cur.columns))
+        if cur is None or cur.isEmpty():
+            L.append_part(df, base)
     else:
         raise ValueError(rule)
-    L.write_snapshot(nxt, base)
     return L.read_current(spark, base)
 
 
@@ -169,7 +170,9 @@ def default_steps(paths: dict[str, str], warehouse: str, cell: float) -> dict[st
             addr = R.read_delimited(spark, paths["addresses"], R.ReaderSpec(sep=";")) \
                 .withColumn("latitude", F.col("latitude").cast("double")) \
                 .withColumn("longitude", F.col("longitude").cast("double")) if "addresses" in paths else None
-            ctx["sales"] = load_table(spark, warehouse, "silver/dvf", H.sales_silver(raw, addr, e, z))
+            ctx["sales"] = load_table(
+                spark, warehouse, "silver/dvf",
+                H.sales_silver(raw, addr, e, z, L.read_current(spark, os.path.join(warehouse, "silver/dvf"))))
         if "income" in paths:
             yearly = R.read_yearly(spark, paths["income"].split(","), R.SOURCES["income"], "DISP_MED", "IRIS")
             ctx["income"] = load_table(spark, warehouse, "silver/filosofi", H.income_silver(yearly))
@@ -222,11 +225,10 @@ def default_steps(paths: dict[str, str], warehouse: str, cell: float) -> dict[st
         ctx["cell_m"] = cell_m
         if "coverage" in paths:
             layers = GJ.read_coverage_layers(spark, paths["coverage"].split(","))
-            attrs = layers.select("id", C.map_values("op_code", C.COVERAGE_OPERATOR_CODES).alias("operateur"),
-                                  "techno", "niveau")
+            attrs = layers.select("id", C.map_values("op_code", C.COVERAGE_OPERATOR_CODES, passthrough=True)
+                                  .alias("operateur"), "techno", "niveau")
             cov_edges = project_edges(G.polygon_edges(layers, "id", "coords"))
-            # the layer list (operator × technology, one per file) is a handful of rows
-            names = [(r.operateur, r.techno) for r in attrs.select("operateur", "techno").distinct().collect()]
+            names = {R.coverage_layer(p, C.COVERAGE_OPERATOR_CODES) for p in paths["coverage"].split(",")}
             cov = NET.coverage_rates(cov_edges, attrs, z93, z, cell_m, layers=sorted(names))
             area = G.polygon_area(z93).select(F.col("id").alias("zone"), "area")
             density = NET.antenna_density(read(spark, "antennas"), z, area) if "antennas" in paths else \

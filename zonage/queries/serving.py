@@ -249,7 +249,7 @@ def affordability_band(spark, sf):
     """SF22 + SF21: band label and gauge score of the affordability index,
     with the district-style zone labels."""
     t = _registry()["affordability_index"](spark, sf)
-    gauge = C.round_dec(C.clip(F.lit(100.0) - F.col("iai") * 5.0), 2)
+    gauge = C.round_dec(C.gauge("iai"), 2)
     return t.select("zone", "annee", "iai", C.band("iai").alias("niveau"), gauge.alias("jauge"),
                     C.district_zone_prefix(F.col("zone") + 1).alias("code_prefix"),
                     C.district_label(F.col("zone") + 1).alias("libelle"))
@@ -259,7 +259,7 @@ register("affordability_band", f"""
 with t as ({ORACLES['affordability_index']})
 select zone, annee, iai,
        case when iai is null then null when iai < 5.0 then 'Bon' when iai < 10.0 then 'Moyen' else 'Faible' end as niveau,
-       {rd('case when iai is null then null else greatest(0.0, least(100.0, 100.0 - iai * 5.0)) end', 2)} as jauge,
+       {rd('case when iai < 5.0 then 100.0 - iai * 8.0 when iai < 10.0 then 100.0 - iai * 6.0 when iai is not null then greatest(10.0, 100.0 - iai * 5.0) end', 2)} as jauge,
        '751' || lpad(cast(zone + 1 as varchar), 2, '0') as code_prefix,
        case when zone + 1 = 1 then '1er' else cast(zone + 1 as varchar) || 'e' end as libelle
 from t

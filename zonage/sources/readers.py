@@ -10,8 +10,9 @@ chunked loops are not needed.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -87,8 +88,22 @@ def read_delimited(spark: SparkSession, path: str | Sequence[str], spec: ReaderS
     * ``with_file`` adds ``_file`` (file name) for provenance and ordering.
     """
     paths = [path] if isinstance(path, str) else list(path)
-    names = list(spec.columns) if spec.columns else (
-        header_names(spark, paths[0], spec) if spec.header else None)
+    names = list(spec.columns) if spec.columns else None
+    if names is None and spec.header:
+        # Each file's own header; files of one header are one scan.
+        groups: dict[tuple, list[str]] = {}
+        for p in paths:
+            groups.setdefault(tuple(header_names(spark, p, spec)), []).append(p)
+        if len(groups) > 1:
+            bare = replace(spec, keep=None, rename={})
+            df = None
+            for header, files in groups.items():
+                one = read_delimited(spark, files, replace(bare, columns=header), with_file)
+                df = one if df is None else df.unionByName(one, allowMissingColumns=True)
+            if with_file:
+                df = df.select(*[c for c in df.columns if c != "_file"], "_file")
+            return _projected(df, spec)
+        names = list(next(iter(groups)))
     r = (spark.read.option("sep", spec.sep).option("encoding", spec.encoding)
          .option("header", str(spec.header).lower()).option("quote", '"').option("escape", '"')
          .option("multiLine", str(spec.multiline).lower()).option("mode", "PERMISSIVE"))
@@ -102,6 +117,10 @@ def read_delimited(spark: SparkSession, path: str | Sequence[str], spec: ReaderS
         df = df.filter(F.col(CORRUPT).isNull() | (n_fields <= len(names))).drop(CORRUPT)
     if with_file:
         df = df.withColumn("_file", F.col("_metadata.file_name"))
+    return _projected(df, spec)
+
+
+def _projected(df: DataFrame, spec: ReaderSpec) -> DataFrame:
     if spec.keep:
         df = df.select(*spec.keep)
     if spec.rename:
@@ -135,14 +154,20 @@ def read_yearly(spark: SparkSession, path: str | Sequence[str], spec: ReaderSpec
                 value_prefix: str, zone_col: str, out: str = "value") -> DataFrame:
     """SRC6: files whose value column name depends on the year in the file
     name (``DISP_MED18`` … ``DISP_MED21``): one ``(zone, year, value)`` frame.
-    The per-file column is resolved on the driver from the schema, then the
-    files are unioned by name."""
+    The per-file column is ``value_prefix`` and the last two digits of that
+    year, resolved on the driver from the schema; a file without it is skipped,
+    as is one without a year.  The files are unioned by name."""
     paths = [path] if isinstance(path, str) else list(path)
     parts = []
     for p in paths:
         df = read_delimited(spark, p, spec, with_file=True)
-        col = resolve_column(df, [], contains=value_prefix)
+        year = re.search(r"20(\d{2})", p.rsplit("/", 1)[-1])
+        col = f"{value_prefix}{year[1]}" if year else None
+        if col not in df.columns:
+            continue
         parts.append(df.select(F.col(zone_col), year_from_file().alias("annee"), F.col(col).alias(out)))
+    if not parts:
+        raise KeyError(f"no file of {paths} has its {value_prefix} column")
     out_df = parts[0]
     for p in parts[1:]:
         out_df = out_df.unionByName(p)
@@ -156,6 +181,13 @@ def coverage_layer_keys(col: str = "_file") -> tuple[Column, Column]:
     return F.get(parts, 4), F.get(parts, 5)
 
 
+def coverage_layer(path: str, operators: dict[str, str]) -> tuple[str, str]:
+    """SRC13: operator name and technology of one coverage layer file; a code
+    that is not among ``operators`` stands for itself."""
+    parts = path.rsplit("/", 1)[-1].split("_")
+    return operators.get(parts[4], parts[4]), parts[5]
+
+
 def resolve_column(df: DataFrame, candidates: Sequence[str], contains: str | None = None) -> str:
     """SRC16: first candidate present in the schema, else the first column whose
     name contains ``contains`` (case-insensitive).  Runs on the driver over

@@ -5,9 +5,13 @@ each run idempotent through its load rules.  The Spark equivalent is a file
 stream processed with ``trigger(availableNow=True)``: each run picks up only
 files not seen before (the checkpoint remembers them), and every micro-batch
 is merged into the target table with the same load rules as batch jobs
-(upsert / insert-ignore / anti-join append), writing a new snapshot.  A
-replayed micro-batch after a failure produces the same next state, so the
-sink is effectively exactly-once.
+(upsert / insert-ignore / append).  The stored table's version notes the last
+micro-batch of each stream in the same step that publishes its rows, so a
+micro-batch replayed after a failure is seen and skipped: the sink is exactly-once.
+
+Among rows of one key the answer doesn't depend on how files fall into
+micro-batches: with ``upsert`` the last file by name wins, with
+``insert_ignore`` the first.  (Files must arrive in the order of their names.)
 """
 
 from __future__ import annotations
@@ -18,6 +22,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from ..operators import load as L
 from ..session import ensure_checkpoint_dir
@@ -33,28 +38,33 @@ def landing_stream(spark: SparkSession, path: str, schema: T.StructType, fmt: st
 
 
 def merge_batch(target_base: str, keys: Sequence[str], rule: str = "upsert",
-                order: Sequence[Column | str] = ("_file",),
-                transform: Callable[[DataFrame], DataFrame] | None = None):
-    """``foreachBatch`` function applying a load rule to each micro-batch and
-    writing the next state as a new snapshot under ``target_base``."""
+                order: Sequence[Column | str] = (),
+                transform: Callable[[DataFrame], DataFrame] | None = None, stream: str = "stream"):
+    """``foreachBatch`` function applying a load rule to each micro-batch.
+    ``stream`` names the stream whose micro-batches are numbered; ``order``
+    decides among rows of one key and file."""
+    if rule not in ("upsert", "insert_ignore", "append"):
+        raise ValueError(rule)
+
     def fn(batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
+        old = L.read_version(spark, target_base)
+        if old.batches.get(stream, -1) >= epoch_id:
+            return
         src = transform(batch) if transform else batch
-        if rule != "append":
-            # in-batch duplicates: first row by file name, then the given order
-            src = L.keep_first(src, list(keys), [F.col(o) if isinstance(o, str) else o for o in order])
-        cur = L.read_current(spark, target_base)
-        if cur is None:
-            nxt = src.drop("_file")
+        if "_file" in src.columns and rule != "append":
+            first = F.col("_file").desc() if rule == "upsert" else F.col("_file").asc()
+            ranked = src.withColumn("_rank", F.dense_rank().over(Window.partitionBy(*keys).orderBy(first)))
+            src = ranked.filter("_rank = 1").drop("_rank")
+        src, note = src.drop("_file"), (stream, epoch_id)
+        if rule == "upsert":
+            L.upsert_parts(src, target_base, keys, list(order) or list(keys), note)
+        elif rule == "insert_ignore":
+            src = L.keep_first(src, list(keys), list(order) or list(keys))
+            cur = L.read_current(spark, target_base)
+            L.append_part(src if cur is None else L.new_rows(cur, src, keys), target_base, note)
         else:
-            src = src.select(*cur.columns)
-            if rule == "upsert":
-                nxt = L.upsert(cur, src, keys)
-            elif rule == "insert_ignore":
-                nxt = cur.unionByName(L.new_rows(cur, src, keys))
-            else:
-                nxt = L.append(cur, src)
-        L.write_snapshot(nxt, target_base)
+            L.append_part(src, target_base, note)
     return fn
 
 
@@ -65,6 +75,6 @@ def run_available(stream: DataFrame, target_base: str, keys: Sequence[str], rule
     spark = stream.sparkSession
     ckpt = checkpoint or os.path.join(ensure_checkpoint_dir(spark), "streams",
                                       os.path.basename(target_base.rstrip("/")))
-    q = (stream.writeStream.foreachBatch(merge_batch(target_base, keys, rule, transform=transform))
+    q = (stream.writeStream.foreachBatch(merge_batch(target_base, keys, rule, transform=transform, stream=ckpt))
          .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
     q.awaitTermination()
