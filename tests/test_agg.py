@@ -59,7 +59,7 @@ def test_exact_median_hot_group_path_equals_direct(spark):
            [("cold", float(v)) for v in (4, 1, 3, 2)]
     df = spark.createDataFrame(rows, "g string, v double")
     direct = {r.g: r.median for r in A.exact_median(df, "g", "v").collect()}
-    bucketed = {r.g: r.median for r in A.exact_median(df, "g", "v", max_distinct=10).collect()}
+    bucketed = {r.g: r.median for r in A.exact_median(df, "g", "v").collect()}
     assert direct == bucketed == {"hot": statistics.median([v for g, v in rows if g == "hot"]), "cold": 2.5}
-    glob = A.exact_median(df, [], "v", max_distinct=10).first().median
+    glob = A.exact_median(df, [], "v").first().median
     assert glob == statistics.median([v for _, v in rows])

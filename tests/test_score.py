@@ -121,3 +121,28 @@ def test_ranks_invariant_to_row_order(spark):
     ra = {r.id: (r.rank, r.p) for r in S.pct_rank_avg(S.rank_desc(a, "v", "rank"), "v", "p").collect()}
     rb = {r.id: (r.rank, r.p) for r in S.pct_rank_avg(S.rank_desc(b, "v", "rank"), "v", "p").collect()}
     assert ra == rb
+
+
+def test_positions_spread_values_of_a_narrow_range(spark):
+    """300 000 distinct values in a narrow range far from zero fall into many
+    window partitions, and the prefix counts stay exact."""
+    n = 300_000
+    hist = spark.range(n).select((F.lit(1.7e9) + F.col("id")).alias("v"), F.lit(1).cast("long").alias("_c"))
+    got = S.positions(hist, "v")
+    bad = got.filter((F.col("_below") != (F.col("v") - 1.7e9).cast("long")) | (F.col("_n") != n)).count()
+    assert bad == 0 and got.count() == n
+    windows = got._jdf.queryExecution().toString()
+    assert "_p" in windows
+    d = F.col("v")
+    b = hist.withColumn("_b", S.value_bucket(d))
+    e = b.groupBy("_b").agg(F.min(d).alias("lo"), F.max(d).alias("hi"), F.ceil(F.count("*") / S.PART_VALUES).alias("k"))
+    part = F.least(F.floor((d - F.col("lo")) / (F.col("hi") - F.col("lo")) * F.col("k")), F.col("k") - 1)
+    sizes = [r["count"] for r in b.join(e, "_b").groupBy("_b", part).count().collect()]
+    assert max(sizes) <= 1.2 * S.PART_VALUES and len(sizes) >= n / S.PART_VALUES
+
+
+def test_positions_with_infinities_and_nan(spark):
+    values = [float("-inf"), -5.0, 0.0, 0.0, 1e-300, 3.0, float("inf"), float("nan")]
+    hist = spark.createDataFrame([(v,) for v in values], "v double").groupBy("v").agg(F.count("*").alias("_c"))
+    got = {str(r.v): r._below for r in S.positions(hist, "v").collect()}
+    assert got == {"-inf": 0, "-5.0": 1, "0.0": 2, "1e-300": 4, "3.0": 5, "inf": 6, "nan": 7}

@@ -66,44 +66,21 @@ def mode_by(df: DataFrame, keys: str | Sequence[str], col: str,
         F.min_by(col, F.struct(-F.col("_c"), F.col(col))).alias(out or col))
 
 
-# Groups with at most this many *distinct* values get their median from
-# Spark's exact ``percentile`` aggregate over the value histogram (its
-# per-group state is one entry per distinct value, so this bounds the memory
-# of the task that merges a group); larger — hot — groups take the bucketed
-# prefix-count path, which never holds a whole group in one task.
-MEDIAN_DIRECT_MAX_DISTINCT = 5_000_000
-
-
-def exact_median(df: DataFrame, keys: str | Sequence[str], value: str,
-                 out: str = "median", max_distinct: int = MEDIAN_DIRECT_MAX_DISTINCT) -> DataFrame:
+def exact_median(df: DataFrame, keys: str | Sequence[str], value: str, out: str = "median") -> DataFrame:
     """AG7: exact median with linear interpolation (= pandas / SQL ``median``).
 
     One value histogram ``(key, value) -> count`` is built (partial
     aggregation: duplicates collapse map-side, a hot key is spread over the
-    histogram's partitions).  Groups are then split by their number of
-    distinct values: ordinary groups use ``percentile(value, 0.5, count)``
-    directly on the histogram; hot groups (more than ``max_distinct``
-    distinct values) locate the middle positions ``floor((n-1)/2)`` and
-    ``ceil((n-1)/2)`` with exact prefix counts over value buckets
-    (:func:`zonage.operators.score.positions`).  NULL values are ignored; a
-    group with only NULLs is absent.
+    histogram's partitions), and the middle positions ``floor((n-1)/2)`` and
+    ``ceil((n-1)/2)`` are found by exact prefix counts
+    (:func:`zonage.operators.score.positions`), the same way for groups of
+    every size.  NULL values are ignored; a group with only NULLs is absent
+    (without keys: one row with NULL).
     """
     keys = _keys(keys)
     hist = (df.filter(F.col(value).isNotNull())
               .groupBy(*keys, value).agg(F.count("*").alias("_c")))
-    if keys:
-        nd = hist.groupBy(*keys).agg(F.count(F.lit(1)).alias("_nd"))
-        h = hist.join(nd, keys)
-        small_h, big_h = h.filter(F.col("_nd") <= max_distinct), h.filter(F.col("_nd") > max_distinct)
-    else:
-        nd = hist.select(F.count(F.lit(1))).scalar()
-        small_h, big_h = hist.filter(nd <= max_distinct), hist.filter(nd > max_distinct)
-    small = small_h.groupBy(*keys).agg(
-        F.percentile(F.col(value).cast("double"), F.lit(0.5), F.col("_c")).alias(out))
-    big = _median_by_positions(big_h.select(*keys, value, "_c"), keys, value, out)
-    if not keys:   # two one-row global aggregates: exactly one is non-NULL (or both, if no value)
-        return small.select(F.coalesce(F.col(out), big.select(out).scalar()).alias(out))
-    return small.unionByName(big)
+    return _median_by_positions(hist, keys, value, out)
 
 
 def _median_by_positions(hist: DataFrame, keys: list[str], value: str, out: str) -> DataFrame:

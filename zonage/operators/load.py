@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import json
 import os
+import re
 import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
@@ -255,9 +256,18 @@ class Contract:
 
 
 def conform(df: DataFrame, contract: Contract) -> DataFrame:
-    """SNK13: project and cast to the contract's columns, in order (``try_cast``:
-    values that do not fit become NULL and are reported by :func:`violations`)."""
-    return df.select(*[F.col(c).try_cast(t).alias(c) for c, t in contract.columns.items()])
+    """SNK13: project and cast to the contract's columns, in order; values that
+    do not fit become NULL and are reported by :func:`violations`."""
+    return df.select(*[fitting(c, t).alias(c) for c, t in contract.columns.items()])
+
+
+def fitting(c: str, kind: str) -> Column:
+    """A column cast to a declared type, NULL where it doesn't fit; a text of
+    ``varchar(n)`` fits up to ``n`` characters."""
+    if m := re.fullmatch(r"varchar\((\d+)\)", kind.strip(), re.IGNORECASE):
+        text = F.col(c).cast("string")
+        return F.when(F.length(text) <= int(m[1]), text)
+    return F.col(c).try_cast(kind)
 
 
 def violations(df: DataFrame, contract: Contract) -> DataFrame:
@@ -280,7 +290,7 @@ def violations(df: DataFrame, contract: Contract) -> DataFrame:
         names.append(("range", c))
     for c, t in contract.columns.items():
         if c in df.columns:
-            checks.append(F.count_if(F.col(c).isNotNull() & F.col(c).try_cast(t).isNull()))
+            checks.append(F.count_if(F.col(c).isNotNull() & fitting(c, t).isNull()))
             names.append(("type", c))
     row = df.agg(*[x.alias(f"_v{i}") for i, x in enumerate(checks)])
     stack = F.explode(F.array(*[

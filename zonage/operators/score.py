@@ -17,12 +17,14 @@ from pyspark.sql import functions as F
 from ..functions.clean import round_dec
 from ..session import bounded_broadcast
 
-# Resolution of the monotone value buckets used by :func:`positions`:
-# ``floor(sign(v) * ln(1 + |v|) * BUCKETS_PER_E)``.  Any non-decreasing map of
-# the value gives exact results; at 4096 buckets per e-fold even values packed
-# in a narrow range (a ±5 % band) spread over hundreds of window partitions,
-# while a group's bucket table stays small (~4k rows per e-fold of range).
-BUCKETS_PER_E = 4096
+# Values are first cut into monotone log-scale buckets, ``floor(sign(v) * ln(1 +
+# |v|) * BUCKETS_PER_E)``, and each of these by its own least and greatest value
+# into as many equal parts as it has thousands of distinct values
+# (``PART_VALUES``).  Any non-decreasing map of the value gives exact results;
+# this one follows the data: a few or millions of values in a narrow range
+# spread over window partitions of about the same size.
+BUCKETS_PER_E = 256
+PART_VALUES = 10_000
 
 
 def value_bucket(v: Column) -> Column:
@@ -43,27 +45,37 @@ def positions(hist: DataFrame, value: str, count: str = "_c",
     in ``count``.  Adds ``_below`` (rows with a strictly smaller value in the
     same ``by`` group) and ``_n`` (rows in the group).
 
-    Values are cut into monotone log-scale buckets (:func:`value_bucket`).
-    Bucket totals are prefix-summed per group (a few hundred rows per group),
-    and values are prefix-summed inside their own ``(group, bucket)`` window
-    partition, so no window partition ever holds all values of a hot group.
-    Because the bucket map is non-decreasing in the value, the result is
+    Values are cut into monotone buckets (:func:`value_bucket`) and these into
+    parts by their least and greatest value.  Part totals are prefix-summed per
+    group (one row per ``PART_VALUES`` distinct values and bucket), and values
+    are prefix-summed inside their own ``(group, bucket, part)`` window
+    partition, so no window partition holds all values of a hot group.
+    Because the map to parts is non-decreasing in the value, the result is
     exact.
     """
     by = list(by)
     h = hist.withColumn("_b", value_bucket(F.col(value)))
-    bt = h.groupBy(*by, "_b").agg(F.sum(count).alias("_bc"))
-    wb = Window.partitionBy(*by).orderBy("_b")
+    d = F.col(value).cast("double")
+    extent = h.groupBy(*by, "_b").agg(F.min(d).alias("_lo"), F.max(d).alias("_hi"),
+                                      F.ceil(F.count(F.lit(1)) / PART_VALUES).alias("_parts"))
+    # Infinities and NaN have buckets of their own, where least and greatest are equal.
+    share = (d - F.col("_lo")) / (F.col("_hi") - F.col("_lo"))
+    part = F.when((F.col("_hi") > F.col("_lo")) & (F.col("_parts") > 1),
+                  F.least(F.floor(share * F.col("_parts")).cast("long"), F.col("_parts") - 1)).otherwise(F.lit(0).cast("long"))
+    h = h.join(extent, [*by, "_b"]).select(*h.columns, part.alias("_p"))
+    bt = h.groupBy(*by, "_b", "_p").agg(F.sum(count).alias("_bc"))
+    wb = Window.partitionBy(*by).orderBy("_b", "_p")
     bt = (bt.withColumn("_off", F.coalesce(
               F.sum("_bc").over(wb.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
             .withColumn("_n", F.sum("_bc").over(Window.partitionBy(*by)))
             .drop("_bc"))
-    wv = Window.partitionBy(*by, "_b").orderBy(value)
-    h = h.withColumn("_in", F.coalesce(
+    # Dealt by all three keys: by group and bucket alone a hot bucket would meet in one task.
+    wv = Window.partitionBy(*by, "_b", "_p").orderBy(value)
+    h = h.repartition(*by, "_b", "_p").withColumn("_in", F.coalesce(
         F.sum(count).over(wv.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    h = h.join(bt, [*by, "_b"])
+    h = h.join(bt, [*by, "_b", "_p"])
     return (h.withColumn("_below", (F.col("_off") + F.col("_in")).cast("long"))
-             .drop("_b", "_off", "_in"))
+             .drop("_b", "_p", "_off", "_in"))
 
 
 def _histogram(df: DataFrame, value: str, by: Sequence[str]) -> DataFrame:

@@ -9,7 +9,6 @@ from ..functions import clean as C
 from ..operators import agg as A
 from ..operators import load as L
 from ..operators import temporal as TM
-from ..session import bounded_broadcast
 
 # Zone-table indicators averaged per district and the labels
 # whose mode is taken.
@@ -23,7 +22,7 @@ def at_year(table: DataFrame, year: int, col: str = "annee") -> DataFrame:
     """JN9 then FLT11: the rows of the available year nearest to ``year``
     (tie → later)."""
     y = TM.resolve_year(table, col, year, tie="later")
-    return table.join(bounded_broadcast(y, 1), F.col(col) == F.col("year")).drop("year")
+    return table.join(F.broadcast(y), F.col(col) == F.col("year")).drop("year")
 
 
 def zone_indicators(zones: DataFrame, housing: DataFrame, socio: DataFrame, environment: DataFrame,

@@ -485,3 +485,41 @@ select * from a where not exists (select 1 from b where b.type = 'Polyvalent'
   and b.numero is not distinct from a.numero and b.district is not distinct from a.district)
 union all select * from b
 """)(antijoin_tuple_union)
+
+
+# ---------------------------------------------------------- FLT4 / FLT5 / FLT6
+
+def filtered_sales(spark, sf):
+    """FLT4 + FLT5 + FLT6: an IN-set, a pattern and a range on raw columns,
+    counted per kind of part."""
+    (part,) = tables(spark, sf, "part")
+    kept = part.filter(F.col("p_brand").isin("Brand#13", "Brand#21", "Brand#34") & F.col("p_name").rlike(r"^[a-m]\w+ ")
+                       & F.col("p_size").between(5, 40))
+    return kept.groupBy("p_type").agg(F.count("*").alias("n"), F.min("p_size").cast("long").alias("least"))
+
+
+register("filtered_sales", r"""
+select p_type, count(*) as n, cast(min(p_size) as bigint) as least from part
+where p_brand in ('Brand#13', 'Brand#21', 'Brand#34') and regexp_matches(p_name, '^[a-m]\w+ ') and p_size between 5 and 40
+group by 1
+""")(filtered_sales)
+
+
+# ---------------------------------------------------------- JN18 / JN19
+
+def attribute_per_key(spark, sf):
+    """JN18 + JN19: one district per zone from the rows that name it, and the
+    doubled district columns of both sides of an outer join made one."""
+    customer, supplier = tables(spark, sf, "customer", "supplier")
+    a = J.first_attribute(customer.select(F.col("c_nationkey").alias("zone"), (F.col("c_nationkey") % 5).alias("d")), "zone", "d")
+    b = J.first_attribute(supplier.filter("s_acctbal > 0").select(F.col("s_nationkey").alias("zone"),
+                                                                  (F.col("s_nationkey") % 5).alias("d_2")), "zone", "d_2")
+    return J.coalesce_pair(a.filter("d <> 1").join(b, "zone", "full"), "d", "d_2", "district").select("zone", "district")
+
+
+register("attribute_per_key", """
+with a as (select c_nationkey as zone, min(c_nationkey % 5) as d from customer group by 1),
+b as (select s_nationkey as zone, min(s_nationkey % 5) as d_2 from supplier where s_acctbal > 0 group by 1)
+select coalesce(a.zone, b.zone) as zone, coalesce(b.d_2, a.d) as district
+from (select * from a where d <> 1) a full join b on a.zone = b.zone
+""")(attribute_per_key)

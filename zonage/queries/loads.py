@@ -37,7 +37,7 @@ src as (select o_orderkey, o_custkey, o_orderstatus,
 def upsert_merge(spark, sf):
     """SNK6: batch rows replace target rows with the same key."""
     target, batch = _target_batch(spark, sf)
-    return L.upsert(target, batch, ["o_orderkey"])
+    return L.upsert(target, batch, ["o_orderkey"], ["o_custkey"])
 
 
 register("upsert_merge", _TB_SQL + """
@@ -196,3 +196,20 @@ select o_orderkey, md5(concat_ws('|', coalesce(cast(o_orderkey as varchar), ''),
   coalesce(cast(year(o_orderdate) as varchar), ''), coalesce(cast(month(o_orderdate) as varchar), ''), 'ventes')) as id_mutation
 from orders
 """)(row_id_md5)
+
+
+# ---------------------------------------------------------- SNK12 / SNK13
+
+def conform_contract(spark, sf):
+    """SNK13: rows projected and cast to a contract's columns in its order; what
+    doesn't fit NUMERIC(5,2) or the text's declared length becomes NULL."""
+    (customer,) = tables(spark, sf, "customer")
+    contract = L.Contract(columns={"c_custkey": "int", "c_mktsegment": "varchar(9)", "c_acctbal": "decimal(5,2)"})
+    return L.conform(customer.select("c_acctbal", "c_mktsegment", "c_custkey", "c_name"), contract) \
+        .withColumn("c_acctbal", F.col("c_acctbal").cast("double"))
+
+
+register("conform_contract", """
+select cast(c_custkey as integer) as c_custkey, case when length(c_mktsegment) <= 9 then c_mktsegment end as c_mktsegment,
+       cast(try_cast(c_acctbal as decimal(5,2)) as double) as c_acctbal from customer
+""")(conform_contract)

@@ -5,7 +5,10 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -68,13 +71,16 @@ def materialize(df: DataFrame) -> DataFrame:
 
 
 def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
-    """Use the cluster's ``spark.checkpoint.dir``; only when it is unset (tests,
-    local runs) fall back to a fresh scratch folder."""
+    """Use the cluster's ``spark.checkpoint.dir``.  Only a local session without
+    one (tests) gets a fresh scratch folder; on a cluster a folder of the
+    driver's own disk would lose the executors' files, so that is an error."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
+    if not configured and not fallback and not sc.master.split("[")[0] == "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
     if not configured:
         configured = fallback or tempfile.mkdtemp(prefix="zonage-ckpt-")
     sc.setCheckpointDir(configured)
@@ -112,6 +118,14 @@ def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
     return F.broadcast(df) if ok else df
 
 
+def side_by_side(spark: SparkSession, *builders: Callable[[], DataFrame]) -> list[DataFrame]:
+    """Frames that don't depend on each other, built at the same time: where
+    building materialises dimension-sized tables, their small jobs share the
+    cluster instead of waiting for one another."""
+    with ThreadPoolExecutor(len(builders)) as pool:
+        return [f.result() for f in [pool.submit(inheritable_thread_target(spark)(b)) for b in builders]]
+
+
 def read_table(spark: SparkSession, base: str, name: str) -> DataFrame:
     """Parquet table ``<base>/<name>.parquet`` (driver test data layout)."""
     return spark.read.parquet(f"{base.rstrip('/')}/{name}.parquet")
