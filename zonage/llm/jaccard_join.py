@@ -17,8 +17,9 @@ sets are fetched.
 *Answers from a similar set.*  Lists are never compared pairwise.  In a first
 round each list is compared to one pivot; entries similar to the pivot take
 over its component.  Later rounds look only at lists that still hold several
-components, take the entries of the list's smaller components as pivots (more
-each round) and skip an entry if the two sets' known similarities to the first
+components, take an entry of the largest component as pivot while that merges
+components, then entries of the smaller ones (more each round), and skip an
+entry if the two sets' known similarities to the first
 pivot rule the pair out: the Jaccard distance is a metric, so two distances to
 one pivot that differ by more than 1/5 exclude a link.  Compared pivots leave
 the list; the join ends when no list holds two components.  The result is the
@@ -39,8 +40,6 @@ component; an empty table gives an empty result.
 
 from __future__ import annotations
 
-import re
-
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -50,6 +49,7 @@ from pyspark.sql.window import Window
 
 from .bpe import _Shared
 from .common import id_and_text, stored, text_rows, without
+from .wordhash import SECTION, mix, sections, word_hashes
 
 WIDTH = 5
 # At most so many shingles count as frequent: those held by at least
@@ -59,59 +59,13 @@ LEAST_FREQUENT = 32
 COUNT_AT_ONCE = 1 << 21   # shingles whose repeats are counted together in a task
 MEMO_SIZE = 200_000
 SALTS = 16
+RARE_BITS, POS_BITS = 12, 25
 BITS = 1 << 24            # of the bitmap of wanted sets
+MERGE_ROUNDS = 1         # at most, before the rounds of several pivots
 PIVOTS = (16, 64, 256, 1024, 4096)
 
 _MUL = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9,
                  0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
-SECTION = 1 << 20      # bytes whose words are hashed together
-_SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
-_SPACE_BYTE = re.compile(rb"[\x09-\x0D\x20]")
-_BYTE = np.random.default_rng(11).integers(1, 1 << 63, 256, np.uint64)
-_BASE = 0x9E3779B97F4A7C15
-_powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]  # of the base, and of its inverse
-
-
-def _mix(x: np.ndarray) -> np.ndarray:
-    x = x ^ (x >> np.uint64(32))
-    x *= np.uint64(0xD6E8FEB86659FD93)
-    x ^= x >> np.uint64(32)
-    return x
-
-
-def _power(n: int) -> list[np.ndarray]:
-    if len(_powers[0]) < n:
-        for k, base in enumerate((_BASE, pow(_BASE, -1, 1 << 64))):
-            step = np.full(n, base, np.uint64)
-            step[0] = 1
-            _powers[k] = np.cumprod(step)
-    return _powers
-
-
-def word_hashes(data: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """Hash and first byte of each word of lower-cased ``data``: a polynomial in
-    the word's bytes, from one running sum over all bytes."""
-    raw = np.frombuffer(data, np.uint8)
-    word = np.concatenate([[False], ~_SPACE[raw], [False]])
-    edges = np.flatnonzero(word[1:] != word[:-1])
-    starts, ends = edges[::2], edges[1::2]
-    power, inverse = _power(len(raw) + 1)
-    sums = np.zeros(len(raw) + 1, np.uint64)
-    np.cumsum(_BYTE[raw] * power[:len(raw)], out=sums[1:])
-    return _mix((sums[ends] - sums[starts]) * inverse[starts]), starts
-
-
-def _sections(text: bytes):
-    """A long text in sections cut at white space."""
-    at = 0
-    while len(text) - at > SECTION:
-        m = _SPACE_BYTE.search(text, at + SECTION)
-        if m is None:
-            break
-        cut = m.start()
-        yield text[at:cut]
-        at = cut
-    yield text[at:]
 
 
 def shingle_sets(texts: list[bytes]) -> list[np.ndarray]:
@@ -121,14 +75,14 @@ def shingle_sets(texts: list[bytes]) -> list[np.ndarray]:
 
     def settle():
         # Texts are hashed together; a space between them ends their last words.
-        hashes, starts = word_hashes(b" ".join(texts[i] for i in short).lower())
+        hashes, starts, _ = word_hashes(np.frombuffer(b" ".join(texts[i] for i in short).lower(), np.uint8))
         bounds = np.searchsorted(starts, np.cumsum([0] + [len(texts[i]) + 1 for i in short]))
         for i, a, b in zip(short, bounds, bounds[1:]):
             out[i] = _shingles(hashes[a:b])
 
     for i, t in enumerate(texts):
         if len(t) > SECTION:
-            out[i] = _shingles(np.concatenate([word_hashes(x.lower())[0] for x in _sections(t)]))
+            out[i] = _shingles(np.concatenate([word_hashes(np.frombuffer(x.lower(), np.uint8))[0] for x in sections(t)]))
             continue
         if short and size + len(t) > SECTION:
             settle()
@@ -147,7 +101,7 @@ def _shingles(words: np.ndarray) -> np.ndarray:
     s = np.full(n, len(words) if len(words) < WIDTH else 0, np.uint64)
     for k in range(min(WIDTH, len(words))):
         s += words[k:k + n] * _MUL[k]
-    return np.unique(_mix(s))
+    return np.unique(mix(s))
 
 
 def sketch(shingles: np.ndarray) -> bytes | None:
@@ -242,8 +196,9 @@ def _frequent(described: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _index(src: DataFrame, frequent: _Shared) -> DataFrame:
-    """``(token, sid, np)``: entries of each set's prefix; ``np`` packs size and
-    position, negative under a frequent shingle."""
+    """``(token, sid, np)``: entries of each set's prefix; ``np`` packs the
+    set's size, how many of its prefix's shingles aren't frequent, and the
+    position (:func:`_unpacked`), negative under a frequent shingle."""
 
     def run(batches):
         seen = _Seen()
@@ -261,7 +216,8 @@ def _index(src: DataFrame, frequent: _Shared) -> DataFrame:
                     first = np.argsort(often, kind="stable")[:len(s) // 5 + 1]
                     ts.append(s[first])
                     ss.append(np.full(len(first), sid, np.uint64))
-                    packed = (np.int64(len(s)) << np.int64(31)) + np.arange(len(first))
+                    rare = min(int((often[first] == 0).sum()), (1 << RARE_BITS) - 1)
+                    packed = np.int64(len(s) << (RARE_BITS + POS_BITS) | rare << POS_BITS) + np.arange(len(first))
                     nps.append(np.where(often[first] > 0, -packed, packed))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(_signed(np.concatenate(ts))), pa.array(_signed(np.concatenate(ss))),
@@ -270,15 +226,23 @@ def _index(src: DataFrame, frequent: _Shared) -> DataFrame:
     return src.mapInArrow(run, "token bigint, sid bigint, np bigint")
 
 
+def _unpacked(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Size, rare shingles of the prefix, position."""
+    x = np.abs(x)
+    return x >> (RARE_BITS + POS_BITS), x >> POS_BITS & ((1 << RARE_BITS) - 1), x & ((1 << POS_BITS) - 1)
+
+
 def _lists(index: DataFrame) -> DataFrame:
     """Lists of two entries or more, each entry with its list's pivot (the
-    smallest set id): ``(token, sid, n, pos, pivot, pn, ppos, more)``; ``more``
+    set with the fewest rare shingles, as it is the likeliest to be similar to
+    the others): ``(token, sid, n, rare, pos, pivot, pn, ppos, more)``; ``more``
     is 0 if the list surely has no third entry.  A streaming pass over sorted
     entries; only the running list's pivot is held."""
     salt = F.when(F.col("np") < 0, F.pmod("sid", F.lit(SALTS))).otherwise(F.lit(0))
+    rare = F.shiftright(F.abs("np"), POS_BITS).bitwiseAND((1 << RARE_BITS) - 1)
     sorted_ = index.withColumn("salt", salt).repartition("token", "salt") \
-                   .sortWithinPartitions("token", "salt", "sid")
-    names = ["token", "sid", "n", "pos", "pivot", "pn", "ppos", "more"]
+                   .sortWithinPartitions("token", "salt", rare, "sid")
+    names = ["token", "sid", "n", "rare", "pos", "pivot", "pn", "ppos", "more"]
 
     def run(batches):
         held = None    # the running list's pivot: (token, salt, sid, np)
@@ -308,9 +272,9 @@ def _lists(index: DataFrame) -> DataFrame:
             told = bool(out[k] or told and k == 0)
             held, last = (t[k], z[k], s[k], p[k]), s[-1]
             piv = at[of][out]
+            n, rare_, pos = _unpacked(p)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(x) for x in (t[out], s[out], np.abs(p[out]) >> 31, np.abs(p[out]) & 0x7FFFFFFF,
-                                       s[piv], np.abs(p[piv]) >> 31, np.abs(p[piv]) & 0x7FFFFFFF,
+                [pa.array(x) for x in (t[out], s[out], n[out], rare_[out], pos[out], s[piv], n[piv], pos[piv],
                                        more[out].astype(np.int64))], names)
 
     return sorted_.mapInArrow(run, ", ".join(f"{x} bigint" for x in names))
@@ -405,19 +369,17 @@ def _verify(src: DataFrame, pairs: DataFrame) -> DataFrame:
 
 
 def _minimum(df: DataFrame, key: str, value: str, out: str) -> DataFrame:
-    """``df`` with the minimum of ``value`` per ``key``, found by salted keys."""
-    salted = df.withColumn("_salt", F.pmod(F.xxhash64(value), F.lit(SALTS)))
-    parts = salted.groupBy(key, "_salt").agg(F.min(value).alias("_m"))
-    whole = parts.groupBy(key).agg(F.min("_m").alias(out))
-    return salted.join(parts.select(key, "_salt").join(whole, key), [key, "_salt"]).drop("_salt")
+    """``df`` with the minimum of ``value`` per ``key``; the minimum is
+    aggregated before the shuffle, and a hot key is split by the skew join."""
+    return df.join(df.groupBy(key).agg(F.min(value).alias(out)), key)
 
 
 def components(links: DataFrame) -> DataFrame:
     """``(sid, comp)`` of every node of ``links`` (``a``, ``b``): ``comp`` is the
-    smallest node it reaches.  Alternates two star contractions until nothing
-    changes; each round is stored."""
+    smallest node it reaches.  Alternates two star contractions, each round
+    stored, until every component is a star: no node has two parents, and no
+    parent has one."""
     edges = stored(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges")
-    before = None
     while True:
         # Large star: each node's larger neighbours move to its smallest neighbour.
         both = edges.select(F.explode(F.array(F.struct("u", "v"), F.struct(F.col("v").alias("u"), F.col("u").alias("v")))).alias("e"))
@@ -427,11 +389,23 @@ def components(links: DataFrame) -> DataFrame:
         small = _minimum(large, "u", "v", "m").select(
             F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e"))
         edges = stored(small.select("e.u", "e.v").filter("u > v").distinct(), "edges")
-        now = edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v"))).first()
-        if now == before:
+        ends = edges.select(F.explode(F.array(F.struct(F.col("u").alias("x"), F.lit(1).alias("child"), F.lit(0).alias("parent")),
+                                              F.struct(F.col("v").alias("x"), F.lit(0).alias("child"), F.lit(1).alias("parent")))).alias("e"))
+        bad = ends.select("e.*").groupBy("x").agg(F.sum("child").alias("c"), F.max("parent").alias("p")).filter("c + p > 1")
+        if bad.isEmpty():
             return edges.select(F.col("u").alias("sid"), F.col("v").alias("comp")) \
                         .union(edges.select("v", F.col("v").alias("comp")).distinct())
-        before = now
+
+
+def _joined(comps: DataFrame, links: DataFrame) -> DataFrame:
+    """``comps`` after more links: components of components."""
+    at = lambda c: comps.select(F.col("sid").alias(c), F.col("comp").alias(f"{c}c"))
+    over = links.join(at("a"), "a", "left").join(at("b"), "b", "left") \
+                .select(F.coalesce("ac", "a").alias("a"), F.coalesce("bc", "b").alias("b")).filter("a <> b")
+    moved = components(over).withColumnsRenamed({"sid": "old", "comp": "new"})
+    old = comps.join(moved, F.col("comp") == F.col("old"), "left").select("sid", F.coalesce("new", "comp").alias("comp"))
+    new = moved.join(comps, F.col("old") == F.col("sid"), "left_anti").select(F.col("old").alias("sid"), F.col("new").alias("comp"))
+    return stored(old.union(new), "comps")
 
 
 def similarity_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -449,22 +423,25 @@ def similarity_components(docs: DataFrame, id_col: str = "doc_id", text_col: str
                  .select(F.col("pivot").alias("a"), F.col("sid").alias("b")).distinct()
     pairs = stored(_plausible(pairs, sketches), "pairs")
     verified = stored(_verify(src, pairs), "verified")
-    links = verified.filter("linked").select("a", "b")
-    comps = components(links)
+    comps = components(verified.filter("linked").select("a", "b"))
 
     # Later rounds: entries with what the first pivot's answers say of them.
     known = verified.select(F.col("a").alias("pivot"), F.col("b").alias("sid"), "j")
     entries = lists.filter("more = 1").join(known, ["pivot", "sid"], "left") \
         .withColumn("j", F.when(F.col("sid") == F.col("pivot"), F.lit(1.0)).otherwise(F.col("j"))) \
-        .select("token", "sid", "n", "pos", "pivot", "j")
+        .select("token", "sid", "n", "rare", "pos", "pivot", "j")
     checked = verified.select("a", "b")
-    turn = 0
+    turn, merging = 0, 0
     while True:
         entries, several = _mixed(entries, comps, f"entries{turn}")
         if not several:
             break
-        most = PIVOTS[min(turn, len(PIVOTS) - 1)]
-        order = Window.partitionBy("token").orderBy("held", "sid")
+        # First, while that merges components, one pivot a list: the likeliest
+        # of its largest component.  Then the entries of the smallest ones.
+        merge = merging == turn < MERGE_ROUNDS
+        most = 1 if merge else PIVOTS[min(turn - merging, len(PIVOTS) - 1)]
+        size = F.col("held").desc() if merge else F.col("held").asc()
+        order = Window.partitionBy("token").orderBy(size, "comp", "rare", "sid")
         ranked = stored(entries.withColumn("rank", F.row_number().over(order)), "ranked")
         p, e = ranked.filter(F.col("rank") <= most).alias("p"), ranked.alias("e")
         new = (p.join(e, (F.col("p.token") == F.col("e.token")) & (F.col("p.rank") < F.col("e.rank"))
@@ -479,9 +456,9 @@ def similarity_components(docs: DataFrame, id_col: str = "doc_id", text_col: str
             more = stored(_verify(src, new), "verified")
             checked = checked.union(more.select("a", "b"))
             if not more.filter("linked").isEmpty():
-                links = links.union(more.filter("linked").select("a", "b"))
-                comps = components(links)
-        entries = ranked.filter(F.col("rank") > most).select("token", "sid", "n", "pos", "pivot", "j")
+                comps = _joined(comps, more.filter("linked").select("a", "b"))
+                merging += merge
+        entries = ranked.filter(F.col("rank") > most).select("token", "sid", "n", "rare", "pos", "pivot", "j")
         turn += 1
 
     alone = rows.filter("sid is null").select("_id", "n", F.col("_id").alias("component_id"))
@@ -498,15 +475,10 @@ def _mixed(entries: DataFrame, comps: DataFrame, name: str) -> tuple[DataFrame,
     many entries of the list are of that component; whether there are any."""
     now = entries.join(comps, "sid", "left").withColumn("comp", F.coalesce("comp", "sid"))
     now = stored(now, name)
-    salted = now.withColumn("salt", F.pmod("sid", F.lit(SALTS)))
-    parts = salted.groupBy("token", "comp", "salt").agg(F.count(F.lit(1)).alias("c"))
-    held = parts.groupBy("token", "comp").agg(F.sum("c").alias("held"))
+    held = now.groupBy("token", "comp").agg(F.count(F.lit(1)).alias("held"))
     lists = held.groupBy("token").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("token")
     held = stored(held.join(lists, "token"), f"{name}-held")
-    if held.isEmpty():
-        return now, False
-    found = parts.select("token", "comp", "salt").join(held, ["token", "comp"])
-    return salted.join(found, ["token", "comp", "salt"]).drop("salt"), True
+    return now.join(held, ["token", "comp"]), not held.isEmpty()
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
