@@ -110,6 +110,9 @@ def test_default_wiring_idempotent(spark, tmpdir_fresh):
     assert second["trees"].count() == trees1 == 3            # re-run appends nothing
     assert second["stops"].count() == 2                      # insert-ignore keeps one row per stop
     assert sorted(tuple(r) for r in second["zone_indicators"].collect()) == snap1
+    from zonage.plans import contracts
+    broken = {(r.table, r.rule) for r in contracts.report(spark, wh).collect()}
+    assert not {(t, r) for t, r in broken if r in ("primary_key", "unique", "not_null", "type")}, broken
 
 
 def write_housing(base):

@@ -50,6 +50,7 @@ from pyspark.sql import DataFrame  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 from ..operators import load as L  # noqa: E402
+from . import contracts  # noqa: E402
 
 # Load rule and key of every table written by the default
 # wiring (anti-join append, composite anti-join append, insert-ignore,
@@ -91,6 +92,8 @@ def load_table(spark: SparkSession, warehouse: str, name: str, df: DataFrame) ->
     state.  Only new rows are written but for upserts and reloads."""
     rule, keys = TABLE_RULES[name]
     base = os.path.join(warehouse, name)
+    if name in contracts.DECLARED:
+        df = contracts.with_defaults(name, df)
     cur = L.read_current(spark, base)
     if rule == "replace":
         L.replace(df, base)
