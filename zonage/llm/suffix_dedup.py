@@ -54,28 +54,31 @@ from .common import id_and_text, stored, text_rows
 LENGTH = 200
 GRAM = 64
 STEP = 8
-PIECE = 1 << 20        # bytes of a text looked at together
-CHUNK = 1 << 21        # bytes of several texts looked at together
-POSITION_BITS = 22
-HOT = 2000             # segments of one anchor hash that are merged in one task
+PIECE = 1 << 15        # bytes of a text looked at together
+CHUNK = 1 << 16        # bytes of several texts looked at together; they fit a core's cache
+POSITION_BITS = 17
+HOT = 8192             # segments of one anchor hash that are merged in one task
 MERGE_BYTES = 96 << 10  # bytes merged together, more only for one anchor hash
 SHARDS = 4
 BITS = 1 << 26         # of a bitmap of hashes, whatever their number
 SEEN = 200_000
-_TABLE = np.random.default_rng(7).integers(1, 1 << 63, 256, np.uint64) | np.uint64(1)
-
-
 def signed(x: int) -> int:
     return x - (x >> 63 << 64)
 
 
-def gram_hashes(data: np.ndarray) -> np.ndarray:
-    """Hash of the ``GRAM`` bytes at every position, by doubling."""
-    h = _TABLE[data]
-    k = 1
+def gram_hashes(data: bytes) -> np.ndarray:
+    """Hash of the ``GRAM`` bytes at every position: of the eight bytes there,
+    then by doubling."""
+    h = np.empty(len(data) - 7, np.uint64)
+    for o in range(8):
+        part = np.frombuffer(data, "<u8", (len(data) - o) // 8, o)
+        h[o::8] = part[:len(h[o::8])]
+    h *= np.uint64(0xA0761D6478BD642F)
+    h ^= h >> np.uint64(29)
+    k = 8
     while k < GRAM:
         a = h[:-k] * np.uint64(0x9E3779B97F4A7C15 + 2 * k)
-        a ^= a >> np.uint64(29)
+        a ^= a >> np.uint64(31)
         a += h[k:]
         h = a
         k *= 2
@@ -95,29 +98,26 @@ def _window_min(x: np.ndarray, width: int) -> np.ndarray:
 
 def anchors(texts: list[bytes], length: int = LENGTH):
     """``(text, lo, at, hi, hash)`` arrays and the joined bytes with each text's
-    start: windows ``lo..hi`` of a text (offsets in it) have the anchor
-    ``at``.  Texts are at most :data:`CHUNK` bytes together or one piece."""
+    start: windows ``lo..hi`` of a text (offsets in it) have the anchor ``at``.
+    The texts have ``length`` bytes at least, and :data:`CHUNK` together or are
+    one piece."""
     data = b"".join(texts)
-    sizes = np.array([len(t) for t in texts])
-    starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
-    none = np.empty(0, np.int64)
-    if len(data) < length:
-        return none, none, none, none, none.view(np.uint64), data, starts
-    h = gram_hashes(np.frombuffer(data, np.uint8))
+    starts = np.cumsum([0] + [len(t) for t in texts])
+    h = gram_hashes(data)
     mask = np.uint64((1 << POSITION_BITS) - 1)
-    key = (h & ~mask) | np.arange(len(h), dtype=np.uint64)
-    at = (_window_min(key, length - GRAM + 1) & mask).astype(np.int64)
-    of = np.repeat(np.arange(len(texts)), sizes)[:len(at)]
-    ok = np.flatnonzero(np.arange(len(at)) + length <= (starts + sizes)[of])
-    if not len(ok):
-        return none, none, none, none, none.view(np.uint64), data, starts
-    a, t = at[ok], of[ok]
-    new = np.ones(len(ok), bool)
-    new[1:] = (a[1:] != a[:-1]) | (t[1:] != t[:-1])
-    first = np.flatnonzero(new)
-    last = np.concatenate([first[1:], [len(ok)]]) - 1
-    s = starts[t[first]]
-    return t[first], ok[first] - s, a[first] - s, ok[last] - s, h[a[first]], data, starts
+    key = h & ~mask
+    key |= np.arange(len(h), dtype=np.uint64)
+    key = _window_min(key, length - GRAM + 1)
+    ts, los, ats, his = [], [], [], []
+    for t, s in enumerate(starts[:-1].tolist()):
+        own = key[s:starts[t + 1] - length + 1]  # a key names its anchor's place
+        first = np.concatenate([[0], np.flatnonzero(own[1:] != own[:-1]) + 1])
+        ts.append(np.full(len(first), t))
+        los.append(first)
+        ats.append((own[first] & mask).astype(np.int64) - s)
+        his.append(np.concatenate([first[1:], [len(own)]]) - 1)
+    t, at = np.concatenate(ts), np.concatenate(ats)
+    return t, np.concatenate(los), at, np.concatenate(his), h[starts[t] + at], data, starts
 
 
 def pieces(texts: list[tuple], length: int = LENGTH):
@@ -152,13 +152,12 @@ class _Fresh(set):
 
 def _segments(chunk: list[tuple], length: int):
     """Of a chunk of pieces: arrays ``(piece, lo, at, hi, h, g)``, ``g`` being
-    the segment's hash, and the joined bytes with each piece's start."""
+    the segment's hash with its anchor's offset."""
     t, lo, at, hi, h, data, starts = anchors([x for _, _, x in chunk], length)
-    begin = (starts[t] + lo).tolist()
-    end = (starts[t] + hi + length).tolist()
+    begin, end = (starts[t] + lo).tolist(), (starts[t] + hi + length).tolist()
     digest = xxhash.xxh3_64_intdigest
     g = np.fromiter((digest(data[b:e], o) for b, e, o in zip(begin, end, (at - lo).tolist())), np.uint64, len(t))
-    return t, lo, at, hi, h, g, data, begin, end
+    return t, lo, at, hi, h, g
 
 
 def _describe(src: DataFrame, length: int) -> DataFrame:
@@ -180,26 +179,31 @@ def _describe(src: DataFrame, length: int) -> DataFrame:
                      pa.nulls(len(ids), pa.int64()), pa.nulls(len(ids), pa.int64()),
                      pa.array([hashlib.sha256(x).hexdigest() for x in texts])], names)
                 todo = [(k, x) for k, x in zip(keys, texts) if len(x) >= length and fresh.new(k)]
+                parts = []
                 for chunk in pieces(todo, length):
-                    t, lo, at, hi, h, g, *_ = _segments(chunk, length)
-                    key = np.array([k for k, _, _ in chunk], np.uint64)[t].view(np.int64)
-                    lo = lo + np.array([o for _, o, _ in chunk])[t]
-                    hi = hi + np.array([o for _, o, _ in chunk])[t]
-                    at = at + np.array([o for _, o, _ in chunk])[t]
-                    # What repeats in this chunk is settled here.
-                    _, first, of, times = np.unique(np.stack([h, g], 1), axis=0, return_index=True,
-                                                    return_inverse=True, return_counts=True)
-                    again = times[of.ravel()] > 1
-                    witness = first[times > 1]
-                    packed = lo << 16 | (at - lo) << 8 | (hi - lo + 1)
-                    kind = np.concatenate([np.ones((~again).sum() + len(witness), np.int8), np.full(again.sum(), 2, np.int8)])
-                    cols = [np.concatenate([key[~again], key[witness], key[again]]),
-                            np.concatenate([packed[~again], np.zeros(len(witness), np.int64), np.zeros(again.sum(), np.int64)]),
-                            np.concatenate([h.view(np.int64)[~again], h.view(np.int64)[witness], lo[again]]),
-                            np.concatenate([g.view(np.int64)[~again], g.view(np.int64)[witness], hi[again] + length])]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(kind), pa.nulls(len(kind), batch.column(0).type), *map(pa.array, cols),
-                         pa.nulls(len(kind), pa.string())], names)
+                    t, lo, at, hi, h, g = _segments(chunk, length)
+                    offset = np.array([o for _, o, _ in chunk])[t]
+                    parts.append((np.array([k for k, _, _ in chunk], np.uint64)[t].view(np.int64),
+                                  lo + offset, at - lo, hi + offset, h, g))
+                if not parts:
+                    continue
+                # What repeats among these texts is settled here.
+                key, lo, off, hi, h, g = (np.concatenate(c) for c in zip(*parts))
+                _, first, of, times = np.unique(h * np.uint64(0x9E3779B97F4A7C15) ^ g, return_index=True,
+                                                return_inverse=True, return_counts=True)
+                again = times[of.ravel()] > 1
+                alone, witness = np.flatnonzero(~again), first[times > 1]
+                n = int(again.sum())
+                packed = lo << 16 | off << 8 | (hi - lo + 1)
+                kind = np.concatenate([np.ones(len(alone) + len(witness), np.int8), np.full(n, 2, np.int8)])
+                h, g = h.view(np.int64), g.view(np.int64)
+                cols = [np.concatenate([key[alone], key[witness], key[again]]),
+                        np.concatenate([packed[alone], np.zeros(len(witness) + n, np.int64)]),
+                        np.concatenate([h[alone], h[witness], lo[again]]),
+                        np.concatenate([g[alone], g[witness], hi[again] + length])]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(kind), pa.nulls(len(kind), batch.column(0).type), *map(pa.array, cols),
+                     pa.nulls(len(kind), pa.string())], names)
 
     return src.mapInArrow(run, f"kind tinyint, _id {id_type}, t bigint, n bigint, h bigint, g bigint, sha string")
 
@@ -348,8 +352,23 @@ def _merged(segments: DataFrame, length: int) -> DataFrame:
         return batch_of(out)
 
     def spread(held):
-        return batch_of([(h, g, i, i + 1, signed(xxhash.xxh3_64_intdigest(d[i:i + length])))
-                         for h, g, d in held for i in range(len(d) - length + 1)])
+        # Windows that repeat among these are settled; one row stands for them.
+        rows = [(h, g, i, i + 1, signed(xxhash.xxh3_64_intdigest(d[i:i + length])))
+                for h, g, d in held for i in range(len(d) - length + 1)]
+        _, first, of, times = np.unique([r[4] for r in rows], return_index=True, return_inverse=True, return_counts=True)
+        again = times[of.ravel()] > 1
+        stands = np.zeros(len(rows), bool)
+        stands[first] = True
+        out = [r for r, s in zip(rows, stands.tolist()) if s]
+        flags: dict = {}
+        for r, x in zip(rows, again.tolist()):
+            if x:
+                flags.setdefault(r[:2], []).append(r[2])
+        for (h, g), at in flags.items():
+            hit = np.zeros(max(at) + 1, bool)
+            hit[at] = True
+            out += [(h, g, a, b, None) for a, b in _runs(hit)]
+        return batch_of(out)
 
     def run(batches):
         done, done_size, group, hot, last = [], 0, [], False, None  # done: whole groups; group: the running one
@@ -369,7 +388,7 @@ def _merged(segments: DataFrame, length: int) -> DataFrame:
                         done, done_size = [], 0
                 last = (h, g)
                 group.append((h, g, d))
-                if len(group) > HOT or hot and len(group) > 64:
+                if len(group) > HOT or hot and len(group) >= min(HOT, 1024):
                     yield spread(group)
                     group, hot = [], True
         if hot:
