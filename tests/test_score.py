@@ -146,3 +146,11 @@ def test_positions_with_infinities_and_nan(spark):
     hist = spark.createDataFrame([(v,) for v in values], "v double").groupBy("v").agg(F.count("*").alias("_c"))
     got = {str(r.v): r._below for r in S.positions(hist, "v").collect()}
     assert got == {"-inf": 0, "-5.0": 1, "0.0": 2, "1e-300": 4, "3.0": 5, "inf": 6, "nan": 7}
+
+
+def test_keep_first_breaks_ties_by_arrays_and_structs(spark):
+    df = spark.createDataFrame([(1, [2, 1], (5,), {"a": 1}), (1, [1, 9], (7,), {"b": 1}), (1, [1, 9], (6,), {"c": 1})],
+                               "k int, a array<int>, s struct<x: int>, m map<string,int>")
+    for _ in range(3):
+        got = S.keep_first(df.repartition(3), ["k"], ["k"]).collect()
+        assert [(r.a, r.s.x) for r in got] == [([1, 9], 6)]

@@ -13,6 +13,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.clean import round_dec
 from ..session import bounded_broadcast
@@ -194,14 +195,22 @@ def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]
     which makes the choice deterministic; NULLs sort first, as in
     ``ORDER BY … ASC``."""
     order_exprs = [F.col(o) if isinstance(o, str) else o for o in order]
-    atomic = [f.name for f in df.schema.fields
-              if f.dataType.typeName() not in ("map", "variant", "binary", "array", "struct")]
+    ties = [f.name for f in df.schema.fields if _orderable(f.dataType)]
     key = F.struct(*[e.alias(f"_o{i}") for i, e in enumerate(order_exprs)],
-                   *[F.col(c).alias(f"_t{j}") for j, c in enumerate(atomic)])
+                   *[F.col(c).alias(f"_t{j}") for j, c in enumerate(ties)])
     row = F.struct(*[F.col(c) for c in df.columns])
     return df.groupBy(*keys).agg(F.min_by(row, key).alias("_row")).select("_row.*")
 
 
+def _orderable(kind: T.DataType) -> bool:
+    """Whether Spark can compare values of a type (maps and variants it can't)."""
+    if isinstance(kind, T.ArrayType):
+        return _orderable(kind.elementType)
+    if isinstance(kind, T.StructType):
+        return all(_orderable(f.dataType) for f in kind.fields)
+    return kind.typeName() not in ("map", "variant")
+
+
 def densify(reference: DataFrame, facts: Sequence[DataFrame], key: str | Sequence[str],
             fill: float | int | None = 0) -> DataFrame:
     """JN10: left-join per-zone aggregates onto the zone reference so every
