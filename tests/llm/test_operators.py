@@ -313,9 +313,8 @@ def test_lm_base_score_and_probability(spark, rows, docs):
         assert (r.n_tokens, r.n_known) == (len(ws), sum(w in c for w in ws))
         assert r.base_score == pytest.approx(sum(math.log10((c[w] + 0.5) / (n + 0.5 * (v + 1))) for w in ws))
         assert math.isfinite(r.score)
-    words = lm_score.Words()
     # Summed over all training words, a context's probabilities leave some for the unknown.
-    x = np.array([words[w] if w else lm_score.END for w in c], np.uint64)
+    x = np.array([lm_score._hashed(w)[0][0] if w else lm_score.END for w in c], np.uint64)
     u, k = model.look_up(x)
     assert (k >= 0).all()
     for before in range(0, lm_score.CLASSES, 17):
@@ -353,6 +352,21 @@ def test_exchange_raises_the_likelihood(spark):
     assert gain > 0.2  # knowing the side is worth a factor of two
 
 
+def test_words_hash_alike_wherever_they_stand(monkeypatch):
+    monkeypatch.setattr(lm_score, "SECTION", 40)
+    monkeypatch.setattr(lm_score, "sections", lambda t: (t[:t.index(b" ", 30)], t[t.index(b" ", 30):]))
+    r = random.Random(3)
+    texts = [" ".join(r.choice(["a", "Bb,", "é!", "..", "longerword9"]) for _ in range(n)).encode() for n in (0, 3, 9, 1, 0, 25)]
+    seen = {}
+    for at, tokens, bounds in lm_score.token_arrays(texts):
+        for i, a, b in zip(at, bounds, bounds[1:]):
+            ws = texts[i].lower().split()
+            assert b - a == len(ws) + 1 and tokens[b - 1] == lm_score.END
+            for w, t in zip(ws, tokens[a:b - 1].tolist()):
+                assert seen.setdefault(w, t) == t
+    assert len(set(seen.values())) == len(seen)
+
+
 # -- secrets ------------------------------------------------------------------
 
 def base_spans(text):
