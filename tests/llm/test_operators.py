@@ -99,7 +99,9 @@ def norm_words(text):
     return [x for x in re.split(r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+", lower(text)) if x]
 
 
-def test_decontamination(spark, rows, docs):
+@pytest.mark.parametrize("most", [500_000, 0])
+def test_decontamination(spark, rows, docs, most, monkeypatch):
+    monkeypatch.setattr(decontaminate, "MAX_BROADCAST", most)
     some = [t for i, t in rows if i in (10, 100, 202)]
     items = [(1, " ".join(some[0].split()[3:30])), (2, None), (3, ""), (4, "OF, the. and!"), (5, some[2][500:900]),
              (6, "never there at all in any document of these rows not once"), (7, " ".join(some[0].split()[3:14]))]

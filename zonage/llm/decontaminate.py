@@ -7,8 +7,9 @@ that would start there; positions whose hash is in the set are verified
 against the window's full words, and verified windows mark the words they
 cover.  Only verified hits leave the scan, so texts are never shuffled.
 
-Beyond :data:`MAX_BROADCAST` windows the same join runs as a shuffle join on
-the hash; the result is the same.
+Beyond :data:`MAX_BROADCAST` windows, positions and hashes are shuffled to the
+windows instead, and the documents' words meet the positions that are left; the
+result is the same.
 
 Edge cases: null or empty texts have no words, are never contaminated and give
 no windows; an item of fewer than ``width`` words is one window of all its
@@ -62,17 +63,24 @@ def find_hits(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_co
     wins = stored(windows(items, item_col, item_text_col, width), "windows")
     sizes = sorted(r["n"] for r in wins.select("n").distinct().collect())  # at most `width` numbers
     ws = id_and_text(docs, id_col, text_col).select("_id", words(F.col("_text")).alias("_ws"))
+    small = bounded(wins, MAX_BROADCAST)
     found = None
     for n in sizes:
         keyed = wins.filter(F.col("n") == n).select("win", "item", _gate(F.col("win"), F.lit(0), n).alias("_g"))
         one = keyed.groupBy("_g", "win").agg(F.collect_set("item").alias("items"))
-        one = F.broadcast(one) if bounded(wins, MAX_BROADCAST) else one
-        gates = _gates(F.col("_ws"), n)
-        cand = (ws.filter(F.size("_ws") >= n)
-                  .select("_id", "_ws", F.posexplode(gates).alias("pos", "_g"))
-                  .join(one, "_g")
-                  .filter(F.slice("_ws", F.col("pos") + 1, n) == F.col("win"))
-                  .select("_id", "pos", F.lit(n).alias("n"), F.explode("items").alias("item")))
+        long = ws.filter(F.size("_ws") >= n)
+        gates = F.posexplode(_gates(F.col("_ws"), n)).alias("pos", "_g")
+        if small:
+            cand = long.select("_id", "_ws", gates).join(F.broadcast(one), "_g") \
+                       .filter(F.slice("_ws", F.col("pos") + 1, n) == F.col("win"))
+        else:
+            # Only positions are shuffled by hash; words meet those that are left.
+            at = long.select("_id", gates).join(one.select("_g").distinct(), "_g", "left_semi")
+            at = at.groupBy("_id").agg(F.collect_set(F.struct("pos", "_g")).alias("_at")).withColumnRenamed("_id", "_aid")
+            cand = (long.join(at, F.col("_id").eqNullSafe(F.col("_aid"))).select("_id", "_ws", F.explode("_at").alias("_a"))
+                        .select("_id", "_a.pos", "_a._g", F.slice("_ws", F.col("_a.pos") + 1, n).alias("win"))
+                        .join(one, ["_g", "win"]))
+        cand = cand.select("_id", "pos", F.lit(n).alias("n"), F.explode("items").alias("item"))
         found = cand if found is None else found.unionByName(cand)
     if found is None:
         found = ws.filter("false").select("_id", F.lit(0).alias("pos"), F.lit(0).alias("n"),
