@@ -328,3 +328,38 @@ from per join za using (zone) join dom using (zone, operateur, tech)
 
 
 register("coverage_overlay_rate", _coverage_sql())(coverage_overlay_rate)
+
+
+# ---------------------------------------------------------------- JN2
+
+def point_in_zone_projected(spark, sf):
+    """JN2: customers and zones projected from degrees to metres, then located.
+    Points are set off the lattice lines, where rounding would decide."""
+    (customer,) = tables(spark, sf, "customer")
+    pts = LT.with_point(customer.select("c_custkey"), "c_custkey")
+    to_l93 = lambda x, y: lambert93(LON_ORIGIN + x * LON_STEP, LAT_ORIGIN + y * LAT_STEP)
+    px, py = to_l93(F.col("x") + 0.0137, F.col("y") + 0.0091)
+    x1, y1 = to_l93(F.col("x1"), F.col("y1"))
+    x2, y2 = to_l93(F.col("x2"), F.col("y2"))
+    edges = _zones(spark, sf).withColumns({"x1": x1, "y1": y1, "x2": x2, "y2": y2})
+    located = G.points_in_zones(pts.select("c_custkey", px.alias("px"), py.alias("py")), edges, "px", "py")
+    return located.select("c_custkey", C.round_dec("px", 2).alias("x_l93"), C.round_dec("py", 2).alias("y_l93"), "zone")
+
+
+def _projected_sql() -> str:
+    def l93(x: str, y: str) -> str:
+        a, b = lambert93_sql(f"({LON_ORIGIN} + {x} * {LON_STEP})", f"({LAT_ORIGIN} + {y} * {LAT_STEP})")
+        return a, b
+    (ax, ay), (bx, by) = l93("x1", "y1"), l93("x2", "y2")
+    px, py = l93("(x0 + 0.0137)", "(y0 + 0.0091)")
+    return f"""
+with z0 as ({ZE}),
+ze as (select id, {ax} as x1, {ay} as y1, {bx} as x2, {by} as y2 from z0),
+p0 as (select c_custkey as id, {LT.sql_point('c_custkey', 'x')} as x0, {LT.sql_point('c_custkey', 'y')} as y0 from customer),
+pts as (select id, {px} as x, {py} as y from p0),
+z as ({_pip_sql('pts')})
+select pts.id as c_custkey, {rd('pts.x', 2)} as x_l93, {rd('pts.y', 2)} as y_l93, z.zone from pts left join z on pts.id = z.id
+"""
+
+
+register("point_in_zone_projected", _projected_sql())(point_in_zone_projected)
