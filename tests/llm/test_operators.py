@@ -271,7 +271,7 @@ def test_bpe_round_trip(spark, rows, docs, library):
     want = collections.Counter((i, np.array(library.encode_ordinary(t or ""), "<u4").tobytes(), (t or "").encode())
                                for i, t in rows)
     encoded = bpe.encode(docs, BPE, public_tokenizers.PATTERN)
-    got = bpe.decode(encoded, BPE, public_tokenizers.PATTERN).collect()
+    got = bpe.decode(encoded, BPE).collect()
     assert collections.Counter((r.doc_id, bytes(r.ids), bytes(r.decoded)) for r in got) == want
     assert bpe.encode(empty(spark), BPE, public_tokenizers.PATTERN).collect() == []
 

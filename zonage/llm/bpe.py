@@ -139,7 +139,11 @@ class Codec(dict):
         return b"".join(map(self.__getitem__, self.find(text)))
 
     def decode(self, ids: bytes) -> bytes:
-        return b"".join(map(self.tokens.__getitem__, memoryview(ids).cast("I")))
+        return decoded(self.tokens, ids)
+
+
+def decoded(tokens: list[bytes], ids: bytes) -> bytes:
+    return b"".join(map(tokens.__getitem__, memoryview(ids).cast("I")))
 
 
 def sections(text: str) -> Iterator[str]:
@@ -198,24 +202,25 @@ def encode(docs: DataFrame, vocab_path: str, pattern: str, id_col: str = "doc_id
                 packed = [b"".join(map(codec.encode, sections(t.decode()))) for t in texts]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(ids, batch.column(0).type), pa.array(packed, pa.binary())], ["_id", "ids"])
+        codec.clear()  # a worker without tasks holds no memo
 
     return src.mapInArrow(run, f"_id {schema.dataType.simpleString()}, ids binary") \
               .withColumnRenamed("_id", id_col)
 
 
-def decode(encoded: DataFrame, vocab_path: str, pattern: str, id_col: str = "doc_id",
+def decode(encoded: DataFrame, vocab_path: str, id_col: str = "doc_id",
            ids_col: str = "ids") -> DataFrame:
     """``(id, ids, decoded)``: ids as :func:`encode` packs them, and the bytes
     they stand for (null ids: no bytes)."""
     src = encoded.select(encoded[id_col].alias("_id"), encoded[ids_col].alias("_text"))
-    shared = _vocabulary(encoded.sparkSession, vocab_path, pattern)
+    shared = _Shared(encoded.sparkSession, read_ranks(vocab_path))
     schema = src.schema["_id"]
 
     def run(batches):
-        codec = _codec(shared)
+        tokens = shared.value
         for batch in batches:
             for ids, packed in text_rows([batch]):
-                out = [codec.decode(p or b"") for p in packed]
+                out = [decoded(tokens, p or b"") for p in packed]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(ids, batch.column(0).type), pa.array(packed, pa.binary()),
                      pa.array(out, pa.binary())], ["_id", "ids", "decoded"])

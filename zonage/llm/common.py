@@ -11,7 +11,7 @@ import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from zonage.session import shared_dir
@@ -33,8 +33,18 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+# Arrow batches that Spark hands to a Python worker hold about this many bytes.
+BATCH_BYTES = 8 << 20
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Bound Arrow batches by bytes as well as rows: texts differ in length."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+
+
 def id_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(_id, _text)`` with null texts as empty strings."""
+    bound_batches(docs.sparkSession)
     return docs.select(docs[id_col].alias("_id"),
                        F.coalesce(docs[text_col].cast("string"), F.lit("")).alias("_text"))
 

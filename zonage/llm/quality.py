@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bpe import _Shared
-from .common import id_and_text, text_rows
+from .common import bound_batches, id_and_text, text_rows
 
 WORD_DIM = 1 << 15
 BINS = 12
@@ -166,12 +166,12 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
             for ys, texts in text_rows([batch]):
                 vs = [features.vector(t) for t in texts]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(ys, pa.int32()), pa.array([a.tolist() for a, _ in vs], pa.list_(pa.int32())),
-                     pa.array([x.tolist() for _, x in vs], pa.list_(pa.float32()))], ["y", "at", "x"])
+                    [pa.array(ys, pa.int32()), pa.array([a.tobytes() for a, _ in vs], pa.binary()),
+                     pa.array([x.tobytes() for _, x in vs], pa.binary())], ["y", "at", "x"])
 
-    found = src.mapInArrow(run, "y int, at array<int>, x array<float>") \
+    found = src.mapInArrow(run, "y int, at binary, x binary") \
                .orderBy(F.xxhash64("at", "x", "y")).limit(2 * max_rows).collect()
-    return fit([(np.array(r["at"], np.int32), np.array(r["x"], np.float32), int(r["y"] > 0)) for r in found])
+    return fit([(np.frombuffer(r["at"], np.int32), np.frombuffer(r["x"], np.float32), int(r["y"] > 0)) for r in found])
 
 
 def scores(docs: DataFrame, machine: Machine, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -194,11 +194,16 @@ def scores(docs: DataFrame, machine: Machine, id_col: str = "doc_id", text_col:
 def keep_good(docs: DataFrame, machine: Machine, text_col: str = "text", threshold: float = 0.5) -> DataFrame:
     """``docs`` without the rows that score below ``threshold``, all columns
     unchanged, without a shuffle."""
+    bound_batches(docs.sparkSession)
     shared = _Shared(docs.sparkSession, machine)
+    column = docs.columns.index(text_col)
 
-    @F.pandas_udf("double")
-    def score(texts):
+    def run(batches):
         features = Features()
-        return texts.map(lambda t: shared.value.score(*features.vector((t or "").encode())))
+        for batch in batches:
+            texts = pa.compute.fill_null(batch.column(column).cast(pa.string()), "")
+            rows = pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), texts], ["i", "text"])
+            keep = [shared.value.score(*features.vector(t)) >= threshold for _, part in text_rows([rows]) for t in part]
+            yield batch.filter(pa.array(keep, pa.bool_()))
 
-    return docs.filter(score(docs[text_col].cast("string")) >= threshold)
+    return docs.mapInArrow(run, docs.schema)
