@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, id_and_text, stored, unused, without
+from .common import ascii_lower, id_and_text, stored, unused
 
 BUCKETS = 1 << 20
 SALTS = 64
@@ -81,8 +81,10 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without the rows that :func:`exact_dedup` drops, all columns
     unchanged; of rows with equal id and equal text one stays."""
-    dropped = exact_dedup(docs, id_col, text_col).filter(~F.col("kept")).select(id_col).distinct()
-    kept = without(docs, dropped, id_col)
-    digest = unused(docs, "_digest")
-    kept = kept.withColumn(digest, F.sha2(ascii_lower(F.coalesce(kept[text_col].cast("string"), F.lit(""))), 256))
-    return kept.dropDuplicates([id_col, digest]).drop(digest)
+    # One key for join and duplicates, so whole rows are shuffled once.
+    key, digest = unused(docs, "_key"), unused(docs, "_digest")
+    named = F.coalesce(F.col(id_col).cast("string"), F.lit("\0"))
+    dropped = exact_dedup(docs, id_col, text_col).filter(~F.col("kept")).select(named.alias(key)).distinct()
+    kept = docs.withColumn(key, named).join(dropped, key, "left_anti")
+    kept = kept.withColumn(digest, F.sha2(ascii_lower(F.coalesce(F.col(text_col).cast("string"), F.lit(""))), 256))
+    return kept.dropDuplicates([key, digest]).select(*docs.columns)
