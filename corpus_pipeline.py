@@ -6,9 +6,10 @@ as the next stage's ``docs``.  All but the last return the columns of
 ``documents``, whatever these are; the last returns token ids.
 
 Edge cases: an empty table passes every stage empty; null texts are treated as
-empty texts, which the quality classifier judges by their statistics; rows with
-a null id are kept by the joins and judged by quality and exact copies only;
-repeated rows are one document.
+empty texts, which the quality classifier judges by their statistics; rows
+are dropped by id and text, so texts that share a null or other id are judged
+one by one; a null id passes the near-duplicate stage; repeated rows are one
+document.
 """
 
 from __future__ import annotations

@@ -93,6 +93,13 @@ def test_exact_dedup_plan_is_native(docs):
     assert "Python" not in plan and "Arrow" not in plan and "CartesianProduct" not in plan
 
 
+def test_exact_dedup_drops_rows_not_ids(spark):
+    """Rows with a null id, or with the id of a copy, go only if they are copies."""
+    texts = [(None, "A"), (None, "unique"), (None, "twice"), (None, "Twice"), (9, "a"), (5, "A"), (5, "B"), (5, "B")]
+    left = collections.Counter((r.doc_id, lower(r.text)) for r in exact_dedup.keep_one(frame(spark, texts)).collect())
+    assert left == collections.Counter([(None, "unique"), (None, "twice"), (9, "a"), (5, "b")])
+
+
 # -- decontamination ----------------------------------------------------------
 
 def norm_words(text):
@@ -135,6 +142,16 @@ def test_decontamination(spark, rows, docs, most, monkeypatch):
     assert decontaminate.drop_contaminated(docs, empty(spark), item_col="doc_id").count() == len(rows)
 
 
+@pytest.mark.parametrize("most", [500_000, 0])
+def test_decontamination_drops_rows_not_ids(spark, most, monkeypatch):
+    monkeypatch.setattr(decontaminate, "MAX_BROADCAST", most)
+    leak = " ".join(f"leak{k}" for k in range(12))
+    texts = [(None, f"x {leak}"), (None, "clean one"), (None, None), (7, leak), (7, "clean two"), (8, "clean two")]
+    clean = decontaminate.drop_contaminated(frame(spark, texts), spark.createDataFrame([(1, leak)], "item_id int, text string"))
+    assert collections.Counter((r.doc_id, r.text) for r in clean.collect()) == collections.Counter(
+        [(None, "clean one"), (None, None), (7, "clean two"), (8, "clean two")])
+
+
 # -- set-similarity join ------------------------------------------------------
 
 def components(rows):
@@ -172,6 +189,15 @@ def test_jaccard_components(spark, rows, docs):
     assert jaccard_join.similarity_components(empty(spark)).collect() == []
 
 
+def test_jaccard_drops_rows_not_ids(spark):
+    r = random.Random(9)
+    text, other = prose(r, 80), prose(r, 80)
+    texts = [(1, text), (5, text + " more"), (5, other), (None, text), (None, "one two")]
+    kept = jaccard_join.keep_one(frame(spark, texts)).collect()
+    assert collections.Counter((x.doc_id, x.text) for x in kept) == collections.Counter(
+        [(1, text), (5, other), (None, text), (None, "one two")])
+
+
 def test_jaccard_chains_and_shared_passages(spark):
     """Chains whose ends aren't similar, and many texts that share most of
     their frequent shingles without being similar."""

@@ -64,6 +64,18 @@ def without(docs: DataFrame, ids: DataFrame, id_col: str) -> DataFrame:
     return docs.join(gone, docs[id_col].eqNullSafe(gone[name]), "left_anti")
 
 
+def text_digest(text: Column) -> Column:
+    """SHA-256 of ``text`` as bytes; null counts as empty."""
+    return F.unhex(F.sha2(F.coalesce(text.cast("string"), F.lit("")), 256))
+
+
+def row_key(id_col: Column, digest: Column) -> Column:
+    """Bytes that tell rows apart by the digest of their text and their id,
+    which may be null or that of other texts; never null."""
+    named = F.coalesce(F.concat(F.lit("="), id_col.cast("string")), F.lit("-"))
+    return F.concat(digest, named.cast("binary"))
+
+
 def ascii_lower(text: Column) -> Column:
     """Lower-case A-Z only.  Pure-ASCII texts (as many bytes as characters)
     take ``lower``, which agrees there and is cheaper than ``translate``."""

@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, bounded, id_and_text, stored, without
+from .common import ascii_lower, bounded, id_and_text, row_key, stored, text_digest, unused, without
 
 # Fixed value: what separates words (every ASCII character but a-z and 0-9).
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -111,7 +111,10 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                       **kw) -> DataFrame:
-    """``docs`` without the documents in which a benchmark window occurs, all
-    columns unchanged; the rest, null ids included, stays as it is."""
-    bad = find_hits(docs, items, id_col, text_col, **kw).select(id_col).distinct()
-    return without(docs, stored(bad, "contaminated"), id_col)
+    """``docs`` without the rows in which a benchmark window occurs, all columns
+    unchanged; the rest stays as it is, rows that share a null or other id with
+    a dropped text included."""
+    key = unused(docs, "_key")
+    keyed = docs.withColumn(key, row_key(docs[id_col], text_digest(docs[text_col])))
+    bad = find_hits(keyed, items, key, text_col, **kw).select(key).distinct()
+    return without(keyed, stored(bad, "contaminated"), key).select(*docs.columns)

@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, id_and_text, stored, unused
+from .common import ascii_lower, id_and_text, row_key, stored, text_digest, unused
 
 BUCKETS = 1 << 20
 SALTS = 64
@@ -58,33 +58,40 @@ def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                         *[c.alias(n) for n, c in (extra or {}).items()]))
 
 
+def _groups(rows: DataFrame, names: list[str]) -> DataFrame:
+    """``(_id, _key, keep_id, group_size)`` plus ``names`` per row of
+    :func:`digests` whose digest is known."""
+    salt = F.pmod(F.xxhash64("_id"), F.lit(SALTS))
+    shared = rows.filter(F.col("_key").isNotNull()).withColumn("_salt", salt)
+    parts = shared.groupBy("_key", "_salt").agg(F.max("_id").alias("_m"), F.count(F.lit(1)).alias("_n"))
+    # At most SALTS rows per digest reach this aggregate.
+    whole = parts.groupBy("_key").agg(F.max("_m").alias("keep_id"), F.sum("_n").alias("group_size"))
+    found = parts.select("_key", "_salt").join(whole, "_key")
+    return shared.join(found, ["_key", "_salt"]).select("_id", "_key", "keep_id", "group_size", *names)
+
+
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 extra: dict | None = None) -> DataFrame:
     """One row per row of ``docs``: ``(id, keep_id, group_size, kept)`` plus the
     ``extra`` columns.  Of equal texts the row with the largest id is kept."""
     rows = stored(digests(docs, id_col, text_col, extra), "digests")
     names = list(extra or {})
-    salt = F.pmod(F.xxhash64("_id"), F.lit(SALTS))
     alone = rows.filter(F.col("_key").isNull()).select(
         "_id", F.col("_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), *names)
-    shared = rows.filter(F.col("_key").isNotNull()).withColumn("_salt", salt)
-    parts = shared.groupBy("_key", "_salt").agg(F.max("_id").alias("_m"), F.count(F.lit(1)).alias("_n"))
-    # At most SALTS rows per digest reach this aggregate.
-    whole = parts.groupBy("_key").agg(F.max("_m").alias("keep_id"), F.sum("_n").alias("group_size"))
-    found = parts.select("_key", "_salt").join(whole, "_key")
-    together = shared.join(found, ["_key", "_salt"]).select("_id", "keep_id", "group_size", *names)
-    out = alone.unionByName(together)
+    out = alone.unionByName(_groups(rows, names).drop("_key"))
     return out.select(F.col("_id").alias(id_col), "keep_id", "group_size",
                       F.col("_id").eqNullSafe(F.col("keep_id")).alias("kept"), *names)
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without the rows that :func:`exact_dedup` drops, all columns
-    unchanged; of rows with equal id and equal text one stays."""
+    unchanged; of rows with equal id and equal text one stays.  Rows are told
+    apart by id and text, as ids may be null or shared by several texts."""
     # One key for join and duplicates, so whole rows are shuffled once.
-    key, digest = unused(docs, "_key"), unused(docs, "_digest")
-    named = F.coalesce(F.col(id_col).cast("string"), F.lit("\0"))
-    dropped = exact_dedup(docs, id_col, text_col).filter(~F.col("kept")).select(named.alias(key)).distinct()
-    kept = docs.withColumn(key, named).join(dropped, key, "left_anti")
-    kept = kept.withColumn(digest, F.sha2(ascii_lower(F.coalesce(F.col(text_col).cast("string"), F.lit(""))), 256))
-    return kept.dropDuplicates([key, digest]).select(*docs.columns)
+    key = unused(docs, "_key")
+    lost = _groups(stored(digests(docs, id_col, text_col), "digests"), []) \
+        .filter(~F.col("_id").eqNullSafe(F.col("keep_id")))
+    dropped = lost.select(row_key(F.col("_id"), F.col("_key")).alias(key)).distinct()
+    norm = ascii_lower(F.coalesce(docs[text_col].cast("string"), F.lit("")))
+    kept = docs.withColumn(key, row_key(docs[id_col], text_digest(norm))).join(dropped, key, "left_anti")
+    return kept.dropDuplicates([key]).select(*docs.columns)

@@ -48,7 +48,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from .bpe import _Shared
-from .common import id_and_text, stored, text_rows, without
+from .common import id_and_text, stored, text_digest, text_rows, unused, without
 from .wordhash import SECTION, mix, sections, word_hashes
 
 WIDTH = 5
@@ -482,8 +482,12 @@ def _mixed(entries: DataFrame, comps: DataFrame, name: str) -> tuple[DataFrame,
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with one document of each component (its smallest id), all
-    columns unchanged; rows with a null id stay."""
-    found = similarity_components(docs, id_col, text_col)
-    gone = found.filter(F.col(id_col) != F.col("component_id")).select(id_col).distinct()
-    return without(docs, stored(gone, "gone"), id_col)
+    """``docs`` with one document of each component (its smallest id, of that
+    id's texts the one with the smallest digest), all columns unchanged; rows
+    with a null id stay, and so do other texts of a dropped text's id."""
+    key = unused(docs, "_key")
+    named = F.struct(docs[id_col].alias("id"), text_digest(docs[text_col]).alias("digest"))
+    keyed = docs.withColumn(key, F.when(docs[id_col].isNotNull(), named))
+    found = similarity_components(keyed, key, text_col)
+    gone = found.filter(F.col(key) != F.col("component_id")).select(key).distinct()
+    return without(keyed, stored(gone, "gone"), key).select(*docs.columns)
