@@ -2,10 +2,12 @@
 
 Base spans are the matches of three patterns (assignments to sensitive names,
 access key ids, long hexadecimal runs).  The method adds spans: every long
-token of letters and digits with a sensitive word shortly before it is a
-candidate; its novelty is its marginal compressed size, i.e. what it adds to
-the compressed text around it under a compressor primed with a dictionary of
-the identifiers that surround candidates in this corpus.  Candidates that stay
+token of letters and digits with a sensitive word shortly before it, on its
+line or the one before, is a candidate, and so are the tokens on the lines that
+go on from it; its novelty is its marginal compressed size, i.e. what it adds to
+the compressed text around it, further copies of it blanked out, under a
+compressor primed with a dictionary of the identifiers that surround candidates
+in this corpus.  Candidates that stay
 incompressible are reported as ``novel`` unless a base span covers a part of
 them.  Base spans carry their novelty too.
 
@@ -43,7 +45,7 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")  # greedy: as long a run as there is,
 HEX_LEAST = 24
 HEX = re.compile(rf"[0-9a-f]{{{HEX_LEAST},}}")
 KINDS = ("assign", "access", "hex", "novel")
-SENSITIVE = re.compile(r"password|passwd|secret|token|api_?key|credential|bearer|private_?key|access_?key|auth(?:orization)?\b",
+SENSITIVE = re.compile(r"password|passwd|secret|token|api[_\x20-]?key|credential|bearer|private[_\x20-]?key|access[_\x20-]?key|auth(?:orization)?\b",
                        re.IGNORECASE | re.ASCII)
 SENSITIVE_WORDS = ASSIGN_WORDS + (b"credential", b"bearer", b"private", b"access", b"auth")
 
@@ -52,16 +54,43 @@ REACH = 40            # code points before a candidate that may hold the sensiti
 AROUND = 256          # code points of context on each side
 IDENTIFIER = re.compile(r"[A-Za-z_][A-Za-z_]{3,31}(?![A-Za-z0-9_])")
 DICT_WORDS = 2000
+LEAST_COPY = 16       # code points of a value that is blanked out where it stands again
 LEAST_SHARE = 0.6     # marginal bytes per byte of an incompressible candidate
 
 _HEX_MAP = bytes(ord("h") if c in b"0123456789abcdef" else 32 for c in range(256))
 _HEX_RUN = b"h" * HEX_LEAST
 
 
+def _sensitive(before: str) -> bool:
+    """Whether the text before a token has a sensitive word on the token's line
+    or on the last line before that isn't blank."""
+    head, _, line = before.rpartition("\n")
+    return bool(SENSITIVE.search(line) or SENSITIVE.search(head.rstrip().rpartition("\n")[2]))
+
+
 def _candidates(text: str) -> list[tuple[int, int]]:
-    """Tokens in a sensitive context."""
-    return [m.span() for m in CANDIDATE.finditer(text)
-            if SENSITIVE.search(text[max(0, m.start() - REACH):m.start()].rpartition("\n")[2])]
+    """Tokens in a sensitive context, and those that follow one with nothing but
+    white space and a line break between (the lines of a key's body)."""
+    found, last = [], None
+    for m in CANDIDATE.finditer(text):
+        s, e = m.span()
+        goes_on = last is not None and "\n" in (gap := text[last:min(s, last + REACH)]) and s - last < REACH and gap.isspace()
+        if goes_on or _sensitive(text[max(0, s - REACH):s]):
+            found.append((s, e))
+            last = e
+    return found
+
+
+def _values(token: str) -> list[str]:
+    """What a token holds that may stand elsewhere by itself."""
+    return [p for p in token.split("=") if len(p) >= LEAST_COPY]
+
+
+def _blanked(text: str, spans: list[tuple[int, int]]) -> str:
+    """``text`` without the values of the candidates at ``spans`` and the copies
+    of these, so that a secret is no identifier of its own surroundings."""
+    values = {v for s, e in spans for v in _values(text[s:e])}
+    return CANDIDATE.sub(lambda m: "=".join(" " * len(p) if p in values else p for p in m[0].split("=")), text)
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
@@ -89,9 +118,13 @@ class Novelty:
         self.size = zstandard.ZstdCompressor(level=9, **primed).compress
 
     def marginal(self, text: str, start: int, end: int) -> int:
-        before = text[max(0, start - AROUND):start].encode()
-        after = text[end:end + AROUND].encode()
-        inside = text[start:end].encode()
+        inside = text[start:end]
+        # Copies are looked for as far as one can reach into the context.
+        before = text[max(0, start - AROUND - len(inside)):start]
+        after = text[end:end + AROUND + len(inside)]
+        for part in {inside, *_values(inside)}:
+            before, after = (t.replace(part, " " * len(part)) for t in (before, after))
+        before, after, inside = before[-AROUND:].encode(), after[:AROUND].encode(), inside.encode()
         return len(self.size(before + inside + after)) - len(self.size(before + after))
 
     def spans(self, text: str) -> list[tuple[int, int, int, int]]:
@@ -120,8 +153,10 @@ def identifiers(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     if not _may_hold(data):
                         continue
                     text = data.decode()
-                    for s, e in {*_candidates(text), *((s, e) for s, _, e in base_spans(text))}:
-                        for part in (text[max(0, s - AROUND):s], text[e:e + AROUND]):
+                    found = _candidates(text)
+                    clean = _blanked(text, found) if found else text
+                    for s, e in {*found, *((s, e) for s, _, e in base_spans(text))}:
+                        for part in (clean[max(0, s - AROUND):s], clean[e:e + AROUND]):
                             for w in IDENTIFIER.findall(part):
                                 counts[w] = counts.get(w, 0) + 1
                 yield pa.RecordBatch.from_arrays(
