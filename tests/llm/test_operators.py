@@ -4,6 +4,7 @@ nulls, empty and long texts, ties, repeated rows and clashing column names."""
 import collections
 import hashlib
 import math
+import os
 import random
 import re
 import zlib
@@ -465,6 +466,25 @@ def test_licences(spark, docs, rows):
     assert licences.scan(docs).count() >= len(rows)
 
 
+def test_licences_of_whole_texts_and_spdx_lines(spark):
+    files = {"Apache-2.0": "Apache-2.0", "GPL-2": "GPL-2.0", "GPL-3": "GPL-3.0", "LGPL-2.1": "LGPL-2.1", "LGPL-3": "LGPL-3.0",
+             "MPL-2.0": "MPL-2.0", "CC0-1.0": "CC0-1.0"}
+    texts, want = [], {}
+    for k, (name, licence) in enumerate(files.items()):
+        path = f"/usr/share/common-licenses/{name}"
+        if os.path.exists(path):
+            with open(path, encoding="utf-8") as f:
+                texts.append((k, f.read().upper()))
+            want[k] = licence
+    spdx = {20: ("GPL-2.0-only", "GPL-2.0"), 21: ("GPL-3.0-or-later", "GPL-3.0"), 22: ("LGPL-2.1-or-later", "LGPL-2.1"), 23: ("MPL-2.0", "MPL-2.0")}
+    texts += [(k, f"code\n// SPDX-License-Identifier: {i}\ncode") for k, (i, _) in spdx.items()]
+    texts.append((30, "Distributed under the GNU Lesser General Public License, version 3 or later"))
+    got = {r.doc_id: r for r in licences.scan(frame(spark, texts)).collect()}
+    assert {k: got[k].licence for k in want} == want
+    assert {k: list(got[k].notices) for k in spdx} == {k: [v] for k, (_, v) in spdx.items()}
+    assert list(got[30].notices) == ["LGPL-3.0"]
+
+
 # -- quality ------------------------------------------------------------------
 
 def test_quality_learns_and_scores(spark):

@@ -99,6 +99,65 @@ KNOWN = [
     ("BSD-2-Clause", "SPDX-License-Identifier: BSD-2-Clause"), ("ISC", "SPDX-License-Identifier: ISC"),
 ]
 
+# SPDX ids and names in notices, by licence.
+_GNU = [(short, long, v) for short, long, versions in (
+    ("GPL", "GNU General Public License", "1.0 2.0 3.0"), ("LGPL", "GNU Lesser General Public License", "2.1 3.0"),
+    ("LGPL", "GNU Library General Public License", "2.0"), ("AGPL", "GNU Affero General Public License", "3.0"),
+    ("GFDL", "GNU Free Documentation License", "1.1 1.2 1.3")) for v in versions.split()]
+_CC = [("-".join(kind), v) for kind in (["BY"], ["BY", "SA"], ["BY", "ND"], ["BY", "NC"], ["BY", "NC", "SA"], ["BY", "NC", "ND"])
+       for v in ("2.0", "2.5", "3.0", "4.0")]
+NAMED = [
+    ("MIT", ["MIT"], ["MIT License", "MIT"]), ("ISC", ["ISC"], ["ISC License"]), ("0BSD", ["0BSD"], ["BSD Zero Clause License"]),
+    ("Zlib", ["Zlib"], ["zlib License"]), ("Unlicense", ["Unlicense"], ["Unlicense"]), ("BSL-1.0", ["BSL-1.0"], ["Boost Software License, Version 1.0"]),
+    ("BSD-2-Clause", ["BSD-2-Clause"], ["BSD 2-Clause License", "Simplified BSD License"]),
+    ("BSD-3-Clause", ["BSD-3-Clause"], ["BSD 3-Clause License", "New BSD License"]),
+    ("Apache-2.0", ["Apache-2.0"], ["Apache License, Version 2.0", "Apache License 2.0", "Apache 2.0 License"]),
+    ("MPL-1.1", ["MPL-1.1"], ["Mozilla Public License, Version 1.1", "Mozilla Public License 1.1"]),
+    ("MPL-2.0", ["MPL-2.0"], ["Mozilla Public License, Version 2.0", "Mozilla Public License 2.0"]),
+    ("EPL-1.0", ["EPL-1.0"], ["Eclipse Public License 1.0"]), ("EPL-2.0", ["EPL-2.0"], ["Eclipse Public License 2.0"]),
+    ("Artistic-1.0-Perl", ["Artistic-1.0-Perl"], []), ("Artistic-2.0", ["Artistic-2.0"], ["Artistic License 2.0"]),
+    ("CC0-1.0", ["CC0-1.0"], ["CC0 1.0", "CC0 1.0 Universal"]),
+    *((f"CC-{k}-{v}", [f"CC-{k}-{v}"], [f"CC {k} {v}"]) for k, v in _CC),
+    *((f"{s}-{v}", [f"{s}-{v}", f"{s}-{v}-only", f"{s}-{v}-or-later"],
+       [f"{name}{sep}version {n}{later}" for name in (long, f"{long} ({s})") for sep in (" ", ", ")
+        for n in {v, v.removesuffix(".0")} for later in ("", " only", " or later", " or any later version")])
+      for s, long, v in _GNU),
+]
+KNOWN += sorted({(licence, f"SPDX-License-Identifier: {i}") for licence, ids, _ in NAMED for i in ids}
+                | {(licence, f"{start} {the}{name}.") for licence, _, names in NAMED for name in names for the in ("the ", "")
+                   for start in ("Licensed under", "Released under", "Distributed under", "This work is licensed under")})
+
+# Digests of whole texts, those of Debian's common-licenses; the
+# ones with an appendix also without it, with and without the line that ends
+# the terms.
+DIGESTS = [
+    ("Apache-2.0", "045649cdaf85384ba827242062f2f3b36409835c98d297e25177cb1faf7c2847"),
+    ("Apache-2.0", "108490d21e2d3edc9128233e48fabc169818d0c7c5f0bbdd58231a367d2d6c87"),
+    ("Apache-2.0", "6ed232a1aaf66db92997c53c056b853f2a64b9f74585489f71cbae1bb4d6d166"),
+    ("Artistic-1.0-Perl", "e963bc30f4d3c45f45030c34409ee37315564625649c1394e32bb5ddd99e01b2"),
+    ("CC0-1.0", "96bdc7f63190fb4bd1ae584b890300ed7517d858b34c945642a3b9b2f1612a5f"),
+    ("GFDL-1.2", "5379e6f33e826ba185b23fd11a414555c2161fda481478babd1e73a3ae098a71"),
+    ("GFDL-1.3", "93d6108daecdddc5f284cf8f2512fb0d72f6e9ee12381feb9704ba194b00c3e6"),
+    ("GPL-1.0", "8f586b09c093668e2db772bdcfc1d5dc0b03e0e862fccbff035e1bf134e9b224"),
+    ("GPL-1.0", "6375a768fd262bf5281905a9585411d2d0fb4ea15cb08cfcba49f73fedb82abc"),
+    ("GPL-1.0", "89f75ffda938e788be38679f9f83e317c2a03398fccf03ee60505d44d1bf9f70"),
+    ("GPL-2.0", "efe73660e5476cf0368fc0fc143f624ff9d1b73c4484b14a9969dd20c5786821"),
+    ("GPL-2.0", "e1270b653c300290e7c039142bccb8776f9b5d14e8a05bc4e87dc7d1614a3b34"),
+    ("GPL-2.0", "6d332dc4c3c5293a73c6c9da402f9bbc970b3bb1eb472f577e00580573469808"),
+    ("GPL-3.0", "a8cd54d6683aa630f0b8d05d56184ad91dc486756da2df61c94d3e4e8d5ecb68"),
+    ("GPL-3.0", "ac6b52d57c0104e687039148f7b8e370e04c9bb5705bb786f8ef814eb65e8636"),
+    ("GPL-3.0", "092a7f3b82e6c22949b46388bca99e725b6e756f1c2b1e3f575447fbd44b6191"),
+    ("LGPL-2.0", "61af4dcea4e412e8ccfb8877fd2762bd6d962f8d42a9fa2c06cf7b4613f2c908"),
+    ("LGPL-2.0", "504542bce5421b0f5a7e63ddb55443ccb300b27a65ba6bfc1370fed16a3af260"),
+    ("LGPL-2.0", "430627da7218a92ab4a6d75d5140cdb70ee750be7a53f913299b37e0d1b0eea2"),
+    ("LGPL-2.1", "4d55922bdeafabde164d75448bbfb0b474bf952bbb541325364010900acd9891"),
+    ("LGPL-2.1", "48d2010e70a815a564f914b0c7c1e80d7a6843793348fed3684c957112fe0aa4"),
+    ("LGPL-2.1", "bf2f0c6bf1c47b3b1e3cbedeefecddd1e7db21d1919858d45c2f918efaf426df"),
+    ("LGPL-3.0", "aae2b222477171fb64e298e7965e768a9a6f85320646b266c94399ac029d42be"),
+    ("MPL-1.1", "1cfb6cca26abe2169c9c61164807107b2d4a0b64955a2cf2de46fad3483acda1"),
+    ("MPL-2.0", "de0e0bad5657ae87b52462bd6dcfbfa29b0e1c9cdb1af2703a8760bce580dd61"),
+]
+
 
 def canonical(text: Column) -> Column:
     """Canonical form of a text."""
@@ -115,10 +174,14 @@ def digest(text: Column) -> Column:
 
 
 def known_digests(spark: SparkSession, known: list[tuple[str, str]] | DataFrame | None = None) -> DataFrame:
-    """``(digest, licence)`` of known ``(licence, text)`` rows."""
+    """``(digest, licence)`` of known ``(licence, text)`` rows; by default those
+    of :data:`KNOWN`, and :data:`DIGESTS`."""
     rows = known if isinstance(known, DataFrame) else spark.createDataFrame(known or KNOWN, "licence string, text string")
-    return (rows.select("licence", canonical(F.col("text")).alias("c")).filter("c <> ''")
-                .groupBy(F.sha2("c", 256).alias("digest")).agg(F.min("licence").alias("licence")))
+    rows = rows.select("licence", canonical(F.col("text")).alias("c")).filter("c <> ''") \
+               .select("licence", F.sha2("c", 256).alias("digest"))
+    if not isinstance(known, DataFrame) and not known:
+        rows = rows.unionByName(spark.createDataFrame(DIGESTS, "licence string, digest string"))
+    return (rows.groupBy("digest").agg(F.min("licence").alias("licence")))
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
