@@ -68,7 +68,7 @@ def test_stages_on_nulls_clashing_columns_and_an_empty_table(spark, tmpdir_fresh
 
 def test_every_operator_is_registered_once():
     numbers = collections.Counter(m[1] for k in entry.queries() if (m := re.match(r"op(\d+)_", k)))
-    assert numbers == {str(n): 1 for n in range(1, 11)}
+    assert numbers == {str(n): 1 for n in range(1, 14)}
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality", "exact_dedup", "jaccard_join", "decontaminate", "byte_bpe"]
     assert corpus_pipeline.ORACLE_SQL is None and "pipeline" in entry.queries()
 
@@ -83,6 +83,7 @@ COLUMNS = {
     "op8_quality": "doc_id held_out score predicted",
     "op9_byte_bpe": "doc_id n_tokens ids_sha256 decoded_sha256",
     "op10_token_counts": "doc_id n_bytes n_tokens over_limit",
+    "op11_toxicity": "doc_id held_out score predicted",
 }
 
 

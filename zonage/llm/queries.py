@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 from zonage.session import read_table
 
-from . import bpe, decontaminate, exact_dedup, jaccard_join, licences, lm_score, quality, secrets, suffix_dedup, token_counts
+from . import (bpe, centroids, decontaminate, exact_dedup, jaccard_join, licences, lm_score, negatives, quality, secrets,
+               suffix_dedup, token_counts, toxicity)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -159,3 +160,60 @@ from d left join k using (digest) left join n using (doc_id)
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = licences.scan(read_table(spark, sf_dir, "documents"))
     return found.withColumn("notices", F.array_join("notices", ","))
+
+
+@register("op11_toxicity")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
+    fold = lambda df: F.crc32(F.coalesce(df["doc_id"].cast("string"), F.lit(""))) % 5
+    model = toxicity.train(docs, labels.filter(fold(labels) != 0))
+    return toxicity.scores(docs, model).select(
+        "doc_id", (F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 5 == 0).alias("held_out"),
+        "score", F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"))
+
+
+def _op12_sql(k: int = 8, rounds: int = 10) -> str:
+    """Rounds written out one after the other; sums and floors are exact."""
+    near = """(select vec_id, x, arg_min(n, (d, n)) as n, min(d) as d from (
+      select vec_id, x, n, list_sum(list_transform(list_zip(x, c), lambda p: (p[1] - p[2]) * (p[1] - p[2])))::bigint as d
+      from v cross join {c}) group by vec_id, x)"""
+    out = f"""with v as materialized (select vec_id, list_transform(embedding, lambda e: floor(1024 * e::double)::bigint) as x from embeddings
+    where len(embedding) = 64 and len(list_filter(embedding, lambda e: e is not null and isfinite(e))) = 64),
+c0 as materialized (select (row_number() over (order by sha256('3:' || vec_id)) - 1)::int as n, x as c from v
+    qualify n < {k})"""
+    for r in range(1, rounds + 1):
+        out += f""",
+m{r} as materialized (select n, list(s order by i) as m from (
+    select n, i, floor(sum(x[i])::hugeint::decimal(38, 0) / count(*))::bigint as s
+    from {near.format(c=f"c{r - 1}")}, range(1, 65) as t(i) group by n, i) group by n),
+c{r} as materialized (select n, coalesce(m, c) as c from c{r - 1} left join m{r} using (n))"""
+    return out + f""",
+a as materialized {near.format(c=f"c{rounds}")}
+select vec_id, n as cluster, d as distance, sum(d) over (partition by n)::bigint as cluster_inertia, sum(d) over ()::bigint as inertia,
+       sha256(array_to_string(c, ',')) as centroid_sha256 from a join c{rounds} using (n)"""
+
+
+@register("op12_centroids", _op12_sql())
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = centroids.cluster(read_table(spark, sf_dir, "embeddings"))
+    return found.withColumn("centroid_sha256", F.sha2("centroid", 256)).drop("centroid")
+
+
+@register("op13_hard_negatives", """
+with v as materialized (select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+       list_transform(embedding, lambda e: floor(256 * e::double)) as x from embeddings
+    where label is not null and embedding is not null
+      and len(list_filter(embedding, lambda e: e is not null and isfinite(e))) = len(embedding)),
+s as materialized (select a.vec_id as anchor_id, b.vec_id, a.label = b.label as same, list_inner_product(a.x, b.x)::bigint as score
+    from v a join v b on a.vec_id % 100 = 0 and a.vec_id <> b.vec_id),
+p as (select anchor_id, vec_id as positive_id, score as positive_score from s where same
+    qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5)
+select anchor_id, positive_id, row_number() over (partition by anchor_id, positive_id order by score desc, vec_id)::int as rank,
+       vec_id as negative_id, positive_score, score as negative_score
+from p join s using (anchor_id) where not same and 80 * positive_score <= 100 * score and score <= positive_score
+qualify rank <= 5
+""")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read_table(spark, sf_dir, "embeddings")
+    label = rows["label"].cast("long")
+    return negatives.mine(rows, label=F.when(rows["vec_id"] % 7 == 0, (label + 1) % 10).otherwise(label))
