@@ -143,6 +143,15 @@ def test_decontamination(spark, rows, docs, most, monkeypatch):
     assert decontaminate.drop_contaminated(docs, empty(spark), item_col="doc_id").count() == len(rows)
 
 
+def test_decontamination_of_rows_that_share_an_id(spark):
+    leak = "one two three four five six seven eight nine ten"
+    rows_ = [(7, leak), (7, "clean text here"), (None, leak + " eleven"), (None, "clean too"), (7, leak)]
+    bench = spark.createDataFrame([(1, leak)], "item_id bigint, text string")
+    got = sorted((str(r.doc_id), r.n_words, r.n_hit, list(r["items"])) for r in
+                 decontaminate.contamination(frame(spark, rows_), bench).collect())
+    assert got == [("7", 3, 0, []), ("7", 10, 10, ["1"]), ("7", 10, 10, ["1"]), ("None", 2, 0, []), ("None", 11, 10, ["1"])]
+
+
 @pytest.mark.parametrize("most", [500_000, 0])
 def test_decontamination_drops_rows_not_ids(spark, most, monkeypatch):
     monkeypatch.setattr(decontaminate, "MAX_BROADCAST", most)
@@ -345,13 +354,61 @@ def test_lm_base_score_and_probability(spark, rows, docs):
     # Summed over all training words, a context's probabilities leave some for the unknown.
     x = np.array([lm_score._hashed(w)[0][0] if w else lm_score.END for w in c], np.uint64)
     u, k = model.look_up(x)
-    assert (k >= 0).all()
+    true = np.array(list(c.values()))
+    assert ((k >= 0) == ((true >= lm_score.LEAST) | (x == lm_score.END))).all() and (k[k >= 0] == true[k >= 0]).all()
+    k = true
     for before in range(0, lm_score.CLASSES, 17):
-        p = model.trans[before, model.classes[u]] * model.weight[u] * (k + model.add[u]) + \
+        p = model.trans[before, model.classes[u]] * model.weight[u] * (k + model.added(u)) + \
             (1 - lm_score.LAMBDA) * (k + 0.5) / model.norm
         assert 0.5 < p.sum() <= 1 + 1e-9
 
 
+def test_lm_score_against_brute_force(spark, rows, docs):
+    """The whole score, token by token, from the model's classes and the counts of all words."""
+    train = [t for i, t in rows if i is not None and i % 3]
+    model, counts = lm_score.train(docs.filter(F.col("doc_id") % 3 != 0))
+    c = collections.Counter(w for t in train for w in words_of(t) + [b""])
+    unit = lambda w: int(model.look_up(np.array([lm_score._hashed(w)[0][0] if w else lm_score.END], np.uint64))[0][0])
+    got = {(r.doc_id, r.n_tokens): r.score for r in lm_score.score(docs, model, counts).collect()}
+    for i, t in rows:
+        total, before = 0.0, b""
+        for w in words_of(t) + [b""]:
+            a, b = model.classes[unit(before)], unit(w)
+            p = model.trans[a, model.classes[b]] * model.weight[b] * (c[w] + (0.5 if b >= model.words else 0))
+            total += math.log10(p + (1 - lm_score.LAMBDA) * (c[w] + 0.5) / model.norm)
+            before = w
+        assert got[(i, len(words_of(t)) + 1)] == pytest.approx(total)
+    # class pairs are those of the training texts
+    pairs = collections.Counter()
+    for t in train:
+        u = [model.classes[unit(w)] for w in [b""] + words_of(t) + [b""]]
+        pairs.update(zip(u, u[1:]))
+    assert {ab: n for ab, n in np.ndenumerate(model.pairs) if n} == dict(pairs)
+
+
+def test_words_choose_the_likeliest_class(spark, docs):
+    rng = np.random.default_rng(4)
+    k = lm_score.CLASSES
+    pairs = rng.integers(0, 50, (k, k)).astype(float)
+    seen = [(int(u), int(x), int(n)) for u in range(40) for x, n in zip(rng.integers(0, k * k, 30), rng.integers(1, 9, 30))]
+    got = {r.u: r["class"] for r in lm_score._choose(spark.createDataFrame(seen, "u int, between int, n int").repartition(3, "u"), pairs).collect()}
+    smooth = lm_score.SMOOTH
+    follow = np.log((pairs + smooth / k) / (pairs.sum(1, keepdims=True) + smooth))
+    for u in range(40):
+        of = [(x // k, x % k, n) for v, x, n in seen if v == u]
+        gain = [sum(n * (follow[a, c] + follow[c, b] - math.log(pairs.sum(0)[c] + smooth)) for a, b, n in of) for c in range(k)]
+        assert gain[got[u]] == pytest.approx(max(gain))
+
+
+def test_index_finds_what_it_holds():
+    rng = np.random.default_rng(6)
+    for n in (0, 1, 7, 5000):
+        keys = np.unique(np.concatenate([rng.integers(0, 1 << 63, n, np.uint64) | np.uint64(1 << 63), np.zeros(min(n, 1), np.uint64)]))
+        index = lm_score.Index(keys)
+        asked = np.concatenate([keys, rng.integers(0, 1 << 63, 300, np.uint64) | np.uint64(1 << 63)])
+        assert index.find(asked).tolist() == [keys.tolist().index(x) if x in set(keys.tolist()) else -1 for x in asked.tolist()]
+
+
 def test_lm_empty_training(spark, docs):
     model, counts = lm_score.train(empty(spark))
     assert model.total == 0
@@ -362,10 +419,10 @@ def test_lm_empty_training(spark, docs):
 def test_lm_rare_words_are_joined(spark, rows, docs, monkeypatch):
     """With next to no broadcast words the base score is the same."""
     whole = {(r.doc_id, r.n_tokens): r for r in lm_score.score(docs, *lm_score.train(docs)).collect()}
-    monkeypatch.setattr(lm_score, "LOOKED_UP", 64)
-    monkeypatch.setattr(lm_score, "CLUSTERED", 32)
+    monkeypatch.setattr(lm_score, "LOOKED_UP", 16)
+    monkeypatch.setattr(lm_score, "FREQUENT", 32)
     model, counts = lm_score.train(docs)
-    assert len(model.hashes) < model.distinct
+    assert model.words <= 17 < model.distinct
     for r in lm_score.score(docs, model, counts).collect():
         w = whole[(r.doc_id, r.n_tokens)]
         assert r.n_known == w.n_known and r.base_score == pytest.approx(w.base_score)
@@ -450,6 +507,39 @@ def test_secrets_written_twice_or_below_their_keyword(spark):
     assert got == {i: want for i, want, _ in texts}
 
 
+def planted(r, alphabets, names):
+    """Texts with one key or one name each, behind a sensitive word."""
+    filler = lambda n: " ".join(r.choice(WORDS) for _ in range(n))
+    leads = ["Authorization: Bearer {}", "the private key is {} now", "credential for it -> {}", "bearer {}"]
+    texts, keys = [], set()
+    for k in range(400):
+        if k % 2:
+            token = "".join(r.choice(alphabets[k // 2 % len(alphabets)]) for _ in range(r.choice([16, 20, 24, 32, 40, 64])))
+            keys.add(k)
+        else:
+            parts = [r.choice(names) for _ in range(r.randrange(3, 6))]
+            token = [lambda: "_".join(parts), lambda: "-".join(parts), lambda: parts[0] + "".join(map(str.capitalize, parts[1:])),
+                     lambda: "_".join(parts) + f"_v{r.randrange(9)}", lambda: "_".join(parts).upper()][k // 2 % 5]()
+            token = token if len(token) >= 16 else token + "_" + parts[0]
+        texts.append((k, f"{filler(20)}\n{r.choice(leads).format(token)}\n{filler(20)}"))
+    return texts, keys
+
+
+@pytest.mark.parametrize("names", [
+    "handler service config user session request manager value table query".split(),           # among the common parts
+    "zebra quokka marmot lemur heron tapir gibbon ocelot walrus falcon".split()])             # known from the corpus only
+def test_novelty_tells_keys_from_names(spark, names):
+    letters, digits = "abcdefghijklmnopqrstuvwxyz", "0123456789"
+    alphabets = [letters + letters.upper() + digits, letters + letters.upper() + digits + "+/", letters.upper() + digits,
+                 letters + letters.upper(), letters, letters.upper(), letters + digits]
+    texts, keys = planted(random.Random(12), alphabets, names)
+    found = {x.doc_id for x in secrets.scan(frame(spark, texts)).collect() if x.spans}
+    for k in range(len(alphabets)):
+        of = [i for i in keys if i // 2 % len(alphabets) == k]
+        assert len(found.intersection(of)) >= 0.9 * len(of), alphabets[k]
+    assert len(found - keys) < 0.1 * (len(texts) - len(keys))
+
+
 # -- licences -----------------------------------------------------------------
 
 def test_licences(spark, docs, rows):

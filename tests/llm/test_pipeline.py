@@ -109,3 +109,13 @@ def test_held_out_language_model(spark):
     rows = [r for r in queries.QUERIES["op3_lm_score"](spark, "/root/testdata/sf0.01").collect() if r.held_out]
     n = sum(r.n_tokens for r in rows)
     assert sum(r.score for r in rows) / n > sum(r.base_score for r in rows) / n + 0.05
+
+
+def test_rows_without_an_id_are_held_out(spark, tmpdir_fresh):
+    rows = [(i, f"text number {i} of some words") for i in range(20)] + [(None, "a text without an id")]
+    spark.createDataFrame(rows, "doc_id bigint, text string").write.parquet(os.path.join(tmpdir_fresh, "documents.parquet"))
+    spark.createDataFrame([(i, i % 2, i % 3 % 2) for i in range(20)], "doc_id bigint, quality int, toxic int") \
+        .write.parquet(os.path.join(tmpdir_fresh, "labels.parquet"))
+    for key in ("op3_lm_score", "op8_quality", "op11_toxicity"):
+        found = {r.doc_id: r.held_out for r in queries.QUERIES[key](spark, tmpdir_fresh).collect()}
+        assert found[None] is True and set(found.values()) == {True, False}, key

@@ -27,10 +27,11 @@ import regex
 import xxhash
 from pyspark.sql import DataFrame
 
-from .common import id_and_text, text_rows
+from .common import id_and_text, release, text_rows
 
 CHUNK_CHARS = 1 << 20
-MEMO_SIZE = 400_000
+MEMO_BYTES = 24 << 20
+ENTRY_BYTES = 220       # of two small objects and their place in the memo
 # The same white space as in the pattern, so a cut there never splits a match.
 _CUT = regex.compile(r"(?<=\S)\s")
 
@@ -94,6 +95,7 @@ class Codec(dict):
         super().__init__()
         self.index, self.tokens, self.find = index, index.keys, regex.compile(pattern).findall
         self.ranks = {t: i for i, t in enumerate(index.keys)}  # of merged parts
+        self.held = 0          # bytes in the memo
 
     def __missing__(self, match: str) -> bytes:
         data = match.encode()
@@ -102,6 +104,7 @@ class Codec(dict):
         packed = b"".join([x.to_bytes(4, "little") for x in ids])
         if len(data) <= 64:
             self[match] = packed
+            self.held += ENTRY_BYTES + len(data) + len(packed)
         return packed
 
     def merge(self, data: bytes) -> list[int]:
@@ -134,8 +137,9 @@ class Codec(dict):
         return out
 
     def encode(self, text: str) -> bytes:
-        if len(self) > MEMO_SIZE:
+        if self.held > MEMO_BYTES:
             self.clear()
+            self.held = 0
         return b"".join(map(self.__getitem__, self.find(text)))
 
     def decode(self, ids: bytes) -> bytes:
@@ -156,17 +160,6 @@ def sections(text: str) -> Iterator[str]:
     yield text[start:]
 
 
-_codecs: dict[int, Codec] = {}
-
-
-def _codec(shared) -> Codec:
-    """One codec per Python worker and broadcast vocabulary."""
-    if shared.id not in _codecs:
-        _codecs.clear()
-        _codecs[shared.id] = Codec(*shared.value)
-    return _codecs[shared.id]
-
-
 class _Shared:
     """A broadcast value with a name that workers can cache by."""
 
@@ -191,21 +184,34 @@ def encode(docs: DataFrame, vocab_path: str, pattern: str, id_col: str = "doc_id
            text_col: str = "text") -> DataFrame:
     """``(id, ids)`` per row: the token ids as little-endian unsigned 32-bit
     integers in one binary value."""
+    return _encoded(docs, vocab_path, pattern, id_col, text_col, False)
+
+
+def encode_and_decode(docs: DataFrame, vocab_path: str, pattern: str, id_col: str = "doc_id",
+                      text_col: str = "text") -> DataFrame:
+    """``(id, ids, decoded)`` per row: the token ids as :func:`encode` packs
+    them, and the bytes that these decode to, in one pass of one worker."""
+    return _encoded(docs, vocab_path, pattern, id_col, text_col, True)
+
+
+def _encoded(docs: DataFrame, vocab_path: str, pattern: str, id_col: str, text_col: str, back: bool) -> DataFrame:
     src = id_and_text(docs, id_col, text_col)
     shared = _vocabulary(docs.sparkSession, vocab_path, pattern)
-    schema = src.schema["_id"]
 
     def run(batches):
-        codec = _codec(shared)
+        codec = Codec(*shared.value)
         for batch in batches:
             for ids, texts in text_rows([batch]):
                 packed = [b"".join(map(codec.encode, sections(t.decode()))) for t in texts]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids, batch.column(0).type), pa.array(packed, pa.binary())], ["_id", "ids"])
-        codec.clear()  # a worker without tasks holds no memo
-
-    return src.mapInArrow(run, f"_id {schema.dataType.simpleString()}, ids binary") \
-              .withColumnRenamed("_id", id_col)
+                columns = {"_id": pa.array(ids, batch.column(0).type), "ids": pa.array(packed, pa.binary())}
+                if back:
+                    columns["decoded"] = pa.array([codec.decode(p) for p in packed], pa.binary())
+                yield pa.RecordBatch.from_pydict(columns)
+        del codec  # a worker without tasks holds no memo
+        release()
+
+    kind = src.schema["_id"].dataType.simpleString()
+    return src.mapInArrow(run, f"_id {kind}, ids binary" + ", decoded binary" * back).withColumnRenamed("_id", id_col)
 
 
 def decode(encoded: DataFrame, vocab_path: str, id_col: str = "doc_id",

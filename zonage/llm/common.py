@@ -7,6 +7,8 @@ columns, whatever they are called, neither clash nor travel through a shuffle.
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import uuid
 from collections.abc import Iterator
 
@@ -42,6 +44,15 @@ def bound_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
 
 
+def release() -> None:
+    """Give freed memory back to the system: a Python worker outlives its task
+    and would hold what that task needed at most."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
+
+
 def id_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(_id, _text)`` with null texts as empty strings."""
     bound_batches(docs.sparkSession)

@@ -13,8 +13,10 @@ result is the same.
 
 Edge cases: null or empty texts have no words, are never contaminated and give
 no windows; an item of fewer than ``width`` words is one window of all its
-words; equal windows of several items count for each of them; repeated rows of
-one id count as one document; empty tables give empty or clean results.
+words; equal windows of several items count for each of them; rows that share an id,
+or have none, are told apart by their texts, and repeated rows get the same
+result; texts of any length are scanned whole, in one array of words; extra
+columns are not read; empty tables give empty or clean results.
 """
 
 from __future__ import annotations
@@ -92,18 +94,16 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
                   item_col: str = "item_id", item_text_col: str = "text", width: int = 10) -> DataFrame:
     """Per row of ``docs``: ``(id, n_words, n_hit, items)``, ``items`` being the
     sorted array of items (as strings) with windows in it."""
-    hits = stored(find_hits(docs, items, id_col, text_col, item_col, item_text_col, width), "hits")
-    hits = hits.withColumnRenamed(id_col, "_id")
-    covered = (hits.select("_id", "pos", "n").distinct()
-                   .select("_id", F.explode(F.sequence(F.col("pos"), F.col("pos") + F.col("n") - 1)).alias("_p"))
-                   .distinct().groupBy("_id").agg(F.count(F.lit(1)).alias("n_hit")))
-    named = (hits.select("_id", F.col("item").cast("string").alias("item")).distinct()
-                 .groupBy("_id").agg(F.sort_array(F.collect_list("item")).alias("items")))
-    per_doc = covered.join(named, covered["_id"].eqNullSafe(named["_id"])) \
-                     .select(covered["_id"].alias("_hid"), "n_hit", "items")
-    base = id_and_text(docs, id_col, text_col).select(
-        "_id", F.size(words(F.col("_text"))).cast("long").alias("n_words"))
-    return (base.join(per_doc, F.col("_id").eqNullSafe(F.col("_hid")), "left")
+    rows = id_and_text(docs, id_col, text_col)
+    rows = rows.withColumn("_key", row_key(F.col("_id"), text_digest(F.col("_text"))))
+    hits = stored(find_hits(rows, items, "_key", "_text", item_col, item_text_col, width), "hits")
+    covered = (hits.select("_key", "pos", "n").distinct()
+                   .select("_key", F.explode(F.sequence(F.col("pos"), F.col("pos") + F.col("n") - 1)).alias("_p"))
+                   .distinct().groupBy("_key").agg(F.count(F.lit(1)).alias("n_hit")))
+    named = (hits.select("_key", F.col("item").cast("string").alias("item")).distinct()
+                 .groupBy("_key").agg(F.sort_array(F.collect_list("item")).alias("items")))
+    base = rows.select("_id", "_key", F.size(words(F.col("_text"))).cast("long").alias("n_words"))
+    return (base.join(covered.join(named, "_key"), "_key", "left")
                 .select(F.col("_id").alias(id_col), "n_words",
                         F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"),
                         F.coalesce("items", F.array().cast("array<string>")).alias("items")))

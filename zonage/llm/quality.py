@@ -7,9 +7,10 @@ logistic of ``w0 + <w, x> + sum over pairs <v_i, v_j> x_i x_j``, the pairwise
 sum computed in linear time as half the sum over factors of
 ``(sum v x)^2 - sum v^2 x^2``.
 
-The model is fitted on a bounded sample of labelled rows: the
-:data:`SAMPLE_ROWS` smallest by a hash of the id, of those that the caller
-leaves in.  Its parameters are bounded (``DIM * (FACTORS + 1)`` floats) and
+The model is fitted on a bounded sample of labelled rows: of the ids that the
+caller leaves in the :data:`SAMPLE_ROWS` smallest by their hash, and where ids
+repeat, so that these have more texts, of the texts the :data:`SAMPLE_ROWS`
+smallest by a hash of their features.  Its parameters are bounded (``DIM * (FACTORS + 1)`` floats) and
 broadcast; scoring is one pass over whole texts where Spark reads them, in
 chunks of bounded bytes.
 
@@ -33,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bpe import _Shared
-from .common import bound_batches, id_and_text, text_rows
+from .common import bound_batches, id_and_text, release, text_rows
 
 WORD_DIM = 1 << 15
 BINS = 12
@@ -170,7 +171,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
                      pa.array([x.tobytes() for _, x in vs], pa.binary())], ["y", "at", "x"])
 
     found = src.mapInArrow(run, "y int, at binary, x binary") \
-               .orderBy(F.xxhash64("at", "x", "y")).limit(2 * max_rows).collect()
+               .orderBy(F.xxhash64("at", "x", "y")).limit(max_rows).collect()
     return fit([(np.frombuffer(r["at"], np.int32), np.frombuffer(r["x"], np.float32), int(r["y"] > 0)) for r in found])
 
 
@@ -205,5 +206,6 @@ def keep_good(docs: DataFrame, machine: Machine, text_col: str = "text", thresho
             rows = pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), texts], ["i", "text"])
             keep = [shared.value.score(*features.vector(t)) >= threshold for _, part in text_rows([rows]) for t in part]
             yield batch.filter(pa.array(keep, pa.bool_()))
+        release()
 
     return docs.mapInArrow(run, docs.schema)

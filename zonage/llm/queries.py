@@ -69,8 +69,7 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op9_byte_bpe")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, pattern = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
-    encoded = bpe.encode(read_table(spark, sf_dir, "documents"), path, pattern)
-    return bpe.decode(encoded, path).select(
+    return bpe.encode_and_decode(read_table(spark, sf_dir, "documents"), path, pattern).select(
         "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
@@ -82,6 +81,11 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.withColumn("over_limit", F.col("n_tokens") > 4096)
 
 
+def _held_out(folds: int, fold: int):
+    """Whether a row isn't learnt from; rows without an id never are."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % folds == fold, F.lit(True)).alias("held_out")
+
+
 def quality_model(spark: SparkSession, sf_dir: str) -> quality.Machine:
     """Fitted on labels of rows whose crc32(doc_id as text) mod 3 is not 1."""
     labels = read_table(spark, sf_dir, "labels")
@@ -92,11 +96,24 @@ def quality_model(spark: SparkSession, sf_dir: str) -> quality.Machine:
 @register("op8_quality")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     scores = quality.scores(read_table(spark, sf_dir, "documents"), quality_model(spark, sf_dir))
-    return scores.select("doc_id", (F.crc32(F.col("doc_id").cast("string")) % 3 == 1).alias("held_out"),
+    return scores.select("doc_id", _held_out(3, 1),
                          "score", F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"))
 
 
-@register("op4_jaccard_join")
+@register("op4_jaccard_join", r"""
+with recursive d as (select doc_id, list_filter(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') as w from documents),
+s as materialized (select distinct doc_id, array_to_string(w[i + 1 : i + 5], ' ') as g
+    from d, unnest(range(0, greatest(len(w) - 4, 1))) as u(i) where len(w) > 0),
+n as (select doc_id, count(*) as n from s group by doc_id),
+p as (select x.doc_id as a, y.doc_id as b, count(*) as k from s x join s y on x.g = y.g and x.doc_id < y.doc_id group by all),
+l as materialized (select a, b from p join n x on x.doc_id = a join n y on y.doc_id = b where 100 * k >= 80 * (x.n + y.n - k)),
+e as (select a, b from l union all select b, a from l),
+c(doc_id, root) as (select a, a from e union select e.b, c.root from c join e on c.doc_id = e.a),
+r as (select doc_id, min(root) as root from c group by doc_id)
+select d.doc_id, coalesce(n.n, 0)::bigint as n_shingles, coalesce(root, d.doc_id) as component_id
+from d left join n using (doc_id) left join r using (doc_id)
+""")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.similarity_components(read_table(spark, sf_dir, "documents"))
 
@@ -111,7 +128,20 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
                         secrets.written(F.col("spans")).alias("spans"))
 
 
-@register("op6_suffix_dedup")
+@register("op6_suffix_dedup", """
+with d as materialized (select doc_id, hex(encode(coalesce(text, ''))) as h, octet_length(encode(coalesce(text, '')))::bigint as n from documents),
+w as (select doc_id, i, hash(substr(h, 2 * i + 1, 400)) as k from (select doc_id, h, unnest(range(0, n - 199)) as i from d)),
+r as (select doc_id, i from w qualify count(*) over (partition by k) > 1),
+o as (select doc_id, i, sum(gap) over (partition by doc_id order by i) as run from (
+    select doc_id, i, case when i > lag(i) over (partition by doc_id order by i) + 200 then 1 else 0 end as gap from r)),
+s as materialized (select doc_id, run, min(i) as a, max(i) + 200 as b from o group by doc_id, run),
+t as (select doc_id, a, b, substr(h, 2 * b + 1, 2 * (coalesce(lead(a) over (partition by doc_id order by a), n) - b)) as rest
+    from s join d using (doc_id)),
+x as (select doc_id, sum(b - a)::bigint as removed, count(*) as spans, min(a) as a, string_agg(rest, '' order by a) as rest from t group by doc_id)
+select doc_id, n as n_bytes, coalesce(removed, 0)::bigint as n_removed, coalesce(spans, 0)::bigint as n_spans,
+       sha256(unhex(case when removed is null then h else substr(h, 1, 2 * a) || rest end)) as kept_sha256
+from d left join x using (doc_id)
+""")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = suffix_dedup.remove_repeats(read_table(spark, sf_dir, "documents"))
     removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["b"] - s["a"])
@@ -125,7 +155,7 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     fold = F.crc32(F.col("doc_id").cast("string")) % 5
     model, counts = lm_score.train(docs.filter(fold != 1))
     return lm_score.score(docs, model, counts).select(
-        "doc_id", (fold == 1).alias("held_out"), "n_tokens", "n_known",
+        "doc_id", _held_out(5, 1), "n_tokens", "n_known",
         F.lit(model.total).cast("long").alias("train_tokens"), "base_score", "score")
 
 
@@ -142,10 +172,12 @@ def _canonical_sql(text: str) -> str:
 
 def _op1_sql() -> str:
     known = ", ".join("('" + n + "', '" + t.replace("'", "''") + "')" for n, t in licences.KNOWN)
+    digests = ", ".join(f"('{n}', '{d}')" for n, d in licences.DIGESTS)
     return f"""
-with known(licence, text) as (values {known}),
-k as (select sha256(c) as digest, min(licence) as licence from (select licence, {_canonical_sql("text")} as c from known)
-      where c <> '' group by all),
+with known(licence, text) as (values {known}), digests(licence, digest) as (values {digests}),
+k as (select digest, min(licence) as licence from (
+        select licence, sha256(c) as digest from (select licence, {_canonical_sql("text")} as c from known) where c <> ''
+        union all select licence, digest from digests) group by digest),
 d as (select doc_id, sha256({_canonical_sql("text")}) as digest from documents),
 l as (select doc_id, sha256({_canonical_sql("line")}) as digest
       from (select doc_id, unnest(string_split(coalesce(text, ''), chr(10))) as line from documents) where line <> ''),
@@ -165,11 +197,9 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op11_toxicity")
 def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
-    fold = lambda df: F.crc32(F.coalesce(df["doc_id"].cast("string"), F.lit(""))) % 5
-    model = toxicity.train(docs, labels.filter(fold(labels) != 0))
+    model = toxicity.train(docs, labels.filter(F.crc32(F.col("doc_id").cast("string")) % 5 != 0))
     return toxicity.scores(docs, model).select(
-        "doc_id", (F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 5 == 0).alias("held_out"),
-        "score", F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"))
+        "doc_id", _held_out(5, 0), "score", F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"))
 
 
 def _op12_sql(k: int = 8, rounds: int = 10) -> str:

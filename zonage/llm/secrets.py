@@ -2,32 +2,39 @@
 
 Base spans are the matches of three patterns (assignments to sensitive names,
 access key ids, long hexadecimal runs).  The method adds spans: every long
-token of letters and digits with a sensitive word shortly before it, on its
-line or the one before, is a candidate, and so are the tokens on the lines that
-go on from it; its novelty is its marginal compressed size, i.e. what it adds to
-the compressed text around it, further copies of it blanked out, under a
-compressor primed with a dictionary of the identifiers that surround candidates
-in this corpus.  Candidates that stay
-incompressible are reported as ``novel`` unless a base span covers a part of
-them.  Base spans carry their novelty too.
-
-The dictionary is the most frequent identifiers near candidates, counted over
-all documents and at most :data:`DICT_WORDS` of them (the model's parameter),
-so it is bounded and broadcast.  Texts are scanned where Spark reads them, in
-chunks of bounded bytes, and never shuffled.
+token with a letter and a sensitive word shortly before it, on its line or the
+one before, is a candidate, and so are the tokens on the lines that go on from
+it; its novelty is its marginal compressed size, i.e. the bytes that it adds
+under a compressor primed with a dictionary of identifier parts and with the
+text around it, further copies of it blanked out.  A name put together from known
+parts adds few bytes, a key as many as it has; candidates that add
+:data:`LEAST_SHARE` bytes a byte or more are reported as ``novel`` unless a base
+span covers a part of them.  Base spans carry their novelty too.
+
+The dictionary holds the parts of identifiers that code has everywhere
+(:data:`COMMON`) and the most frequent parts in and around the candidates of
+this corpus, at most :data:`DICT_WORDS` of them (the model's parameter), so it
+is bounded and broadcast.  A part counts once for each different candidate it is
+in, and once for each different text it stands near one in, so neither a copied
+text nor a secret that is written many times becomes a part by itself.  Texts
+are scanned where Spark reads them, in chunks of bounded bytes, and never
+shuffled.
 
 Edge cases: null or empty texts have no spans; offsets count code points, the
 end is exclusive; a short match uses up its characters as any other and is then
 dropped; repeated rows and extra columns don't matter; an empty table gives an
-empty result, and an empty dictionary leaves the text around as the only
-context.
+empty result, and without parts from the corpus the common ones and the text
+around are the only context.
 """
 
 from __future__ import annotations
 
+import random
 import re
 
+import numpy as np
 import pyarrow as pa
+import xxhash
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -49,13 +56,30 @@ SENSITIVE = re.compile(r"password|passwd|secret|token|api[_\x20-]?key|credential
                        re.IGNORECASE | re.ASCII)
 SENSITIVE_WORDS = ASSIGN_WORDS + (b"credential", b"bearer", b"private", b"access", b"auth")
 
-CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]*[0-9])(?=[0-9+/_=-]*[A-Za-z])[A-Za-z0-9+/_=-]{16,}")
+CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_=-])(?=[0-9+/_=-]*[A-Za-z])[A-Za-z0-9+/_=-]{16,}")
 REACH = 40            # code points before a candidate that may hold the sensitive word
 AROUND = 256          # code points of context on each side
-IDENTIFIER = re.compile(r"[A-Za-z_][A-Za-z_]{3,31}(?![A-Za-z0-9_])")
+# Parts of identifiers; longer runs of one case are no words but may be keys.
+PART = re.compile(r"(?<![A-Za-z])[a-z]{4,12}(?![a-z])|[A-Z][a-z]{3,11}(?![a-z])|(?<![A-Za-z])[A-Z]{4,12}(?![A-Za-z])")
 DICT_WORDS = 2000
+# Words that identifiers in code are made of.
+COMMON = """
+    access account action active address admin argument array attribute auth backup base batch buffer build cache
+    callback category change channel check child class client close code column command common component config
+    connect content context control count create credential current customer data database date debug default define
+    delete document domain email enable entity entry error event example exception export factory feature fetch
+    field file filter find format function generate global group handle handler header history host index info input
+    insert instance interface internal item length level library limit line link list listener load local login
+    logger manager message meta method metric model module monitor name network node notify number object offset
+    option order output package page param parent parser password path payment permission plugin policy private
+    process product profile project property provider public query queue reader record reference register report
+    request reset resource response result role root rule schema search secret security select server service
+    session setting size source stage start state static status storage store stream string support system table
+    target task template test text thread time token tools transaction transfer type update user utils validate
+    value version view worker wrapper writer
+""".split()
 LEAST_COPY = 16       # code points of a value that is blanked out where it stands again
-LEAST_SHARE = 0.6     # marginal bytes per byte of an incompressible candidate
+LEAST_SHARE = 0.92    # marginal bytes per byte of an incompressible candidate: between names and keys
 
 _HEX_MAP = bytes(ord("h") if c in b"0123456789abcdef" else 32 for c in range(256))
 _HEX_RUN = b"h" * HEX_LEAST
@@ -86,13 +110,6 @@ def _values(token: str) -> list[str]:
     return [p for p in token.split("=") if len(p) >= LEAST_COPY]
 
 
-def _blanked(text: str, spans: list[tuple[int, int]]) -> str:
-    """``text`` without the values of the candidates at ``spans`` and the copies
-    of these, so that a secret is no identifier of its own surroundings."""
-    values = {v for s, e in spans for v in _values(text[s:e])}
-    return CANDIDATE.sub(lambda m: "=".join(" " * len(p) if p in values else p for p in m[0].split("=")), text)
-
-
 def base_spans(text: str) -> list[tuple[int, int, int]]:
     """``(start, kind, end)`` of the base patterns, in order."""
     found = [(m.start(), 0, m.end()) for m in ASSIGN.finditer(text) if len(m[2]) >= ASSIGN_LEAST]
@@ -107,15 +124,21 @@ def _may_hold(data: bytes) -> bool:
     return any(w in low for w in SENSITIVE_WORDS) or b"AKIA" in data or _HEX_RUN in data.translate(_HEX_MAP)
 
 
+# Stands before what is measured: bytes of every value, so that literals cost
+# one byte each, behind a copy of the dictionary's end, so that every block is
+# coded; without it, whether a few bytes are coded at all decides their cost.
+_NOISE = bytes(random.Random(5).sample(range(256), 256))
+_ECHO = bytes(random.Random(6).choices(range(256), k=64))
+
+
 class Novelty:
-    """Marginal compressed bytes under a dictionary of identifiers."""
+    """Marginal compressed bytes under a dictionary of identifier parts, most
+    frequent first, and of :data:`COMMON`."""
 
     def __init__(self, words: list[str]):
         # The last bytes of a dictionary are the cheapest to refer to.
-        primer = " ".join(reversed(words)).encode()
-        primed = {} if len(primer) < 8 else {
-            "dict_data": zstandard.ZstdCompressionDict(primer, dict_type=zstandard.DICT_TYPE_RAWCONTENT)}
-        self.size = zstandard.ZstdCompressor(level=9, **primed).compress
+        parts = COMMON + [w for w in reversed(words) if w not in COMMON]
+        self.primer = " ".join([*map(str.upper, parts), *map(str.capitalize, parts), *parts]).encode()
 
     def marginal(self, text: str, start: int, end: int) -> int:
         inside = text[start:end]
@@ -124,8 +147,10 @@ class Novelty:
         after = text[end:end + AROUND + len(inside)]
         for part in {inside, *_values(inside)}:
             before, after = (t.replace(part, " " * len(part)) for t in (before, after))
-        before, after, inside = before[-AROUND:].encode(), after[:AROUND].encode(), inside.encode()
-        return len(self.size(before + inside + after)) - len(self.size(before + after))
+        known = self.primer + after[:AROUND].encode() + before[-AROUND:].encode() + _ECHO
+        size = zstandard.ZstdCompressor(level=9, dict_data=zstandard.ZstdCompressionDict(
+            known, dict_type=zstandard.DICT_TYPE_RAWCONTENT), write_content_size=False).compress
+        return len(size(_ECHO + _NOISE + inside.encode())) - len(size(_ECHO + _NOISE))
 
     def spans(self, text: str) -> list[tuple[int, int, int, int]]:
         """``(start, kind, end, novelty)``, base spans and novel ones, in order."""
@@ -141,28 +166,28 @@ class Novelty:
 
 def identifiers(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 most: int = DICT_WORDS) -> list[str]:
-    """The most frequent identifiers around candidates and base spans, most
-    frequent first, at most ``most``; counted over all documents."""
+    """The most frequent identifier parts in and around candidates and base
+    spans, lower-cased, most frequent first, at most ``most``; counted over all
+    documents by the different tokens and texts that they are seen in."""
     src = id_and_text(docs, id_col, text_col)
 
     def run(batches):
         for batch in batches:
             for _, texts in text_rows([batch]):
-                counts: dict[str, int] = {}
+                seen = set()
                 for data in texts:
                     if not _may_hold(data):
                         continue
-                    text = data.decode()
-                    found = _candidates(text)
-                    clean = _blanked(text, found) if found else text
-                    for s, e in {*found, *((s, e) for s, _, e in base_spans(text))}:
-                        for part in (clean[max(0, s - AROUND):s], clean[e:e + AROUND]):
-                            for w in IDENTIFIER.findall(part):
-                                counts[w] = counts.get(w, 0) + 1
+                    text, whole = data.decode(), xxhash.xxh3_64_intdigest(data)
+                    for s, e in {*_candidates(text), *((s, e) for s, _, e in base_spans(text))}:
+                        token = xxhash.xxh3_64_intdigest(text[s:e].encode())
+                        for source, part in ((whole, text[max(0, s - AROUND):s]), (token, text[s:e]), (whole, text[e:e + AROUND])):
+                            seen.update((w.lower(), source) for w in PART.findall(part))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], ["word", "n"])
+                    [pa.array([w for w, _ in seen], pa.string()),
+                     pa.array(np.array([s for _, s in seen], np.uint64).view(np.int64))], ["word", "source"])
 
-    top = (src.mapInArrow(run, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
+    top = (src.mapInArrow(run, "word string, source bigint").distinct().groupBy("word").agg(F.count(F.lit(1)).alias("n"))
               .filter("n > 1").orderBy(F.desc("n"), "word").limit(most).collect())
     return [r["word"] for r in top]
 
