@@ -48,7 +48,7 @@ def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document, packed as little-endian unsigned 32-bit
     integers, their number, and the SHA-256 of the text that they decode to."""
     path, pattern = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
-    decoded = bpe.decode(bpe.encode(docs, path, pattern), path)
+    decoded = bpe.encode_and_decode(docs, path, pattern)
     return decoded.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), "ids",
                           F.sha2("decoded", 256).alias("text_sha256"))
 
