@@ -113,3 +113,111 @@ def test_unknown_operator_codes_stand_for_themselves():
     known = {"OF": "Orange"}
     assert R.coverage_layer("/x/2025_T4_couv_Metropole_OF_4G_data.geojson", known) == ("Orange", "4G")
     assert R.coverage_layer("2025_T4_couv_Metropole_NEW_5G_data.geojson", known) == ("NEW", "5G")
+
+
+def test_short_lines_with_separators_in_quotes_are_kept(spark, tmpdir_fresh):
+    text = 'a;b;c\n"x;y;z;""q"";w";1\n1;2;3\n1;2;3;4\n"1;2";3;4;"5;6"\n"open;to;the;end\nm"id;7;8\n'
+    p = write(os.path.join(tmpdir_fresh, "q.csv"), text, encoding="latin-1")
+    df = R.read_delimited(spark, p, R.ReaderSpec(sep=";", encoding="ISO-8859-1", drop_long_lines=True))
+    assert sorted(map(tuple, df.select("a", "b", "c").collect()), key=str) == sorted(
+        [('x;y;z;"q";w', "1", None), ("1", "2", "3"), ("open;to;the;end", None, None), ('m"id', "7", "8")], key=str)
+
+
+def blocks(spark, size):
+    spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    spark.conf.set("spark.sql.files.openCostInBytes", 1)
+
+
+def whole_files(spark):
+    spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_records_that_span_lines_are_read_in_blocks(spark, tmpdir_fresh):
+    import random
+    r = random.Random(4)
+    paths = []
+    for k in range(3):
+        rows = []
+        for i in range(400):
+            shape = json.dumps({"type": "Polygon", "id": f"{k}-{i}", "coordinates": [[r.random() for _ in range(r.randrange(9))]]},
+                               indent=r.choice([None, None, 2]))
+            note = r.choice(["", "plain", 'say ""hi""', "a;b", "two\nlines", "x\n\n\ny"])
+            rows.append(f'{i};"{shape.replace(chr(34), chr(34) * 2)}";"{note}"' if r.random() < 0.9 else f"{i};none;")
+            if r.random() < 0.02:
+                rows.append("")
+        paths.append(write(os.path.join(tmpdir_fresh, f"g{k}.csv"), "﻿id;geo_shape;note\n" + "\n".join(rows) + "\n"))
+    spec = R.ReaderSpec(sep=";", multiline=True)
+    whole = (spark.read.option("sep", ";").option("header", "true").option("quote", '"').option("escape", '"')
+             .option("multiLine", "true").schema("id string, geo_shape string, note string").csv(paths))
+    want = sorted(map(tuple, whole.collect()), key=str)
+    assert len(want) == 1200
+    blocks(spark, 2000)
+    try:
+        got = R.read_delimited(spark, paths, spec, with_position=True, with_file=True)
+        assert spark.read.text(paths).rdd.getNumPartitions() > 20
+        assert sorted((r.id, r.geo_shape, r.note) for r in got.collect()) == sorted(want) if None not in [x for w in want for x in w] \
+            else sorted(((r.id, r.geo_shape, r.note) for r in got.collect()), key=str) == want
+        for k in range(3):  # in order of position, a file's rows are in its own order
+            ids = [int(r.id) for r in got.filter(F.col("_file") == f"g{k}.csv").orderBy("_pos").collect()]
+            assert ids == list(range(400))
+    finally:
+        whole_files(spark)
+    assert R.read_delimited(spark, write(os.path.join(tmpdir_fresh, "e.csv"), "a;b\n"), spec).collect() == []
+
+
+def test_position_orders_rows_as_in_the_files(spark, tmpdir_fresh):
+    from zonage.operators import score as S
+    for name in ("b", "a"):
+        write(os.path.join(tmpdir_fresh, f"{name}.csv"), "k;v\n" + "".join(f"{i % 50};{name}{i:05d}\n" for i in range(2000)))
+    paths = [os.path.join(tmpdir_fresh, f"{n}.csv") for n in ("b", "a")]
+    blocks(spark, 1000)
+    try:
+        df = R.read_delimited(spark, paths, R.ReaderSpec(sep=";"), with_position=True)
+        first = S.keep_first(df, ["k"], ["_pos"]).drop("_pos")
+        assert df.rdd.getNumPartitions() > 10
+        assert sorted(map(tuple, first.collect())) == sorted((str(i), f"a{i:05d}") for i in range(50))
+    finally:
+        whole_files(spark)
+
+
+def layer(n, spaced=False, order=("type", "properties", "geometry")):
+    feats = [{"type": "Feature", "properties": {"niveau": f"N{i}", "n": i, "s": "a \"Feature of\" it"},
+              "geometry": {"type": "Polygon", "coordinates": [[[i, 0], [i + 1, 0], [i + 1, 1], [i, 0]]]}} for i in range(n)]
+    doc = {"type": "FeatureCollection", "name": "x", "features": [{k: f[k] for k in order} for f in feats], "crs": {"type": "name"}}
+    return json.dumps(doc, indent=1 if spaced else None, separators=None if spaced else (",", ":"))
+
+
+def test_layers_are_read_in_blocks(spark, tmpdir_fresh):
+    tight = write(os.path.join(tmpdir_fresh, "2025_T4_couv_Metropole_OF_4G_data.geojson"), layer(300))
+    spaced = write(os.path.join(tmpdir_fresh, "2025_T4_couv_Metropole_SFR_5G_data.geojson"), layer(200, spaced=True))
+    other = write(os.path.join(tmpdir_fresh, "2025_T4_couv_Metropole_BOUY_5G_data.geojson"),
+                  layer(7, order=("geometry", "properties", "type")))
+    one = write(os.path.join(tmpdir_fresh, "2025_T4_couv_Metropole_FREE_5G_data.geojson"), layer(1))
+    blocks(spark, 4000)
+    try:
+        got = GJ.read_coverage_layers(spark, [tight, spaced, other, one])
+        assert got.rdd.getNumPartitions() > 8
+        rows = got.collect()
+        assert sorted((r.op_code, r.techno, r.niveau, r.coords[0][0][0][0]) for r in rows) == sorted(
+            (op, t, f"N{i}", float(i)) for op, t, n in (("OF", "4G", 300), ("SFR", "5G", 200), ("BOUY", "5G", 7), ("FREE", "5G", 1))
+            for i in range(n))
+        assert len({r.id for r in rows}) == 508
+    finally:
+        whole_files(spark)
+
+
+def test_a_value_that_looks_like_a_feature_is_an_error(spark, tmpdir_fresh):
+    import pytest
+    text = layer(3).replace('"N1"', '"Feature"')
+    p = write(os.path.join(tmpdir_fresh, "x.geojson"), text)
+    with pytest.raises(Exception, match="Feature"):
+        GJ.read_features(spark, p).collect()
+
+
+def test_integers_beyond_64_bits_are_null(spark):
+    from zonage.functions import clean as C
+    texts = ["9223372036854775807", "9223372036854775808", "-9223372036854775808", "-9223372036854775809", "12.0", "12.5", " 7 ",
+             "1e3", "1e19", "9007199254740993", "x", None, "+5"]
+    got = [r[0] for r in spark.createDataFrame([(t,) for t in texts], "t string").select(C.to_int("t")).collect()]
+    assert got == [2 ** 63 - 1, None, -2 ** 63, None, 12, None, 7, 1000, None, 9007199254740993, None, None, 5]

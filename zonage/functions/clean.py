@@ -33,9 +33,12 @@ def to_number(c: ColumnOrName) -> Column:
 
 def to_int(c: ColumnOrName) -> Column:
     """SF1 for integer columns: parse as double first (``"12.0"`` -> 12);
-    a value with a fractional part is not an integer and becomes NULL."""
+    a value with a fractional part, or beyond 64 bits, becomes NULL.  A plain run
+    of digits is read as it is, as doubles are exact up to 2^53 only."""
+    s = F.trim(_c(c).cast("string"))
     d = to_number(c)
-    return F.when(d == F.floor(d), d.cast("long"))
+    fits = (d >= F.lit(-2.0 ** 63)) & (d < F.lit(2.0 ** 63)) & (d == F.floor(d))
+    return F.when(s.rlike(r"^[+-]?\d+$"), s.try_cast("long")).otherwise(F.when(fits, d.cast("long")))
 
 
 def comma_decimal(c: ColumnOrName) -> Column:

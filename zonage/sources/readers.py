@@ -3,9 +3,15 @@
 Everything is read as **strings** (explicit all-string schema or header
 names) and coerced afterwards with the ``try_*`` functions of
 :mod:`zonage.functions.clean`, so a bad value never fails a job.  Reads are
-plain distributed ``spark.read.csv`` scans: Spark splits large files into
-partitions itself, prunes columns and pushes filters, so the reference's
-chunked loops are not needed.
+plain distributed scans: Spark splits large files into partitions itself and
+prunes columns, so no chunked loops are needed.  Files whose quoted fields hold
+line breaks are split too: :func:`quoted_records` tells by quote parity where
+records begin and joins the lines of one record.
+
+A scan can carry the position of each row (:data:`POSITION`: file, block, row),
+which orders rows as they stand in the files, however the scan is split; "keep
+the first row" (:func:`zonage.operators.score.keep_first`) can then mean the
+first in the file.
 """
 
 from __future__ import annotations
@@ -14,11 +20,12 @@ import re
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, field, replace
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 CORRUPT = "_corrupt_record"
+POSITION = "_pos"
 
 
 @dataclass(frozen=True)
@@ -76,16 +83,78 @@ def header_names(spark: SparkSession, path: str, spec: ReaderSpec) -> list[str]:
     return [(v or f"_c{i}").replace("﻿", "").strip() for i, v in enumerate(first[0])]
 
 
+def position() -> Column:
+    """Where a row of a text or CSV scan stands, ascending as in the files: file,
+    start of the block that a task reads, row.  Only for the scan itself (filters
+    and projections on it included), as rows are numbered where they are read."""
+    return F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+                    F.monotonically_increasing_id().alias("row"))
+
+
+def parquet_position() -> Column:
+    """:func:`position` of a Parquet scan, which knows each row's number."""
+    return F.struct(F.col("_metadata.file_path").alias("file"), F.lit(0).cast("long").alias("block"),
+                    F.col("_metadata.row_index").alias("row"))
+
+
+def quoted_records(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """Records of UTF-8 files whose quoted fields may hold line breaks:
+    ``(value, _pos, first)``, one row per record that isn't blank, the lines of a record
+    joined by a line feed; ``first`` marks each file's first record.
+
+    A line begins a record if an even number of quotes stands before it in its
+    file.  That number is the quotes of the blocks before (one row a block) plus
+    those before it in its own block, so files are read in blocks by as many
+    tasks as they have.  Records of one line, nearly all, are passed on as they
+    are; only the lines of longer ones meet by the position of their first line,
+    which may be in another block."""
+    lines = spark.read.text(list(paths)).select("value", position().alias("p")).select("value", "p.*") \
+                 .withColumn("quotes", F.length("value") - F.length(F.replace(F.col("value"), F.lit('"'))))
+    block = Window.partitionBy("file", "block").orderBy("row")
+    blocks = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    before = lines.groupBy("file", "block").agg(F.sum("quotes").alias("q")) \
+                  .select("file", "block", F.coalesce(F.sum("q").over(blocks), F.lit(0)).alias("before"))
+    inside = F.coalesce(F.sum("quotes").over(block.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    lines = lines.join(before, ["file", "block"]).withColumn("begins", (F.col("before") + inside) % 2 == 0) \
+                 .withColumn("head", (F.col("block") == 0) & (F.row_number().over(block) == 1))
+    here = F.struct("block", "row", "head")
+    own = F.last(F.when(F.col("begins"), here), ignorenulls=True).over(block)
+    lines = lines.select("file", "block", "row", "value", "begins", "quotes", own.alias("at"))
+    # A block's first lines may belong to a record of an earlier block.
+    earlier = lines.groupBy("file", "block").agg(F.max("at").alias("at")) \
+                   .select("file", "block", F.last("at", ignorenulls=True).over(blocks).alias("open"))
+    alone = F.col("begins") & (F.col("quotes") % 2 == 0)
+    single = lines.filter(alone).select("file", "at", "value")
+    longer = lines.filter(~alone).join(earlier, ["file", "block"]) \
+                  .withColumn("at", F.coalesce("at", "open")).groupBy("file", "at") \
+                  .agg(F.sort_array(F.collect_list(F.struct("block", "row", "value"))).alias("lines")) \
+                  .select("file", "at", F.array_join(F.col("lines.value"), "\n").alias("value"))
+    return single.unionByName(longer).filter(F.col("value") != "").select(
+        "value", F.struct("file", "at.block", "at.row").alias(POSITION), F.col("at.head").alias("first"))
+
+
+def _spanning(spark: SparkSession, paths: list[str], spec: ReaderSpec, names: list[str]) -> DataFrame:
+    """All-string columns of files whose records may span lines, and position."""
+    records = quoted_records(spark, paths)
+    if spec.header:
+        records = records.filter(~F.col("first"))
+    kinds = ", ".join(f"`{n.replace('`', '``')}` string" for n in names)
+    options = {"sep": spec.sep, "quote": '"', "escape": '"', "mode": "PERMISSIVE"}
+    return records.select(F.from_csv("value", kinds, options).alias("_r"), POSITION).select("_r.*", POSITION)
+
+
 def read_delimited(spark: SparkSession, path: str | Sequence[str], spec: ReaderSpec = ReaderSpec(),
-                   with_file: bool = False) -> DataFrame:
+                   with_file: bool = False, with_position: bool = False) -> DataFrame:
     """SRC1–SRC5, SRC7–SRC10: delimited scan, every column a string.
 
     * the UTF-8 BOM is stripped by Spark; header names are trimmed;
-    * ``multiline`` + ``escape='"'`` keeps quoted JSON (``geo_shape``) intact;
+    * ``multiline``: quoted fields may hold line breaks (``geo_shape``); UTF-8
+      files are read in blocks all the same (:func:`quoted_records`);
     * ``drop_long_lines`` keeps short lines (missing fields -> NULL) and drops
       lines with more fields than the header, like a CSV reader skipping
-      bad lines;
-    * ``with_file`` adds ``_file`` (file name) for provenance and ordering.
+      bad lines; separators inside quotes don't count;
+    * ``with_file`` adds ``_file`` (file name) for provenance;
+    * ``with_position`` adds ``_pos``, the order of the rows in the files.
     """
     paths = [path] if isinstance(path, str) else list(path)
     names = list(spec.columns) if spec.columns else None
@@ -98,12 +167,16 @@ def read_delimited(spark: SparkSession, path: str | Sequence[str], spec: ReaderS
             bare = replace(spec, keep=None, rename={})
             df = None
             for header, files in groups.items():
-                one = read_delimited(spark, files, replace(bare, columns=header), with_file)
+                one = read_delimited(spark, files, replace(bare, columns=header), with_file, with_position)
                 df = one if df is None else df.unionByName(one, allowMissingColumns=True)
-            if with_file:
-                df = df.select(*[c for c in df.columns if c != "_file"], "_file")
-            return _projected(df, spec)
+            own = [c for c, wanted in (("_file", with_file), (POSITION, with_position)) if wanted]
+            return _projected(df.select(*[c for c in df.columns if c not in own], *own), spec, own)
         names = list(next(iter(groups)))
+    if spec.multiline and names and spec.encoding.upper() == "UTF-8":
+        df = _spanning(spark, paths, spec, names)
+        if with_file:
+            df = df.withColumn("_file", F.element_at(F.split(F.col(f"{POSITION}.file"), "/"), -1))
+        return _projected(df if with_position else df.drop(POSITION), spec, [POSITION] * with_position)
     r = (spark.read.option("sep", spec.sep).option("encoding", spec.encoding)
          .option("header", str(spec.header).lower()).option("quote", '"').option("escape", '"')
          .option("multiLine", str(spec.multiline).lower()).option("mode", "PERMISSIVE"))
@@ -113,16 +186,24 @@ def read_delimited(spark: SparkSession, path: str | Sequence[str], spec: ReaderS
             r = r.option("columnNameOfCorruptRecord", CORRUPT)
     df = r.csv(paths)
     if spec.drop_long_lines and names:
-        n_fields = F.size(F.split(F.col(CORRUPT), _regex_escape(spec.sep)))
-        df = df.filter(F.col(CORRUPT).isNull() | (n_fields <= len(names))).drop(CORRUPT)
+        df = df.filter(F.col(CORRUPT).isNull() | (n_fields(F.col(CORRUPT), spec.sep) <= len(names))).drop(CORRUPT)
     if with_file:
         df = df.withColumn("_file", F.col("_metadata.file_name"))
-    return _projected(df, spec)
+    if with_position:
+        df = df.withColumn(POSITION, position())
+    return _projected(df, spec, [POSITION] * with_position)
+
+
+def n_fields(line: Column, sep: str) -> Column:
+    """Number of fields of a line: separators in quoted fields (those that open
+    with a quote, a doubled quote being one inside) don't count."""
+    quoted = rf'(^|{_regex_escape(sep)})"(?:[^"]++|"")*+("|$)'
+    return F.size(F.split(F.regexp_replace(line, quoted, "$1"), _regex_escape(sep)))
 
 
-def _projected(df: DataFrame, spec: ReaderSpec) -> DataFrame:
+def _projected(df: DataFrame, spec: ReaderSpec, own: Sequence[str] = ()) -> DataFrame:
     if spec.keep:
-        df = df.select(*spec.keep)
+        df = df.select(*spec.keep, *[c for c in own if c not in spec.keep])
     if spec.rename:
         df = df.withColumnsRenamed(dict(spec.rename))
     return df
@@ -132,12 +213,13 @@ def _regex_escape(sep: str) -> str:
     return "\\" + sep if sep in "|.^$*+?()[]{}\\" else sep
 
 
-def read_source(spark: SparkSession, name: str, path: str | Sequence[str], **overrides) -> DataFrame:
+def read_source(spark: SparkSession, name: str, path: str | Sequence[str], with_position: bool = False,
+                **overrides) -> DataFrame:
     """Read a registered landing dataset (:data:`SOURCES`)."""
     spec = SOURCES[name]
     if overrides:
         spec = ReaderSpec(**{**spec.__dict__, **overrides})
-    return read_delimited(spark, path, spec)
+    return read_delimited(spark, path, spec, with_position=with_position)
 
 
 # --------------------------------------------------------------------------
