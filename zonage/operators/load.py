@@ -1,35 +1,36 @@
 """Idempotent load semantics and table contracts (SNK1–SNK15).
 
-Plain Parquet has no MERGE.  A table is a folder of immutable data parts and a
-log of versions; a version is a small file that names the table's parts and
-schema, written under a temporary name and renamed into place, so a reader sees
-either the version before or the one after.  The highest version counts.  Only a
-missing log means an empty table: anything else that goes wrong while reading is
-an error, never an empty table.
-
-* append, insert-if-empty, insert-ignore, anti-join append (SNK1–SNK5) write one
-  new part with the new rows; what the table had is not read beyond the keys and
-  not written again;
-* upsert (SNK6) rewrites only the parts that hold keys of the batch;
-* drop-and-reload (SNK7, SNK8) is a version with one new part.
-
-:func:`vacuum` removes parts that no recent version names.  The joins are shuffle
-joins on the key (or broadcast by AQE's runtime statistics); none collects a side.
+The load rules are functions from a target and a batch to the target's next
+state.  A stored table is a folder of Parquet, dealt over partitions by a hash of
+its keys (``buckets`` of them) or by one of its columns, and written with Spark's
+own writes only:
+
+* append, insert-if-empty, insert-ignore, anti-join append (SNK1–SNK5) append the
+  new rows; of what the table had only the keys are read;
+* upsert (SNK6) takes the rows that differ from the stored ones, writes the next
+  state of the partitions that these touch to a table of its own, and overwrites
+  just these partitions (dynamic partition overwrite); a batch without news
+  writes nothing, and an interrupted one is repaired by running it again;
+* drop-and-reload (SNK7, SNK8) overwrites the folder.
+
+:func:`load` checks a batch against the table's contract on the way: rows that
+break it go to a table of rejected rows, with the rules they break.  The joins are
+shuffle joins on the key (or broadcast by AQE's runtime statistics); none collects
+a side.
 """
 
 from __future__ import annotations
 
-import json
 import os
 import re
-import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from ..session import materialize
 from .joins import anti_join
 from .score import keep_first
 
@@ -75,164 +76,123 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
 # stored tables
 # --------------------------------------------------------------------------
 
-LOG = "_log"
+BUCKETS = 16
+BUCKET, BATCH = "_bucket", "_batch"   # partition columns that are no columns of the table
 
 
-@dataclass
-class Version:
-    """What one version of a stored table says."""
-    number: int
-    parts: list[str]          # folders below the table's
-    schema: dict | None       # None: never written
-    batches: dict[str, int]   # last micro-batch of each stream
-
-
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), jvm.org.apache.hadoop.fs.Path
-
-
-def versions(spark: SparkSession, base: str) -> list[int]:
-    """Numbers of the versions in the log, ascending; none if there is no log."""
-    fs, path = _fs(spark, base)
-    log = path(os.path.join(base, LOG))
-    if not fs.exists(log):
-        return []
-    return sorted(int(f.getPath().getName()) for f in fs.listStatus(log) if f.getPath().getName().isdigit())
-
-
-def read_version(spark: SparkSession, base: str, number: int | None = None) -> Version:
-    """A version of a table (by default the highest); an unreadable one raises."""
-    known = versions(spark, base)
-    if number is None:
-        if not known:
-            return Version(0, [], None, {})
-        number = known[-1]
-    lines = spark.read.text(os.path.join(base, LOG, f"{number:020d}"), wholetext=True).collect()
-    try:
-        found = json.loads(lines[0][0])
-        return Version(number, found["parts"], found["schema"], found["batches"])
-    except (IndexError, KeyError, ValueError) as e:
-        raise OSError(f"version {number} of table {base} is damaged") from e
-
-
-def _publish(spark: SparkSession, base: str, version: Version) -> None:
-    """Make ``version`` the table's highest, or raise if another writer has."""
-    fs, path = _fs(spark, base)
-    log = os.path.join(base, LOG)
-    temp, final = path(os.path.join(log, f".{uuid.uuid4().hex}")), path(os.path.join(log, f"{version.number:020d}"))
-    text = json.dumps({"parts": version.parts, "schema": version.schema, "batches": version.batches})
-    out = fs.create(temp, False)
+@dataclass(frozen=True)
+class Layout:
+    """How a stored table is dealt over partitions: by the column ``by``, or by a
+    hash of ``keys`` over ``buckets`` (a fixed number for a table, as many as
+    partitions of handy size come to), or not at all."""
+    keys: Sequence[str] = ()
+    buckets: int = BUCKETS
+    by: str | None = None
+
+    @property
+    def column(self) -> str | None:
+        return self.by or (f"{BUCKET}{self.buckets}" if self.keys else None)
+
+    def deal(self, df: DataFrame) -> DataFrame:
+        """``df`` with the partition column, its rows of a partition together
+        (AQE splits partitions that are too large)."""
+        if self.column is None:
+            return df
+        if not self.by:
+            hashed = F.xxhash64(*[F.col(k).cast("string") for k in self.keys])
+            df = df.withColumn(self.column, F.pmod(hashed, F.lit(self.buckets)).cast("int"))
+        return df.hint("rebalance", F.col(self.column))
+
+
+def _folder(spark: SparkSession, base: str) -> DataFrame | None:
     try:
-        out.write(bytearray(text.encode()))
-    finally:
-        out.close()
-    if fs.exists(final) or not fs.rename(temp, final):
-        fs.delete(temp, False)
-        raise OSError(f"another writer has published version {version.number} of table {base}")
-
-
-def _write_part(df: DataFrame, base: str, partition_by: Sequence[str] = ()) -> str:
-    name = f"part={uuid.uuid4().hex}"
-    w = df.write.mode("errorifexists")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(os.path.join(base, name))
-    return name
-
-
-def _read_parts(spark: SparkSession, base: str, version: Version, parts: Sequence[str] | None = None) -> DataFrame:
-    schema = T.StructType.fromJson(version.schema)
-    frames = [spark.read.schema(schema).parquet(os.path.join(base, p)) for p in (version.parts if parts is None else parts)]
-    out = frames[0] if frames else spark.createDataFrame([], schema)
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out
+        return spark.read.parquet(base)
+    except AnalysisException as e:
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):  # no folder, or no row ever
+            return None
+        raise
 
 
 def read_current(spark: SparkSession, base: str) -> DataFrame | None:
-    """The table's current rows; ``None`` only if it has never been written."""
-    version = read_version(spark, base)
-    return None if version.schema is None else _read_parts(spark, base, version)
-
-
-def replace(df: DataFrame, base: str, partition_by: Sequence[str] = (), batch: tuple[str, int] | None = None) -> None:
-    """SNK7/SNK8: drop-and-reload; the version before stays readable by number."""
-    spark = df.sparkSession
-    old = read_version(spark, base)
-    part = _write_part(df, base, partition_by)
-    _publish(spark, base, Version(old.number + 1, [part], df.schema.jsonValue(),
-                                  old.batches | ({batch[0]: batch[1]} if batch else {})))
-
-
-write_snapshot = replace
-
-
-def append_part(df: DataFrame, base: str, batch: tuple[str, int] | None = None) -> None:
-    """Add the rows of ``df`` as one more part; the other parts stay untouched.
-    Without rows there is no new version, unless a ``batch`` is to be noted."""
-    spark = df.sparkSession
-    old = read_version(spark, base)
-    if old.schema is None:
-        return replace(df, base, batch=batch)
-    schema = T.StructType.fromJson(old.schema)
-    part = _write_part(df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields]), base)
-    parts = [] if spark.read.schema(schema).parquet(os.path.join(base, part)).isEmpty() else [part]
-    if parts or batch:
-        _publish(spark, base, Version(old.number + 1, [*old.parts, *parts], old.schema,
-                                      old.batches | ({batch[0]: batch[1]} if batch else {})))
-
-
-def upsert_parts(df: DataFrame, base: str, keys: Sequence[str], order: Sequence[Column | str],
-                 batch: tuple[str, int] | None = None) -> None:
-    """SNK6 on a stored table: of the old parts only those that hold a key of
-    the batch are rewritten."""
-    spark = df.sparkSession
-    old = read_version(spark, base)
-    if old.schema is None:
-        return replace(keep_first(df, keys, order), base, batch=batch)
-    schema = T.StructType.fromJson(old.schema)
-    new = keep_first(df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields]), keys, order)
-    part = _write_part(new, base)
-    new = spark.read.schema(schema).parquet(os.path.join(base, part))
-    if new.isEmpty() and batch is None:
-        return None
-    touched = []
-    for p in old.parts:  # the number of parts is the number of loads since the last compaction
-        here = _read_parts(spark, base, old, [p])
-        if not here.join(new.select(*keys), list(keys), "left_semi").isEmpty():
-            touched.append(p)
-    parts = [p for p in old.parts if p not in touched] + [part]
-    if touched:
-        parts.append(_write_part(anti_join(_read_parts(spark, base, old, touched), new, keys, null_safe=False), base))
-    return _publish(spark, base, Version(old.number + 1, parts, old.schema,
-                                         old.batches | ({batch[0]: batch[1]} if batch else {})))
-
-
-def compact(spark: SparkSession, base: str) -> None:
-    """Rewrite a table of many parts as one part."""
-    old = read_version(spark, base)
-    if len(old.parts) > 1:
-        part = _write_part(_read_parts(spark, base, old), base)
-        _publish(spark, base, Version(old.number + 1, [part], old.schema, old.batches))
-
-
-def vacuum(spark: SparkSession, base: str, keep: int = 2) -> int:
-    """Remove the versions before the last ``keep`` and the parts that only they
-    name; returns how many parts.  Not for use beside a running writer."""
-    known = versions(spark, base)
-    fs, path = _fs(spark, base)
-    used = {p for n in known[-keep:] for p in read_version(spark, base, n).parts}
-    gone = 0
-    for n in known[:-keep]:
-        fs.delete(path(os.path.join(base, LOG, f"{n:020d}")), False)
-    for f in fs.listStatus(path(base)) if known else []:
-        name = f.getPath().getName()
-        if name.startswith("part=") and name not in used:
-            fs.delete(f.getPath(), True)
-            gone += 1
-    return gone
+    """The table's current rows; ``None`` if it has never had one."""
+    df = _folder(spark, base)
+    return None if df is None else df.drop(*[c for c in df.columns if c.startswith((BUCKET, BATCH))])
+
+
+def _fitted(df: DataFrame, current: DataFrame | None) -> DataFrame:
+    """``df`` with the columns and types of the stored table."""
+    if current is None:
+        return df
+    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in current.schema.fields])
+
+
+def _put(df: DataFrame, base: str, column: str | None, mode: str = "append") -> int:
+    """Write rows into their partitions; how many."""
+    seen = Observation()
+    w = df.observe(seen, F.count(F.lit(1)).alias("n")).write.mode(mode)
+    if column is not None:
+        w = w.partitionBy(column)
+        if mode == "overwrite":
+            w = w.option("partitionOverwriteMode", "dynamic")
+    w.parquet(base)
+    return seen.get["n"]
+
+
+def append_rows(df: DataFrame, base: str, layout: Layout = Layout()) -> int:
+    """SNK1 on a stored table: add the rows of ``df``; no other file changes."""
+    df = _fitted(df, read_current(df.sparkSession, base))
+    return _put(layout.deal(df), base, layout.column)
+
+
+def append_batch(df: DataFrame, base: str, batch: str) -> int:
+    """Add the rows of a numbered batch as a partition of their own, in the place
+    of what an earlier, interrupted try of the same batch has left there."""
+    df = _fitted(df, read_current(df.sparkSession, base))
+    return _put(df.withColumn(BATCH, F.lit(batch)), base, BATCH, "overwrite")
+
+
+def upsert_rows(df: DataFrame, base: str, layout: Layout, order: Sequence[Column | str], stamp: str | None = None) -> int:
+    """SNK6 on a stored table: how many rows are new or changed (the column
+    ``stamp`` aside).  Only the partitions that hold them are written."""
+    spark, keys = df.sparkSession, list(layout.keys)
+    current = read_current(spark, base)
+    batch = keep_first(_fitted(df, current), keys, order)
+    if current is None:
+        return _put(layout.deal(batch), base, layout.column)
+    stored = _folder(spark, base)
+    batch = materialize(layout.deal(batch))
+    same = [c for c in current.columns if c != stamp]
+    news = materialize(anti_join(batch, stored.filter(_touched(batch, layout.column)), same, null_safe=True))
+    if news.isEmpty():
+        return 0
+    here = _touched(news, layout.column)
+    kept = anti_join(stored.filter(here), news, keys, null_safe=False)
+    state = materialize(news.unionByName(kept.select(*news.columns)))
+    _put(state.hint("rebalance", F.col(layout.column)), base, layout.column, "overwrite")
+    return news.count()
+
+
+def _touched(rows: DataFrame, column: str) -> Column:
+    """Whether a stored row is in a partition that ``rows`` have rows of (the
+    partitions' values, not the rows, go to the driver)."""
+    values = [r[0] for r in rows.select(column).distinct().collect()]
+    here = F.col(column).isin([v for v in values if v is not None])
+    return here | F.col(column).isNull() if None in values else here
+
+
+def replace(df: DataFrame, base: str, layout: Layout = Layout()) -> int:
+    """SNK7/SNK8: drop-and-reload."""
+    seen = Observation()
+    w = layout.deal(df).observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite")
+    (w.partitionBy(layout.column) if layout.column else w).parquet(base)
+    return seen.get["n"]
+
+
+def compact(spark: SparkSession, base: str, layout: Layout = Layout()) -> None:
+    """Rewrite a table of many appended files with few files a partition."""
+    df = read_current(spark, base)
+    if df is not None:
+        replace(materialize(df), base, layout)
 
 
 def audit(df: DataFrame, col: str = "created_at") -> DataFrame:
@@ -247,12 +207,13 @@ def audit(df: DataFrame, col: str = "created_at") -> DataFrame:
 @dataclass
 class Contract:
     """Declared table shape: ordered columns with Spark SQL types, key,
-    unique sets, NOT NULL columns and value ranges."""
+    unique sets, NOT NULL columns, value ranges and defaults (of NOT NULL columns)."""
     columns: Mapping[str, str]
     primary_key: Sequence[str] = ()
     unique: Sequence[Sequence[str]] = ()
     not_null: Sequence[str] = ()
     ranges: Mapping[str, tuple] = field(default_factory=dict)
+    defaults: Mapping[str, object] = field(default_factory=dict)
 
 
 def conform(df: DataFrame, contract: Contract) -> DataFrame:
@@ -309,6 +270,114 @@ def violations(df: DataFrame, contract: Contract) -> DataFrame:
     return out
 
 
+def broken(df: DataFrame, contract: Contract) -> Column:
+    """The rules that a row breaks by itself, as an array of ``rule:column``:
+    NULL in a key or NOT NULL column (a column that ``df`` lacks is NULL), a value
+    out of its range, a value that doesn't fit the declared type."""
+    found = []
+    for c in dict.fromkeys([*contract.primary_key, *contract.not_null, *contract.defaults]):
+        if c not in df.columns and c in contract.defaults:
+            continue
+        found.append(F.when(F.col(c).isNull() if c in df.columns else F.lit(True), F.lit(f"not_null:{c}")))
+    for c, (lo, hi) in contract.ranges.items():
+        outside = F.lit(False)
+        if lo is not None:
+            outside = outside | (F.col(c) < F.lit(lo))
+        if hi is not None:
+            outside = outside | (F.col(c) > F.lit(hi))
+        found.append(F.when(outside, F.lit(f"range:{c}")))
+    for c, t in contract.columns.items():
+        if c in df.columns:
+            found.append(F.when(F.col(c).isNotNull() & fitting(c, t).isNull(), F.lit(f"type:{c}")))
+    return F.array_compact(F.array(*found)) if found else F.array().cast("array<string>")
+
+
+def repeated(rows: DataFrame, contract: Contract, row: str, target: DataFrame | None = None,
+             keys: Sequence[str] = ()) -> DataFrame:
+    """``(row, rule)`` of rows that repeat the primary key or a unique set: of
+    rows that agree on it (NULLs never do), all but the first by the column
+    ``row``, and all if ``target`` has it.  The sets are gone through in order, and
+    a row that one set rules out doesn't count for the next.  Sets that hold all
+    of ``keys`` aren't looked up in the target: the rows' keys are new to it."""
+    found, left = None, rows
+    for rule, cols in [("primary_key", list(contract.primary_key)), *(("unique", list(u)) for u in contract.unique)]:
+        if not cols or any(c not in rows.columns for c in cols):
+            continue
+        known = left.select(row, *cols).dropna(subset=cols)
+        first = known.groupBy(*cols).agg(F.min(row).alias("_first"), F.count(F.lit(1)).alias("_n")).filter("_n > 1")
+        bad = known.join(first, cols).filter(F.col(row) > F.col("_first")).select(row)
+        if target is not None and not (keys and set(keys) <= set(cols)):
+            bad = bad.unionByName(known.join(target.select(*cols), cols, "left_semi").select(row)).distinct()
+        left = left.join(bad, row, "left_anti")
+        named = bad.select(row, F.lit(f"{rule}:{','.join(cols)}").alias("rule"))
+        found = named if found is None else found.unionByName(named)
+    return found if found is not None else rows.select(row, F.lit(None).cast("string").alias("rule")).filter("false")
+
+
+@dataclass
+class Loaded:
+    """What a load did: the table's rows now, and its measures."""
+    table: DataFrame
+    metrics: dict
+
+    def _read(self, base: str) -> Loaded:
+        current = read_current(self.table.sparkSession, base)
+        return self if current is None else Loaded(current, self.metrics)
+
+
+def load(df: DataFrame, base: str, rule: str, keys: Sequence[str], contract: Contract | None = None,
+         layout: Layout | None = None, rejected: str | None = None, stamp: str = "created_at") -> Loaded:
+    """Load a batch into the stored table ``base`` by its rule, with its contract.
+
+    The batch is computed once and written to the side with the rules each row
+    breaks; its measures (rows, broken rows, NULLs a column) are observed during
+    that write.  Rows that break a rule, or repeat a key or unique set of the batch
+    or table, are appended to the folder ``rejected`` as JSON text with the rules
+    and the load time; the others are loaded with the load time in ``stamp``.
+    """
+    spark, keys = df.sparkSession, list(keys)
+    layout = layout or Layout(keys)
+    if rule == "replace":
+        return Loaded(df, {"loaded": replace(df, base, layout)})._read(base)
+    if contract is not None:
+        df = df.withColumns({c: F.coalesce(F.col(c), F.lit(v).cast(df.schema[c].dataType))
+                             for c, v in contract.defaults.items() if c in df.columns})
+        df = df.select(*[c for c in contract.columns if c in df.columns], *[c for c in df.columns if c not in contract.columns])
+    contract = contract or Contract(columns={})
+    columns = df.columns
+    seen = Observation()
+    marked = df.withColumn("_broken", broken(df, contract)).withColumn("_row", F.monotonically_increasing_id())
+    staged = materialize(marked.observe(
+        seen, F.count(F.lit(1)).alias("rows"), F.count_if(F.size("_broken") > 0).alias("broken"),
+        *[F.count_if(F.col(c).isNull()).alias(f"nulls:{c}") for c in columns]))
+    metrics = dict(seen.get)
+    current = read_current(spark, base)
+    fine = staged.filter(F.size("_broken") == 0).drop("_broken")
+    if rule in ("insert_ignore", "upsert"):
+        fine = keep_first(fine, keys, ["_row"])
+    if rule in ("append_new", "insert_ignore") and current is not None:
+        fine = new_rows(current, fine, keys, null_safe=len(keys) > 1)
+    elif rule == "insert_if_empty" and current is not None and not current.isEmpty():
+        fine = fine.limit(0)
+    again = materialize(repeated(fine, contract, "_row", None if rule == "upsert" else current, keys))
+    metrics["repeated"] = again.count()
+    if metrics["repeated"]:
+        fine = fine.join(again, "_row", "left_anti")
+    if rejected and metrics["broken"] + metrics["repeated"]:
+        rules = staged.filter(F.size("_broken") > 0).select("_row", F.explode("_broken").alias("rule")).unionByName(again) \
+                      .groupBy("_row").agg(F.sort_array(F.collect_list("rule")).alias("rules"))
+        out = staged.join(rules, "_row").select("rules", F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}).alias("row"))
+        append_rows(audit(out, stamp), rejected)
+    rows = audit(fine.select(*columns), stamp)
+    if rule == "upsert":
+        metrics["loaded"] = upsert_rows(rows, base, layout, keys, stamp)
+    elif rule in ("append_new", "insert_ignore", "insert_if_empty", "append"):
+        metrics["loaded"] = append_rows(rows, base, layout)
+    else:
+        raise ValueError(rule)
+    return Loaded(rows.limit(0), metrics)._read(base)
+
+
 # --------------------------------------------------------------------------
 # GeoJSON exports (SNK9, SNK10)
 # --------------------------------------------------------------------------

@@ -126,24 +126,21 @@ def minmax(df: DataFrame, cols: Sequence[str] | Mapping[str, str], scale: float
         v = F.col(c).cast("double")
         return F.coalesce(v, F.lit(float(fill))) if fill is not None else v
 
-    stats = df.select(F.struct(*[F.min(val(c)).alias(f"mn_{i}") for i, c in enumerate(mapping)],
-                               *[F.max(val(c)).alias(f"mx_{i}") for i, c in enumerate(mapping)])
-                      .alias("s")).scalar()
-    src = df.withColumn("_mm", stats)
-    outs = {}
-    for i, (c, o) in enumerate(mapping.items()):
-        mn, mx = F.col(f"_mm.mn_{i}"), F.col(f"_mm.mx_{i}")
-        v = val(c)
+    def norm(v: Column, s: Column) -> Column:
+        mn, mx = s["mn"], s["mx"]
         if constant is None:
-            expr = (v - mn) / F.when(mx == mn, F.lit(1.0)).otherwise(mx - mn)
+            out = (v - mn) / F.when(mx == mn, F.lit(1.0)).otherwise(mx - mn)
         else:
-            expr = F.when(mx == mn, F.lit(float(constant))).otherwise((v - mn) / (mx - mn))
-        if scale != 1.0:
-            expr = expr * float(scale)
-        if digits is not None:
-            expr = round_dec(expr, digits)
-        outs[o] = expr
-    return src.withColumns(outs).drop("_mm")
+            out = F.when(mx == mn, F.lit(float(constant))).otherwise((v - mn) / (mx - mn))
+        out = out * float(scale) if scale != 1.0 else out
+        return round_dec(out, digits) if digits is not None else out
+
+    # All measures are one array, normalised by one expression, so that chains
+    # of normalisations don't multiply the generated code.
+    stats = df.select(F.array(*[F.struct(F.min(val(c)).alias("mn"), F.max(val(c)).alias("mx")) for c in mapping])
+                      .alias("s")).scalar()
+    src = df.withColumn("_st", stats).withColumn("_mm", F.zip_with(F.array(*[val(c) for c in mapping]), F.col("_st"), norm))
+    return src.withColumns({o: F.col("_mm")[i] for i, o in enumerate(mapping.values())}).drop("_mm", "_st")
 
 
 def pct_rank_many(df: DataFrame, key: str | Sequence[str], cols: Mapping[str, str]) -> DataFrame:
@@ -226,12 +223,3 @@ def densify(reference: DataFrame, facts: Sequence[DataFrame], key: str | Sequenc
     if fill is not None:
         out = out.fillna({c: fill for c in measures})
     return out
-
-
-def fill_zero(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """FLT13."""
-    return df.fillna({c: 0 for c in cols})
-
-
-def zone_reference(df: DataFrame, key: str) -> DataFrame:
-    return bounded_broadcast(df.select(key).distinct())

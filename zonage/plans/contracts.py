@@ -1,9 +1,7 @@
 """Contracts of the stored tables (SNK12): columns, types, keys, defaults.
 
-A contract is written as one text, ``name type`` per column, with the marks
-``*`` (part of the primary key), ``!`` (not null) and ``=value`` (not null, with
-a default); ``unique: a b`` adds a unique set.  Surrogate keys and the load
-timestamp (SNK14) are left out: they come with the load, not with the data.
+Surrogate keys and the load timestamp (SNK14) are left out: they come with the
+load, not with the data.
 """
 
 from __future__ import annotations
@@ -16,112 +14,167 @@ from pyspark.sql import functions as F
 from ..operators import load as L
 
 # The declared tables.
-_PLACE = "lat double, lon double, code_iris int, nom_iris varchar(255)"
 DECLARED = {
-    "silver/colleges_paris": f"id varchar(300) *, nom varchar(255) !, adresse varchar(255), arrondissement smallint !, {_PLACE}",
-    "silver/elementaires_maternelles_effectifs":
-        "numero_ecole varchar(20) !, nom varchar(255), type varchar(100), secteur varchar(50), arrondissement smallint !, "
-        "nb_eleves int !, unique: numero_ecole",
-    "silver/map_sante":
-        "finess varchar(20) !, nom varchar(255) !, adresse varchar(255), telephone varchar(20), categorie varchar(150), "
-        f"type_etablissement varchar(150), cp_ville varchar(50), arrondissement smallint !, {_PLACE}, unique: finess",
-    "silver/map_scolaire":
-        f"id varchar(300) *, nom varchar(255) !, adresse varchar(255), type varchar(50) !, arrondissement smallint !, {_PLACE}",
-    "silver/population_enfants_paris": "arrondissement smallint !, pop_3_10 int !, pop_11_17 int !",
-    "silver/population_totale_paris": "arrondissement smallint !, population_totale int !",
-    "silver/population_iris":
-        "code_iris string *, arrondissement smallint !, pop_totale double !, pop_3_10 double !, pop_11_17 double !",
-    "silver/sante_paris":
-        "arrondissement smallint !, nb_medecins int =0, nb_infirmiers int =0, nb_centres_sante int =0, nb_pharmacies int =0",
-    "silver/arbres": "id int *, arrondissement int, latitude double, longitude double, code_iris string",
-    "silver/espaces_verts":
-        "id int *, nom string, code_postal int, superficie double, annee int, geo_shape string, code_iris string *",
-    "silver/ilots_fraicheur": "id string *, nom string, code_postal int *, geo_shape string, code_iris string",
-    "silver/trilib": "id int *, arrondissement int, geo_shape string, code_iris string",
-    "silver/dvf":
-        "id_mutation string *, date_mutation date, nature_mutation string, valeur_fonciere double, no_voie string, "
-        "type_voie string, voie string, code_postal string, commune string, code_departement string, code_commune string, "
-        "arrondissement int, section string, no_plan string, type_local string, surface_reelle_bati int, nombre_pieces int, "
-        "surface_terrain int, latitude double, longitude double, code_iris string",
-    "silver/filosofi": "code_iris string *, annee int *, revenu_median double, arrondissement int",
-    "silver/logements_sociaux":
-        "identifiant_livraison string *, adresse string, code_postal string, ville string, annee_financement int, "
-        "bailleur_social string, nb_logements_finances int, nb_plai int, nb_plus int, nb_plus_cd int, nb_pls int, "
-        "mode_realisation string, commentaires string, arrondissement int, nature_programme string, x_l93 double, "
-        "y_l93 double, latitude double, longitude double, code_iris string",
-    "silver/map_arrets": f"arret_id int *, nom varchar(255) !, type varchar(50), {_PLACE}, arrondissement int",
-    "silver/map_gares":
-        f"gare_id int *, nom varchar(255) !, mode varchar(50), ligne varchar(100), exploitant varchar(100), {_PLACE}, "
-        "arrondissement int",
-    "silver/map_velib": f"station_id varchar(20) *, nom varchar(255) !, capacite int, {_PLACE}, arrondissement int",
-    "silver/reseau_fibre":
-        "code_iris varchar(9) !, arrondissement smallint !, total_imb int !, imb_deployes int !, pm_actifs int !, "
-        "taux_deploiement decimal(5,2) !, taux_pm_actif decimal(5,2) !, meilleur_operateur_fibre varchar(20), "
-        "score_fibre decimal(5,2) !, unique: code_iris",
-    "silver/reseau_mobile":
-        "code_iris varchar(9) !, arrondissement smallint !, operateur varchar(20) !, couv_4g decimal(5,2), couv_5g decimal(5,2), "
-        "score_niveau smallint, nb_antennes int, densite_antennes_km2 decimal(8,3), score_densite decimal(5,2), "
-        "score_mobile decimal(5,2)",
-    "silver/reseau_qualite":
-        "code_iris varchar(9) !, arrondissement smallint !, operateur varchar(20) !, score_debit decimal(5,2), "
-        "score_fiabilite decimal(5,2), score_latence decimal(5,2), score_qualite decimal(5,2)",
-    "gold/indicateurs_dvf_iris":
-        "code_iris string *, annee int *, arrondissement int, nb_transactions int, prix_m2_median double, "
-        "prix_m2_moyen double, nb_appartements int, nb_maisons int",
-    "gold/indicateurs_logements_sociaux_iris":
-        "code_iris string *, annee int *, arrondissement int, nb_logements_sociaux_finances int, nb_plai int, nb_plus int, "
-        "nb_plus_cd int, nb_pls int",
-    "gold/indicateurs_socio_eco_iris":
-        "code_iris string *, annee int *, arrondissement int, revenu_median double, prix_m2_median double, iai double",
-    "gold/score_environnemental": "code_iris string *, arrondissement int, score double",
-    "gold/indicateurs_aes_arrondissement":
-        "arrondissement smallint *, e1_scolarisation double, e2_couverture_college double, s1_medecins double, "
-        "s2_infirmiers double, s3_centres_hospitaliers double, s4_pharmacies double, score_education double, "
-        "score_sante double, score_aes double",
-    "gold/indicateurs_mobilite_iris":
-        "code_iris varchar(9) *, arrondissement smallint !, nb_arrets_bus int =0, nb_gares_metro int =0, nb_gares_rer int =0, "
-        "nb_gares_train int =0, nb_gares_tramway int =0, nb_stations_velib int =0, capacite_velib int =0, "
-        "norm_arrets_bus double !, norm_gares_metro double !, norm_gares_rer double !, norm_gares_train double !, "
-        "norm_gares_tramway double !, norm_stations_velib double !, norm_capacite_velib double !, "
-        "score_transport_collectif double !, score_velib double !, score_mobilite double !, rang_mobilite int !",
-    "gold/score_reseau":
-        "code_iris varchar(9) !, arrondissement smallint !, rang_reseau smallint !, score_final decimal(5,2) !, "
-        "score_mobile decimal(5,2), score_qualite decimal(5,2), score_fibre decimal(5,2), couv_4g_max decimal(5,2), "
-        "couv_5g_max decimal(5,2), taux_deploiement_fibre decimal(5,2), taux_pm_actif decimal(5,2), "
-        "meilleur_operateur_mobile varchar(20), meilleur_operateur_fibre varchar(20), unique: code_iris",
+    "silver/colleges_paris": L.Contract(
+        columns={"id": "varchar(300)", "nom": "varchar(255)", "adresse": "varchar(255)", "arrondissement": "smallint",
+                 "lat": "double", "lon": "double", "code_iris": "int", "nom_iris": "varchar(255)"},
+        primary_key=["id"],
+        not_null=["nom", "arrondissement"]),
+    "silver/elementaires_maternelles_effectifs": L.Contract(
+        columns={"numero_ecole": "varchar(20)", "nom": "varchar(255)", "type": "varchar(100)",
+                 "secteur": "varchar(50)", "arrondissement": "smallint", "nb_eleves": "int"},
+        not_null=["numero_ecole", "arrondissement", "nb_eleves"],
+        unique=[["numero_ecole"]]),
+    "silver/map_sante": L.Contract(
+        columns={"finess": "varchar(20)", "nom": "varchar(255)", "adresse": "varchar(255)",
+                 "telephone": "varchar(20)", "categorie": "varchar(150)", "type_etablissement": "varchar(150)",
+                 "cp_ville": "varchar(50)", "arrondissement": "smallint", "lat": "double", "lon": "double",
+                 "code_iris": "int", "nom_iris": "varchar(255)"},
+        not_null=["finess", "nom", "arrondissement"],
+        unique=[["finess"]]),
+    "silver/map_scolaire": L.Contract(
+        columns={"id": "varchar(300)", "nom": "varchar(255)", "adresse": "varchar(255)", "type": "varchar(50)",
+                 "arrondissement": "smallint", "lat": "double", "lon": "double", "code_iris": "int",
+                 "nom_iris": "varchar(255)"},
+        primary_key=["id"],
+        not_null=["nom", "type", "arrondissement"]),
+    "silver/population_enfants_paris": L.Contract(
+        columns={"arrondissement": "smallint", "pop_3_10": "int", "pop_11_17": "int"},
+        not_null=["arrondissement", "pop_3_10", "pop_11_17"]),
+    "silver/population_totale_paris": L.Contract(
+        columns={"arrondissement": "smallint", "population_totale": "int"},
+        not_null=["arrondissement", "population_totale"]),
+    "silver/population_iris": L.Contract(
+        columns={"code_iris": "string", "arrondissement": "smallint", "pop_totale": "double", "pop_3_10": "double",
+                 "pop_11_17": "double"},
+        primary_key=["code_iris"],
+        not_null=["arrondissement", "pop_totale", "pop_3_10", "pop_11_17"]),
+    "silver/sante_paris": L.Contract(
+        columns={"arrondissement": "smallint", "nb_medecins": "int", "nb_infirmiers": "int",
+                 "nb_centres_sante": "int", "nb_pharmacies": "int"},
+        not_null=["arrondissement", "nb_medecins", "nb_infirmiers", "nb_centres_sante", "nb_pharmacies"],
+        defaults={"nb_medecins": 0, "nb_infirmiers": 0, "nb_centres_sante": 0, "nb_pharmacies": 0}),
+    "silver/arbres": L.Contract(
+        columns={"id": "int", "arrondissement": "int", "latitude": "double", "longitude": "double",
+                 "code_iris": "string"},
+        primary_key=["id"]),
+    "silver/espaces_verts": L.Contract(
+        columns={"id": "int", "nom": "string", "code_postal": "int", "superficie": "double", "annee": "int",
+                 "geo_shape": "string", "code_iris": "string"},
+        primary_key=["id", "code_iris"]),
+    "silver/ilots_fraicheur": L.Contract(
+        columns={"id": "string", "nom": "string", "code_postal": "int", "geo_shape": "string", "code_iris": "string"},
+        primary_key=["id", "code_postal"]),
+    "silver/trilib": L.Contract(
+        columns={"id": "int", "arrondissement": "int", "geo_shape": "string", "code_iris": "string"},
+        primary_key=["id"]),
+    "silver/dvf": L.Contract(
+        columns={"id_mutation": "string", "date_mutation": "date", "nature_mutation": "string",
+                 "valeur_fonciere": "double", "no_voie": "string", "type_voie": "string", "voie": "string",
+                 "code_postal": "string", "commune": "string", "code_departement": "string", "code_commune": "string",
+                 "arrondissement": "int", "section": "string", "no_plan": "string", "type_local": "string",
+                 "surface_reelle_bati": "int", "nombre_pieces": "int", "surface_terrain": "int", "latitude": "double",
+                 "longitude": "double", "code_iris": "string"},
+        primary_key=["id_mutation"]),
+    "silver/filosofi": L.Contract(
+        columns={"code_iris": "string", "annee": "int", "revenu_median": "double", "arrondissement": "int"},
+        primary_key=["code_iris", "annee"]),
+    "silver/logements_sociaux": L.Contract(
+        columns={"identifiant_livraison": "string", "adresse": "string", "code_postal": "string", "ville": "string",
+                 "annee_financement": "int", "bailleur_social": "string", "nb_logements_finances": "int",
+                 "nb_plai": "int", "nb_plus": "int", "nb_plus_cd": "int", "nb_pls": "int",
+                 "mode_realisation": "string", "commentaires": "string", "arrondissement": "int",
+                 "nature_programme": "string", "x_l93": "double", "y_l93": "double", "latitude": "double",
+                 "longitude": "double", "code_iris": "string"},
+        primary_key=["identifiant_livraison"]),
+    "silver/map_arrets": L.Contract(
+        columns={"arret_id": "int", "nom": "varchar(255)", "type": "varchar(50)", "lat": "double", "lon": "double",
+                 "code_iris": "int", "nom_iris": "varchar(255)", "arrondissement": "int"},
+        primary_key=["arret_id"],
+        not_null=["nom"]),
+    "silver/map_gares": L.Contract(
+        columns={"gare_id": "int", "nom": "varchar(255)", "mode": "varchar(50)", "ligne": "varchar(100)",
+                 "exploitant": "varchar(100)", "lat": "double", "lon": "double", "code_iris": "int",
+                 "nom_iris": "varchar(255)", "arrondissement": "int"},
+        primary_key=["gare_id"],
+        not_null=["nom"]),
+    "silver/map_velib": L.Contract(
+        columns={"station_id": "varchar(20)", "nom": "varchar(255)", "capacite": "int", "lat": "double",
+                 "lon": "double", "code_iris": "int", "nom_iris": "varchar(255)", "arrondissement": "int"},
+        primary_key=["station_id"],
+        not_null=["nom"]),
+    "silver/reseau_fibre": L.Contract(
+        columns={"code_iris": "varchar(9)", "arrondissement": "smallint", "total_imb": "int", "imb_deployes": "int",
+                 "pm_actifs": "int", "taux_deploiement": "decimal(5,2)", "taux_pm_actif": "decimal(5,2)",
+                 "meilleur_operateur_fibre": "varchar(20)", "score_fibre": "decimal(5,2)"},
+        not_null=["code_iris", "arrondissement", "total_imb", "imb_deployes", "pm_actifs", "taux_deploiement",
+                  "taux_pm_actif", "score_fibre"],
+        unique=[["code_iris"]]),
+    "silver/reseau_mobile": L.Contract(
+        columns={"code_iris": "varchar(9)", "arrondissement": "smallint", "operateur": "varchar(20)",
+                 "couv_4g": "decimal(5,2)", "couv_5g": "decimal(5,2)", "score_niveau": "smallint",
+                 "nb_antennes": "int", "densite_antennes_km2": "decimal(8,3)", "score_densite": "decimal(5,2)",
+                 "score_mobile": "decimal(5,2)"},
+        not_null=["code_iris", "arrondissement", "operateur"]),
+    "silver/reseau_qualite": L.Contract(
+        columns={"code_iris": "varchar(9)", "arrondissement": "smallint", "operateur": "varchar(20)",
+                 "score_debit": "decimal(5,2)", "score_fiabilite": "decimal(5,2)", "score_latence": "decimal(5,2)",
+                 "score_qualite": "decimal(5,2)"},
+        not_null=["code_iris", "arrondissement", "operateur"]),
+    "gold/indicateurs_dvf_iris": L.Contract(
+        columns={"code_iris": "string", "annee": "int", "arrondissement": "int", "nb_transactions": "int",
+                 "prix_m2_median": "double", "prix_m2_moyen": "double", "nb_appartements": "int",
+                 "nb_maisons": "int"},
+        primary_key=["code_iris", "annee"]),
+    "gold/indicateurs_logements_sociaux_iris": L.Contract(
+        columns={"code_iris": "string", "annee": "int", "arrondissement": "int",
+                 "nb_logements_sociaux_finances": "int", "nb_plai": "int", "nb_plus": "int", "nb_plus_cd": "int",
+                 "nb_pls": "int"},
+        primary_key=["code_iris", "annee"]),
+    "gold/indicateurs_socio_eco_iris": L.Contract(
+        columns={"code_iris": "string", "annee": "int", "arrondissement": "int", "revenu_median": "double",
+                 "prix_m2_median": "double", "iai": "double"},
+        primary_key=["code_iris", "annee"]),
+    "gold/score_environnemental": L.Contract(
+        columns={"code_iris": "string", "arrondissement": "int", "score": "double"},
+        primary_key=["code_iris"]),
+    "gold/indicateurs_aes_arrondissement": L.Contract(
+        columns={"arrondissement": "smallint", "e1_scolarisation": "double", "e2_couverture_college": "double",
+                 "s1_medecins": "double", "s2_infirmiers": "double", "s3_centres_hospitaliers": "double",
+                 "s4_pharmacies": "double", "score_education": "double", "score_sante": "double",
+                 "score_aes": "double"},
+        primary_key=["arrondissement"]),
+    "gold/indicateurs_mobilite_iris": L.Contract(
+        columns={"code_iris": "varchar(9)", "arrondissement": "smallint", "nb_arrets_bus": "int",
+                 "nb_gares_metro": "int", "nb_gares_rer": "int", "nb_gares_train": "int", "nb_gares_tramway": "int",
+                 "nb_stations_velib": "int", "capacite_velib": "int", "norm_arrets_bus": "double",
+                 "norm_gares_metro": "double", "norm_gares_rer": "double", "norm_gares_train": "double",
+                 "norm_gares_tramway": "double", "norm_stations_velib": "double", "norm_capacite_velib": "double",
+                 "score_transport_collectif": "double", "score_velib": "double", "score_mobilite": "double",
+                 "rang_mobilite": "int"},
+        primary_key=["code_iris"],
+        not_null=["arrondissement", "nb_arrets_bus", "nb_gares_metro", "nb_gares_rer", "nb_gares_train",
+                  "nb_gares_tramway", "nb_stations_velib", "capacite_velib", "norm_arrets_bus", "norm_gares_metro",
+                  "norm_gares_rer", "norm_gares_train", "norm_gares_tramway", "norm_stations_velib",
+                  "norm_capacite_velib", "score_transport_collectif", "score_velib", "score_mobilite",
+                  "rang_mobilite"],
+        defaults={"nb_arrets_bus": 0, "nb_gares_metro": 0, "nb_gares_rer": 0, "nb_gares_train": 0,
+                  "nb_gares_tramway": 0, "nb_stations_velib": 0, "capacite_velib": 0}),
+    "gold/score_reseau": L.Contract(
+        columns={"code_iris": "varchar(9)", "arrondissement": "smallint", "rang_reseau": "smallint",
+                 "score_final": "decimal(5,2)", "score_mobile": "decimal(5,2)", "score_qualite": "decimal(5,2)",
+                 "score_fibre": "decimal(5,2)", "couv_4g_max": "decimal(5,2)", "couv_5g_max": "decimal(5,2)",
+                 "taux_deploiement_fibre": "decimal(5,2)", "taux_pm_actif": "decimal(5,2)",
+                 "meilleur_operateur_mobile": "varchar(20)", "meilleur_operateur_fibre": "varchar(20)"},
+        not_null=["code_iris", "arrondissement", "rang_reseau", "score_final"],
+        unique=[["code_iris"]]),
 }
 
 
-def parse(text: str) -> tuple[L.Contract, dict[str, str]]:
-    """A contract and the defaults of its columns."""
-    columns, keys, not_null, unique, defaults = {}, [], [], [], {}
-    for item in text.replace("(5,2)", "(5;2)").replace("(8,3)", "(8;3)").split(", "):
-        if item.startswith("unique: "):
-            unique.append(item.removeprefix("unique: ").split())
-            continue
-        name, kind, *marks = item.replace(";", ",").split(" ")
-        columns[name] = kind
-        for m in marks:
-            if m == "*":
-                keys.append(name)
-            else:
-                not_null.append(name)
-            if m.startswith("="):
-                defaults[name] = m[1:]
-    return L.Contract(columns=columns, primary_key=keys, unique=unique, not_null=not_null), defaults
-
-
-def with_defaults(name: str, df: DataFrame) -> DataFrame:
-    """Declared defaults in the place of missing values."""
-    _, defaults = parse(DECLARED[name])
-    return df.withColumns({c: F.coalesce(F.col(c), F.lit(v).cast(df.schema[c].dataType))
-                           for c, v in defaults.items() if c in df.columns})
-
-
 def check(name: str, df: DataFrame) -> DataFrame:
     """``(rule, column, n)`` violations of the table's contract; a declared
     column that ``df`` doesn't have is one violation of the rule ``missing``."""
-    contract, _ = parse(DECLARED[name])
+    contract = DECLARED[name]
     have = lambda cols: [c for c in cols if c in df.columns]
     found = L.violations(df, L.Contract(
         columns={c: t for c, t in contract.columns.items() if c in df.columns}, primary_key=have(contract.primary_key),

@@ -9,7 +9,7 @@ from ..functions import clean as C
 from ..operators import joins as J
 from ..operators import score as S
 from ..operators import temporal as TM
-from .common import attach_zone
+from .common import attach_zone, carried, first_in_file
 
 # Age bands summed into the 3–10 and 11–17 populations.
 AGES_3_10 = ["F3-5", "F6-10", "H3-5", "H6-10"]
@@ -21,19 +21,21 @@ def schools_map(schools: DataFrame, colleges_like: DataFrame, zone_edges: DataFr
     """DP15 school map: latest school year of each file (FLT9), elementary rows
     also listed as 'Polyvalent' dropped by (name, address) — NULL-safe (JN15) —
     union, district from the ordinal label, rows without point or district
-    dropped, address key, first row per key, zone attached."""
-    def prep(df):
+    dropped, address key, first row per key (the schools' file first), zone
+    attached."""
+    def prep(df, place):
         d = TM.latest_snapshot(df, "Année scolaire")
         lat, lon = C.lat_lon("geo_point_2d")
         return d.select(F.col("Libellé établissement").alias("nom"), F.col("Adresse").alias("adresse"),
                         F.col("Type établissement").alias("type"), C.ordinal("Arrondissement").alias("arrondissement"),
-                        lat.alias("lat"), lon.alias("lon"))
-    a, b = prep(schools), prep(colleges_like)
+                        lat.alias("lat"), lon.alias("lon"), F.lit(place).alias("_place"), *carried(df))
+    a, b = prep(schools, 0), prep(colleges_like, 1)
     poly = b.filter(F.col("type") == "Polyvalent")
     a = J.anti_join(a, poly, ["nom", "adresse"], null_safe=True)
     u = C.drop_missing(a.unionByName(b), ["lat", "lon", "arrondissement"])
     u = u.withColumn("id", C.address_key("adresse", "arrondissement"))
-    u = S.keep_first(u, ["id"], ["nom", "type"])
+    placed = carried(u)
+    u = S.keep_first(u, ["id"], ["_place", *(placed or ["nom", "type"])]).drop("_place", *placed)
     located = attach_zone(u.withColumnRenamed("arrondissement", "_arr"), zone_edges, zones)
     return located.drop("arrondissement").withColumnRenamed("_arr", "arrondissement")
 
@@ -96,8 +98,8 @@ def headcounts_silver(raw: DataFrame, keep_116: bool = False) -> DataFrame:
     out = d.select(F.col("Numéro de l'école").alias("numero_ecole"), F.col("Patronyme").alias("nom"),
                    F.col("Dénomination principale").alias("type"), F.col("Secteur").alias("secteur"),
                    C.code_to_district("Code Postal", "postal", keep_116=keep_116).alias("arrondissement"),
-                   C.to_int("Nombre total d'élèves").cast("int").alias("nb_eleves"))
-    return S.keep_first(out, ["numero_ecole"], ["nom"])
+                   C.to_int("Nombre total d'élèves").cast("int").alias("nb_eleves"), *carried(raw))
+    return first_in_file(out, ["numero_ecole"], ["nom"])
 
 
 def hospitals_silver(raw: DataFrame, zone_edges: DataFrame, zones: DataFrame,
@@ -111,10 +113,10 @@ def hospitals_silver(raw: DataFrame, zone_edges: DataFrame, zones: DataFrame,
         F.col("TYPE_ETABLISSEMENT").alias("type_etablissement"), F.col("CP_VILLE").alias("cp_ville"),
         C.code_to_district(F.substring(F.col("CP_VILLE").cast("string"), 1, 5), "postal", keep_116=keep_116)
         .alias("_arr"),
-        C.to_number("lat").alias("lat"), C.to_number("lng").alias("lon"))
+        C.to_number("lat").alias("lat"), C.to_number("lng").alias("lon"), *carried(raw))
     d = C.drop_missing(d, ["lat", "lon"])
     located = attach_zone(d, zone_edges, zones).drop("arrondissement").withColumnRenamed("_arr", "arrondissement")
-    return S.keep_first(located, ["finess"], ["nom"])
+    return first_in_file(located, ["finess"], ["nom"])
 
 
 def colleges_silver(raw: DataFrame, zone_edges: DataFrame, zones: DataFrame) -> DataFrame:
@@ -123,9 +125,9 @@ def colleges_silver(raw: DataFrame, zone_edges: DataFrame, zones: DataFrame) ->
     d = TM.latest_snapshot(raw, "Année scolaire")
     lat, lon = C.lat_lon("geo_point_2d")
     d = d.select(F.col("Libellé établissement").alias("nom"), F.col("Adresse").alias("adresse"),
-                 C.ordinal("Arrondissement").alias("_arr"), lat.alias("lat"), lon.alias("lon"))
+                 C.ordinal("Arrondissement").alias("_arr"), lat.alias("lat"), lon.alias("lon"), *carried(raw))
     d = C.drop_missing(d.withColumn("id", C.address_key("adresse", "_arr")), ["id", "lat", "lon"])
-    d = S.keep_first(d, ["id"], ["nom"])
+    d = first_in_file(d, ["id"], ["nom"])
     return attach_zone(d, zone_edges, zones).drop("arrondissement").withColumnRenamed("_arr", "arrondissement")
 
 

@@ -11,7 +11,7 @@ from ..operators import agg as A
 from ..operators import load as L
 from ..operators import score as S
 from ..operators import temporal as TM
-from .common import attach_zone
+from .common import attach_zone, carried, first_in_file, unseen
 
 # Raw sales columns kept and their silver names.
 SALES_COLUMNS = {
@@ -32,13 +32,11 @@ SALE_ID_COLUMNS = ["date_mutation", "no_disposition", "code_commune", "section",
 def sales_silver(raw: DataFrame, addresses: DataFrame | None = None,
                  zone_edges: DataFrame | None = None, zones: DataFrame | None = None,
                  target: DataFrame | None = None) -> DataFrame:
-    """DP1: Paris flats and houses, parsed, id'd, de-duplicated, new ids only,
-    geocoded by the address reference (JN17) and attached to zones (JN1)."""
-    df = raw.select(*[F.col(k).alias(v) for k, v in SALES_COLUMNS.items() if k in raw.columns],
-                    *[c for c in ["_file"] if c in raw.columns])
+    """DP1: Paris flats and houses, parsed, id'd, the first row of the files per
+    id, new ids only, geocoded by the address reference (JN17) and attached to
+    zones (JN1)."""
+    df = raw.select(*[F.col(k).alias(v) for k, v in SALES_COLUMNS.items() if k in raw.columns], *carried(raw))
     df = df.filter((F.col("code_departement") == "75") & F.col("code_type_local").isin("1", "2"))
-    if "_file" not in df.columns:
-        df = df.withColumn("_file", F.lit(""))
     df = df.withColumns({
         "valeur_fonciere": C.comma_decimal("valeur_fonciere"),
         "date_mutation": C.parse_date("date_mutation"),
@@ -48,9 +46,7 @@ def sales_silver(raw: DataFrame, addresses: DataFrame | None = None,
         "arrondissement": C.to_int("code_commune").cast("int"),
     })
     df = df.withColumn("id_mutation", C.row_id(*SALE_ID_COLUMNS))
-    df = S.keep_first(df, ["id_mutation"], [F.col("_file"), F.col("date_mutation")]).drop("_file")
-    if target is not None:
-        df = L.new_rows(target, df, ["id_mutation"])
+    df = first_in_file(unseen(df, target, ["id_mutation"]), ["id_mutation"], ["date_mutation"])
     if addresses is not None:
         adresse = F.trim(F.concat_ws(" ", F.coalesce("no_voie", F.lit("")), F.coalesce("type_voie", F.lit("")),
                                      F.coalesce("voie", F.lit(""))))
@@ -125,11 +121,11 @@ SOCIAL_COLUMNS = {
 def social_housing_silver(raw: DataFrame, zone_edges: DataFrame, zones: DataFrame,
                           target: DataFrame | None = None) -> DataFrame:
     """DP5 silver: renamed columns, ``"lat, lon"`` split on comma-space,
-    integer counts, zone attached (rows without coordinates kept with a NULL
-    zone), first row per delivery id, only ids new to the target."""
+    integer counts, only ids new to the target, first row of the file per
+    delivery id, zone attached (rows without coordinates kept with a NULL zone)."""
     # absent optional columns become NULL strings so the silver schema is stable
     df = raw.select(*[(F.col(k) if k in raw.columns else F.lit(None).cast("string")).alias(v)
-                      for k, v in SOCIAL_COLUMNS.items()])
+                      for k, v in SOCIAL_COLUMNS.items()], *carried(raw))
     lat, lon = C.lat_lon("geo_point_2d", sep=", ")
     df = df.withColumns({"latitude": lat, "longitude": lon,
                          "annee_financement": C.to_int("annee_financement").cast("int"),
@@ -137,11 +133,10 @@ def social_housing_silver(raw: DataFrame, zone_edges: DataFrame, zones: DataFram
                          "x_l93": C.to_number("x_l93"), "y_l93": C.to_number("y_l93"),
                          **{c: C.to_int(c).cast("int") for c in SOCIAL_COUNTS}}) \
            .drop("geo_point_2d", "geo_shape")
-    df = attach_zone(df.withColumnRenamed("arrondissement", "_arr"), zone_edges, zones,
-                     "latitude", "longitude").drop("nom_iris", "arrondissement") \
+    df = first_in_file(unseen(df, target, ["identifiant_livraison"]), ["identifiant_livraison"], ["adresse"])
+    return attach_zone(df.withColumnRenamed("arrondissement", "_arr"), zone_edges, zones,
+                       "latitude", "longitude").drop("nom_iris", "arrondissement") \
         .withColumnRenamed("_arr", "arrondissement")
-    df = S.keep_first(df, ["identifiant_livraison"], ["code_iris"])
-    return L.new_rows(target, df, ["identifiant_livraison"]) if target is not None else df
 
 
 def social_housing_gold(silver: DataFrame) -> DataFrame:

@@ -72,17 +72,14 @@ def _like(df: DataFrame, needle: str) -> str:
 
 
 def mobile_silver(coverage: DataFrame, density: DataFrame, zones: DataFrame) -> DataFrame:
-    """DP10: 4G ⟗ 5G per (zone, operator) — district from the 4G side only —
-    best level of both, density left-joined, weighted mobile score round 2."""
-    g4 = coverage.filter(F.col("techno") == "4G").join(
-        zones.select(F.col("zone").alias("code_iris"), F.col("district").alias("arrondissement")), "code_iris") \
-        .select("code_iris", "arrondissement", "operateur", F.col("taux_couverture").alias("couv_4g"),
-                F.col("score_niveau").alias("sn4"))
-    g5 = coverage.filter(F.col("techno") == "5G").select(
-        "code_iris", "operateur", F.col("taux_couverture").alias("couv_5g"), F.col("score_niveau").alias("sn5"))
-    m = J.full_outer(g4, g5, ["code_iris", "operateur"])
+    """DP10: 4G ⟗ 5G per (zone, operator), best level of both, the zone's
+    district, density left-joined, weighted mobile score round 2."""
+    side = lambda techno, rate, level: coverage.filter(F.col("techno") == techno).select(
+        "code_iris", "operateur", F.col("taux_couverture").alias(rate), F.col("score_niveau").alias(level))
+    m = J.full_outer(side("4G", "couv_4g", "sn4"), side("5G", "couv_5g", "sn5"), ["code_iris", "operateur"])
     m = m.withColumn("score_niveau", F.coalesce(C.row_max("sn4", "sn5"), F.lit(0))).drop("sn4", "sn5") \
          .fillna({"couv_4g": 0.0, "couv_5g": 0.0})
+    m = m.join(zones.select(F.col("zone").alias("code_iris"), F.col("district").alias("arrondissement")), "code_iris")
     m = m.join(density.select("code_iris", "operateur", "nb_antennes", "densite_antennes_km2", "score_densite"),
                ["code_iris", "operateur"], "left").fillna({"score_densite": 0.0})
     return S.weighted_score(m, MOBILE_WEIGHTS, "score_mobile", digits=2)
@@ -180,11 +177,11 @@ def network_score(mobile: DataFrame, quality: DataFrame, fibre: DataFrame, zones
         F.max("score_mobile").alias("score_mobile"))
     best = A.argmax(mobile, "code_iris", "score_mobile", "operateur", "meilleur_operateur_mobile")
     qz = quality.groupBy("code_iris").agg(F.max("score_qualite").alias("v"))
-    ref = zones.select(F.col("zone").alias("code_iris"))
+    ref = zones.select(F.col("zone").alias("code_iris"), *(["position"] if "position" in zones.columns else []))
     has_q = quality.select(F.count(F.lit(1))).scalar() > 0
     filled = I.fill_from_neighbours(ref.join(qz, "code_iris", "left"),
                                     neighbours.withColumnRenamed("zone", "code_iris"),
-                                    "code_iris", "v")
+                                    "code_iris", "v", order="position" if "position" in zones.columns else None)
     q = filled.select("code_iris", F.when(has_q, F.col("v")).otherwise(F.lit(0.0)).alias("score_qualite"))
     r = mi.join(q, "code_iris", "left").join(
         fibre.select("code_iris", F.col("taux_deploiement").alias("taux_deploiement_fibre"), "taux_pm_actif",

@@ -20,9 +20,9 @@ LOWER_IS_BETTER = {"prix_m2_median", "iai"}
 
 def at_year(table: DataFrame, year: int, col: str = "annee") -> DataFrame:
     """JN9 then FLT11: the rows of the available year nearest to ``year``
-    (tie → later)."""
-    y = TM.resolve_year(table, col, year, tie="later")
-    return table.join(F.broadcast(y), F.col(col) == F.col("year")).drop("year")
+    (tie → later).  The year is a scalar subquery, so that of a table stored by
+    year only its partition is read, and the years are its partitions' values."""
+    return table.filter(F.col(col) == TM.resolve_year(table, col, year, tie="later").select("year").scalar())
 
 
 def zone_indicators(zones: DataFrame, housing: DataFrame, socio: DataFrame, environment: DataFrame,
@@ -67,9 +67,18 @@ def layer(tables: dict[str, DataFrame], name: str) -> DataFrame:
     raise KeyError(f"unknown layer {name!r}")
 
 
-def features(zones_with_geojson: DataFrame) -> DataFrame:
-    """DP19/SNK9: zone documents as GeoJSON Features."""
-    return L.to_features(zones_with_geojson, "zone", "geometry", ["zone", "name", "district"])
+def features(zones: DataFrame) -> DataFrame:
+    """DP19/SNK9: zone documents as GeoJSON Features, from the geometry that the
+    zone table keeps."""
+    return L.to_features(zones, "zone", "geometry", ["zone", "name", "district"])
+
+
+def district_features(districts: DataFrame) -> DataFrame:
+    """DP19/SNK9: district documents with all properties of the source, the
+    district's code as ``_id``."""
+    text = F.concat(F.lit('{"type":"Feature","properties":'), F.coalesce("properties_json", F.lit("{}")),
+                    F.lit(',"geometry":'), F.coalesce("geometry", F.lit("null")), F.lit("}"))
+    return districts.select(F.col("code").cast("string").alias("_id"), text.alias("feature"))
 
 
 def search(zones: DataFrame, text: str, k: int = 6) -> DataFrame:

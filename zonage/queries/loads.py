@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ..functions import clean as C
 from ..operators import load as L
 from ..operators import score as S
+from ..sources.readers import POSITION, parquet_position
 from . import register
 from ._common import tables
 
@@ -213,3 +214,58 @@ register("conform_contract", """
 select cast(c_custkey as integer) as c_custkey, case when length(c_mktsegment) <= 9 then c_mktsegment end as c_mktsegment,
        cast(try_cast(c_acctbal as decimal(5,2)) as double) as c_acctbal from customer
 """)(conform_contract)
+
+
+def keep_first_in_file(spark, sf):
+    """WN6 by the position of the scan: per part, the first line item as the file
+    has them; what is kept differs from its duplicates outside the key."""
+    (li,) = tables(spark, sf, "lineitem")
+    rows = li.select("l_partkey", "l_orderkey", "l_linenumber", "l_extendedprice", parquet_position().alias(POSITION))
+    return S.keep_first(rows, ["l_partkey"], [POSITION]).drop(POSITION)
+
+
+register("keep_first_in_file", """
+select l_partkey, l_orderkey, l_linenumber, l_extendedprice
+from (select *, row_number() over () as pos from lineitem)
+qualify row_number() over (partition by l_partkey order by pos) = 1
+""")(keep_first_in_file)
+
+
+# An order table that takes one order a customer and clerk day, and no dear ones.
+_ORDER_CONTRACT = L.Contract(
+    columns={"o_orderkey": "bigint", "o_custkey": "int", "o_orderstatus": "varchar(1)", "o_orderpriority": "varchar(8)",
+             "o_totalprice": "decimal(8,2)"},
+    primary_key=["o_custkey"], unique=[["o_orderstatus", "o_totalprice"]], not_null=["o_orderstatus"],
+    ranges={"o_totalprice": (2000, 300000)})
+
+
+def contract_load(spark, sf):
+    """SNK12: a batch divided by its contract into accepted rows and rejected
+    ones with the rules that these break: types, ranges, NULLs, and repeats of
+    the key and of a unique set, the first row of the file being kept."""
+    (orders,) = tables(spark, sf, "orders")
+    rows = orders.select(*_ORDER_CONTRACT.columns, parquet_position().alias(POSITION))
+    rows = rows.withColumn("o_orderstatus", F.when(F.col("o_orderkey") % 11 != 0, F.col("o_orderstatus")))
+    marked = rows.withColumn("_broken", L.broken(rows, _ORDER_CONTRACT))
+    again = L.repeated(marked.filter(F.size("_broken") == 0), _ORDER_CONTRACT, POSITION)
+    out = marked.join(again, POSITION, "left")
+    rules = F.concat("_broken", F.when(F.col("rule").isNotNull(), F.array("rule")).otherwise(F.array().cast("array<string>")))
+    return out.select("o_orderkey", (F.size(rules) == 0).alias("accepted"), F.array_join(F.sort_array(rules), ",").alias("rules"))
+
+
+register("contract_load", """
+with o as (select o_orderkey, o_custkey, case when o_orderkey % 11 <> 0 then o_orderstatus end as s, o_orderpriority as p,
+                  o_totalprice as t, row_number() over () as pos from orders),
+b as (select *, list_filter([
+        case when o_custkey is null then 'not_null:o_custkey' end, case when s is null then 'not_null:o_orderstatus' end,
+        case when t < 2000 or t > 300000 then 'range:o_totalprice' end,
+        case when length(p) > 8 then 'type:o_orderpriority' end, case when length(s) > 1 then 'type:o_orderstatus' end,
+        case when t >= 999999.995 then 'type:o_totalprice' end], lambda r: r is not null) as rules from o),
+k as (select *, len(rules) = 0 and row_number() over (partition by len(rules) = 0, o_custkey order by pos) > 1 as again from b),
+u as (select *, len(rules) = 0 and not again
+        and row_number() over (partition by len(rules) = 0 and not again, s, t order by pos) > 1 as twice from k)
+select o_orderkey, len(rules) = 0 and not again and not twice as accepted,
+       array_to_string(list_sort(rules || case when again then ['primary_key:o_custkey'] when twice then ['unique:o_orderstatus,o_totalprice']
+                                               else [] end), ',') as rules
+from u
+""")(contract_load)

@@ -27,8 +27,8 @@ def _sparse_values(spark, sf):
 
 
 def neighbour_interpolation(spark, sf):
-    """DP13: a sparse per-zone measure (mean balance of the customers) gap-filled from lattice neighbours in 3 simultaneous passes, then the
-    global median."""
+    """DP13: a sparse per-zone measure (mean balance of the customers) gap-filled
+    from lattice neighbours in 3 passes in zone order, then the global median."""
     neigh = materialize(G.adjacency(_zones(spark, sf), CELL))
     return I.fill_from_neighbours(_sparse_values(spark, sf), neigh, "zone", "valeur")
 
@@ -41,19 +41,23 @@ adj as (select distinct a.zone, b.zone as nzone from vv a join vv b on a.kx = b.
 
 
 def _passes_sql(src: str, out: str, passes: int = 3) -> str:
-    ctes = []
-    prev = src
-    for i in range(1, passes + 1):
-        cur = f"{out}{i}"
-        ctes.append(
-            f"{cur} as (select s.zone, coalesce(s.valeur, (select {rd('avg(n.valeur)', 2)} from adj a join {prev} n "
-            f"on a.nzone = n.zone where a.zone = s.zone and n.valeur is not null)) as valeur from {prev} s)")
-        prev = cur
-    return ",\n".join(ctes)
+    """Zones one after the other, ``passes`` times over all: the state is the list
+    of values in the order of the zones, and a step looks at one of them."""
+    mean = rd("list_avg(list_transform(ns, lambda j: vals[j]))", 2)
+    return f"""
+{out}_o as (select zone, valeur, row_number() over (order by zone) as k from {src}),
+{out}_n as (select a.k, list(b.k) as ns from adj join {out}_o a on a.zone = adj.zone join {out}_o b on b.zone = adj.nzone group by a.k),
+{out}_t(step, vals) as (
+  select 0, list(valeur order by k) from {out}_o
+  union all
+  select step + 1, list_transform(vals, lambda x, i: case when i = step % len(vals) + 1 and x is null then m else x end)
+  from (select step, vals, {mean} as m from {out}_t left join {out}_n on k = step % len(vals) + 1 where step < {passes} * len(vals))),
+{out}{passes} as (select zone, v as valeur from (
+    select unnest(vals) as v, unnest(range(1, len(vals) + 1)) as k from {out}_t where step = {passes} * len(vals)) join {out}_o using (k))"""
 
 
 register("neighbour_interpolation", f"""
-with {ADJ_SQL},
+with recursive {ADJ_SQL},
 v as (select c_nationkey as zone, avg(case when c_nationkey % 3 <> 0 then c_acctbal end) as valeur from customer group by 1),
 s0 as (select cast(n.n_nationkey as bigint) as zone, cast(v.valeur as double) as valeur from nation n left join v on v.zone = n.n_nationkey),
 {_passes_sql('s0', 's')}
@@ -109,6 +113,25 @@ def _oracle_of(key: str) -> str:
     return ORACLES[key]
 
 
+def neighbour_interpolation_runs(spark, sf):
+    """DP13 with runs of missing neighbours: of a row of five zones three have no
+    measure, so most zones wait for others of the same pass."""
+    nation, customer = tables(spark, sf, "nation", "customer")
+    zone = F.col("c_nationkey").cast("long")
+    v = customer.groupBy(zone.alias("zone")).agg(F.avg(F.when(zone % 5 >= 3, F.col("c_acctbal"))).alias("valeur"))
+    ref = nation.select(F.col("n_nationkey").cast("long").alias("zone")).join(v, "zone", "left")
+    return I.fill_from_neighbours(ref, materialize(G.adjacency(_zones(spark, sf), CELL)), "zone", "valeur")
+
+
+register("neighbour_interpolation_runs", f"""
+with recursive {ADJ_SQL},
+v as (select c_nationkey as zone, avg(case when c_nationkey % 5 >= 3 then c_acctbal end) as valeur from customer group by 1),
+s0 as (select cast(n.n_nationkey as bigint) as zone, cast(v.valeur as double) as valeur from nation n left join v on v.zone = n.n_nationkey),
+{_passes_sql('s0', 's')}
+select zone, {rd('coalesce(valeur, (select median(valeur) from s3))', 2)} as valeur from s3
+""")(neighbour_interpolation_runs)
+
+
 def _network_sql() -> str:
     quality = _oracle_of("success_rate_and_median_quality")
     fibre = _oracle_of("deployment_rates")
@@ -120,7 +143,7 @@ def _network_sql() -> str:
     c4 = rd("greatest(0.0, least(100.0, cast(count(*) filter (where c_acctbal > 0) as double) / cast(count(*) as double) * 100.0))", 2)
     c5 = rd("greatest(0.0, least(100.0, cast(count(*) filter (where c_acctbal > 5000) as double) / cast(count(*) as double) * 100.0))", 2)
     return f"""
-with {ADJ_SQL},
+with recursive {ADJ_SQL},
 mob0 as (select cast(c_nationkey as bigint) as zone, {canon} as operateur, {c4} as couv_4g, {c5} as couv_5g
          from customer group by 1, 2),
 mob as (select *, {rd('0.4 * couv_4g + 0.6 * couv_5g', 2)} as score_mobile from mob0),

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions import clean as C
 from ..operators import agg as A
 from ..operators import score as S
 from ..session import materialize
@@ -107,14 +108,17 @@ def _mobility_counts(spark, sf):
 
 def minmax_composite_rank(spark, sf):
     """DP9 shape: WN4 on 7 counts → weighted transit/bike → WN3 → blend →
-    round 4 → WN1."""
+    all ten rounded to 4 → WN1."""
     d = materialize(_mobility_counts(spark, sf))
     cols = list(TRANSIT_WEIGHTS) + list(BIKE_WEIGHTS)
     d = S.minmax(d, {c: f"norm_{c}" for c in cols}, fill=0)
     d = S.weighted_score(d, {f"norm_{c}": w for c, w in TRANSIT_WEIGHTS.items()}, "_transit")
     d = S.weighted_score(d, {f"norm_{c}": w for c, w in BIKE_WEIGHTS.items()}, "_bikes")
     d = S.minmax(d, {"_transit": "score_transport_collectif", "_bikes": "score_velib"})
-    d = S.weighted_score(d, MOBILITY_BLEND, "score_mobilite", digits=4)
+    d = S.weighted_score(d, MOBILITY_BLEND, "score_mobilite")
+    rounded = [*(f"norm_{c}" for c in cols), "score_transport_collectif", "score_velib", "score_mobilite"]
+    # One row per zone: the rank reads it several times.
+    d = materialize(d.withColumns({c: C.round_dec(c, 4) for c in rounded}))
     d = S.rank_desc(d, "score_mobilite", "rang_mobilite")
     return d.select("zone", *cols, *[f"norm_{c}" for c in cols],
                     "score_transport_collectif", "score_velib", "score_mobilite", "rang_mobilite")
@@ -149,8 +153,8 @@ w as (select *,
 m as (select *, {_mm_sql('t_raw', 'w')} as score_transport_collectif,
                 {_mm_sql('b_raw', 'w')} as score_velib from w),
 s as (select *, {rd('cast(0.75 as double) * score_transport_collectif + cast(0.25 as double) * score_velib', 4)} as score_mobilite from m)
-select zone, {', '.join(_MOB_COLS)}, {', '.join('norm_' + c for c in _MOB_COLS)},
-       score_transport_collectif, score_velib, score_mobilite,
+select zone, {', '.join(_MOB_COLS)}, {', '.join(rd('norm_' + c, 4) + ' as norm_' + c for c in _MOB_COLS)},
+       {rd('score_transport_collectif', 4)} as score_transport_collectif, {rd('score_velib', 4)} as score_velib, score_mobilite,
        cast(rank() over (order by score_mobilite desc) as bigint) as rang_mobilite
 from s
 """)(minmax_composite_rank)

@@ -67,11 +67,12 @@ def read_features(spark: SparkSession, path: str | list[str]) -> DataFrame:
 def read_zones(spark: SparkSession, path: str, code: str = "code_iris", name: str = "nom_iris",
                commune: str = "insee_com", prefix: str | None = "751") -> DataFrame:
     """Zone table ``(zone, name, commune, coords, geometry, properties_json,
-    district)``; ``prefix`` keeps zones whose code starts with it (FLT2);
+    position, district)``, ``position`` being the order of the file; ``prefix`` keeps zones whose code starts with it (FLT2);
     district = commune − 75100."""
     f = read_features(spark, path)
     z = f.select(F.col("properties")[code].alias("zone"), F.col("properties")[name].alias("name"),
-                 F.col("properties")[commune].alias("commune"), "coords", "geometry", "properties_json")
+                 F.col("properties")[commune].alias("commune"), "coords", "geometry", "properties_json",
+                 F.col("at").alias("position"))
     if prefix:
         z = z.filter(F.col("zone").startswith(prefix))
     return z.withColumn("district", (F.col("commune").try_cast("int") - 75100).cast("int"))

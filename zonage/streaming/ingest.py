@@ -5,9 +5,10 @@ each run idempotent through its load rules.  The Spark equivalent is a file
 stream processed with ``trigger(availableNow=True)``: each run picks up only
 files not seen before (the checkpoint remembers them), and every micro-batch
 is merged into the target table with the same load rules as batch jobs
-(upsert / insert-ignore / append).  The stored table's version notes the last
-micro-batch of each stream in the same step that publishes its rows, so a
-micro-batch replayed after a failure is seen and skipped: the sink is exactly-once.
+(upsert / insert-ignore / append).  A micro-batch that is replayed after a failure
+changes nothing more: an upsert finds its rows as they are, an insert-ignore finds
+its keys, and an appended micro-batch is a partition of its own, named by stream
+and number, that a replay writes again in place.
 
 Among rows of one key the answer doesn't depend on how files fall into
 micro-batches: with ``upsert`` the last file by name wins, with
@@ -16,6 +17,7 @@ micro-batches: with ``upsert`` the last file by name wins, with
 
 from __future__ import annotations
 
+import hashlib
 import os
 from collections.abc import Callable, Sequence
 
@@ -48,23 +50,20 @@ def merge_batch(target_base: str, keys: Sequence[str], rule: str = "upsert",
 
     def fn(batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
-        old = L.read_version(spark, target_base)
-        if old.batches.get(stream, -1) >= epoch_id:
-            return
         src = transform(batch) if transform else batch
         if "_file" in src.columns and rule != "append":
             first = F.col("_file").desc() if rule == "upsert" else F.col("_file").asc()
             ranked = src.withColumn("_rank", F.dense_rank().over(Window.partitionBy(*keys).orderBy(first)))
             src = ranked.filter("_rank = 1").drop("_rank")
-        src, note = src.drop("_file"), (stream, epoch_id)
+        src, layout, among = src.drop("_file"), L.Layout(tuple(keys)), list(order) or list(keys)
         if rule == "upsert":
-            L.upsert_parts(src, target_base, keys, list(order) or list(keys), note)
+            L.upsert_rows(src, target_base, layout, among)
         elif rule == "insert_ignore":
-            src = L.keep_first(src, list(keys), list(order) or list(keys))
+            src = L.keep_first(src, list(keys), among)
             cur = L.read_current(spark, target_base)
-            L.append_part(src if cur is None else L.new_rows(cur, src, keys), target_base, note)
+            L.append_rows(src if cur is None else L.new_rows(cur, src, keys), target_base, layout)
         else:
-            L.append_part(src, target_base, note)
+            L.append_batch(src, target_base, f"{hashlib.sha256(stream.encode()).hexdigest()[:16]}-{epoch_id}")
     return fn
 
 
