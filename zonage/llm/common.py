@@ -35,6 +35,17 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def settled(df: DataFrame, name: str) -> DataFrame:
+    """:func:`stored`, for results that took large shuffles.  Spark removes the
+    shuffle files of finished queries when the driver's garbage is collected,
+    which a driver with room may put off until the disks of the executors are
+    full; so it is collected now."""
+    out = stored(df, name)
+    gc.collect()
+    df.sparkSession.sparkContext._jvm.System.gc()
+    return out
+
+
 # Arrow batches that Spark hands to a Python worker hold about this many bytes.
 BATCH_BYTES = 8 << 20
 

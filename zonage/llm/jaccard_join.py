@@ -48,7 +48,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from .bpe import _Shared
-from .common import id_and_text, stored, text_digest, text_rows, unused, without
+from .common import id_and_text, settled, stored, text_digest, text_rows, unused, without
 from .wordhash import SECTION, mix, sections, word_hashes
 
 WIDTH = 5
@@ -417,12 +417,12 @@ def similarity_components(docs: DataFrame, id_col: str = "doc_id", text_col: str
     frequent = _Shared(spark, _frequent(described))
     sketches = stored(described.filter("sketch is not null").groupBy("sid")
                       .agg(F.max("n").alias("n"), F.max("sketch").alias("sketch")), "sketches")
-    lists = stored(_lists(_index(src, frequent)), "lists")
+    lists = settled(_lists(_index(src, frequent)), "lists")
 
     pairs = lists.filter("sid <> pivot").filter(_possible(F.col("n"), F.col("pos"), F.col("pn"), F.col("ppos"))) \
                  .select(F.col("pivot").alias("a"), F.col("sid").alias("b")).distinct()
-    pairs = stored(_plausible(pairs, sketches), "pairs")
-    verified = stored(_verify(src, pairs), "verified")
+    pairs = settled(_plausible(pairs, sketches), "pairs")
+    verified = settled(_verify(src, pairs), "verified")
     comps = components(verified.filter("linked").select("a", "b"))
 
     # Later rounds: entries with what the first pivot's answers say of them.
@@ -442,7 +442,7 @@ def similarity_components(docs: DataFrame, id_col: str = "doc_id", text_col: str
         most = 1 if merge else PIVOTS[min(turn - merging, len(PIVOTS) - 1)]
         size = F.col("held").desc() if merge else F.col("held").asc()
         order = Window.partitionBy("token").orderBy(size, "comp", "rare", "sid")
-        ranked = stored(entries.withColumn("rank", F.row_number().over(order)), "ranked")
+        ranked = settled(entries.withColumn("rank", F.row_number().over(order)), "ranked")
         p, e = ranked.filter(F.col("rank") <= most).alias("p"), ranked.alias("e")
         new = (p.join(e, (F.col("p.token") == F.col("e.token")) & (F.col("p.rank") < F.col("e.rank"))
                       & (F.col("p.comp") != F.col("e.comp"))
@@ -451,9 +451,9 @@ def similarity_components(docs: DataFrame, id_col: str = "doc_id", text_col: str
                                    | (F.abs(F.col("p.j") - F.col("e.j")) <= 0.2000001), F.lit(True)))
                 .select(F.least("p.sid", "e.sid").alias("a"), F.greatest("p.sid", "e.sid").alias("b")).distinct()
                 .join(checked, ["a", "b"], "left_anti"))
-        new = stored(_plausible(new, sketches), "pairs")
+        new = settled(_plausible(new, sketches), "pairs")
         if not new.isEmpty():
-            more = stored(_verify(src, new), "verified")
+            more = settled(_verify(src, new), "verified")
             checked = checked.union(more.select("a", "b"))
             if not more.filter("linked").isEmpty():
                 comps = _joined(comps, more.filter("linked").select("a", "b"))
