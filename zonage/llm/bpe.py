@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from .common import id_and_text, release, text_rows
 
 CHUNK_CHARS = 1 << 20
-MEMO_BYTES = 24 << 20
+MEMO_BYTES = 80 << 20
 ENTRY_BYTES = 220       # of two small objects and their place in the memo
 # The same white space as in the pattern, so a cut there never splits a match.
 _CUT = regex.compile(r"(?<=\S)\s")
