@@ -236,3 +236,64 @@ def test_default_wiring_network(spark, tmpdir_fresh):
     assert net["751010101"].score_qualite == q["751010100"].score_qualite   # filled from its neighbour
     z = {r.code_iris: r for r in ctx["zone_indicators"].collect()}
     assert z["751010100"].score_reseau == net["751010100"].score_final_stocke
+
+
+def test_school_map_zone_population_and_documents(spark, tmpdir_fresh):
+    base = tmpdir_fresh
+    write_city(base)
+    write_education(base)
+    w = lambda name, text: open(os.path.join(base, name), "w", encoding="utf-8").write(text)
+    w("ecoles.csv", "Année scolaire;Libellé établissement;Adresse;Type établissement;Arrondissement;geo_point_2d\n"
+                    "2024;Z first;9 rue E;Elementaire;1er;48.855, 2.305\n2024;A second;9 rue E;Elementaire;1er;48.856, 2.305\n"
+                    "2023;Old;8 rue E;Elementaire;1er;48.855, 2.305\n")
+    w("pop_iris.csv", "IRIS;P22_POP;P22_POP0305;P22_POP0610;P22_POP1117\n751010100;1000;50;60;80\n751010101;x;1;1;1\n920010101;9;9;9;9\n")
+    with open(os.path.join(base, "arr.geojson"), "w") as f:
+        json.dump({"type": "FeatureCollection", "features": [
+            {"type": "Feature", "properties": {"c_arinsee": 75101, "l_ar": "1er"}, "geometry": {"type": "Polygon", "coordinates": _square(2.3, 48.85)}}]}, f)
+    paths = {"zones": os.path.join(base, "iris.geojson"), "schools": os.path.join(base, "ecoles.csv"),
+             "colleges": os.path.join(base, "colleges.csv"), "zone_population": os.path.join(base, "pop_iris.csv")}
+    wh = os.path.join(base, "wh")
+
+    def silver():
+        ctx = {}
+        steps = [s for s in RUN.default_steps(paths, wh, 0.01)["silver"] if s[0] in ("zones", "education")]
+        RUN.run(spark, ["silver"], {"silver": steps}, ctx)
+        return ctx
+    ctx = silver()
+    schools = {r.nom: r for r in ctx["schools"].collect()}
+    assert set(schools) == {"Z first", "C1", "C2", "C3"}          # the first of the file per address, the latest year only
+    assert schools["Z first"].nom_iris == "Z0" and schools["C1"].arrondissement == 1
+    assert [(r.code_iris, r.pop_3_10) for r in ctx["zone_population"].collect()] == [("751010100", 110.0)]
+    assert ctx["metrics"]["silver/map_scolaire"]["loaded"] == 4
+    again = silver()
+    assert {k: m["loaded"] for k, m in again["metrics"].items()} == {k: 0 for k in again["metrics"]}   # a second run writes nothing
+    docs = {r._id: json.loads(r.feature) for r in SV.features(again["zones"]).collect()}
+    assert docs["751010100"]["geometry"]["coordinates"] == _square(2.30, 48.85) and docs["751010100"]["properties"]["name"] == "Z0"
+    (d,) = SV.district_features(GJ.read_districts(spark, os.path.join(base, "arr.geojson"))).collect()
+    assert d._id == "75101" and json.loads(d.feature)["properties"] == {"c_arinsee": 75101, "l_ar": "1er"}
+
+
+def test_rows_that_share_an_id_keep_their_own_shapes(spark):
+    from zonage.operators import spatial as G
+    coords = spark.createDataFrame([("zA", [[[[0.0, 0.0], [1.0, 0.0], [1.0, 1.0], [0.0, 1.0]]]]),
+                                    ("zB", [[[[5.0, 0.0], [6.0, 0.0], [6.0, 1.0], [5.0, 1.0]]]])],
+                                   "zone string, coords array<array<array<array<double>>>>")
+    ze = G.polygon_edges(coords, "zone", "coords")
+    box = lambda x: json.dumps({"type": "Polygon", "coordinates": _square(x + 0.2, 0.2, 0.3)})
+    raw = spark.createDataFrame([(1, "a", box(0)), (1, "b", box(5)), (2, "c", box(0)), (3, "d", None)], "id int, nom string, geo_shape string")
+    for predicate in ("intersects", "within"):
+        got = sorted((r.nom, r.code_iris) for r in ENV.polygons_in_zones(raw, ze, predicate, 1.0).collect())
+        assert got == [("a", "zA"), ("b", "zB"), ("c", "zA")], predicate
+
+
+def test_stops_without_a_number_are_dropped(spark):
+    from zonage.operators import spatial as G
+    zones = spark.createDataFrame([("z1", "Z1", 1)], "zone string, name string, district int")
+    coords = spark.createDataFrame([("z1", [[[[0.0, 0.0], [1.0, 0.0], [1.0, 1.0], [0.0, 1.0]]]])],
+                                   "zone string, coords array<array<array<array<double>>>>")
+    raw = spark.createDataFrame([(i, "n", "bus", "0.5, 0.5") for i in ("1", "x", "y")],
+                                "ArRId string, ArRName string, ArRType string, ArRGeopoint string")
+    edges = G.polygon_edges(coords, "zone", "coords")
+    assert [r.arret_id for r in MOB.stops_silver(raw, edges, zones).collect()] == [1]
+    seen = spark.createDataFrame([(1,)], "arret_id long")
+    assert MOB.stops_silver(raw, edges, zones, seen).count() == 0
