@@ -186,3 +186,85 @@ def test_overlay_of_random_boxes(spark):
     assert {k: v for k, v in got.items() if v} == {k: v for k, v in want.items() if v}
     inside = sorted((i, j) for i, a, b, c, d in fs for j, e, g, h, k in zs if e <= a and g <= b and c <= h and d <= k)
     assert pairs(G.features_in_zones(f, z, "within", 4.0)) == inside
+
+
+# ------------------------------------------------------------ levels of cells
+
+def sized_boxes(spark, boxes):
+    """Edge table of boxes ``{id: (x, y, side)}``."""
+    df = spark.createDataFrame([(k, float(x), float(y), float(w)) for k, (x, y, w) in boxes.items()],
+                               "id string, x double, y double, w double")
+    return G.box_edges(df, "id", "x", "y", "w", "w")
+
+
+COUNTRY = {"country": (-500_000, -500_000, 1_000_000)}
+STREETS = {f"s{i}": (3 * i, 2 * i, 1) for i in range(40)}
+
+
+def test_index_of_a_country_beside_streets_takes_few_cells(spark):
+    idx = G.zone_index(sized_boxes(spark, COUNTRY | STREETS), 1.0)
+    by_level = {r["level"]: r["count"] for r in idx.groupBy("level").count().collect()}
+    assert len(by_level) == 2 and by_level[0] <= 4 * len(STREETS)
+    assert by_level[max(by_level)] <= (G.SPAN + 1) ** 2
+    assert idx.select(F.explode("zones").alias("z")).agg(F.sum(F.size("z.edges"))).first()[0] <= 1000
+
+
+def test_pairs_of_boxes_of_all_sizes_meet_once(spark):
+    rnd = random.Random(5)
+    rows = [(i, rnd.uniform(-50, 50), rnd.uniform(-50, 50), 10 ** rnd.uniform(-3, 3)) for i in range(120)]
+    rows += [(200, 0.0, 0.0, 0.0), (201, None, 1.0, 1.0)]
+    df = spark.createDataFrame(rows, "i int, x double, y double, w double")
+    box = (F.col("x"), F.col("y"), F.col("x") + F.col("w"), F.col("y") + F.col("w"))
+    got = [(r.i, r.k) for r in G.boxes_sharing_cells(df, box, df, box, 0.5)
+           .select(F.col("a_i").alias("i"), F.col("b_i").alias("k")).collect()]
+    assert len(got) == len(set(got))
+    whole = [r for r in rows if r[1] is not None]
+    want = {(a[0], b[0]) for a in whole for b in whole
+            if a[1] <= b[1] + b[3] and b[1] <= a[1] + a[3] and a[2] <= b[2] + b[3] and b[2] <= a[2] + a[3]}
+    assert want <= set(got)
+    assert not {k for pair in got for k in pair} & {201}
+
+
+def test_box_rows_grow_with_boxes_not_with_their_area(spark):
+    edges = sized_boxes(spark, COUNTRY | STREETS)
+    boxes = G._boxed(edges, G.edge_box(), 1.0, "a")
+    levels = G.box_levels(1.0, a=(edges, G.edge_box()))["a"]
+    assert len(levels) == 2
+    rows = G._on_levels(boxes, levels, levels, 1.0, "a").count()
+    assert rows <= 10 * edges.count()
+
+
+def test_points_lie_in_zones_of_every_level(spark):
+    zones = COUNTRY | STREETS | {"town": (-300, -300, 200)}
+    rnd = random.Random(8)
+    pts = [(i, rnd.uniform(-400, 150), rnd.uniform(-400, 100)) for i in range(300)]
+    pts += [(1000 + i, x + 0.5, y + 0.5) for i, (x, y, _) in enumerate(STREETS.values())]
+    pts += [(2000, 600_000.0, 0.0), (2001, None, 0.0)]
+    df = spark.createDataFrame(pts, "id int, x double, y double")
+    edges = sized_boxes(spark, zones)
+    got = {}
+    for r in G.points_in_zones_all(df, G.zone_index(edges, 1.0), "x", "y", 1.0).collect():
+        got.setdefault(r.id, set()).add(r.zone)
+    want = {i: {k for k, (zx, zy, w) in zones.items() if x is not None and zx < x < zx + w and zy < y < zy + w}
+            for i, x, y in pts}
+    assert got == {i: z for i, z in want.items() if z}
+    one = G.points_in_zones(df, edges, "x", "y", 1.0)
+    assert {r.id: r.zone for r in one.collect()} == {i: min(z, default=None) for i, z in want.items()}
+    empty = G.points_in_zones(df, edges.filter("false"), "x", "y", 1.0)
+    assert {r.zone for r in empty.collect()} == {None}
+
+
+def test_predicates_across_sizes(spark):
+    zones = COUNTRY | {"town": (-300, -300, 200), "far": (900_000, 0, 5)}
+    feats = {"in_town": (-250, -250, 1), "on_border": (-301, -200, 3), "abroad": (499_999, 0, 2),
+             "holds_far": (800_000, -100_000, 300_000)}
+    f, z = sized_boxes(spark, feats), sized_boxes(spark, zones)
+    pairs = lambda how: {(r.fid, r.zone) for r in G.features_in_zones(f, z, how, 1.0).collect()}
+    assert pairs("intersects") == {("in_town", "town"), ("in_town", "country"), ("on_border", "town"),
+                                   ("on_border", "country"), ("abroad", "country"), ("holds_far", "far")}
+    assert pairs("within") == {("in_town", "town"), ("in_town", "country"), ("on_border", "country")}
+    areas = {(r.fid, r.zone): r.area for r in G.overlay_area(f, z, 1.0).collect()}
+    want = {("in_town", "town"): 1.0, ("in_town", "country"): 1.0, ("on_border", "town"): 6.0,
+            ("on_border", "country"): 9.0, ("abroad", "country"): 2.0, ("holds_far", "far"): 25.0}
+    # Coordinates of half a million leave an area of 2 some five digits.
+    assert areas.keys() == want.keys() and all(abs(areas[k] - v) < 1e-4 for k, v in want.items())

@@ -8,27 +8,36 @@ one row per directed boundary segment, ``part`` = polygon of a multipolygon,
 
 Index
 -----
-The plane is cut into square cells of side ``cell``.  For point-in-polygon a
-point only needs, for each zone whose bounding box covers its cell, the zone
-edges that cross the point's horizontal band (the ray cast to +x meets only
-those).  :func:`zone_index` materialises that as one row per cell holding an
-array of ``(zone, edges)``; it is dimension-sized (zones × cells), built with
+The plane is cut into square cells, by a quadtree of levels: cells of level 0
+have the side ``cell``, those of each further level twice the side of the one
+before.  A box lies on the first level where it spans no more than a few cells,
+so what covers a country takes as many cells as what covers a street.
+
+For point-in-polygon a point only needs, for each zone whose bounding box covers
+its cell, the zone edges that cross the point's horizontal band (the ray cast to
++x meets only those).  :func:`zone_index` materialises that as one row per cell
+holding an array of ``(zone, edges)``; it is dimension-sized (zones × cells, the
+cells of a zone being no more than its edges, a few at least), built with
 ordinary ``groupBy``/``collect_list`` and broadcast only after a row-count
-check.  Points then need a single equi-join on ``(cx, cy)`` and a JVM-side
-higher-order-function parity test: no shuffle of the point side and no
-``groupBy`` over points, so a hot cell holding a third of all points is just
-a long map-side stream.
-
-Polygon/polygon predicates join segments on shared cells (both sides exploded
-over the cells their bounding boxes cover) and test orientation signs.
+check.  Points then need one equi-join on ``(cx, cy)`` for each level that the
+layer has (one, where zones are of like size) and a JVM-side higher-order-function
+parity test: no shuffle of the point side and no ``groupBy`` over points, so a
+hot cell holding a third of all points is just a long map-side stream.
+
+Polygon/polygon predicates join boxes (segments, polygons, points) level by
+level (:func:`boxes_sharing_cells`): a pair meets on the higher one of its two
+levels only, and there in one cell.  Segments are tested by orientation signs.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..session import bounded_broadcast, materialize
+from ..session import bounded_broadcast, broadcast_fits, materialize, side_by_side
 
 EDGE_COLS = ["x1", "y1", "x2", "y2"]
 
@@ -104,11 +113,104 @@ def _cells(lo: Column, hi: Column, cell: float) -> Column:
     return F.sequence(_cell(lo, cell), _cell(hi, cell))
 
 
-def bboxes(edges: DataFrame) -> DataFrame:
-    """Per-id bounding box ``(id, minx, miny, maxx, maxy)``."""
+# A box spans at most this many cells of its level along an axis, and one more
+# where it isn't aligned with them.
+SPAN = 4
+# The last level: a join handles at most LEVELS + 1 of them.
+LEVELS = 40
+
+
+def _level(extent: Column, cell: float, span: Column | None = None) -> Column:
+    """First level on which ``extent`` spans at most ``span`` cells."""
+    times = extent / (F.lit(float(cell)) * (F.lit(float(SPAN)) if span is None else span))
+    # log2 is NULL where the extent is 0, which the two bounds skip.
+    return F.least(F.lit(LEVELS), F.greatest(F.lit(0), F.ceil(F.log2(times)).cast("int")))
+
+
+def _side(level: Column, cell: float) -> Column:
+    """Side of the cells of a level (a power of two times ``cell``)."""
+    return F.lit(float(cell)) * F.pow(F.lit(2.0), level)
+
+
+def _cell_at(v: Column, level: Column, cell: float) -> Column:
+    return F.floor(v / _side(level, cell)).cast("long")
+
+
+def edge_box() -> tuple[Column, Column, Column, Column]:
+    """Bounding box of a row of an edge table."""
+    return F.least("x1", "x2"), F.least("y1", "y2"), F.greatest("x1", "x2"), F.greatest("y1", "y2")
+
+
+def polygon_box() -> tuple[Column, Column, Column, Column]:
+    """Box of a row of :func:`bboxes`."""
+    return F.col("minx"), F.col("miny"), F.col("maxx"), F.col("maxy")
+
+
+def _box_level(box: tuple[Column, ...], cell: float) -> Column:
+    return _level(F.greatest(box[2] - box[0], box[3] - box[1]), cell)
+
+
+def box_levels(cell: float, **layers: tuple[DataFrame, tuple[Column, ...]]) -> dict[str, list[int]]:
+    """The levels of each layer's boxes, by one aggregate that returns at most
+    ``LEVELS`` + 1 rows a layer."""
+    rows = [df.select(F.lit(name).alias("layer"), _box_level(box, cell).alias("level")) for name, (df, box) in layers.items()]
+    found = reduce(DataFrame.unionByName, rows).distinct().collect()
+    return {name: sorted(r["level"] for r in found if r["layer"] == name) for name in layers}
+
+
+def _boxed(df: DataFrame, box: tuple[Column, ...], cell: float, side: str) -> DataFrame:
+    """Columns as ``<side>_<name>``, with the box and its level; rows without a box go."""
+    names = [f"{side}{c}" for c in ("minx", "miny", "maxx", "maxy")]
+    b = df.select(*[F.col(c).alias(f"{side}_{c}") for c in df.columns], *[v.alias(n) for v, n in zip(box, names)])
+    return b.filter(F.col(names[0]).isNotNull() & F.col(names[1]).isNotNull()) \
+            .withColumn(f"{side}level", _box_level(tuple(F.col(n) for n in names), cell))
+
+
+def _on_levels(boxes: DataFrame, own: list[int], other: list[int], cell: float, side: str) -> DataFrame:
+    """One row per cell that a box covers on its own level and on every higher
+    level of the other side's boxes."""
+    level = F.col(f"{side}level")
+    higher = [n for n in other if n > min(own, default=0)]
+    if not higher:
+        b = boxes.withColumn("level", F.lit(own[0]) if len(own) == 1 else level)
+    else:
+        levels = F.array_union(F.array(level), F.array(*[F.lit(n) for n in higher]))
+        b = boxes.withColumn("level", F.explode(levels)).filter(F.col("level") >= level)
+    for axis, cells in (("x", "cx"), ("y", "cy")):
+        lo, hi = (_cell_at(F.col(f"{side}{end}{axis}"), F.col("level"), cell) for end in ("min", "max"))
+        b = b.withColumn(cells, F.explode(F.sequence(lo, hi)))
+    return b
+
+
+def boxes_sharing_cells(a: DataFrame, a_box: tuple[Column, ...], b: DataFrame, b_box: tuple[Column, ...],
+                        cell: float, levels: tuple[list[int], list[int]] | None = None, small: bool = False) -> DataFrame:
+    """Pairs of rows, as columns ``a_*`` and ``b_*``, whose boxes ``(minx, miny,
+    maxx, maxy)`` share a cell of the higher one of their levels, each pair once;
+    all pairs whose boxes overlap are among them.
+
+    Every row is put on its own level and on the other side's higher ones, so
+    two boxes meet on the higher one of their levels, whatever their sizes; a
+    pair that shares several cells is kept in the first of them, so no
+    ``distinct`` shuffle is needed.  ``levels``: those of both sides, if known
+    (:func:`box_levels`).  ``small``: ``b`` is broadcast if it is found to be small
+    enough.  Rows without coordinates meet nothing."""
+    if levels is None:
+        levels = tuple(box_levels(cell, a=(a, a_box), b=(b, b_box)).values())
+    left, right = _boxed(a, a_box, cell, "a"), _boxed(b, b_box, cell, "b")
+    on_left = _on_levels(left, levels[0], levels[1], cell, "a")
+    on_right = _on_levels(right, levels[1], levels[0], cell, "b")
+    j = on_left.join(bounded_broadcast(on_right) if small else on_right, ["level", "cx", "cy"])
+    meet = F.col("level") == F.greatest("alevel", "blevel")
+    for axis, cells in (("x", "cx"), ("y", "cy")):
+        meet &= F.col(cells) == _cell_at(F.greatest(f"amin{axis}", f"bmin{axis}"), F.col("level"), cell)
+    return j.filter(meet).select(*[F.col(f"a_{c}") for c in a.columns], *[F.col(f"b_{c}") for c in b.columns])
+
+
+def bboxes(edges: DataFrame, *more: Column) -> DataFrame:
+    """Per-id bounding box ``(id, minx, miny, maxx, maxy)`` and ``more`` aggregates."""
     return edges.groupBy("id").agg(
         F.min(F.least("x1", "x2")).alias("minx"), F.min(F.least("y1", "y2")).alias("miny"),
-        F.max(F.greatest("x1", "x2")).alias("maxx"), F.max(F.greatest("y1", "y2")).alias("maxy"),
+        F.max(F.greatest("x1", "x2")).alias("maxx"), F.max(F.greatest("y1", "y2")).alias("maxy"), *more,
     )
 
 
@@ -127,33 +229,38 @@ def auto_cell_size(edges: DataFrame) -> float:
 # --------------------------------------------------------------------------
 
 def zone_index(edges: DataFrame, cell: float, persist: bool = True) -> DataFrame:
-    """Grid index ``(cx, cy, zones: array<struct<zone, edges>>)`` (see module doc).
+    """Grid index ``(level, cx, cy, zones: array<struct<zone, edges>>)`` (see
+    module doc).  A zone lies on the first level where it covers no more cells
+    than it has edges (``SPAN`` squared at least).
 
-    The index is layer-sized (zones × cells it spans); with ``persist`` it is
-    written once to the shared checkpoint folder so that the size check of
+    The index is layer-sized; with ``persist`` it is written once to the shared
+    checkpoint folder so that the size check of
     :func:`zonage.session.bounded_broadcast` and the join reuse it instead of
     recomputing it."""
-    bb = bboxes(edges)
-    zone_cells = bb.select(
-        F.col("id").alias("zone"),
-        F.explode(_cells(F.col("minx"), F.col("maxx"), cell)).alias("cx"),
-        F.col("miny"), F.col("maxy"),
-    ).select("zone", "cx", F.explode(_cells(F.col("miny"), F.col("maxy"), cell)).alias("cy"))
-    bands = edges.select(
-        F.col("id").alias("zone"), *EDGE_COLS,
-        F.explode(_cells(F.least("y1", "y2"), F.greatest("y1", "y2"), cell)).alias("cy"),
-    )
+    span = F.greatest(F.lit(float(SPAN)), F.floor(F.sqrt(F.size("edges"))).cast("double"))
+    extent = F.greatest(F.col("maxx") - F.col("minx"), F.col("maxy") - F.col("miny"))
+    zones = bboxes(edges, F.collect_list(F.struct(*EDGE_COLS)).alias("edges")).withColumnRenamed("id", "zone") \
+        .withColumn("level", _level(extent, cell, span))
+    level = F.col("level")
+    zone_cells = zones.select("zone", "level", "miny", "maxy", F.explode(
+        F.sequence(_cell_at(F.col("minx"), level, cell), _cell_at(F.col("maxx"), level, cell))).alias("cx"))
+    zone_cells = zone_cells.select("zone", "level", "cx", F.explode(
+        F.sequence(_cell_at(F.col("miny"), level, cell), _cell_at(F.col("maxy"), level, cell))).alias("cy"))
+    bands = zones.select("zone", "level", F.explode("edges").alias("e")).select("zone", "level", "e.*").select(
+        "zone", *EDGE_COLS,
+        F.explode(F.sequence(_cell_at(F.least("y1", "y2"), level, cell),
+                             _cell_at(F.greatest("y1", "y2"), level, cell))).alias("cy"))
     per_band = bands.groupBy("zone", "cy").agg(
         F.collect_list(F.struct(*EDGE_COLS)).alias("edges"))
     idx = (zone_cells.join(per_band, ["zone", "cy"])
-           .groupBy("cx", "cy")
+           .groupBy("level", "cx", "cy")
            .agg(F.collect_list(F.struct("zone", "edges")).alias("zones")))
     return materialize(idx) if persist else idx
 
 
-def _index_items() -> Column:
+def _index_items(zones: str) -> Column:
     """Number of edges held by one grid-index row (broadcast size bound)."""
-    return F.aggregate(F.col("zones"), F.lit(0), lambda acc, z: acc + F.size(z["edges"]))
+    return F.aggregate(F.col(zones), F.lit(0), lambda acc, z: acc + F.size(z["edges"]))
 
 
 def _crosses(e: Column, px: Column, py: Column) -> Column:
@@ -183,6 +290,24 @@ def containing_zones(zones: Column, px: Column, py: Column, strict: bool = False
     return F.transform(F.filter(zones, inside), lambda z: z["zone"])
 
 
+def _with_hits(points: DataFrame, index: DataFrame, x: str, y: str, cell: float, strict: bool) -> DataFrame:
+    """``points`` with ``_hits``, the zones that each lies in: one join per level
+    of the index, of which there are at most ``LEVELS`` + 1."""
+    sizes = index.groupBy("level").agg(F.count(F.lit(1)).alias("n"), F.sum(_index_items("zones")).alias("k")).collect()
+    levels = sorted((r["level"], broadcast_fits(r["n"], r["k"])) for r in sizes)
+    out, hits = points, F.array().cast(T.ArrayType(index.schema["zones"].dataType.elementType["zone"].dataType))
+    for n, small in levels:
+        # The cell as an expression of the point: points go through every join as they are.
+        of_level = index.filter(F.col("level") == n) \
+            .select(F.col("cx").alias("_cx"), F.col("cy").alias("_cy"), F.col("zones").alias("_zones"))
+        side = cell * 2.0 ** n
+        out = out.join(F.broadcast(of_level) if small else of_level, (_cell(F.col(x), side) == F.col("_cx")) & (_cell(F.col(y), side) == F.col("_cy")), "left")
+        found = F.coalesce(containing_zones(F.col("_zones"), F.col(x), F.col(y), strict), F.array())
+        earlier = [F.col("_hits")] if "_hits" in out.columns else []
+        out = out.withColumn("_hits", F.concat(*earlier, found) if earlier else found).drop("_cx", "_cy", "_zones")
+    return out if levels else out.withColumn("_hits", hits)
+
+
 def points_in_zones(points: DataFrame, zone_edges: DataFrame, x: str, y: str,
                     cell: float | None = None, zone_col: str = "zone",
                     how: str = "left", strict: bool = False,
@@ -192,16 +317,12 @@ def points_in_zones(points: DataFrame, zone_edges: DataFrame, x: str, y: str,
     ``how='left'`` keeps unmatched points with a NULL zone, ``'inner'`` drops
     them.  Zones are assumed to form a partition (a point is inside at most
     one zone); if they overlap the smallest zone id wins.  Points with a NULL
-    coordinate never match.
+    coordinate never match.  An ``index`` goes with the ``cell`` it was built for.
     """
     if index is None:
         cell = cell or auto_cell_size(zone_edges)
         index = zone_index(zone_edges, cell)
-    idx = bounded_broadcast(index, items=_index_items())
-    keyed = points.withColumn("_cx", _cell(F.col(x), cell)).withColumn("_cy", _cell(F.col(y), cell))
-    j = keyed.join(idx, (keyed["_cx"] == idx["cx"]) & (keyed["_cy"] == idx["cy"]), "left")
-    hits = containing_zones(F.col("zones"), F.col(x), F.col(y), strict)
-    out = j.withColumn(zone_col, F.array_min(hits)).drop("_cx", "_cy", "cx", "cy", "zones")
+    out = _with_hits(points, index, x, y, cell, strict).withColumn(zone_col, F.array_min("_hits")).drop("_hits")
     if how == "inner":
         out = out.filter(F.col(zone_col).isNotNull())
     return out
@@ -211,12 +332,7 @@ def points_in_zones_all(points: DataFrame, index: DataFrame, x: str, y: str, cel
                         zone_col: str = "zone", strict: bool = False) -> DataFrame:
     """Like :func:`points_in_zones` but one output row per containing zone
     (for overlapping layers, e.g. polygons tested against vertices)."""
-    idx = bounded_broadcast(index, items=_index_items())
-    keyed = points.withColumn("_cx", _cell(F.col(x), cell)).withColumn("_cy", _cell(F.col(y), cell))
-    j = keyed.join(idx, (keyed["_cx"] == idx["cx"]) & (keyed["_cy"] == idx["cy"]), "inner")
-    hits = containing_zones(F.col("zones"), F.col(x), F.col(y), strict)
-    return (j.withColumn(zone_col, F.explode(hits))
-             .drop("_cx", "_cy", "cx", "cy", "zones"))
+    return _with_hits(points, index, x, y, cell, strict).withColumn(zone_col, F.explode("_hits")).drop("_hits")
 
 
 # --------------------------------------------------------------------------
@@ -251,21 +367,14 @@ def inside_named(points: DataFrame, poly_col: str, x: str, y: str, bands: DataFr
     return j.filter(_parity(F.col("edges"), F.col(x), F.col(y))).drop("_cy", "_bid", "_bcy", "edges")
 
 
-def bbox_cells(edges: DataFrame, cell: float) -> DataFrame:
-    """``(poly, cx, cy)`` for every cell a polygon's bounding box covers."""
-    bb = bboxes(edges)
-    return bb.select(F.col("id").alias("poly"), F.explode(_cells(F.col("minx"), F.col("maxx"), cell)).alias("cx"),
-                     "miny", "maxy") \
-             .select("poly", "cx", F.explode(_cells(F.col("miny"), F.col("maxy"), cell)).alias("cy"))
-
-
 def vertices_in_polygons(vertices: DataFrame, polys: DataFrame, bands: DataFrame,
-                         cell: float) -> DataFrame:
+                         cell: float, levels: list[int]) -> DataFrame:
     """``(id, poly)``: vertex owners ``id`` whose point ``(px, py)`` lies in
-    polygon ``poly``.  Candidates come from the polygons' bounding-box cells
-    (an equi-join on the cell), then :func:`inside_named`."""
-    v = vertices.withColumn("cx", _cell(F.col("px"), cell)).withColumn("cy", _cell(F.col("py"), cell))
-    cand = v.join(bbox_cells(polys, cell), ["cx", "cy"]).drop("cx", "cy")
+    polygon ``poly``.  Candidates are the polygons whose bounding box, on one of
+    ``levels``, shares a cell with the point, then :func:`inside_named`."""
+    point = (F.col("px"), F.col("py"), F.col("px"), F.col("py"))
+    cand = boxes_sharing_cells(vertices, point, bboxes(polys), polygon_box(), cell, ([0], levels)) \
+        .select(F.col("a_id").alias("id"), F.col("a_px").alias("px"), F.col("a_py").alias("py"), F.col("b_id").alias("poly"))
     return inside_named(cand, "poly", "px", "py", bands, cell).select("id", "poly")
 
 
@@ -273,37 +382,34 @@ def vertices_in_polygons(vertices: DataFrame, polys: DataFrame, bands: DataFrame
 # polygon / polygon predicates
 # --------------------------------------------------------------------------
 
-def _edge_cells(edges: DataFrame, cell: float, prefix: str) -> DataFrame:
-    e = edges.select(F.col("id").alias(f"{prefix}id"),
-                     *[F.col(c).alias(f"{prefix}{c}") for c in ["part", "ring", "seq"] if c in edges.columns],
-                     *[F.col(c).alias(f"{prefix}{c}") for c in EDGE_COLS])
-    e = e.withColumn("cx", F.explode(_cells(F.least(f"{prefix}x1", f"{prefix}x2"),
-                                            F.greatest(f"{prefix}x1", f"{prefix}x2"), cell)))
-    return e.withColumn("cy", F.explode(_cells(F.least(f"{prefix}y1", f"{prefix}y2"),
-                                               F.greatest(f"{prefix}y1", f"{prefix}y2"), cell)))
-
-
 def _orient(ax, ay, bx, by, cx, cy) -> Column:
     return (bx - ax) * (cy - ay) - (by - ay) * (cx - ax)
 
 
-def segment_pairs(features: DataFrame, zones: DataFrame, cell: float) -> DataFrame:
+def layer_levels(features: DataFrame, zones: DataFrame, cell: float) -> dict[str, list[int]]:
+    """Levels of the edges and of the polygons of two layers."""
+    return box_levels(cell, f_edges=(features, edge_box()), z_edges=(zones, edge_box()),
+                      f=(bboxes(features), polygon_box()), z=(bboxes(zones), polygon_box()))
+
+
+def _prepared(features: DataFrame, zones: DataFrame, cell: float) -> tuple[dict[str, list[int]], DataFrame, DataFrame]:
+    """Levels and band tables of two layers, by jobs that run at the same time."""
+    return side_by_side(features.sparkSession, lambda: layer_levels(features, zones, cell),
+                        lambda: band_edges(features, cell), lambda: band_edges(zones, cell))
+
+
+def segment_pairs(features: DataFrame, zones: DataFrame, cell: float,
+                  levels: tuple[list[int], list[int]] | None = None) -> DataFrame:
     """Candidate segment pairs ``(fid, zid, f*, z*, o1..o4)`` whose bounding
-    boxes overlap, each pair once, with the four orientation values.
-
-    Both sides are exploded over the cells their bounding boxes cover and
-    joined on the cell; a pair sharing several cells is kept only in its
-    *reference cell* — the cell of the lower-left corner of the two boxes'
-    overlap — so no ``distinct`` shuffle is needed."""
-    fe = _edge_cells(features, cell, "f")
-    ze = bounded_broadcast(_edge_cells(zones, cell, "z"))
-    j = fe.join(ze, ["cx", "cy"])
+    boxes overlap, each pair once, with the four orientation values.  Candidates
+    share a cell (:func:`boxes_sharing_cells`)."""
+    j = boxes_sharing_cells(features, edge_box(), zones, edge_box(), cell, levels, small=True)
+    j = j.select(*[F.col(f"{side}_{c}").alias(f"{to}{c}") for side, to in (("a", "f"), ("b", "z"))
+                   for c in ("id", "part", "ring", "seq", *EDGE_COLS) if f"{side}_{c}" in j.columns])
     lox = F.greatest(F.least("fx1", "fx2"), F.least("zx1", "zx2"))
     loy = F.greatest(F.least("fy1", "fy2"), F.least("zy1", "zy2"))
-    overlap = ((lox <= F.least(F.greatest("fx1", "fx2"), F.greatest("zx1", "zx2")))
-               & (loy <= F.least(F.greatest("fy1", "fy2"), F.greatest("zy1", "zy2"))))
-    j = j.filter(overlap & (F.col("cx") == _cell(lox, cell)) & (F.col("cy") == _cell(loy, cell))) \
-         .drop("cx", "cy")
+    j = j.filter((lox <= F.least(F.greatest("fx1", "fx2"), F.greatest("zx1", "zx2")))
+                 & (loy <= F.least(F.greatest("fy1", "fy2"), F.greatest("zy1", "zy2"))))
     f = {c: F.col(f"f{c}") for c in EDGE_COLS}
     z = {c: F.col(f"z{c}") for c in EDGE_COLS}
     ids = [c for c in j.columns if c[1:] in ("part", "ring", "seq")]
@@ -334,12 +440,13 @@ def _first_vertices(edges: DataFrame) -> DataFrame:
                 .select("id", F.col("x1").alias("px"), F.col("y1").alias("py"))
 
 
-def _meeting(f: DataFrame, z: DataFrame, fb: DataFrame, zb: DataFrame, hit: DataFrame, cell: float) -> DataFrame:
+def _meeting(f: DataFrame, z: DataFrame, fb: DataFrame, zb: DataFrame, hit: DataFrame, cell: float,
+             levels: dict[str, list[int]]) -> DataFrame:
     """``(fid, zone)`` pairs that share a point: their boundaries meet (``hit``),
     or a part of one lies inside the other."""
-    f_in_z = vertices_in_polygons(_first_vertices(f), z, zb, cell) \
+    f_in_z = vertices_in_polygons(_first_vertices(f), z, zb, cell, levels["z"]) \
         .select(F.col("id").alias("fid"), F.col("poly").alias("zone"))
-    z_in_f = vertices_in_polygons(_first_vertices(z), f, fb, cell) \
+    z_in_f = vertices_in_polygons(_first_vertices(z), f, fb, cell, levels["f"]) \
         .select(F.col("poly").alias("fid"), F.col("id").alias("zone"))
     return hit.select("fid", F.col("zid").alias("zone")).unionByName(f_in_z).unionByName(z_in_f).distinct()
 
@@ -370,10 +477,10 @@ def features_in_zones(features: DataFrame, zones: DataFrame, predicate: str = "w
     if predicate not in ("within", "intersects"):
         raise ValueError(f"unknown predicate {predicate!r}")
     cell = cell or auto_cell_size(zones)
-    segs = segment_pairs(features, zones, cell)
+    levels, fb, zb = _prepared(features, zones, cell)
+    segs = segment_pairs(features, zones, cell, (levels["f_edges"], levels["z_edges"]))
     hit = materialize(segs.filter(_touching(segs)))
-    fb, zb = band_edges(features, cell), band_edges(zones, cell)
-    pairs = _meeting(features, zones, fb, zb, hit, cell)
+    pairs = _meeting(features, zones, fb, zb, hit, cell, levels)
     if predicate == "intersects":
         return pairs
     fbox, zbox = bboxes(features), bboxes(zones)
@@ -383,8 +490,10 @@ def features_in_zones(features: DataFrame, zones: DataFrame, predicate: str = "w
                           & (F.col("f.miny") >= F.col("z.miny")) & (F.col("f.maxy") <= F.col("z.maxy")))
                   .select("fid", "zone"))
     inside_box = materialize(inside_box)
-    out = _pieces(features, inside_box, "fid", "zone", _cuts(hit, "f"), zb, zbox, cell).filter(~F.col("on") & ~F.col("inside"))
-    held = _pieces(zones, inside_box, "zone", "fid", _cuts(hit, "z"), fb, fbox, cell).filter(~F.col("on") & F.col("inside"))
+    out = _pieces(features, inside_box, "fid", "zone", _cuts(hit, "f"), zb, zbox, cell, (levels["f_edges"], levels["z"])) \
+        .filter(~F.col("on") & ~F.col("inside"))
+    held = _pieces(zones, inside_box, "zone", "fid", _cuts(hit, "z"), fb, fbox, cell, (levels["z_edges"], levels["f"])) \
+        .filter(~F.col("on") & F.col("inside"))
     bad = out.select("fid", "zone").unionByName(held.select("fid", "zone")).distinct()
     return inside_box.join(bad, ["fid", "zone"], "left_anti")
 
@@ -449,28 +558,22 @@ def _near_edge(e: Column, px: Column, py: Column, rel_tol: float = 1e-9) -> Colu
     return (F.abs(cross) <= F.lit(rel_tol) * len2) & (t >= -rel_tol) & (t <= 1 + rel_tol)
 
 
-def _edges_near(own: DataFrame, boxes: DataFrame, cell: float) -> DataFrame:
+def _edges_near(own: DataFrame, boxes: DataFrame, cell: float, levels: tuple[list[int], list[int]]) -> DataFrame:
     """``own``'s edges with each polygon (``poly``) whose bounding box shares a
-    cell with the edge's; an edge far from a polygon is never paired with it.
-    A pair that shares several cells is kept in the first of them."""
-    cells = boxes.select(F.col("id").alias("poly"), _cell(F.col("minx"), cell).alias("bx"), _cell(F.col("miny"), cell).alias("by"),
-                         F.explode(_cells(F.col("minx"), F.col("maxx"), cell)).alias("cx"), "miny", "maxy") \
-                 .select("poly", "bx", "by", "cx", F.explode(_cells(F.col("miny"), F.col("maxy"), cell)).alias("cy"))
-    ex, ey = _cell(F.least("x1", "x2"), cell), _cell(F.least("y1", "y2"), cell)
-    e = own.withColumns({"ex": ex, "ey": ey})
-    e = e.withColumn("cx", F.explode(_cells(F.least("x1", "x2"), F.greatest("x1", "x2"), cell)))
-    e = e.withColumn("cy", F.explode(_cells(F.least("y1", "y2"), F.greatest("y1", "y2"), cell)))
-    first = (F.col("cx") == F.greatest("ex", "bx")) & (F.col("cy") == F.greatest("ey", "by"))
-    return e.join(cells, ["cx", "cy"]).filter(first).drop("cx", "cy", "ex", "ey", "bx", "by")
+    cell with the edge's; an edge far from a polygon is never paired with it."""
+    j = boxes_sharing_cells(own, edge_box(), boxes, polygon_box(), cell, levels)
+    return j.select(*[F.col(f"a_{c}").alias(c) for c in own.columns], F.col("b_id").alias("poly"))
 
 
 def _pieces(own_edges: DataFrame, pairs: DataFrame, own_key: str, other_key: str, cuts: DataFrame,
-            other_bands: DataFrame, other_boxes: DataFrame, cell: float) -> DataFrame:
+            other_bands: DataFrame, other_boxes: DataFrame, cell: float,
+            levels: tuple[list[int], list[int]]) -> DataFrame:
     """Pieces of ``own`` edges (split at the cut positions) near the paired
     polygon: end points, and whether the middle lies ``on`` the other's boundary
     (``same``: along an edge that runs the same way) or ``inside`` it by the
     even–odd rule (half-open; meaningful where it isn't ``on``)."""
-    e = _edges_near(own_edges.withColumnRenamed("id", own_key), other_boxes, cell).withColumnRenamed("poly", other_key)
+    e = _edges_near(own_edges.withColumnRenamed("id", own_key), other_boxes, cell, levels) \
+        .withColumnRenamed("poly", other_key)
     e = e.join(pairs, [own_key, other_key])
     e = e.join(cuts, [own_key, other_key, "part", "ring", "seq"], "left")
     ts = F.array_sort(F.array_distinct(F.concat(F.array(F.lit(0.0), F.lit(1.0)),
@@ -517,13 +620,15 @@ def overlay_area(features: DataFrame, zones: DataFrame, cell: float | None = Non
     ``cell`` is derived from the zones' sizes if not given."""
     f, z = (orient_rings(features), orient_rings(zones)) if orient else (features, zones)
     cell = cell or auto_cell_size(zones)
-    segs = segment_pairs(f, z, cell)
+    levels, fb, zb = _prepared(f, z, cell)
+    segs = segment_pairs(f, z, cell, (levels["f_edges"], levels["z_edges"]))
     hit = materialize(segs.filter(_touching(segs)))
-    fb, zb = band_edges(f, cell), band_edges(z, cell)
-    pairs = materialize(_meeting(f, z, fb, zb, hit, cell))
+    pairs = materialize(_meeting(f, z, fb, zb, hit, cell, levels))
     term = (F.lit(0.5) * (F.col("ax") * F.col("by") - F.col("bx") * F.col("ay"))).alias("term")
     inside = ~F.col("on") & F.col("inside")
-    f_in = _pieces(f, pairs, "fid", "zone", _cuts(hit, "f"), zb, bboxes(z), cell).filter(inside | F.col("same"))
-    z_in = _pieces(z, pairs, "zone", "fid", _cuts(hit, "z"), fb, bboxes(f), cell).filter(inside)
+    f_in = _pieces(f, pairs, "fid", "zone", _cuts(hit, "f"), zb, bboxes(z), cell,
+                   (levels["f_edges"], levels["z"])).filter(inside | F.col("same"))
+    z_in = _pieces(z, pairs, "zone", "fid", _cuts(hit, "z"), fb, bboxes(f), cell,
+                   (levels["z_edges"], levels["f"])).filter(inside)
     return f_in.select("fid", "zone", term).unionByName(z_in.select("fid", "zone", term)) \
                .groupBy("fid", "zone").agg(F.sum("term").alias("area"))

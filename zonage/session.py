@@ -7,6 +7,7 @@ import tempfile
 import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
+from typing import Any
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -98,6 +99,12 @@ def shared_dir(spark: SparkSession, name: str) -> str:
 BROADCAST_MAX_ITEMS = 4_000_000
 
 
+def broadcast_fits(rows: int, items: int, max_rows: int = BROADCAST_MAX_ROWS,
+                   max_items: int = BROADCAST_MAX_ITEMS) -> bool:
+    """Whether a side of ``rows`` rows and ``items`` nested elements may be broadcast."""
+    return rows <= max_rows and items <= max_items
+
+
 def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
                       items: Column | None = None,
                       max_items: int = BROADCAST_MAX_ITEMS) -> DataFrame:
@@ -114,12 +121,11 @@ def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
         n = df.limit(max_rows + 1).count()
         return F.broadcast(df) if n <= max_rows else df
     row = df.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(items), F.lit(0)).alias("k")).first()
-    ok = row["n"] <= max_rows and row["k"] <= max_items
-    return F.broadcast(df) if ok else df
+    return F.broadcast(df) if broadcast_fits(row["n"], row["k"], max_rows, max_items) else df
 
 
-def side_by_side(spark: SparkSession, *builders: Callable[[], DataFrame]) -> list[DataFrame]:
-    """Frames that don't depend on each other, built at the same time: where
+def side_by_side(spark: SparkSession, *builders: Callable[[], Any]) -> list:
+    """Frames (or small facts) that don't depend on each other, built at the same time: where
     building materialises dimension-sized tables, their small jobs share the
     cluster instead of waiting for one another."""
     with ThreadPoolExecutor(len(builders)) as pool:
