@@ -428,6 +428,36 @@ def test_lm_rare_words_are_joined(spark, rows, docs, monkeypatch):
         assert r.n_known == w.n_known and r.base_score == pytest.approx(w.base_score)
 
 
+def test_lm_classes_beyond_the_broadcast_words(spark, monkeypatch):
+    """Every word of LEAST occurrences has a class of its own choice, and scores
+    don't depend on how many words are broadcast."""
+    r = random.Random(12)
+    texts = [" ".join(f"{r.choice('abc')}{min(int(r.paretovariate(0.6)), 900)}" for _ in range(r.randrange(1, 90)))
+             for _ in range(150)]
+    docs = frame(spark, [*enumerate(texts + texts[:20]), (900, None), (901, "unseen words a1 only here")])
+    monkeypatch.setattr(lm_score, "FREQUENT", 32)
+    train = docs.filter("doc_id % 5 <> 1")
+
+    def scored():
+        model, counts = lm_score.train(train)
+        return model, counts, {x.doc_id: x for x in lm_score.score(docs, model, counts).collect()}
+
+    whole, _, want = scored()
+    assert not len(whole.others)
+    for bits in (lm_score.BITS, 64):  # with a full bitmap, all tokens that aren't broadcast are asked for
+        monkeypatch.setattr(lm_score, "LOOKED_UP", 64)
+        monkeypatch.setattr(lm_score, "BITS", bits)
+        model, counts, got = scored()
+        own = {x.w % (1 << 64): x["class"] for x in counts.filter("class is not null").collect()}
+        assert model.words <= 65 < whole.words == model.words + len(own)
+        at = whole.index.find(np.array(list(own), np.uint64))
+        assert (at >= 0).all() and whole.classes[at].tolist() == list(own.values())
+        assert (model.pairs == whole.pairs).all()
+        for i, x in want.items():
+            assert (got[i].n_tokens, got[i].n_known) == (x.n_tokens, x.n_known)
+            assert got[i].base_score == pytest.approx(x.base_score) and got[i].score == pytest.approx(x.score)
+
+
 def test_exchange_raises_the_likelihood(spark):
     r = random.Random(8)
     one, two = [f"a{i}" for i in range(30)], [f"b{i}" for i in range(30)]

@@ -10,10 +10,9 @@ staying, and the parts take turns.  Then every other word of :data:`LEAST`
 occurrences, which till then has the class of its shape, moves to the class
 under which its occurrences are likeliest, given the classes of the words
 beside them; a word of that step is too rare to change the transitions by
-itself, so all move at once, :data:`MOVES` times.  Words that are rarer, and
-those never seen, have the class of their shape.  The number of words with a
-class grows with the corpus, up to :data:`LOOKED_UP`, beyond which the least
-occurrences rise.  The probability of a token is
+itself, so all move at once, one time.  Words that are rarer, and those never
+seen, have the class of their shape.  The number of words with a class grows
+with the corpus, without a bound.  The probability of a token is
 
     LAMBDA * P(class | class before) * P(word | class)
     + (1 - LAMBDA) * (c(word) + 0.5) / (N + 0.5 * (V + 1)),
@@ -26,10 +25,13 @@ seen half a time.  It sums to 1 over the training words and the unknown one,
 whose class part its shapes share.  Perplexity follows as
 ``10 ** (-score / n_tokens)``.
 
-Words are 56-bit hashes with 8 bits of shape.  The words with a class are
-broadcast, at most :data:`LOOKED_UP` of them; counts of rarer words stay
-distributed, and the rare tokens of the documents are joined with them.  The
-first step reads, per frequent word, how often it stands beside each other
+Words are 56-bit hashes with 8 bits of shape.  Of the words with a class the
+most frequent are broadcast, at most :data:`LOOKED_UP`.  Classes and counts of
+the others and counts of rarer words stay distributed; the documents' tokens
+that aren't broadcast are joined with them, and so are the tokens behind a word
+whose class is not broadcast.  A bitmap of fixed size leaves few others to ask
+for, so scores don't depend on how many words are broadcast.  The first step
+reads, per frequent word, how often it stands beside each other
 frequent word or shape; the second, per word, how often it stands between each
 two classes.  A task needs the rows of its own words only.
 
@@ -42,7 +44,7 @@ matter.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -58,9 +60,9 @@ from .wordhash import SECTION, mix, sections, word_hashes
 CLASSES = 64
 SHAPES = 256
 LEAST = 5               # occurrences of a word with a class of its own choice
-LOOKED_UP = 1 << 19     # words with such a class at most; the most frequent ones
+LOOKED_UP = 1 << 19     # broadcast words with such a class; the most frequent ones
+BITS = 1 << 24          # of the bitmap of the others
 FREQUENT = 1 << 13      # words with at least this share of all tokens take part in the rounds
-MOVES = 1               # times that the other words choose a class
 ROUNDS = 12
 PARTS = 4
 LAMBDA = 0.95
@@ -145,17 +147,18 @@ class Index:
 
 @dataclass
 class Model:
-    index: Index         # of the words with a class of their own choice
+    index: Index         # of the broadcast words with a class of their own choice
     classes: np.ndarray  # of each unit: these words, then the shapes
     tokens: np.ndarray   # of each unit
     kinds: np.ndarray    # distinct words per shape that have the shape's class
     pairs: np.ndarray    # counts of class pairs
     total: int           # N
     distinct: int        # V
+    others: np.ndarray   # bitmap of the other words with a class of their own choice; may be empty
 
     def __post_init__(self):
         self.words = len(self.classes) - SHAPES
-        sizes = self.pairs.sum(0)
+        self.sizes = sizes = self.pairs.sum(0)
         share = (sizes + 1e-9) / (sizes.sum() + 1e-9 * len(sizes))
         self.trans = LAMBDA * (self.pairs + SMOOTH * share) / (self.pairs.sum(1, keepdims=True) + SMOOTH)
         # The class part is the transition * (count + added) * weight of the unit.
@@ -165,12 +168,20 @@ class Model:
         self.norm = self.total + 0.5 * (self.distinct + 1)
 
     def look_up(self, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Units, and counts (-1: not among the words with a class)."""
+        """Units, and counts (-1: not among the broadcast words)."""
         at = self.index.find(tokens)
         found = at >= 0
         units = np.where(found, at, self.words + (tokens & np.uint64(SHAPES - 1)).astype(np.int64))
         return units, np.where(found, self.tokens[units], -1)
 
+    def unsure(self, tokens: np.ndarray, n: np.ndarray) -> np.ndarray:
+        """Which tokens, of these counts, may be words that have a class of
+        their own choice which isn't broadcast."""
+        if not len(self.others):
+            return np.zeros(len(tokens), bool)
+        bit = (tokens >> np.uint64(8)).astype(np.int64) % (32 * len(self.others))
+        return (n < 0) & (self.others[bit >> 5] >> (bit & 31).astype(np.uint32) & np.uint32(1)).astype(bool)
+
     def added(self, units: np.ndarray) -> np.ndarray:
         """What is added to a token's count: half a word in shapes."""
         return np.where(units < self.words, 0.0, 0.5)
@@ -187,6 +198,11 @@ def _signed(x: np.ndarray) -> np.ndarray:
     return x.astype(np.uint64).view(np.int64)
 
 
+def _behind(x: np.ndarray) -> np.ndarray:
+    """Of each token of whole texts, ``x`` of the token before it."""
+    return np.concatenate([x[-1:], x[:-1]])
+
+
 def _count(train: DataFrame) -> DataFrame:
     """``(w, n)`` over all training tokens."""
 
@@ -351,18 +367,25 @@ def cluster(rows: DataFrame, cls: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _between(train: DataFrame, model: _Shared, frequent: _Shared) -> DataFrame:
-    """``(u, between, n)``: how often unit ``u``, a word that isn't frequent,
-    stands behind one class and before another (both in ``between``)."""
+    """``(u, between, n)``: how often ``u``, the unit of a word that isn't
+    frequent or (below 0) the hash of one that may have a class which isn't
+    broadcast, stands behind one class and before another (both in ``between``)."""
 
     def run(batches):
-        held, size = [], 0
+        held, others, size = [], [], 0
 
-        def counted():
-            key, n = np.unique(np.concatenate(held), return_counts=True)
-            return pa.RecordBatch.from_arrays([pa.array((key // CLASSES ** 2).astype(np.int32)),
+        def counted(key, names=None):
+            key, n = np.unique(key, return_counts=True)
+            u = key // CLASSES ** 2
+            return pa.RecordBatch.from_arrays([pa.array(u if names is None else names[u]),
                                                pa.array((key % CLASSES ** 2).astype(np.int32)),
                                                pa.array(n.astype(np.int32))], ["u", "between", "n"])
 
+        def settle():
+            yield counted(np.concatenate(held))
+            names, at = np.unique(np.concatenate([w for w, _ in others]), return_inverse=True)
+            yield counted(at * CLASSES ** 2 + np.concatenate([b for _, b in others]), names)
+
         for batch in batches:
             for _, texts in text_rows([batch]):
                 for _, x, _ in token_arrays(texts):
@@ -370,14 +393,16 @@ def _between(train: DataFrame, model: _Shared, frequent: _Shared) -> DataFrame:
                     c = model.value.classes[u].astype(np.int64)
                     at = np.flatnonzero((n >= 0) & ~frequent.value[u])
                     held.append(u[at] * CLASSES ** 2 + c[at - 1] * CLASSES + c[(at + 1) % len(c)])
+                    at = np.flatnonzero(model.value.unsure(x, n))
+                    others.append((_signed(x[at]), c[at - 1] * CLASSES + c[(at + 1) % len(c)]))
                     size += len(x)
                 if size >= AT_ONCE:
-                    yield counted()
-                    held, size = [], 0
+                    yield from settle()
+                    held, others, size = [], [], 0
         if held:
-            yield counted()
+            yield from settle()
 
-    return train.mapInArrow(run, "u int, between int, n int").repartition("u")
+    return train.mapInArrow(run, "u bigint, between int, n int").repartition("u")
 
 
 def _choose(between: DataFrame, pairs: np.ndarray) -> DataFrame:
@@ -386,41 +411,102 @@ def _choose(between: DataFrame, pairs: np.ndarray) -> DataFrame:
     follow = np.log((pairs + SMOOTH / CLASSES) / (rows + SMOOTH))  # log P(class | class before)
     share = np.log(cols + SMOOTH)                                  # a word's share of a class is count / size
 
-    def run(batches):
-        parts = [[c.to_numpy() for c in b.columns] for b in batches if b.num_rows]
-        if not parts:
-            return
-        u, between, n = (np.concatenate([p[i] for p in parts]) for i in range(3))
+    def settle(u, between, n):
         units, at = np.unique(u, return_inverse=True)
         sums = lambda c: np.bincount(at * CLASSES + c, n, len(units) * CLASSES).reshape(-1, CLASSES)
         behind, before = sums(between // CLASSES), sums(between % CLASSES)
         gain = behind @ follow + before @ follow.T - behind.sum(1, keepdims=True) * share
-        yield pa.RecordBatch.from_arrays([pa.array(units, pa.int32()), pa.array(gain.argmax(1), pa.int32())], ["u", "class"])
+        return pa.RecordBatch.from_arrays([pa.array(units, pa.int64()), pa.array(gain.argmax(1), pa.int32())], ["u", "class"])
+
+    def run(batches):
+        held = [np.empty(0, np.int64)] * 3
+        for batch in batches:  # a word's rows are together; the last word's may go on
+            u, between, n = (np.concatenate([h, c.to_numpy()]) for h, c in zip(held, batch.columns))
+            if not len(u):
+                continue
+            cut = int(np.searchsorted(u, u[-1]))
+            if cut:
+                yield settle(u[:cut], between[:cut], n[:cut])
+            held = [u[cut:], between[cut:], n[cut:]]
+        if len(held[0]):
+            yield settle(*held)
 
-    return between.mapInArrow(run, "u int, class int")
+    return between.sortWithinPartitions("u").mapInArrow(run, "u bigint, class int")
 
 
-def _recount(train: DataFrame, model: _Shared) -> np.ndarray:
-    """Counts of class pairs over all training tokens."""
+def _recount(train: DataFrame, model: _Shared, others: DataFrame) -> np.ndarray:
+    """Counts of class pairs over all training tokens; ``others`` has the
+    ``(w, class)`` that aren't broadcast."""
 
     def run(batches):
-        out = np.zeros(CLASSES ** 2, np.int64)
+        out, m = np.zeros(CLASSES ** 2, np.int64), model.value
         for batch in batches:
             for _, texts in text_rows([batch]):
                 for _, x, _ in token_arrays(texts):
-                    c = model.value.classes[model.value.look_up(x)[0]].astype(np.int64)
-                    out += np.bincount(np.concatenate([c[-1:], c[:-1]]) * CLASSES + c, minlength=CLASSES ** 2)
+                    u, n = m.look_up(x)
+                    c, unsure = m.classes[u].astype(np.int64), m.unsure(x, n)
+                    sure = ~unsure & ~_behind(unsure)
+                    out += np.bincount((_behind(c) * CLASSES + c)[sure], minlength=CLASSES ** 2)
         at = np.flatnonzero(out)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(out[at])], ["at", "n"])
 
-    found = train.mapInArrow(run, "at bigint, n bigint").groupBy("at").agg(F.sum("n").alias("n")).toPandas()
+    found = train.mapInArrow(run, "at bigint, n bigint")
+    if len(model.value.others):
+        found = found.unionByName(_joined_pairs(train, model, others))
+    found = found.groupBy("at").agg(F.sum("n").alias("n")).toPandas()
     out = np.zeros(CLASSES ** 2)
     out[found["at"].to_numpy(np.int64)] = found["n"].to_numpy(np.float64)
     return out.reshape(CLASSES, CLASSES)
 
 
+def _joined_pairs(train: DataFrame, model: _Shared, others: DataFrame) -> DataFrame:
+    """``(at, n)``: counts of class pairs, for adjacent training tokens of which
+    one may have a class that isn't broadcast.  A task counts a pair of a hash
+    and a class, or of two hashes, together."""
+
+    def run(batches):
+        held, size, m = [], 0, model.value
+
+        def counted():
+            w, c, first = (np.concatenate(x) for x in zip(*held))
+            (w, at), (c, of) = (np.unique(x, return_inverse=True) for x in (w, c))
+            key, n = np.unique((at * len(c) + of) * 2 + first, return_counts=True)
+            return pa.RecordBatch.from_arrays([pa.array(w[key // 2 // len(c)]), pa.array(c[key // 2 % len(c)]),
+                                               pa.array(key % 2 == 1), pa.array(n)], ["w", "other", "first", "n"])
+
+        for batch in batches:
+            for _, texts in text_rows([batch]):
+                for _, x, _ in token_arrays(texts):
+                    u, n = m.look_up(x)
+                    unsure = m.unsure(x, n)
+                    end = np.where(unsure, _signed(x), m.classes[u])  # classes are 0 or more, hashes below 0
+                    some = unsure | _behind(unsure)
+                    a, b = _behind(end)[some], end[some]
+                    held.append((np.where(a < 0, a, b), np.where(a < 0, b, a), a < 0))
+                    size += len(a)
+                if size >= AT_ONCE:
+                    yield counted()
+                    held, size = [], 0
+        if held:
+            yield counted()
+
+    found = train.mapInArrow(run, "w bigint, other bigint, first boolean, n bigint")
+    one = found.join(others, "w", "left").select(_class_of("w", model.value).alias("c"), "other", "first", "n")
+    one = stored(one.groupBy("c", "other", "first").agg(F.sum("n").alias("n")), "half-known")
+    two = one.filter("other < 0").join(others.withColumnRenamed("w", "other"), "other", "left") \
+             .select("c", _class_of("other", model.value).alias("other"), "first", "n")
+    at = F.when(F.col("first"), F.col("c") * CLASSES + F.col("other")).otherwise(F.col("other") * CLASSES + F.col("c"))
+    return one.filter("other >= 0").unionByName(two).select(at.alias("at"), "n")
+
+
+def _class_of(word: str, model: Model) -> Column:
+    """``class``, or that of the word's shape."""
+    shapes = F.array(*[F.lit(int(c)) for c in model.classes[model.words:]])
+    return F.coalesce("class", F.get(shapes, F.col(word).bitwiseAND(SHAPES - 1).cast("int"))).cast("long")
+
+
 def _vocabulary(counts: DataFrame) -> tuple[np.ndarray, np.ndarray, Column]:
-    """Sorted hashes and counts of the words with a class, and which rows of
+    """Sorted hashes and counts of the words to broadcast, and which rows of
     ``counts`` they are: :data:`LEAST` occurrences, or as many more (in steps of
     a sixteenth of a power of two) as :data:`LOOKED_UP` words leave room for."""
     step = F.floor(F.log2("n") * 16)
@@ -439,8 +525,19 @@ def _vocabulary(counts: DataFrame) -> tuple[np.ndarray, np.ndarray, Column]:
     return hashes[order], top["n"].to_numpy()[order], chosen
 
 
+def _bitmap(words: DataFrame) -> np.ndarray:
+    """Bitmap of the words, of :data:`BITS` bits whatever their number."""
+    bit = F.shiftrightunsigned("w", 8).bitwiseAND(BITS - 1)
+    found = (words.select(bit.alias("bit")).groupBy(F.shiftright("bit", 5).alias("at"))
+                  .agg(F.expr("bit_or(shiftleft(1L, cast(bit & 31 as int)))").alias("v")).toPandas())
+    out = np.zeros(BITS // 32, np.uint32)
+    out[found["at"].to_numpy(np.int64)] = found["v"].to_numpy(np.int64).astype(np.uint32)
+    return out
+
+
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[Model, DataFrame]:
-    """The model, and the distributed counts ``(w, n)`` of all words."""
+    """The model, and the distributed ``(w, n, class)`` of all words: their
+    counts, and the classes of their own choice that aren't broadcast."""
     spark = docs.sparkSession
     src = id_and_text(docs, id_col, text_col)
     counts = stored(_count(src), "words")
@@ -448,33 +545,42 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tu
     hashes, n, chosen = _vocabulary(counts)
     words = len(hashes)
     shape = words + (hashes & np.uint64(SHAPES - 1)).astype(np.int64)
-    kinds, tokens = np.zeros(SHAPES), np.concatenate([n.astype(np.float64), np.zeros(SHAPES)])
-    for r in counts.filter(~chosen).groupBy(F.col("w").bitwiseAND(SHAPES - 1).alias("s")) \
-                   .agg(F.count(F.lit(1)).alias("v"), F.sum("n").alias("n")).collect():  # SHAPES rows
-        kinds[r["s"]], tokens[words + r["s"]] = r["v"], r["n"]
+    kinds, tokens, mass = np.zeros(SHAPES), np.concatenate([n.astype(np.float64), np.zeros(SHAPES)]), np.zeros(SHAPES)
+    several = False  # whether words with a class of their own choice aren't broadcast
+    for r in counts.filter(~chosen).groupBy(F.col("w").bitwiseAND(SHAPES - 1).alias("s"), (F.col("n") >= LEAST).alias("own")) \
+                   .agg(F.count(F.lit(1)).alias("v"), F.sum("n").alias("n")).collect():  # 2 * SHAPES rows
+        mass[r["s"]] += r["n"]
+        several |= r["own"]
+        if not r["own"]:
+            kinds[r["s"]], tokens[words + r["s"]] = r["v"], r["n"]
+    others = counts.filter(~chosen & (F.col("n") >= LEAST)).select("w")
+    bits = _bitmap(others) if several else np.empty(0, np.uint32)
     classes = np.zeros(words + SHAPES, np.int16)
     pairs = np.zeros((CLASSES, CLASSES))
     frequent = np.concatenate([(n > total // FREQUENT) | (hashes == END), np.zeros(SHAPES, bool)])
     if total:
         # The rounds: begin with the units dealt out by falling frequency.
         first, few = np.flatnonzero(frequent), int(frequent.sum())
-        mass = np.concatenate([n[first], tokens[words:]])
-        mass[few:] += np.bincount(shape[~frequent[:words]] - words, n[~frequent[:words]], SHAPES)
+        mass += np.bincount(shape[~frequent[:words]] - words, n[~frequent[:words]], SHAPES)
         cls = np.empty(few + SHAPES, np.int64)
-        cls[np.argsort(-mass, kind="stable")] = np.arange(few + SHAPES) % CLASSES
+        cls[np.argsort(-np.concatenate([n[first], mass]), kind="stable")] = np.arange(few + SHAPES) % CLASSES
         cls, pairs = cluster(stored(_neighbours(src, _Shared(spark, hashes[first])), "neighbours"), cls)
         classes[words:] = cls[few:]
         classes[:words] = classes[shape]
         classes[first] = cls[:few]
-    model = Model(Index(hashes), classes, tokens, kinds, pairs, int(total), int(distinct))
-    for _ in range(MOVES if words > frequent.sum() else 0):
+    model = Model(Index(hashes), classes, tokens, kinds, pairs, int(total), int(distinct), bits)
+    if several or words > frequent.sum():
         between = _between(src, _Shared(spark, model), _Shared(spark, frequent))
-        moved = _choose(between, model.pairs).toArrow()  # at most LOOKED_UP rows
-        classes = model.classes.copy()
-        classes[moved["u"].to_numpy()] = moved["class"].to_numpy()
-        model = Model(model.index, classes, tokens, kinds, model.pairs, model.total, model.distinct)
-        model = Model(model.index, classes, tokens, kinds, _recount(src, _Shared(spark, model)), model.total, model.distinct)
-    return model, counts
+        moved = stored(_choose(between, pairs), "moved")
+        here = moved.filter("u >= 0").toArrow()  # at most LOOKED_UP rows
+        classes = classes.copy()
+        classes[here["u"].to_numpy()] = here["class"].to_numpy()
+        model = replace(model, classes=classes)
+        others = stored(others.join(moved.withColumnRenamed("u", "w"), "w"), "others")
+        model = replace(model, pairs=_recount(src, _Shared(spark, model), others))
+    if several:
+        return model, stored(counts.join(others, "w", "left"), "classed")
+    return model, counts.withColumn("class", F.lit(None).cast("int"))
 
 
 def score(docs: DataFrame, model: Model, counts: DataFrame, id_col: str = "doc_id",
@@ -494,43 +600,100 @@ def score(docs: DataFrame, model: Model, counts: DataFrame, id_col: str = "doc_i
                     f = n >= 0
                     base = (np.maximum(n, 0) + 0.5) / m.norm
                     p = m.factors(u) * (n + m.added(u)) + (1 - LAMBDA) * base
+                    whole = f & ~_behind(m.unsure(x, n))
                     out[0, at] = np.diff(bounds)
                     out[1:, at] = [np.add.reduceat(v, bounds[:-1]) for v in
-                                   (f, np.where(f, np.log10(base), 0), np.where(f, np.log10(np.where(f, p, 1)), 0))]
+                                   (f, np.where(f, np.log10(base), 0), np.where(whole, np.log10(np.where(whole, p, 1)), 0))]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(ids, batch.column(0).type),
                      pa.array(_signed(np.array([xxhash.xxh3_64_intdigest(t) for t in texts], np.uint64))),
                      pa.array(out[0].astype(np.int64)), pa.array(out[1].astype(np.int64)), pa.array(out[2]), pa.array(out[3])],
                     ["_id", "t", "n_tokens", "k", "b", "s"])
 
-    def rare(batches):
-        m, seen = shared.value, set()
-        part = TaskContext.get().partitionId()
+    def fresh(batches):
+        """Tokens of texts not met before: each one's text, tokens, part."""
+        seen, part = set(), TaskContext.get().partitionId()
         for batch in batches:
             for _, texts in text_rows([batch]):
                 if len(seen) > MEMO_SIZE:
                     part += 1 << 20  # a text met again is told apart from before
                     seen.clear()
                 keys = [xxhash.xxh3_64_intdigest(t) for t in texts]
-                fresh = [i for i, k in enumerate(keys) if not (k in seen or seen.add(k))]
-                keys = np.array(keys, np.uint64)[fresh]
-                for at, x, bounds in token_arrays([texts[i] for i in fresh]):
-                    u, n = m.look_up(x)
-                    f = n < 0
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(_signed(np.repeat(keys[at], np.diff(bounds))[f])), pa.array(_signed(x[f])),
-                         pa.array(m.factors(u)[f]), pa.array(np.full(int(f.sum()), part))], ["t", "w", "f", "part"])
+                new = [i for i, k in enumerate(keys) if not (k in seen or seen.add(k))]
+                keys = np.array(keys, np.uint64)[new]
+                for at, x, bounds in token_arrays([texts[i] for i in new]):
+                    yield _signed(np.repeat(keys[at], np.diff(bounds))), x, part
+
+    def rare(batches):
+        m = shared.value
+        for t, x, part in fresh(batches):
+            u, n = m.look_up(x)
+            unsure = m.unsure(x, n)
+            f = (n < 0) & ~unsure & ~_behind(unsure)
+            yield pa.RecordBatch.from_arrays([pa.array(t[f]), pa.array(_signed(x[f])), pa.array(m.factors(u)[f]),
+                                              pa.array(np.full(int(f.sum()), part))], ["t", "w", "f", "part"])
+
+    def unsettled(batches):
+        """Words that may have a class which isn't broadcast, with what stands
+        before them (a class, or -1) and the token behind, if it is broadcast
+        (its class, and its probability is ``g`` * the transition + ``h``); and,
+        with ``hash`` of the word before, tokens behind such a word that aren't."""
+        m = shared.value
+        for t, x, part in fresh(batches):
+            u, n = m.look_up(x)
+            unsure = m.unsure(x, n)
+            c = m.classes[u].astype(np.int64)
+            behind = _behind(unsure)
+            at, late = np.flatnonzero(unsure), np.flatnonzero((n < 0) & behind)
+            after = (at + 1) % len(x)
+            told = n[after] >= 0
+            none = np.full(len(late), -1)
+            cells = [np.concatenate(v) for v in (
+                (t[at], t[late]), (_signed(x[at]), _signed(x[late])), (np.where(behind[at], -1, c[at - 1]), none),
+                (np.where(told, c[after], -1), none),
+                (np.where(told, m.weight[u[after]] * (n[after] + m.added(u[after])), 0), np.zeros(len(late))),
+                (np.where(told, (1 - LAMBDA) * (n[after] + 0.5) / m.norm, 1), np.ones(len(late))))]
+            hashes = np.concatenate([np.zeros(len(at), np.int64), _signed(x[late - 1])])
+            yield pa.RecordBatch.from_arrays([*map(pa.array, cells), pa.array(hashes), pa.array(np.full(len(hashes), part))],
+                                             ["t", "w", "before", "after", "g", "h", "hash", "part"])
+
+    def settle(batches):
+        m = shared.value
+        for batch in batches:
+            t, part, w, before, after, g, h = (c.to_numpy() for c in batch.columns[:7])
+            n, own = (pa.compute.fill_null(c, x).to_numpy() for c, x in zip(batch.columns[7:], (0, -1)))
+            unit = m.words + (w & (SHAPES - 1))
+            c = np.where(own >= 0, own, m.classes[unit])
+            share = np.where(own >= 0, n / np.maximum(m.sizes[c], 1e-9), m.weight[unit] * (n + 0.5))
+            base = (n + 0.5) / m.norm
+            known, told = before >= 0, after >= 0
+            s = np.where(known, np.log10(m.trans[before, c] * share + (1 - LAMBDA) * base), 0)
+            s += np.where(told, np.log10(m.trans[c, after] * g + h), 0)
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (t, part, (known & (n > 0)).astype(np.int64),
+                                                                    np.where(known, np.log10(base), 0), s)],
+                                             ["t", "part", "rk", "rb", "rs"])
+
+    def by_text(parts: DataFrame) -> DataFrame:
+        sums = parts.groupBy("t", "part").agg(*[F.sum(c).alias(c) for c in ("rk", "rb", "rs")])
+        # Several tasks may have met one text; each has summed it whole.
+        return sums.groupBy("t").agg(*[F.max(c).alias(c) for c in ("rk", "rb", "rs")])
 
     rows = src.mapInArrow(common, f"_id {src.schema['_id'].dataType.simpleString()}, t bigint, n_tokens bigint, "
                                   "k bigint, b double, s double")
-    tokens = src.mapInArrow(rare, "t bigint, w bigint, f double, part bigint").join(counts, "w", "left")
+    tokens = src.mapInArrow(rare, "t bigint, w bigint, f double, part bigint").join(counts.select("w", "n"), "w", "left")
     n = F.coalesce("n", F.lit(0))
     base = (n + 0.5) / model.norm
-    per_text = (tokens.groupBy("t", "part")
-                      .agg(F.sum(F.when(n > 0, 1).otherwise(0)).alias("rk"), F.sum(F.log10(base)).alias("rb"),
-                           F.sum(F.log10(F.col("f") * (n + 0.5) + (1 - LAMBDA) * base)).alias("rs"))
-                      # Several tasks may have met one text; each has summed it whole.
-                      .groupBy("t").agg(F.max("rk").alias("rk"), F.max("rb").alias("rb"), F.max("rs").alias("rs")))
+    per_text = by_text(tokens.select("t", "part", F.when(n > 0, 1).otherwise(0).alias("rk"), F.log10(base).alias("rb"),
+                                     F.log10(F.col("f") * (n + 0.5) + (1 - LAMBDA) * base).alias("rs")))
+    if len(model.others):
+        found = stored(src.mapInArrow(unsettled, "t bigint, w bigint, before bigint, after bigint, g double, h double, "
+                                                 "hash bigint, part bigint"), "unsettled")
+        classes = counts.filter("class is not null").select(F.col("w").alias("hash"), "class")
+        late = found.filter("hash < 0").join(classes, "hash", "left").withColumn("before", _class_of("hash", model)).drop("class")
+        both = found.filter("hash = 0").unionByName(late).join(counts, "w", "left") \
+                    .select("t", "part", "w", "before", "after", "g", "h", "n", "class")
+        settled_ = by_text(both.mapInArrow(settle, "t bigint, part bigint, rk bigint, rb double, rs double"))
+        per_text = per_text.unionByName(settled_).groupBy("t").agg(*[F.sum(c).alias(c) for c in ("rk", "rb", "rs")])
     out = left_join_spread(rows, per_text, "t", "_id")
     plus: Column = lambda a, b: F.col(a) + F.coalesce(F.col(b), F.lit(0))
     return out.select(F.col("_id").alias(id_col), "n_tokens", plus("k", "rk").alias("n_known"),
