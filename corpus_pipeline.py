@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from zonage.llm import bpe, decontaminate, exact_dedup, jaccard_join, quality, queries
-from zonage.llm.common import stored
+from zonage.llm.common import settled
 from zonage.session import read_table
 
 
@@ -64,5 +64,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``."""
     docs = read_table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = stored(stage(spark, docs, sf_dir), name)
+        docs = settled(stage(spark, docs, sf_dir), name)
     return docs

@@ -483,6 +483,25 @@ def test_words_hash_alike_wherever_they_stand(monkeypatch):
     assert len(set(seen.values())) == len(seen)
 
 
+# -- disk ---------------------------------------------------------------------
+
+def test_shuffles_are_freed_before_the_index_is_shuffled(spark, docs, monkeypatch):
+    """What led to the documents, and each large step, leaves no shuffle files beside the next one's."""
+    steps = []
+
+    def noted(name, real):
+        def call(*args):
+            steps.append(f"{name} {args[1]}" if name == "settled" else name)
+            return real(*args)
+        monkeypatch.setattr(jaccard_join, name, call)
+
+    for name in ("settled", "_frequent", "_index", "_verify"):
+        noted(name, getattr(jaccard_join, name))
+    jaccard_join.keep_one(docs).collect()
+    assert steps[:7] == ["settled described", "_frequent", "settled sketches", "_index", "settled lists", "settled pairs", "_verify"]
+    assert steps[7] == "settled sets"
+
+
 # -- secrets ------------------------------------------------------------------
 
 def base_spans(text):

@@ -349,7 +349,7 @@ def _verify(src: DataFrame, pairs: DataFrame) -> DataFrame:
     """``(a, b, j, linked)``: the similarity of each pair."""
     spark = src.sparkSession
     sets = _sets(src, _Shared(spark, _wanted(pairs)))
-    sets = stored(sets.groupBy("sid").agg(F.first("members").alias("members")), "sets")
+    sets = settled(sets.groupBy("sid").agg(F.first("members").alias("members")), "sets")
     both = _attach(pairs, sets, ["members"])
 
     def run(batches):
@@ -412,11 +412,12 @@ def similarity_components(docs: DataFrame, id_col: str = "doc_id", text_col: str
     """Per row of ``docs``: ``(id, n_shingles, component_id)``."""
     spark = docs.sparkSession
     src = id_and_text(docs, id_col, text_col)
-    described = stored(_describe(src), "described")
+    # Frees what led to ``docs`` too: its shuffles would lie beside the index's.
+    described = settled(_describe(src), "described")
     rows = described.filter("token is null").select("_id", "n", "sid")
     frequent = _Shared(spark, _frequent(described))
-    sketches = stored(described.filter("sketch is not null").groupBy("sid")
-                      .agg(F.max("n").alias("n"), F.max("sketch").alias("sketch")), "sketches")
+    sketches = settled(described.filter("sketch is not null").groupBy("sid")
+                       .agg(F.max("n").alias("n"), F.max("sketch").alias("sketch")), "sketches")
     lists = settled(_lists(_index(src, frequent)), "lists")
 
     pairs = lists.filter("sid <> pivot").filter(_possible(F.col("n"), F.col("pos"), F.col("pn"), F.col("ppos"))) \
@@ -474,7 +475,7 @@ def _mixed(entries: DataFrame, comps: DataFrame, name: str) -> tuple[DataFrame,
     """Entries of lists that hold several components, with ``comp`` and how
     many entries of the list are of that component; whether there are any."""
     now = entries.join(comps, "sid", "left").withColumn("comp", F.coalesce("comp", "sid"))
-    now = stored(now, name)
+    now = settled(now, name)
     held = now.groupBy("token", "comp").agg(F.count(F.lit(1)).alias("held"))
     lists = held.groupBy("token").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("token")
     held = stored(held.join(lists, "token"), f"{name}-held")
