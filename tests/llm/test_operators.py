@@ -16,8 +16,8 @@ import sentencepiece
 import tiktoken
 from pyspark.sql import functions as F
 
-from zonage.llm import (bpe, decontaminate, exact_dedup, jaccard_join, licences, lm_score, quality, secrets,
-                        suffix_dedup, token_counts)
+from zonage.llm import (bpe, common, decontaminate, exact_dedup, jaccard_join, licences, lm_score, quality,
+                        secrets, suffix_dedup, token_counts)
 
 SCHEMA = "doc_id bigint, text string, _id string, _text string, n int, sid int, token int, score int, _gone int, _digest int, w int"
 WORDS = "the of and to in that is was for it with as his on be at by had not are but from".split()
@@ -502,6 +502,49 @@ def test_shuffles_are_freed_before_the_index_is_shuffled(spark, docs, monkeypatc
     assert steps[7] == "settled sets"
 
 
+def shuffled_rows(df):
+    """Rows that the shuffles of ``df`` wrote."""
+    def found(plan):
+        kind = plan.getClass().getSimpleName()
+        if kind == "AdaptiveSparkPlanExec":
+            return found(plan.executedPlan())
+        if kind.endswith("QueryStageExec"):
+            return found(plan.plan())
+        own = plan.metrics().apply("shuffleRecordsWritten").value() if kind == "ShuffleExchangeExec" else 0
+        return own + sum(found(plan.children().apply(i)) for i in range(plan.children().size()))
+
+    df.collect()
+    return found(df._jdf.queryExecution().executedPlan())
+
+
+def test_rows_that_stay_are_not_shuffled(spark):
+    """Dropping a few rows from a table too large to broadcast moves those rows alone."""
+    docs = spark.createDataFrame([(i, f"text {i}") for i in range(4000)], "doc_id bigint, text string")
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        left = common.without(docs, docs.filter("doc_id % 100 = 0").select("doc_id"), "doc_id")
+        assert shuffled_rows(left) <= 400
+        assert sorted(r.doc_id for r in left.collect()) == [i for i in range(4000) if i % 100]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
+@pytest.mark.parametrize("bits", [64, 1 << 24])
+def test_rows_go_by_their_ids_alone(spark, monkeypatch, bits):
+    """Ids whose bits are those of others, null and repeated ids, nothing or everything to drop, clashing columns."""
+    monkeypatch.setattr(common, "GONE_BITS", bits)
+    rows = [(i % 300 if i % 7 else None, i, "w", 1) for i in range(1000)]
+    docs = spark.createDataFrame(rows, "id bigint, n int, _word string, _bits int")
+    every = {r[0] for r in rows}
+    for gone in (set(), {None}, {5}, {i for i in every if i and i % 3 == 0}, {None, 1, 2, 10 ** 12}, every):
+        ids = spark.createDataFrame([(i,) for i in gone], "id bigint")
+        left = common.without(docs, ids, "id")
+        assert left.columns == docs.columns
+        assert sorted(tuple(r) for r in left.select("n", "_word", "_bits").collect()) == \
+            sorted(r[1:] for r in rows if r[0] not in gone)
+
+
 # -- secrets ------------------------------------------------------------------
 
 def base_spans(text):
